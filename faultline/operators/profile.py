@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.operators.clean import numeric_columns
+from faultline.operators.gram import gram, means
 from faultline.operators.quantiles import exact_percentiles
 
 
@@ -83,24 +84,26 @@ def sparsity(df: DataFrame, columns: list[str], limit: float = 0.4) -> DataFrame
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson r of all pairs (col_a, col_b, r), pairwise complete, 0 when degenerate.
 
-    Each pair needs one aggregate; the mirrored and diagonal entries are unpivoted.
+    One pass for the means, one for the products of the centred values, their
+    squares and the presence masks of the columns that hold NULLs.
     """
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = []
-    for a, b in combinations(columns, 2):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        wide.append(F.coalesce(F.try_divide(F.covar_pop(x, y), spread), F.lit(0.0)).alias(f"{a}|{b}"))
-    for a in columns:
-        wide.append(F.when(F.coalesce(F.stddev_pop(a), F.lit(0.0)) > 0, 1.0).otherwise(0.0).alias(f"{a}|{a}"))
-    row = df.agg(*wide)
-    entries = []
+    total, mean, count = means(df, columns)
+    holes = [c for c in columns if count[c] < total]
+    value = [F.coalesce(F.col(c).cast("double") - F.lit(mean[c]), F.lit(0.0)) for c in columns]
+    masks = [F.col(c).isNotNull().cast("int") for c in holes]
+    g = gram(df, [F.lit(1.0), *masks, *value, *[v * v for v in value]])
+    present = {c: 1 + holes.index(c) if c in holes else 0 for c in columns}
+    x = {c: 1 + len(holes) + i for i, c in enumerate(columns)}
+    square = {c: x[c] + len(columns) for c in columns}
+    rows = []
     for a in columns:
         for b in columns:
-            name = f"{a}|{b}" if f"{a}|{b}" in row.columns else f"{b}|{a}"
-            entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{name}`").alias("r")))
-    return row.select(F.inline(F.array(*entries)))
+            n = max(g[present[a], present[b]], 1.0)
+            sa, sb = g[x[a], present[b]], g[x[b], present[a]]
+            va, vb = g[square[a], present[b]] - sa * sa / n, g[square[b], present[a]] - sb * sb / n
+            flat = va <= n * (1e-12 * mean[a]) ** 2 or vb <= n * (1e-12 * mean[b]) ** 2  # rounding noise only
+            rows.append((a, b, 0.0 if flat else float((g[x[a], x[b]] - sa * sb / n) / math.sqrt(va * vb))))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def null_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
