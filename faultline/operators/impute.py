@@ -61,19 +61,18 @@ def neighbour_values(
     donors = _scaled(train.filter(F.col(target).isNotNull()), o, std, [F.col("idx"), F.col(target).alias("raw")])
     mean = train.agg(F.avg(target)).first()[0]
 
-    def side(df: DataFrame, own: dict[str, float]) -> DataFrame:
-        wanted = df.filter(F.col(target).isNull())
-        near = nearest(_scaled(wanted, o, own, [F.col("idx")]), donors, others, o.k, "raw", width=len(o.columns))
-        values = near.groupBy("idx").agg(weighted_mean().alias("v"))
-        back = own[target] / std[target]
-        return wanted.select("idx").join(values, "idx", "left").select(
-            "idx", (F.coalesce("v", F.lit(mean)) * F.lit(back)).alias(target))
-
-    out = side(train, std)
+    def wanted(df: DataFrame, own: dict[str, float]) -> DataFrame:
+        back = F.lit(own[target] / std[target]).alias("back")
+        return _scaled(df.filter(F.col(target).isNull()), o, own, [F.col("idx"), back])
+
+    asked = wanted(train, std)
     if pred is not None:
         whole = train.unionByName(pred) if full is None else full
-        out = out.unionByName(side(pred, _std(whole, o.columns) if o.scale == "full" else std))
-    return out
+        asked = asked.unionByName(wanted(pred, _std(whole, o.columns) if o.scale == "full" else std))
+    near = nearest(asked, donors, others, o.k, "raw", width=len(o.columns))
+    values = near.groupBy("idx").agg(weighted_mean().alias("v"))
+    return asked.select("idx", "back").join(values, "idx", "left").select(
+        "idx", (F.coalesce("v", F.lit(mean)) * F.col("back")).alias(target))
 
 
 def train_pred(df: DataFrame, seed: str = "42", shuffle: bool = True) -> tuple[DataFrame, DataFrame]:

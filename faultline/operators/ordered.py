@@ -120,21 +120,28 @@ def carry_forward(ordered: Ordered, columns: list[str]) -> DataFrame:
     )
 
 
-def running_sum(ordered: Ordered, value: str, name: str) -> DataFrame:
-    """Inclusive running sum of ``value`` over the whole order."""
-    sums = {
-        r[PART]: r["s"] for r in ordered.df.groupBy(PART).agg(F.sum(value).alias("s")).collect()
-    }
-    start, rows = 0, []
-    for part in sorted(sums):
-        rows.append((part, start))
-        start += sums[part] or 0
-    w = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        ordered.df.join(ordered.small(rows, f"{PART} int, _before bigint"), PART)
-        .withColumn(name, F.col("_before") + F.sum(value).over(w))
-        .drop("_before")
+def running_sums(ordered: Ordered, values: dict[str, str]) -> DataFrame:
+    """Adds name → inclusive running sum of a column over the whole order."""
+    sums = ordered.df.groupBy(PART).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    schema = T.StructType(
+        [T.StructField(PART, T.IntegerType())] + [T.StructField(f"_in_{n}", sums.schema[n].dataType) for n in values]
     )
+    held, rows = [_zero(sums.schema[n].dataType) for n in values], []
+    for r in sorted(sums.collect(), key=lambda r: r[PART]):
+        rows.append((r[PART], *held))
+        held = [h + (r[n] or 0) for h, n in zip(held, values)]
+    w = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    return ordered.df.join(ordered.small(rows, schema), PART).withColumns({
+        n: F.col(f"_in_{n}") + F.coalesce(F.sum(v).over(w), F.lit(0)) for n, v in values.items()
+    }).drop(*[f"_in_{n}" for n in values])
+
+
+def _zero(kind: T.DataType) -> float | int:
+    return 0.0 if isinstance(kind, T.DoubleType) else 0
+
+
+def running_sum(ordered: Ordered, value: str, name: str) -> DataFrame:
+    return running_sums(ordered, {name: value})
 
 
 def split_by_row(row: Column, total: int, first: float, second: float | None = None) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, features, impute, knn, linear, metrics, windows
+from faultline.operators import clean, ensemble, features, forecast, impute, knn, linear, metrics, tree, windows
 from faultline.operators.profile import safe_std
 from faultline.plans import views
 from faultline.plans.clean_queries import _SPLIT
@@ -66,16 +66,15 @@ def _(spark, d):
 _RIDGE = ["latitude", "longitude", "gap", "rms"]
 
 
-def _ridge_sql(source: str) -> str:
-    """CTEs ending in ``ridge`` (w0..w3, b): elimination on the centred 4×4 system."""
-    n = len(_RIDGE)
-    known = (f"kn AS (SELECT {', '.join(_RIDGE)}, ln(dmin + 1) AS y FROM {source} WHERE dmin IS NOT NULL"
-             + "".join(f" AND {c} IS NOT NULL" for c in _RIDGE) + ")")
-    mean = "mu AS (SELECT " + ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(_RIDGE)) + ", avg(y) AS my FROM kn)"
-    terms = [f"sum(({a} - m{i}) * ({b} - m{j})){' + 1.0' if i == j else ''} AS a{i}{j}"
-             for i, a in enumerate(_RIDGE) for j, b in enumerate(_RIDGE)]
-    terms += [f"sum(({a} - m{i}) * (y - my)) AS a{i}{n}" for i, a in enumerate(_RIDGE)]
-    ctes = [known, mean, f"e0 AS (SELECT {', '.join(terms)} FROM kn, mu)"]
+def _solve_sql(features, known: str, alpha: float) -> str:
+    """CTEs ending in ``fit`` (w0, w1, …, b): elimination on the centred normal
+    equations of ``known`` (feature columns and y)."""
+    n = len(features)
+    mean = "mu AS (SELECT " + ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(features)) + ", avg(y) AS my FROM kn)"
+    terms = [f"sum(({a} - m{i}) * ({b} - m{j})){f' + {alpha}' if i == j else ''} AS a{i}{j}"
+             for i, a in enumerate(features) for j, b in enumerate(features)]
+    terms += [f"sum(({a} - m{i}) * (y - my)) AS a{i}{n}" for i, a in enumerate(features)]
+    ctes = [f"kn AS ({known})", mean, f"e0 AS (SELECT {', '.join(terms)} FROM kn, mu)"]
     for k in range(n):
         cols = []
         for i in range(n):
@@ -84,13 +83,21 @@ def _ridge_sql(source: str) -> str:
         ctes.append(f"e{k + 1} AS (SELECT {', '.join(cols)} FROM e{k})")
     weights = ", ".join(f"a{i}{n} AS w{i}" for i in range(n))
     b = "my - " + " - ".join(f"a{i}{n} * m{i}" for i in range(n))
-    return ", ".join(ctes) + f", ridge AS (SELECT {weights}, {b} AS b FROM e{n}, mu)"
+    return ", ".join(ctes) + f", fit AS (SELECT {weights}, {b} AS b FROM e{n}, mu)"
+
+
+def _complete_sql(features, y: str, source: str) -> str:
+    return f"SELECT {', '.join(features)}, {y} AS y FROM {source} WHERE {y} IS NOT NULL" + "".join(f" AND {c} IS NOT NULL" for c in features)
+
+
+def _ridge_sql(source: str) -> str:
+    return _solve_sql(_RIDGE, _complete_sql(_RIDGE, "ln(dmin + 1)", source), 1.0)
 
 
 _RIDGE_PRED = "exp(b + " + " + ".join(f"w{i} * {c}" for i, c in enumerate(_RIDGE)) + ")"
 
 
-@query("imp_ridge_dmin", f"WITH {_ridge_sql('cat')} SELECT idx, {r(f'coalesce(dmin, {_RIDGE_PRED})', 'dmin')} FROM cat, ridge")
+@query("imp_ridge_dmin", f"WITH {_ridge_sql('cat')} SELECT idx, {r(f'coalesce(dmin, {_RIDGE_PRED})', 'dmin')} FROM cat, fit")
 def _(spark, d):
     return impute.ridge_fill(_measured(spark, d))[0].select("idx", "dmin")
 
@@ -98,7 +105,7 @@ def _(spark, d):
 @query("pipe_impute",
        f"WITH {_neighbours_sql(0.4, True)}, fl AS (SELECT c.idx, c.latitude, c.longitude, c.rms, c.dmin, coalesce(c.gap, k.gap) AS gap "
        f"FROM cat c LEFT JOIN knn k ON c.idx = k.idx), {_ridge_sql('fl')} "
-       f"SELECT idx, {rs('latitude', 'longitude', 'rms', 'gap')}, {r(f'coalesce(dmin, {_RIDGE_PRED})', 'dmin')} FROM fl, ridge")
+       f"SELECT idx, {rs('latitude', 'longitude', 'rms', 'gap')}, {r(f'coalesce(dmin, {_RIDGE_PRED})', 'dmin')} FROM fl, fit")
 def _(spark, d):
     return impute.impute_and_regress(_measured(spark, d))["final"]
 
@@ -167,3 +174,219 @@ def _(spark, d):
     return m.table(spark).groupBy().agg(
         F.max(F.when(F.col("term") == "rms", F.col("weight"))).alias("slope"),
         F.max(F.when(F.col("term") == "intercept", F.col("weight"))).alias("intercept"))
+
+
+def _fit_terms(names) -> str:
+    rows = [f"SELECT 'intercept' AS term, {r('b', 'weight')} FROM fit"]
+    return " UNION ALL ".join(rows + [f"SELECT '{c}', {r(f'w{i}')} FROM fit" for i, c in enumerate(names)])
+
+
+_OLS = ["rms", "gap", "longitude", "latitude", "dmin"]
+
+
+@query("ml_ols", f"WITH {_solve_sql(_OLS, _complete_sql(_OLS, 'mag', 'cat'), 0.0)} {_fit_terms(_OLS)}")
+def _(spark, d):
+    return linear.fit_ols(views.catalog(spark, d), _OLS, "mag").table(spark)
+
+
+def _z_base(spark, d):
+    """Complete base rows with z-scored features."""
+    base = clean.model_base(views.catalog(spark, d))
+    return features.fit_zscore(base, _LIN).transform(base)
+
+
+@query("ml_lr_gd")
+def _(spark, d):
+    return linear.fit_gradient_descent(_z_base(spark, d), _LIN, "mag").table(spark)
+
+
+@query("ml_sgd")
+def _(spark, d):
+    return linear.fit_sgd(_z_base(spark, d), _LIN, "mag").table(spark)
+
+
+@query("ml_compare")
+def _(spark, d):
+    z = _z_base(spark, d)
+    models = {
+        "gradient_descent": linear.fit_gradient_descent(z, _LIN, "mag"),
+        "least_squares": linear.fit_ols(z, _LIN, "mag"),
+        "sgd": linear.fit_sgd(z, _LIN, "mag"),
+    }
+    return metrics.regression_metrics(linear.compare_models(z, models, "mag"), "actual", "predicted", by=("model",))
+
+
+# --- trees ------------------------------------------------------------------------
+
+_TREE = ["rms", "longitude", "latitude", "elevation"]
+
+
+def _root_sql() -> str:
+    parts = []
+    for i, c in enumerate(_TREE):
+        probs = "[" + ", ".join(repr(p) for p in tree.THRESHOLD_PROBS) + "]"
+        parts.append(
+            f"SELECT {i} AS feature, t, count(*) AS n, count(*) FILTER (x <= t) AS nl, "
+            "var_pop(mag) AS v, var_pop(mag) FILTER (x <= t) AS vl, var_pop(mag) FILTER (x > t) AS vr FROM "
+            f"(SELECT (q[k] + q[k + 1]) / 2 AS t FROM (SELECT quantile_cont({c}, {probs}) AS q FROM cat), (SELECT unnest(range(1, 20)) AS k)), "
+            f"(SELECT {c} AS x, mag FROM cat) GROUP BY t")
+    return ("WITH s AS (" + " UNION ALL ".join(parts) + "), g AS (SELECT feature, t, v - (nl * vl + (n - nl) * vr) / n AS gain, v FROM s "
+            f"WHERE nl > 0 AND nl < n) SELECT CAST(feature AS INT) AS feature, {r('t', 'threshold')}, {r('gain', 'gain')} FROM g "
+            "ORDER BY round(gain / v, 12) DESC, feature, t LIMIT 1")
+
+
+@query("ml_tree_root_split", _root_sql())
+def _(spark, d):
+    grown = tree.fit_regression_tree(views.catalog(spark, d), _TREE, "mag", max_depth=0)
+    return grown.filter("node = 0").select("feature", "threshold", "gain")
+
+
+@query("ml_tree_reg")
+def _(spark, d):
+    cat = views.catalog(spark, d)
+    grown = tree.fit_regression_tree(cat, _TREE, "mag", max_depth=3, min_sample=20)
+    return tree.predict(cat, grown, _TREE, ["idx", "mag"])
+
+
+_CLASS = ["mag", "rms", "latitude"]
+
+
+def _gain_sql() -> str:
+    labels = ("mb", "md", "mh", "ml", "mwb", "mww")
+    long = " UNION ALL ".join(f"SELECT {i} AS feature, {c} AS v, magType FROM cat" for i, c in enumerate(_CLASS))
+    per = ", ".join(f"count(*) FILTER (magType = '{lb}') AS c{i}" for i, lb in enumerate(labels))
+    left = ", ".join(f"sum(c{i}) OVER (PARTITION BY feature ORDER BY v) AS l{i}, sum(c{i}) OVER (PARTITION BY feature) AS t{i}"
+                     for i in range(len(labels)))
+
+    def entropy(parts, total):
+        return " - ".join(["0"] + [f"CASE WHEN {x} > 0 THEN ({x} / {total}) * ln({x} / {total}) ELSE 0 END" for x in parts])
+
+    ls, ts = [f"l{i}" for i in range(len(labels))], [f"t{i}" for i in range(len(labels))]
+    rest = [f"({t} - {x})" for t, x in zip(ts, ls)]
+    return (f"WITH lg AS ({long}), pc AS (SELECT feature, v, {per} FROM lg GROUP BY 1, 2), cu AS (SELECT feature, v, {left} FROM pc), "
+            f"tt AS (SELECT *, {' + '.join(ls)} AS nl, {' + '.join(ts)} AS n FROM cu), "
+            f"g AS (SELECT feature, v, {entropy(ts, 'n')} AS h, (nl / n) * ({entropy(ls, 'nl')}) + ((n - nl) / n) * ({entropy(rest, '(n - nl)')}) AS rest "
+            "FROM tt WHERE nl < n) "
+            f"SELECT CAST(feature AS INT) AS feature, {r('v', 'threshold')}, {r('h - rest', 'gain')} FROM g "
+            "ORDER BY round((h - rest) / h, 12) DESC, feature, v LIMIT 1")
+
+
+@query("ml_info_gain", _gain_sql())
+def _(spark, d):
+    grown = tree.fit_classification_tree(views.catalog(spark, d), _CLASS, "magType", max_depth=0)
+    return grown.filter("node = 0").select("feature", "threshold", "gain")
+
+
+@query("ml_tree_cls")
+def _(spark, d):
+    cat = views.catalog(spark, d)
+    grown = tree.fit_classification_tree(cat, _CLASS, "magType", max_depth=2, min_sample=20)
+    return tree.predict(cat, grown, _CLASS, ["idx", "magType"])
+
+
+def _base_splits(spark, d):
+    parts = windows.split_sequential(clean.model_base(views.catalog(spark, d)))
+    return {name: parts.filter(F.col("split") == name).drop("split") for name in ("train", "valid", "test")}
+
+
+@query("ml_tree_grid")
+def _(spark, d):
+    parts = _base_splits(spark, d)
+    return tree.grid_scores(parts["train"], parts["valid"], _TREE, "mag", range(2, 5), range(2, 21))
+
+
+@query("ml_rf")
+def _(spark, d):
+    parts = _base_splits(spark, d)
+    model = ensemble.fit_forest(parts["train"], _LIN, "mag", numTrees=20, maxDepth=6)
+    return ensemble.score_rows(model, parts["test"], _LIN, "mag")
+
+
+@query("ml_gbt")
+def _(spark, d):
+    parts = _base_splits(spark, d)
+    model = ensemble.fit_boosted(parts["train"], _LIN, "mag", maxIter=10)
+    return ensemble.score_rows(model, parts["test"], _LIN, "mag")
+
+
+@query("ml_grid_cv")
+def _(spark, d):
+    parts = _base_splits(spark, d)
+    grid = {"maxDepth": [3, 4], "stepSize": [0.1, 0.05]}
+    return ensemble.grid_search(parts["train"], _LIN, "mag", grid, folds=3, maxIter=5)[1]
+
+
+# --- runs, reports, forecasts --------------------------------------------------------
+
+_RUNS = [(i, a) for i, a in enumerate((0.8, 0.9, 1.0, 1.1))]
+
+
+@query("ml_runs_best",
+       "WITH s AS (" + " UNION ALL ".join(
+           f"SELECT {i} AS run, {a} AS shrink, sqrt(avg((mag - ({a} * mag + rms - 0.5)) ** 2)) AS rmse FROM cat" for i, a in _RUNS)
+       + f") SELECT CAST(run AS INT) AS run, {r('shrink', 'shrink')}, {r('rmse', 'rmse')}, rmse = (SELECT min(rmse) FROM s) AS is_best FROM s")
+def _(spark, d):
+    return ensemble.mark_best(_runs(spark, d), "rmse")
+
+
+def _runs(spark, d):
+    scored = views.catalog(spark, d).select("mag", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("run"), F.lit(a).alias("shrink"), (F.lit(a) * F.col("mag") + F.col("rms") - 0.5).alias("p")) for i, a in _RUNS
+    ])))
+    return scored.groupBy("run", "shrink").agg(metrics.regression_exprs("mag", "p")["rmse"].alias("rmse"))
+
+
+@query("topk_best_params",
+       "WITH s AS (" + " UNION ALL ".join(
+           f"SELECT {i} AS run, {a} AS shrink, -sqrt(avg((mag - ({a} * mag + rms - 0.5)) ** 2)) AS score FROM cat" for i, a in _RUNS)
+       + f") SELECT CAST(run AS INT) AS run, {r('shrink', 'shrink')}, {r('score', 'score')} FROM s ORDER BY score DESC, run LIMIT 1")
+def _(spark, d):
+    scores = _runs(spark, d).withColumn("score", -F.col("rmse"))
+    return tree.best_parameters(scores, ["run", "shrink"], "score", ["run"])
+
+
+_TARGETS = ("mag", "dmin", "rms")
+
+
+@query("ml_test_report",
+       "WITH p AS (SELECT *, row_number() OVER o - 1 AS rn, count(*) OVER () AS n, "
+       + ", ".join(f"lag({t}) OVER o AS prev_{t}" for t in _TARGETS) + " FROM base WINDOW o AS (ORDER BY time, idx)), "
+       "test AS (SELECT * FROM p WHERE rn >= CAST(floor(n * 0.7) AS BIGINT) + CAST(floor(n * 0.15) AS BIGINT)) "
+       + " UNION ALL ".join(
+           f"SELECT '{t}' AS target, count(*) AS n, {r(f'sqrt(avg(({t} - prev_{t}) ** 2))', 'rmse')} FROM test" for t in _TARGETS), ("base",))
+def _(spark, d):
+    base = clean.model_base(views.catalog(spark, d), with_time=True).na.drop("any").select("idx", "time", *_TARGETS)
+    scale = features.fit_minmax(base, list(_TARGETS))
+    laid = windows.lay_out(scale.transform(base), "time", "idx")
+    w = windows.frame()
+    rows = windows.home(windows.chunked(laid, before=1).withColumns({f"{t}_predicted": F.lag(t).over(w) for t in _TARGETS}))
+    test = rows.filter(windows.split_by_row(F.col("_row"), laid.total, 0.7, 0.15) == "test")
+    report = forecast.test_report(test.withColumnsRenamed({t: f"{t}_actual" for t in _TARGETS}), scale, _TARGETS)
+    return metrics.regression_metrics(report, "actual", "predicted", by=("target",)).select("target", "n", "rmse")
+
+
+def _series(spark, d):
+    from faultline.functions import binning
+    cat = impute.ridge_fill(_measured_with_time(spark, d))[0]
+    bins = binning.fit_bins(cat, ["latitude", "longitude"], 5)
+    return binning.spatial_bins(cat, bins).withColumn("cell", F.col("lat_bin") * 5 + F.col("lon_bin"))
+
+
+def _measured_with_time(spark, d):
+    from faultline.operators.profile import fill_numeric
+    cat = views.catalog(spark, d).select("idx", "time", "mag", "dmin", "rms", "gap", "latitude", "longitude")
+    return fill_numeric(cat, ["gap"])
+
+
+@query("fc_recursive")
+def _(spark, d):
+    return forecast.forecast(_series(spark, d), "cell", days=2)
+
+
+@query("sink_forecast_payload",
+       "SELECT strftime((SELECT max(time) FROM cat) + step * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, "
+       + r("(SELECT avg(mag) FROM cat)", "mag") + " FROM (SELECT unnest(range(1, 25)) AS step)")
+def _(spark, d):
+    cat = views.catalog(spark, d)
+    mean = cat.agg(F.avg("mag")).first()[0]
+    return forecast.payload(windows.forecast_hours(cat, 1).select("timestamp", F.lit(mean).alias("mag")))
