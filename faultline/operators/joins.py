@@ -66,9 +66,8 @@ def detail_updates(links: DataFrame, documents: DataFrame, keys: dict[str, str]
 def fill_from_details(df: DataFrame, documents: DataFrame, columns: dict[str, str] = KEY_OF) -> DataFrame:
     """NULLs in nst/dmin/gap taken from the detail document of the row's link.
 
-    Rows that need nothing get a NULL link, so they never meet the document table;
-    a link shared by many rows is split by AQE's skew handling, as the right side is
-    unique per link.
+    Rows that need nothing are neither shuffled nor joined. A link shared by many
+    rows is split by AQE's skew handling, as the look-up side is unique per link.
     """
     from faultline.operators.clean import needs_detail
 
@@ -76,15 +75,15 @@ def fill_from_details(df: DataFrame, documents: DataFrame, columns: dict[str, st
     if missing:
         raise KeyError(f"missing columns {missing}")
     need = needs_detail(tuple(columns))
-    updates = detail_updates(df.filter(need), documents, columns)
-    joined = df.withColumn("link", F.when(need, F.trim("detail"))).alias("l").join(
-        updates.drop("found").alias("u"), "link", "left"
-    )
-    return joined.select(*[
+    todo = df.filter(need)
+    updates = detail_updates(todo, documents, columns).drop("found")
+    joined = todo.withColumn("link", F.trim("detail")).alias("l").join(updates.alias("u"), "link", "left")
+    filled = joined.select(*[
         F.coalesce(F.col(f"l.{c}"), F.col(f"u.{c}").cast(df.schema[c].dataType)).alias(c)
         if c in columns else F.col(f"l.`{c}`")
         for c in df.columns
     ])
+    return df.filter(~need).unionByName(filled)
 
 
 def detail_counters(df: DataFrame, documents: DataFrame) -> DataFrame:

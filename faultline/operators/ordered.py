@@ -10,6 +10,7 @@ row per partition ever reaches the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +22,14 @@ PART, POS, ROW, CHUNK = "_part", "_pos", "_row", "_chunk"
 _POSITION_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
-@dataclass(frozen=True)
+@dataclass
 class Ordered:
-    df: DataFrame            # input columns + _part, _pos
-    sizes: dict[int, int]    # rows per partition
+    df: DataFrame   # input columns + _part, _pos
+
+    @cached_property
+    def sizes(self) -> dict[int, int]:
+        """Rows per partition, counted when first needed."""
+        return {r[PART]: r["n"] for r in self.df.groupBy(PART).agg(F.count("*").alias("n")).collect()}
 
     @property
     def total(self) -> int:
@@ -50,9 +55,7 @@ def lay_out(df: DataFrame, *order: str) -> Ordered:
         .withColumn(PART, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)))
     )
-    table = written(ranged, "ordered")
-    sizes = {r[PART]: r["n"] for r in table.groupBy(PART).agg(F.count("*").alias("n")).collect()}
-    return Ordered(table, sizes)
+    return Ordered(written(ranged, "ordered"))
 
 
 def with_row_index(ordered: Ordered, name: str = ROW) -> DataFrame:

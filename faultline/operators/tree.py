@@ -126,14 +126,17 @@ def _grow(
     out: list[tuple] = []
     rows = written(rows, "tree-rows")
     for depth in range(max_depth + 2):
-        nodes = written(describe(rows), "tree-nodes")
-        stats = nodes.collect()   # one row per node of the level
+        stats = describe(rows).collect()   # one row per node of the level
         if not stats:
             break
         best: dict[int, tuple] = {}
-        open_nodes = nodes.filter((F.col("n") >= min_sample) & (F.col("impurity") > 0))
-        if depth <= max_depth and any(s["n"] >= min_sample and s["impurity"] > 0 for s in stats):
-            live = rows.join(_few(open_nodes.select("node"), len(stats)), "node", "left_semi")
+        splitting = [s for s in stats if s["n"] >= min_sample and s["impurity"] > 0]
+        if depth <= max_depth and splitting:
+            open_nodes = spark.createDataFrame(
+                [(s["node"], s["n"], s["value"], s["impurity"]) for s in splitting],
+                f"node bigint, n bigint, value {value_type}, impurity double")
+            live = rows if len(splitting) == len(stats) else rows.join(
+                _few(open_nodes.select("node"), len(splitting)), "node", "left_semi")
             best = {b["node"]: (b["feature"], b["threshold"], b["gain"]) for b in split(live, open_nodes).collect()}
         out += [(s["node"], depth, s["n"], *best.get(s["node"], (None, None, None)), s["value"]) for s in stats]
         if not best:
@@ -200,18 +203,17 @@ def grid_scores(
     grown, the validation rows are summed per leaf, and the grid is scored on those sums.
     """
     tree = written(fit_regression_tree(train, features, target, max(depths), min(min_samples)), "tree")
-    spark = tree.sparkSession
     complete = valid.select(*features, F.col(target).cast("double").alias("y")).na.drop("any")
     per_leaf = written(with_path(complete, tree, features, ["y"]).groupBy("node").agg(
         F.count("*").alias("c"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q")), "leaves")
-    grid = spark.createDataFrame([(d, m) for d in depths for m in min_samples], "grid_depth int, min_sample int")
+    grid = F.array(*[F.struct(F.lit(d).alias("grid_depth"), F.lit(m).alias("min_sample")) for d in depths for m in min_samples])
     # Ancestors of each reached leaf; a leaf has at most max(depths)+2 of them.
     up = F.transform(
         F.sequence(F.lit(0), F.floor(F.log2(F.col("leaf") + 1)).cast("int")),
         lambda k: F.floor((F.col("leaf") + 1) / F.pow(F.lit(2.0), k)).cast("bigint") - 1)
     chain = per_leaf.withColumnRenamed("node", "leaf").withColumn("node", F.explode(up)).join(tree, "node")
-    stops = chain.join(F.broadcast(grid), (  # the grid is a list of parameters
-        (F.col("depth") > F.col("grid_depth")) | (F.col("n") < F.col("min_sample")) | F.col("feature").isNull()))
+    stops = chain.select("*", F.inline(grid)).filter(
+        (F.col("depth") > F.col("grid_depth")) | (F.col("n") < F.col("min_sample")) | F.col("feature").isNull())
     used = stops.groupBy("grid_depth", "min_sample", "leaf", "c", "s", "q").agg(F.min_by("value", "depth").alias("p"))
     p = F.col("p")
     total = F.sum("q") - F.sum("s") * F.sum("s") / F.sum("c")

@@ -96,7 +96,7 @@ def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), v
     # Forward: at equal times the asked bounds come first, so they count strictly earlier points.
     forward = lay_out(both, "c", "at", "is_point", "w", "t")
     counted = running_sum(forward, "n", "seen")
-    heads = _running_max(Ordered(counted, forward.sizes), {f"head{w}": (f"b{w}", "v") for w in days})
+    heads = _running_max(Ordered(counted), {f"head{w}": (f"b{w}", "v") for w in days})
     # Backward: at equal times the points come first, so the bound's own point is included.
     reverse = both.withColumn("asked", F.col("w") > 0)
     tails = _running_max(lay_out(reverse, "c", "back", "asked", "w", "t"), {f"tail{w}": (f"b{w}", "v") for w in days})

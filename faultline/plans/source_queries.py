@@ -28,10 +28,13 @@ def _(spark, d):
     item = views.table(spark, d, "lineitem").select(F.col("l_shipdate").alias("t"))
     years = item.agg(F.year(F.min("t")).alias("start_year"), F.year(F.max("t")).alias("end_year"), F.max("t").alias("now"))
     periods = feeds.ingestion_windows(years)
-    days = item.groupBy(F.date_trunc("day", "t").cast("timestamp_ntz").alias("day"), "t").agg(F.count("*").alias("n"))
-    inside = (F.col("t") >= F.col("starts")) & (F.col("t") < F.col("ends"))
-    counted = days.join(F.broadcast(periods), inside).groupBy("period").agg(F.sum("n").alias("landed"))  # a few windows per year
-    return periods.join(counted, "period", "left").withColumn("landed", F.coalesce("landed", F.lit(0)))
+    first = item.agg(F.date_trunc("year", F.min("t")).cast("timestamp_ntz")).first()[0]
+    step = F.floor(F.timestamp_diff("DAY", F.lit(first), F.col("t")) / 180)
+    end = periods.agg(F.max("ends")).first()[0]  # windows exclude their end
+    landed = item.filter(F.col("t") < F.lit(end)).groupBy(step.alias("step")).agg(F.count("*").alias("landed"))
+    starts = (F.lit(first) + F.make_dt_interval(days=(F.col("step") * 180).cast("int"))).alias("starts")
+    counted = landed.select(starts, "landed")
+    return periods.join(counted, "starts", "left").withColumn("landed", F.coalesce("landed", F.lit(0)))
 
 
 @query("src_geojson", "SELECT CAST(idx AS VARCHAR) AS id, time_ms AS time, updated, status, magType, "

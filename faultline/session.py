@@ -39,8 +39,19 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_RUN = uuid.uuid4().hex
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this run's own folder."""
+    return f"{shared_folder(spark)}/faultline-{_RUN}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this run; results built on them must be
+    stored first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/faultline-{_RUN}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str = "table") -> DataFrame:
