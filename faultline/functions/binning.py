@@ -48,7 +48,8 @@ class Bins:
         guess = F.least(F.greatest(F.ceil((x - self.low) / self.width), F.lit(1)), F.lit(self.count)) - 1
         above = (x > self.low + (guess + 1) * self.width) & (guess < self.count - 1)
         below = (x <= self.low + guess * self.width) & (guess > 0)
-        return F.when(above, guess + 1).when(below, guess - 1).otherwise(guess).cast("int")
+        index = F.when(above, guess + 1).when(below, guess - 1).otherwise(guess).cast("int")
+        return F.when(x.isNotNull(), index)  # least/greatest would pass over a NULL
 
     def midpoint(self, x: Column) -> Column:
         e = self.edges()
