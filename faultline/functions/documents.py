@@ -17,27 +17,31 @@ _FEATURE = f"properties: STRUCT<products: {_PRODUCTS}>"
 _DOCUMENT = f"STRUCT<type: STRING, {_FEATURE}, features: ARRAY<STRUCT<{_FEATURE}>>>"
 
 
-def detail_values(body: Column, keys=DEFAULT_KEYS, products=DEFAULT_PRODUCTS) -> dict[str, Column]:
-    """First value found for each key, products in the given order, entries in
-    document order. ``products=None`` looks at all of them; a broken document
-    gives NULLs."""
-    doc = F.from_json(body, _DOCUMENT)
+def with_detail_values(df: DataFrame, body: str, keys: dict[str, str], products: tuple[str, ...] | None = DEFAULT_PRODUCTS) -> DataFrame:
+    """Adds column → first value found for its key: products in the given order,
+    entries in document order. ``products=None`` looks at all of them; a broken
+    document gives NULLs. Parsing is a step of its own, so that it runs once per row."""
+    doc = F.col("_doc")
     collection = (doc["type"] == "FeatureCollection") & (F.size(doc["features"]) > 0)
     found = F.when(collection, F.get(doc["features"], 0)["properties"]["products"]).otherwise(
         doc["properties"]["products"]
     )
-    empty = F.from_json(F.lit("[]"), "ARRAY<STRUCT<properties: MAP<STRING, STRING>>>")
     if products is None:
-        lists = F.map_values(found)
+        lists = F.map_values(F.col("_found"))
     else:
-        lists = F.array(*[F.coalesce(F.try_element_at(found, F.lit(p)), empty) for p in products])
+        lists = F.array(*[F.try_element_at("_found", F.lit(p)) for p in products])
     entries = F.flatten(F.filter(lists, lambda x: x.isNotNull()))
 
     def first(key: str) -> Column:
-        hits = F.filter(entries, lambda e: F.coalesce(F.map_contains_key(e["properties"], key), F.lit(False)))
+        hits = F.filter("_entries", lambda e: F.coalesce(F.map_contains_key(e["properties"], key), F.lit(False)))
         return numeric_text(F.try_element_at(F.get(hits, 0)["properties"], F.lit(key)))
 
-    return {k: first(k) for k in (ALL_KEYS if keys is None else keys)}
+    return (
+        df.withColumn("_doc", F.from_json(body, _DOCUMENT))
+        .withColumn("_found", found).withColumn("_entries", entries)
+        .withColumns({c: first(k) for c, k in keys.items()})
+        .drop("_doc", "_found", "_entries")
+    )
 
 
 def key_paths(df: DataFrame, body: str, depth: int = 8) -> DataFrame:

@@ -93,7 +93,7 @@ def payload_columns(df: DataFrame, time: str = "timestamp", limit: int = 100_000
         raise ValueError("too many rows for one object; use payload()")
     names = [c for c in df.columns if c != time]
     rows = payload(df, time).agg(F.array_sort(F.collect_list(F.struct(time, *names))).alias("r"))
-    return rows.select(F.to_json(F.struct(*[F.transform("r", lambda s, n=n: s[n]).alias(n) for n in (time, *names)])).alias("payload"))
+    return rows.select(F.to_json(F.struct(*[F.col(f"r.{n}").alias(n) for n in (time, *names)])).alias("payload"))
 
 
 def test_report(df: DataFrame, scale: Scale, targets: tuple[str, ...], key: str = "idx") -> DataFrame:

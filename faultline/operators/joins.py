@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.documents import KEY_OF, detail_values
+from faultline.functions.documents import KEY_OF, with_detail_values
 from faultline.operators.ordered import PART, POS, carry_forward, lay_out
 
 
@@ -53,14 +53,10 @@ def also_in(df: DataFrame, other: DataFrame, key: str = "idx") -> DataFrame:
 
 def detail_updates(links: DataFrame, documents: DataFrame, keys: dict[str, str] = KEY_OF) -> DataFrame:
     """(link, found, value columns…): each distinct link looked up once, parsed once."""
-    values = detail_values(F.col("body"), tuple(keys.values()))
     wanted = links.select(F.trim("detail").alias("link")).distinct()
     docs = documents.select(F.trim("detail").alias("link"), "body")
-    return wanted.join(docs, "link", "left").select(
-        "link",
-        F.coalesce(F.try_parse_json("body").isNotNull(), F.lit(False)).alias("found"),
-        *[values[k].alias(c) for c, k in keys.items()],
-    )
+    joined = with_detail_values(wanted.join(docs, "link", "left"), "body", keys)
+    return joined.select("link", F.coalesce(F.try_parse_json("body").isNotNull(), F.lit(False)).alias("found"), *keys)
 
 
 def fill_from_details(df: DataFrame, documents: DataFrame, columns: dict[str, str] = KEY_OF) -> DataFrame:

@@ -3,7 +3,7 @@
 Points are split by their pattern of missing columns, then by a k-d tree over the
 columns they have. A query is answered in its home leaf first; the distance of its
 k-th neighbour there tells which other leaves it still has to visit. Leaves hold a
-bounded number of distinct points and the queries of a leaf are cut into blocks, so
+bounded number of points and the queries of a leaf are cut into blocks, so
 no task depends on how popular a place is.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Window
 
 from faultline.session import written
 
-LEAF_POINTS = 2_000       # distinct points aimed at per leaf
+LEAF_POINTS = 2_000       # points aimed at per leaf
 QUERY_BLOCK = 4_096       # queries per block within a leaf
 SAMPLE_PER_LEAF = 32      # sampled points that place the splits
 MAX_SAMPLE = 400_000      # bound on the driver's sample
@@ -168,18 +168,14 @@ def nearest(
     points = donors.select(F.col(key).alias("donor"), F.col(payload).alias("value"), *xs)
     # Copies are equally far from any query, so only the k first of each can matter.
     copies = Window.partitionBy(*names).orderBy("donor")
-    distinct = (
-        points.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= k)
-        .groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("donor", "value"))).alias("copies"))
-        .withColumn("pattern", _pattern(names))
-    )
-    distinct = written(distinct, "donors")
+    kept = points.withColumn("_c", F.row_number().over(copies)).filter(F.col("_c") <= k).drop("_c")
+    kept = written(kept.withColumn("pattern", _pattern(names)), "donors")
     asked = queries.select(F.col(key).alias("query"), *xs)
     # Equal queries are answered once.
     questions = written(
         asked.groupBy(*names).agg(F.min("query").alias("q")).withColumn("pattern", _pattern(names)), "questions"
     )
-    tree, patterns = _plant(distinct, names)
+    tree, patterns = _plant(kept, names)
     if not patterns:
         return _empty(queries, donors, key, payload)
     shipped = queries.sparkSession.sparkContext.broadcast((tree, patterns))
@@ -196,7 +192,7 @@ def nearest(
         return pd.Series(out)
 
     leaf = F.pandas_udf(leaf_of, "int")
-    placed = written(distinct.withColumn("leaf", leaf("pattern", *names)), "leaves")
+    placed = written(kept.withColumn("leaf", leaf("pattern", *names)), "leaves")
     first = questions.withColumn("leaf", leaf(F.lit(main), *names))
     found = written(_answer(first, placed, p, k, width), "found")
 
@@ -238,17 +234,17 @@ def _empty(queries: DataFrame, donors: DataFrame, key: str, payload: str) -> Dat
         T.StructField("value", donors.schema[payload].dataType)]))
 
 
-def _plant(distinct: DataFrame, names: list[str]) -> tuple[_Tree, dict[int, tuple[np.ndarray, int]]]:
+def _plant(points: DataFrame, names: list[str]) -> tuple[_Tree, dict[int, tuple[np.ndarray, int]]]:
     """Trees per missing pattern, from a bounded sample. The sample only shapes the
     leaves; results do not depend on it."""
     p = len(names)
-    counts = {r["pattern"]: r["count"] for r in distinct.groupBy("pattern").count().collect()}
+    counts = {r["pattern"]: r["count"] for r in points.groupBy("pattern").count().collect()}
     total = sum(counts.values())
     tree, patterns = _Tree(), {}
     if not total:
         return tree, patterns
     share = min(1.0, min(MAX_SAMPLE, SAMPLE_PER_LEAF * (total / LEAF_POINTS + len(counts))) / total)
-    sample = distinct.sample(share, seed=7).select("pattern", *names).limit(2 * MAX_SAMPLE).toPandas()
+    sample = points.sample(share, seed=7).select("pattern", *names).limit(2 * MAX_SAMPLE).toPandas()
     for m, n in sorted(counts.items()):
         mine = sample[sample["pattern"] == m][names].to_numpy(dtype=float)
         dims = [i for i in range(p) if not m >> i & 1]
@@ -267,35 +263,30 @@ def _answer(questions: DataFrame, placed: DataFrame, p: int, k: int, width: int)
     blocks = F.broadcast(blocks)  # one row per leaf, and the tree bounds the leaves
     asked = questions.select("q", *names, "leaf").join(blocks, "leaf").withColumn(
         "block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int")).drop("blocks")
-    given = placed.select(*names, "copies", "leaf").join(blocks, "leaf").withColumn(
+    given = placed.select(*names, "donor", "value", "leaf").join(blocks, "leaf").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    copy = placed.schema["copies"].dataType.elementType
     schema = T.StructType([
-        questions.schema["q"], T.StructField("distance", T.DoubleType()),
-        T.StructField("donor", copy["donor"].dataType), T.StructField("value", copy["value"].dataType)])
+        questions.schema["q"], T.StructField("distance", T.DoubleType()), placed.schema["donor"], placed.schema["value"]])
 
     def pick(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({n: [] for n in schema.names})
         x, q = _matrix(right, p), _matrix(left, p)
-        smallest = np.array([c[0]["donor"] for c in right["copies"]])
-        out = []
-        step = max(1, TILE // len(x))
+        donor, value, asked_ = right["donor"].to_numpy(), right["value"].to_numpy(), left["q"].to_numpy()
+        step, out = max(1, TILE // len(x)), []
         for start in range(0, len(q), step):
             d = _distances(q[start:start + step], x, width)
-            for i, row in enumerate(d):
-                usable = np.flatnonzero(~np.isnan(row))
-                if not len(usable):
-                    continue
-                if len(usable) > k:
-                    kth = np.partition(row[usable], k - 1)[k - 1]
-                    usable = usable[row[usable] <= kth]
-                usable = usable[np.lexsort((smallest[usable], row[usable]))]
-                near = [(row[j], c["donor"], c["value"]) for j in usable for c in right["copies"].iloc[j]]
-                near.sort(key=lambda t: t[:2])
-                qid = left["q"].iloc[start + i]
-                out += [(qid, *t) for t in near[:k]]
-        return pd.DataFrame(out, columns=schema.names)
+            d[np.isnan(d)] = np.inf
+            kth = np.partition(d, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(d), np.inf)
+            rows, cols = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+            order = np.lexsort((donor[cols], d[rows, cols], rows))
+            rows, cols = rows[order], cols[order]
+            first = np.searchsorted(rows, rows)            # where each query's donors begin
+            best = np.arange(len(rows)) - first < k
+            rows, cols = rows[best], cols[best]
+            out.append(pd.DataFrame({
+                "q": asked_[start + rows], "distance": d[rows, cols], "donor": donor[cols], "value": value[cols]}))
+        return pd.concat(out, ignore_index=True)
 
     return asked.groupBy("leaf", "block").cogroup(given.groupBy("leaf", "block")).applyInPandas(pick, schema)
 

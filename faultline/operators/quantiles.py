@@ -36,7 +36,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
         ),
     )
     begin, end = F.col("_begin") - F.col("_first"), F.col("_end") - F.col("_first")
-    joined = ranked.drop(PART, POS).join(bounds, keys)
+    # Plain comparisons pick the few rows that cover a wanted rank; only they are exploded.
+    covers = F.lit(False)
+    for p in probs:
+        at = F.lit(float(p)) * (n - 1)
+        covers = covers | ((F.ceil(at) >= begin) & (F.floor(at) < end))
+    joined = ranked.drop(PART, POS).join(bounds, keys).filter(covers)
     hits = (
         joined.withColumn("_spot", F.explode(F.filter(
             spots, lambda s: ((s["lo"] >= begin) & (s["lo"] < end)) | ((s["hi"] >= begin) & (s["hi"] < end)))))

@@ -52,7 +52,7 @@ def variance_splits(rows: DataFrame, nodes: DataFrame, features: list[str]) -> D
     e = F.col("y") - F.col("mean")
     per_interval = (
         long.join(grid, ["node", "feature"]).join(mean, "node")
-        .withColumn("slot", F.size(F.filter("cuts", lambda t: F.col("v") > t)))
+        .withColumn("slot", sum(((F.col("v") > F.get("cuts", i)).cast("int") for i in range(len(THRESHOLD_PROBS) - 1)), F.lit(0)))
         .groupBy("node", "feature", "slot", "cuts", "all_n", "impurity")
         .agg(F.count("*").alias("c"), F.sum(e).alias("s"), F.sum(e * e).alias("q"))
     )

@@ -43,35 +43,29 @@ def rolling_rows(df: DataFrame, keys: tuple[str, ...], windows: tuple[int, ...]
     return home(rows.withColumns(new)).drop(ROW)
 
 
-def _running_max(ordered: Ordered, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """name → running max of a value, restarted when its key changes.
+def _running_max(ordered: Ordered, names: list[str]) -> DataFrame:
+    """Running maximum of (…, value) structs over the whole order.
 
-    Keys are non-decreasing along the order. What a partition hands on is its last
-    key with the maximum so far; one row per partition reaches the driver.
+    When the leading fields never fall along the order, this is the running maximum
+    of the last field, restarted whenever they change. One row per partition
+    reaches the driver.
     """
-    df = ordered.df
-    for name, (key, value) in pairs.items():
-        w = Window.partitionBy(PART, key).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-        df = df.withColumn(name, F.max(value).over(w))
-    tails = df.groupBy(PART).agg(*[
-        F.max_by(F.struct(F.col(k).alias("k"), F.col(n).alias("m")), POS).alias(n) for n, (k, _) in pairs.items()
-    ], *[F.min_by(k, POS).alias(f"first_{n}") for n, (k, _) in pairs.items()])
-    held = {n: (None, None) for n in pairs}
+    tops = ordered.df.groupBy(PART).agg(*[F.max(n).alias(n) for n in names]).collect()
+
+    def rank(row) -> tuple:
+        return tuple((x is not None, x) for x in row)
+
+    held: list = [None] * len(names)
     rows = []
-    for t in sorted(tails.collect(), key=lambda r: r[PART]):
-        rows.append((t[PART], *[x for n in pairs for x in held[n]]))
-        for n in pairs:
-            key, top = t[n]["k"], t[n]["m"]
-            if held[n][0] == key and t[f"first_{n}"] == key and held[n][1] is not None:
-                top = held[n][1] if top is None else max(top, held[n][1])
-            held[n] = (key, top)
-    fields = [T.StructField(PART, T.IntegerType())]
-    for n, (key, value) in pairs.items():
-        fields += [T.StructField(f"_k_{n}", ordered.df.schema[key].dataType), T.StructField(f"_m_{n}", ordered.df.schema[value].dataType)]
-    df = df.join(ordered.small(rows, T.StructType(fields)), PART)
-    for n, (key, _) in pairs.items():
-        df = df.withColumn(n, F.greatest(F.col(n), F.when(F.col(key) == F.col(f"_k_{n}"), F.col(f"_m_{n}"))))
-    return df
+    for t in sorted(tops, key=lambda r: r[PART]):
+        rows.append((t[PART], *held))
+        held = [t[n] if h is None or rank(t[n]) > rank(h) else h for n, h in zip(names, held)]
+    schema = T.StructType([T.StructField(PART, T.IntegerType()), *[
+        T.StructField(f"_in_{n}", ordered.df.schema[n].dataType) for n in names]])
+    w = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    return ordered.df.join(ordered.small(rows, schema), PART).withColumns({
+        n: F.greatest(F.max(n).over(w), F.col(f"_in_{n}")) for n in names
+    }).drop(*[f"_in_{n}" for n in names])
 
 
 def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), value: str = "mag") -> DataFrame:
@@ -80,7 +74,7 @@ def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), v
     Work is linear in the rows whatever the window holds. Counts are differences
     of one running count. For the maximum, time is cut into blocks of w days: a
     window reaches over the tail of one block and the head of the next, so it is
-    the larger of a backward and a forward running maximum.
+    the larger of a backward and a forward running maximum, each restarted per block.
     """
     points = df.groupBy(F.col(cell).alias("c"), micros(F.col("time")).alias("t")).agg(
         F.count(value).alias("n"), F.max(value).alias("v")
@@ -90,24 +84,25 @@ def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), v
         asked.select("c", "t", (F.col("t") - F.col("w") * DAY_US).alias("at"), F.lit(0).cast("bigint").alias("n"),
                      F.lit(None).cast(df.schema[value].dataType).alias("v"), "w")
     )
-    blocks = {f"b{w}": F.concat_ws("/", "c", F.floor(F.col("at") / (w * DAY_US))) for w in days}
-    both = both.withColumns({**blocks, "is_point": (F.col("w") == 0).cast("int"), "back": -F.col("at")})
+
+    def block(w: int, sign: int) -> Column:
+        return F.struct("c", (F.floor(F.col("at") / (w * DAY_US)) * sign).alias("b"), "v")
 
     # Forward: at equal times the asked bounds come first, so they count strictly earlier points.
-    forward = lay_out(both, "c", "at", "is_point", "w", "t")
-    counted = running_sum(forward, "n", "seen")
-    heads = _running_max(Ordered(counted), {f"head{w}": (f"b{w}", "v") for w in days})
+    ahead = both.withColumns({"is_point": (F.col("w") == 0).cast("int"), **{f"head{w}": block(w, 1) for w in days}})
+    counted = running_sum(lay_out(ahead, "c", "at", "is_point", "w", "t"), "n", "seen")
+    heads = _running_max(Ordered(counted), [f"head{w}" for w in days])
     # Backward: at equal times the points come first, so the bound's own point is included.
-    reverse = both.withColumn("asked", F.col("w") > 0)
-    tails = _running_max(lay_out(reverse, "c", "back", "asked", "w", "t"), {f"tail{w}": (f"b{w}", "v") for w in days})
+    behind = both.withColumns({"back": -F.col("at"), "asked": F.col("w") > 0, **{f"tail{w}": block(w, -1) for w in days}})
+    tails = _running_max(lay_out(behind, "c", "back", "asked", "w", "t"), [f"tail{w}" for w in days])
 
     def at(kind: int, col: str) -> Column:
         return F.max(F.when(F.col("w") == kind, F.col(col)))
 
     fwd = heads.groupBy("c", "t").agg(
-        at(0, "seen").alias("seen"), *[at(0, f"head{w}").alias(f"head{w}") for w in days],
+        at(0, "seen").alias("seen"), *[at(0, f"head{w}.v").alias(f"head{w}") for w in days],
         *[at(w, "seen").alias(f"before{w}") for w in days])
-    bwd = tails.filter("w > 0").groupBy("c", "t").agg(*[at(w, f"tail{w}").alias(f"tail{w}") for w in days])
+    bwd = tails.filter("w > 0").groupBy("c", "t").agg(*[at(w, f"tail{w}.v").alias(f"tail{w}") for w in days])
     stats = fwd.join(bwd, ["c", "t"]).select(
         F.col("c").alias(cell), F.col("t").alias("_t"),
         *[(F.col("seen") - F.col(f"before{w}")).alias(f"eq_count_last_{w}d") for w in days],

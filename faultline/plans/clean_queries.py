@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from faultline.functions.documents import key_paths
 from faultline.functions import binning, scalar
-from faultline.functions.documents import detail_values
+from faultline.functions.documents import KEY_OF, key_paths, with_detail_values
 from faultline.operators import clean, joins, profile
 from faultline.operators.ordered import lay_out, split_by_row, with_row_index
 from faultline.plans import views
@@ -350,10 +349,8 @@ DETAIL_VALUES = (
 @query("json_detail_extract", f"WITH {DETAIL_VALUES} SELECT link AS detail, {r('v_nst', 'nst')}, {r('v_dmin', 'dmin')}, "
        f"{r('v_gap', 'gap')}, {r('v_depth', 'depth')} FROM vals", ("detail_docs",))
 def _(spark, d):
-    v = detail_values(F.col("body"), keys=None)
-    return views.detail(spark, d).select(
-        "detail", v["num-stations-used"].alias("nst"), v["minimum-distance"].alias("dmin"),
-        v["azimuthal-gap"].alias("gap"), v["depth"].alias("depth"))
+    keys = {**KEY_OF, "depth": "depth"}
+    return with_detail_values(views.detail(spark, d), "body", keys).drop("body")
 
 
 @query("json_path_profile")

@@ -17,6 +17,7 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")  # small data, all cores
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
