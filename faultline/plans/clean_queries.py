@@ -353,7 +353,9 @@ def _(spark, d):
     return with_detail_values(views.detail(spark, d), "body", keys).drop("body")
 
 
-@query("json_path_profile")
+@query("json_path_profile",
+       "SELECT regexp_replace(replace(fullkey, '\"', ''), '\\[[0-9]+\\]', '[]', 'g') AS path, count(*) AS n "
+       "FROM (SELECT body FROM detail_docs WHERE json_valid(body)) d, json_tree(d.body) WHERE fullkey <> '$' GROUP BY 1", ("detail_docs",))
 def _(spark, d):
     return key_paths(views.detail(spark, d), "body")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from faultline.operators import clean, ensemble, features, forecast, impute, knn, linear, metrics, tree, windows
 from faultline.operators.profile import safe_std
 from faultline.plans import views
-from faultline.plans.clean_queries import _SPLIT
+from faultline.plans.clean_queries import _SPLIT, bin_ctes
 from faultline.plans.feature_queries import _z, hot
 from faultline.plans.registry import query, r, rs
 from faultline.plans.window_queries import STRATIFIED
@@ -15,27 +15,28 @@ from faultline.plans.window_queries import STRATIFIED
 _KNN_COLS = ("latitude", "longitude", "dmin", "gap", "rms")
 
 
-def _neighbours_sql(weight: float, full: bool) -> str:
-    """CTEs ending in ``knn`` (idx, part, gap): brute force over all pairs."""
+def _neighbours_sql(weight: float, full: bool, target: str = "gap", name: str = "knn") -> str:
+    """CTEs after ``strat`` ending in ``name`` (idx, target): brute force over all pairs."""
     def std(c, train):
         return f"(SELECT stddev_samp({c}) FROM strat{' WHERE part = ' + chr(39) + 'train' + chr(39) if train else ''})"
 
+    others = [c for c in _KNN_COLS if c != target]
+
     def scaled(train):
-        return ", ".join(f"({c} / {std(c, train)}) * {1.0 if c in impute.GEO else weight} AS {c}"
-                         for c in _KNN_COLS if c != "gap")
+        return ", ".join(f"({c} / {std(c, train)}) * {1.0 if c in impute.GEO else weight} AS {c}" for c in others)
 
-    others = [c for c in _KNN_COLS if c != "gap"]
     diff = " + ".join(f"coalesce((q.{c} - x.{c}) ** 2, 0)" for c in others)
     shared = " + ".join(f"CASE WHEN q.{c} IS NULL OR x.{c} IS NULL THEN 0 ELSE 1 END" for c in others)
-    ratio = f"({std('gap', False)} / {std('gap', True)})" if full else "1.0"
+    ratio = f"({std(target, False)} / {std(target, True)})" if full else "1.0"
     return (
-        f"{STRATIFIED}, don AS (SELECT idx, gap, {scaled(True)} FROM strat WHERE part = 'train' AND gap IS NOT NULL), "
-        f"q1 AS (SELECT idx, part, 1.0 AS ratio, {scaled(True)} FROM strat WHERE part = 'train' AND gap IS NULL UNION ALL "
-        f"SELECT idx, part, {ratio}, {scaled(not full)} FROM strat WHERE part = 'pred' AND gap IS NULL), "
-        f"pairs AS (SELECT q.idx, q.part, q.ratio, x.idx AS donor, x.gap, round(sqrt(({diff}) * (5.0 / ({shared}))), 9) AS d FROM q1 q, don x), "
-        "near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY idx ORDER BY d, donor) <= 5), "
-        "knn AS (SELECT idx, part, any_value(ratio) * coalesce(avg(gap) FILTER (d = 0), "
-        "sum(gap / nullif(d, 0)) / sum(1 / nullif(d, 0))) AS gap FROM near GROUP BY idx, part)"
+        f"don_{name} AS (SELECT idx, {target} AS raw, {scaled(True)} FROM strat WHERE part = 'train' AND {target} IS NOT NULL), "
+        f"ask_{name} AS (SELECT idx, 1.0 AS ratio, {scaled(True)} FROM strat WHERE part = 'train' AND {target} IS NULL UNION ALL "
+        f"SELECT idx, {ratio}, {scaled(not full)} FROM strat WHERE part = 'pred' AND {target} IS NULL), "
+        f"pairs_{name} AS (SELECT q.idx, q.ratio, x.idx AS donor, x.raw, round(sqrt(({diff}) * (5.0 / ({shared}))), 9) AS d "
+        f"FROM ask_{name} q, don_{name} x), "
+        f"near_{name} AS (SELECT * FROM pairs_{name} QUALIFY row_number() OVER (PARTITION BY idx ORDER BY d, donor) <= 5), "
+        f"{name} AS (SELECT idx, any_value(ratio) * coalesce(avg(raw) FILTER (d = 0), "
+        f"sum(raw / nullif(d, 0)) / sum(1 / nullif(d, 0))) AS {target} FROM near_{name} GROUP BY idx)"
     )
 
 
@@ -43,13 +44,13 @@ def _measured(spark, d):
     return views.catalog(spark, d).select("idx", "latitude", "longitude", "dmin", "gap", "rms")
 
 
-@query("imp_knn_gap", f"WITH {_neighbours_sql(0.4, True)} SELECT idx, {r('gap', 'gap')} FROM knn")
+@query("imp_knn_gap", f"WITH {STRATIFIED}, {_neighbours_sql(0.4, True)} SELECT idx, {r('gap', 'gap')} FROM knn")
 def _(spark, d):
     train, pred = impute.train_pred(_measured(spark, d))
     return impute.neighbour_values(train, pred, "gap")
 
 
-@query("imp_knn_centered", f"WITH {_neighbours_sql(0.3, False)} SELECT c.idx, {r('coalesce(c.gap, k.gap)', 'gap')} "
+@query("imp_knn_centered", f"WITH {STRATIFIED}, {_neighbours_sql(0.3, False)} SELECT c.idx, {r('coalesce(c.gap, k.gap)', 'gap')} "
        "FROM cat c LEFT JOIN knn k ON c.idx = k.idx")
 def _(spark, d):
     df = _measured(spark, d)
@@ -58,7 +59,11 @@ def _(spark, d):
     return impute.fill_from(df.select("idx", "gap"), impute.neighbour_values(train, pred, "gap", options))
 
 
-@query("imp_numeric")
+@query("imp_numeric",
+       f"WITH {STRATIFIED}, {_neighbours_sql(0.4, True, 'gap', 'kg')}, {_neighbours_sql(0.4, True, 'dmin', 'kd')} "
+       f"SELECT c.idx, {r('c.latitude', 'latitude')}, {r('c.longitude', 'longitude')}, {r('c.rms', 'rms')}, "
+       f"{r('coalesce(c.gap, kg.gap)', 'gap')}, {r('coalesce(c.dmin, kd.dmin)', 'dmin')} "
+       "FROM cat c LEFT JOIN kg ON c.idx = kg.idx LEFT JOIN kd ON c.idx = kd.idx")
 def _(spark, d):
     return impute.impute_numeric(_measured(spark, d))
 
@@ -66,24 +71,26 @@ def _(spark, d):
 _RIDGE = ["latitude", "longitude", "gap", "rms"]
 
 
-def _solve_sql(features, known: str, alpha: float) -> str:
-    """CTEs ending in ``fit`` (w0, w1, …, b): elimination on the centred normal
-    equations of ``known`` (feature columns and y)."""
-    n = len(features)
-    mean = "mu AS (SELECT " + ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(features)) + ", avg(y) AS my FROM kn)"
-    terms = [f"sum(({a} - m{i}) * ({b} - m{j})){f' + {alpha}' if i == j else ''} AS a{i}{j}"
+def _solve_sql(features, known: str, alpha: float, targets=("y",)) -> str:
+    """CTEs ending in ``fit`` (w0, w1, …, b; suffixed by the target when there are
+    several): elimination on the centred normal equations of ``known``."""
+    n, m = len(features), len(targets)
+    mean = "mu AS (SELECT " + ", ".join(
+        [f"avg({c}) AS m{i}" for i, c in enumerate(features)] + [f"avg({t}) AS my{k}" for k, t in enumerate(targets)]) + " FROM kn)"
+    terms = [f"sum(({a} - m{i}) * ({b} - m{j})){f' + {alpha}' if i == j else ''} AS a{i}_{j}"
              for i, a in enumerate(features) for j, b in enumerate(features)]
-    terms += [f"sum(({a} - m{i}) * (y - my)) AS a{i}{n}" for i, a in enumerate(features)]
-    ctes = [f"kn AS ({known})", mean, f"e0 AS (SELECT {', '.join(terms)} FROM kn, mu)"]
+    terms += [f"sum(({a} - m{i}) * ({t} - my{k})) AS a{i}_{n + k}" for i, a in enumerate(features) for k, t in enumerate(targets)]
+    ctes = [f"kn AS MATERIALIZED ({known})", mean, f"e0 AS MATERIALIZED (SELECT {', '.join(terms)} FROM kn, mu)"]
     for k in range(n):
-        cols = []
-        for i in range(n):
-            for j in range(n + 1):
-                cols.append(f"a{k}{j} / a{k}{k} AS a{k}{j}" if i == k else f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}")
-        ctes.append(f"e{k + 1} AS (SELECT {', '.join(cols)} FROM e{k})")
-    weights = ", ".join(f"a{i}{n} AS w{i}" for i in range(n))
-    b = "my - " + " - ".join(f"a{i}{n} * m{i}" for i in range(n))
-    return ", ".join(ctes) + f", fit AS (SELECT {weights}, {b} AS b FROM e{n}, mu)"
+        cols = [f"a{k}_{j} / a{k}_{k} AS a{k}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}"
+                for i in range(n) for j in range(n + m)]
+        ctes.append(f"e{k + 1} AS MATERIALIZED (SELECT {', '.join(cols)} FROM e{k})")
+    out = []
+    for k, t in enumerate(targets):
+        tail = "" if m == 1 else f"_{t}"
+        out += [f"a{i}_{n + k} AS w{i}{tail}" for i in range(n)]
+        out.append(f"my{k} - " + " - ".join(f"a{i}_{n + k} * m{i}" for i in range(n)) + f" AS b{tail}")
+    return ", ".join(ctes) + f", fit AS MATERIALIZED (SELECT {', '.join(out)} FROM e{n}, mu)"
 
 
 def _complete_sql(features, y: str, source: str) -> str:
@@ -103,7 +110,7 @@ def _(spark, d):
 
 
 @query("pipe_impute",
-       f"WITH {_neighbours_sql(0.4, True)}, fl AS (SELECT c.idx, c.latitude, c.longitude, c.rms, c.dmin, coalesce(c.gap, k.gap) AS gap "
+       f"WITH {STRATIFIED}, {_neighbours_sql(0.4, True)}, fl AS (SELECT c.idx, c.latitude, c.longitude, c.rms, c.dmin, coalesce(c.gap, k.gap) AS gap "
        f"FROM cat c LEFT JOIN knn k ON c.idx = k.idx), {_ridge_sql('fl')} "
        f"SELECT idx, {rs('latitude', 'longitude', 'rms', 'gap')}, {r(f'coalesce(dmin, {_RIDGE_PRED})', 'dmin')} FROM fl, fit")
 def _(spark, d):
@@ -114,7 +121,7 @@ _CBRT = ["mag", "rms", "gap", "longitude", "latitude", "elevation"]
 
 
 @query("pipe_dmin_regression",
-       f"WITH {_neighbours_sql(0.4, True)}, "
+       f"WITH {STRATIFIED}, {_neighbours_sql(0.4, True)}, "
        "p AS (SELECT c.idx, c.magType, c.dmin, CASE WHEN c.dmin IS NULL THEN 'pred' ELSE 'train' END AS part, "
        + ", ".join(f"CASE WHEN {e} <> 0 THEN cbrt({e}) ELSE {e} END AS {c}" for c, e in
                    ((c, "coalesce(c.gap, k.gap)" if c == "gap" else f"c.{c}") for c in _CBRT))
@@ -195,9 +202,30 @@ def _z_base(spark, d):
     return features.fit_zscore(base, _LIN).transform(base)
 
 
-@query("ml_lr_gd")
+def _descent_sql(rate: float = 0.001, iterations: int = 50_000, tolerance: float = 1e-6) -> str:
+    """The recurrence on the sums of products, one row per iteration."""
+    z = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in _LIN)
+    x = ["1.0", *_LIN]
+    p = len(x)
+    sums = [f"avg({a} * {b}) AS a{i}_{j}" for i, a in enumerate(x) for j, b in enumerate(x)]
+    sums += [f"avg({a} * mag) AS c{i}" for i, a in enumerate(x)] + ["avg(mag * mag) AS s"]
+    new = ", ".join(f"t{i} - {rate} * (" + " + ".join(f"a{i}_{j} * t{j}" for j in range(p)) + f" - c{i}) AS t{i}" for i in range(p))
+    cost = ("0.5 * (" + " + ".join(f"t{i} * t{j} * a{i}_{j}" for i in range(p) for j in range(p)) + " - 2 * ("
+            + " + ".join(f"c{i} * t{i}" for i in range(p)) + ") + s)")
+    ts = ", ".join(f"t{i}" for i in range(p))
+    terms = " UNION ALL ".join(f"SELECT '{n}' AS term, {r(f't{i}', 'weight')} FROM last" for i, n in enumerate(["intercept", *_LIN]))
+    return (
+        f"WITH RECURSIVE z AS (SELECT mag, {z} FROM base), g AS MATERIALIZED (SELECT {', '.join(sums)} FROM z), "
+        f"it AS (SELECT 0 AS i, {', '.join(f'0.0::DOUBLE AS t{i}' for i in range(p))}, NULL::DOUBLE AS cost, false AS done UNION ALL "
+        f"SELECT i + 1, {ts}, now, coalesce(abs(cost - now) < {tolerance}, false) FROM (SELECT i, {ts}, cost, {cost} AS now FROM "
+        f"(SELECT i, cost, g.*, {new} FROM it, g WHERE NOT done AND i < {iterations}))), "
+        f"last AS (SELECT * FROM it ORDER BY i DESC LIMIT 1) {terms}"
+    )
+
+
+@query("ml_lr_gd", _descent_sql(), ("base",))
 def _(spark, d):
-    return linear.fit_gradient_descent(_z_base(spark, d), _LIN, "mag").table(spark)
+    return linear.fit_gradient_descent(_z_base(spark, d), _LIN, "mag", theta0=[0.0] * (len(_LIN) + 1)).table(spark)
 
 
 @query("ml_sgd")
@@ -241,7 +269,37 @@ def _(spark, d):
     return grown.filter("node = 0").select("feature", "threshold", "gain")
 
 
-@query("ml_tree_reg")
+def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains: str) -> str:
+    """CTEs ending in ``r<levels>`` (idx, node, x0…, y): every level splits the nodes
+    that gain. ``gains`` fills CTE ``g{l}`` (node, feature, t, gain, v) from ``v{l}``."""
+    xs = ", ".join(f"x{i}" for i in range(len(names)))
+    ctes = ["r0 AS (SELECT idx, 0::BIGINT AS node, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(names)) + f", {y} AS y FROM cat)"]
+    for k in range(levels):
+        ctes += [
+            f"s{k} AS MATERIALIZED (SELECT node, count(*) AS n, {impurity.format(l=k)} AS v FROM r{k} GROUP BY node)",
+            f"v{k} AS MATERIALIZED (SELECT r{k}.*, n, v FROM r{k} JOIN s{k} USING (node) WHERE n >= {min_sample} AND v > 0)",
+            gains.format(l=k),
+            f"b{k} AS MATERIALIZED (SELECT node, feature, t FROM g{k} WHERE round(gain / v, 12) > 0 "
+            "QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain / v, 12) DESC, feature, t) = 1)",
+            f"r{k + 1} AS MATERIALIZED (SELECT idx, CASE WHEN feature IS NULL THEN node ELSE node * 2 + 1 + "
+            f"CASE WHEN list_value({xs})[feature + 1] > t THEN 1 ELSE 0 END END AS node, {xs}, y FROM r{k} LEFT JOIN b{k} USING (node))",
+        ]
+    return ", ".join(ctes)
+
+
+def _variance_gains(names) -> str:
+    probs = "[" + ", ".join(repr(p) for p in tree.THRESHOLD_PROBS) + "]"
+    cuts = " UNION ALL ".join(f"SELECT node, {i} AS feature, quantile_cont(x{i}, {probs}) AS q FROM v{{l}} GROUP BY node" for i in range(len(names)))
+    sums = " UNION ALL ".join(
+        f"SELECT node, feature, t, any_value(v) AS v, any_value(n) AS n, count(*) FILTER (x{i} <= t) AS nl, "
+        f"var_pop(y) FILTER (x{i} <= t) AS vl, var_pop(y) FILTER (x{i} > t) AS vr FROM c{{l}} JOIN v{{l}} USING (node) WHERE feature = {i} "
+        "GROUP BY node, feature, t" for i in range(len(names)))
+    return (f"c{{l}} AS MATERIALIZED (SELECT DISTINCT node, feature, (q[k] + q[k + 1]) / 2 AS t FROM ({cuts}), (SELECT unnest(range(1, 20)) AS k)), "
+            f"g{{l}} AS MATERIALIZED (SELECT node, feature, t, v, v - (nl * vl + (n - nl) * vr) / n AS gain FROM ({sums}) WHERE nl > 0 AND nl < n)")
+
+
+@query("ml_tree_reg", f"WITH {_grown_sql(_TREE, 'mag', 4, 20, 'var_pop(y)', _variance_gains(_TREE))} "
+       f"SELECT idx, {r('y', 'mag')}, {r('avg(y) OVER (PARTITION BY node)', 'predicted')} FROM r4")
 def _(spark, d):
     cat = views.catalog(spark, d)
     grown = tree.fit_regression_tree(cat, _TREE, "mag", max_depth=3, min_sample=20)
@@ -277,7 +335,34 @@ def _(spark, d):
     return grown.filter("node = 0").select("feature", "threshold", "gain")
 
 
-@query("ml_tree_cls")
+_LABELS = ("mb", "md", "mh", "ml", "mwb", "mww")
+
+
+def _h(parts, total: str) -> str:
+    return "(0 - " + " - ".join(f"CASE WHEN {x} > 0 THEN ({x} / ({total})) * ln({x} / ({total})) ELSE 0 END" for x in parts) + ")"
+
+
+def _entropy_gains(names) -> str:
+    per = ", ".join(f"count(*) FILTER (y = '{lb}') AS c{i}" for i, lb in enumerate(_LABELS))
+    counts = " UNION ALL ".join(f"SELECT node, {i} AS feature, x{i} AS t, any_value(v) AS v, any_value(n) AS n, {per} FROM v{{l}} GROUP BY node, t"
+                                for i in range(len(names)))
+    left = [f"sum(c{i}) OVER w" for i in range(len(_LABELS))]
+    whole = [f"sum(c{i}) OVER (PARTITION BY node, feature)" for i in range(len(_LABELS))]
+    ls, rs_ = [f"l{i}" for i in range(len(_LABELS))], [f"(t{i} - l{i})" for i in range(len(_LABELS))]
+    cols = ", ".join(f"{a} AS l{i}, {b} AS t{i}" for i, (a, b) in enumerate(zip(left, whole)))
+    nl = " + ".join(ls)
+    return (f"c{{l}} AS MATERIALIZED (SELECT node, feature, t, v, n, {cols} FROM ({counts}) WINDOW w AS (PARTITION BY node, feature ORDER BY t)), "
+            f"g{{l}} AS MATERIALIZED (SELECT node, feature, t, v, v - (({nl}) * {_h(ls, nl)} + (n - ({nl})) * {_h(rs_, f'n - ({nl})')}) / n AS gain "
+            f"FROM c{{l}} WHERE {nl} < n)")
+
+
+_NODE_ENTROPY = _h([f"count(*) FILTER (y = '{lb}')" for lb in _LABELS], "count(*)")
+
+
+@query("ml_tree_cls", f"WITH {_grown_sql(_CLASS, 'magType', 3, 20, _NODE_ENTROPY, _entropy_gains(_CLASS))}, "
+       "votes AS (SELECT node, y, count(*) AS n FROM r3 GROUP BY 1, 2), "
+       "top AS (SELECT node, y AS predicted FROM votes QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, y) = 1) "
+       "SELECT idx, y AS magType, predicted FROM r3 JOIN top USING (node)")
 def _(spark, d):
     cat = views.catalog(spark, d)
     grown = tree.fit_classification_tree(cat, _CLASS, "magType", max_depth=2, min_sample=20)
@@ -378,9 +463,43 @@ def _measured_with_time(spark, d):
     return fill_numeric(cat, ["gap"])
 
 
-@query("fc_recursive")
+_LAGS = 4
+
+
+def _forecast_sql(steps: int = 48) -> str:
+    names = forecast.lag_names(_TARGETS, _LAGS)
+    n = len(_TARGETS)
+    lags = ", ".join(f"lag({t}, {j}) OVER o AS {t}_lag{j}" for j in range(1, _LAGS + 1) for t in _TARGETS)
+    scaled = ", ".join(f"({t} - min({t}) OVER ()) / (max({t}) OVER () - min({t}) OVER ()) AS {t}" for t in _TARGETS)
+    limits = ", ".join(f"min({t}) AS lo_{t}, max({t}) - min({t}) AS w_{t}" for t in _TARGETS)
+    pred = {t: f"b_{t} + " + " + ".join(f"w{i}_{t} * s{i}" for i in range(len(names))) for t in _TARGETS}
+    # State s0…: the newest row's targets first, a short series repeating its oldest row.
+    state = ", ".join(f"coalesce(max({t}) FILTER (rn = {j}), arg_max({t}, rn)) AS s{(j - 1) * n + k}"
+                      for j in range(1, _LAGS + 1) for k, t in enumerate(_TARGETS))
+    shifted = ", ".join([f"{pred[t]} AS s{k}" for k, t in enumerate(_TARGETS)]
+                        + [f"s{i - n} AS s{i}" for i in range(n, len(names))])
+    known = f"SELECT {', '.join(names)}, {', '.join(_TARGETS)} FROM lg WHERE {' AND '.join(f'{c} IS NOT NULL' for c in names)}"
+    filled = "gapped AS MATERIALIZED (SELECT * REPLACE (coalesce(gap, avg(gap) OVER ()) AS gap) FROM cat)"
+    ridge = _ridge_sql("gapped").replace("fit AS", "rfit AS")
+    for cte in ("kn", "mu", "e0", "e1", "e2", "e3", "e4"):   # the second solver needs its own names
+        ridge = ridge.replace(f"{cte} AS", f"r{cte} AS").replace(f"FROM {cte}", f"FROM r{cte}").replace(f", {cte})", f", r{cte})")
+    return (
+        f"WITH RECURSIVE {filled}, {ridge}, "
+        f"series AS (SELECT idx, time, mag, coalesce(dmin, {_RIDGE_PRED}) AS dmin, rms, latitude, longitude FROM gapped, rfit), "
+        f"{bin_ctes('series', 5)}, sc AS MATERIALIZED (SELECT idx, time, CAST(lat_bin * 5 + lon_bin AS INT) AS cell, {scaled} FROM binned), "
+        f"lim2 AS (SELECT {limits} FROM series), lg AS (SELECT *, {lags} FROM sc WINDOW o AS (PARTITION BY cell ORDER BY time, idx)), "
+        f"{_solve_sql(names, known, 0.0, _TARGETS)}, "
+        f"nw AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY time DESC, idx DESC) AS rn FROM sc QUALIFY rn <= {_LAGS}), "
+        f"go AS (SELECT cell, max(time) AS last_time, 0 AS step, {state} FROM nw GROUP BY cell UNION ALL "
+        f"SELECT cell, last_time, step + 1, {shifted} FROM go, fit WHERE step < {steps}) "
+        f"SELECT cell, last_time + step * INTERVAL 1 HOUR AS timestamp, "
+        + ", ".join(r(f"s{k} * w_{t} + lo_{t}", t) for k, t in enumerate(_TARGETS)) + " FROM go, lim2 WHERE step > 0"
+    )
+
+
+@query("fc_recursive", _forecast_sql())
 def _(spark, d):
-    return forecast.forecast(_series(spark, d), "cell", days=2)
+    return forecast.forecast(_series(spark, d), "cell", days=2, lags=_LAGS)
 
 
 @query("sink_forecast_payload",
