@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from faultline.functions.scalar import micros, seconds_between
 from faultline.operators.ordered import (
-    PART, POS, ROW, Ordered, carry_forward, chunked, frame, home, lay_out, running_sum, split_by_row, with_row_index,
+    PART, POS, ROW, Ordered, carry_forward, chunked, frame, home, lay_out, split_by_row, with_row_index,
 )
 
 DAY_US = 86_400_000_000
@@ -43,70 +43,83 @@ def rolling_rows(df: DataFrame, keys: tuple[str, ...], windows: tuple[int, ...]
     return home(rows.withColumns(new)).drop(ROW)
 
 
-def _running_max(ordered: Ordered, names: list[str]) -> DataFrame:
-    """Running maximum of (…, value) structs over the whole order.
+def _running_by_key(ordered: Ordered, keys: list[str], count: str, top: str) -> DataFrame:
+    """Adds ``run_n`` and ``run_v``: running sum of ``count`` and maximum of ``top`` within
+    each key, keys being contiguous in the order.
 
-    When the leading fields never fall along the order, this is the running maximum
-    of the last field, restarted whenever they change. One row per partition
-    reaches the driver.
+    A partition hands on its last key with the figures so far, for the case that the
+    key goes on in the next one; that one row per partition reaches the driver.
     """
-    tops = ordered.df.groupBy(PART).agg(*[F.max(n).alias(n) for n in names]).collect()
-
-    def rank(row) -> tuple:
-        return tuple((x is not None, x) for x in row)
-
-    held: list = [None] * len(names)
-    rows = []
-    for t in sorted(tops, key=lambda r: r[PART]):
-        rows.append((t[PART], *held))
-        held = [t[n] if h is None or rank(t[n]) > rank(h) else h for n, h in zip(names, held)]
-    schema = T.StructType([T.StructField(PART, T.IntegerType()), *[
-        T.StructField(f"_in_{n}", ordered.df.schema[n].dataType) for n in names]])
-    w = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    return ordered.df.join(ordered.small(rows, schema), PART).withColumns({
-        n: F.greatest(F.max(n).over(w), F.col(f"_in_{n}")) for n in names
-    }).drop(*[f"_in_{n}" for n in names])
+    w = Window.partitionBy(PART, *keys).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    df = ordered.df.withColumns({"run_n": F.sum(count).over(w), "run_v": F.max(top).over(w)})
+    key = F.struct(*keys)
+    tails = df.groupBy(PART).agg(
+        F.min_by(key, POS).alias("first"), F.max_by(key, POS).alias("last"), F.max_by(F.struct("run_n", "run_v"), POS).alias("sum")
+    ).collect()
+    held, rows = None, []
+    for t in sorted(tails, key=lambda r: r[PART]):
+        n, v = t["sum"]["run_n"], t["sum"]["run_v"]
+        if held:
+            rows.append((t[PART], *held))
+            if held[0] == t["last"] == t["first"]:
+                n += held[1]
+                v = max((x for x in (v, held[2]) if x is not None), default=None)
+        held = (t["last"], n, v)
+    schema = T.StructType([
+        T.StructField(PART, T.IntegerType()), T.StructField("_k", T.StructType([ordered.df.schema[k] for k in keys])),
+        T.StructField("_n", T.LongType()), T.StructField("_v", ordered.df.schema[top].dataType)])
+    same = F.coalesce(F.col("_k") == key, F.lit(False))
+    return df.join(ordered.small(rows, schema), PART, "left").withColumns({
+        "run_n": F.col("run_n") + F.when(same, F.col("_n")).otherwise(F.lit(0)),
+        "run_v": F.greatest("run_v", F.when(same, F.col("_v"))),
+    }).drop("_k", "_n", "_v")
 
 
 def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), value: str = "mag") -> DataFrame:
     """Per cell, over [time − w days, time]: count and maximum of ``value``.
 
-    Work is linear in the rows whatever the window holds. Counts are differences
-    of one running count. For the maximum, time is cut into blocks of w days: a
-    window reaches over the tail of one block and the head of the next, so it is
-    the larger of a backward and a forward running maximum, each restarted per block.
+    Work is linear in the rows whatever the window holds. A window is the head of
+    its last day, the whole days before that, and the tail of its first day: running
+    figures forward and backward inside each day, and a small table of days between.
     """
     points = df.groupBy(F.col(cell).alias("c"), micros(F.col("time")).alias("t")).agg(
-        F.count(value).alias("n"), F.max(value).alias("v")
-    )
-    asked = points.select("c", "t", F.explode(F.array(*[F.lit(w) for w in days])).alias("w"))
-    both = points.select("c", "t", F.col("t").alias("at"), "n", "v", F.lit(0).alias("w")).unionByName(
-        asked.select("c", "t", (F.col("t") - F.col("w") * DAY_US).alias("at"), F.lit(0).cast("bigint").alias("n"),
-                     F.lit(None).cast(df.schema[value].dataType).alias("v"), "w")
-    )
-
-    def block(w: int, sign: int) -> Column:
-        return F.struct("c", (F.floor(F.col("at") / (w * DAY_US)) * sign).alias("b"), "v")
-
-    # Forward: at equal times the asked bounds come first, so they count strictly earlier points.
-    ahead = both.withColumns({"is_point": (F.col("w") == 0).cast("int"), **{f"head{w}": block(w, 1) for w in days}})
-    counted = running_sum(lay_out(ahead, "c", "at", "is_point", "w", "t"), "n", "seen")
-    heads = _running_max(Ordered(counted), [f"head{w}" for w in days])
-    # Backward: at equal times the points come first, so the bound's own point is included.
-    behind = both.withColumns({"back": -F.col("at"), "asked": F.col("w") > 0, **{f"tail{w}": block(w, -1) for w in days}})
-    tails = _running_max(lay_out(behind, "c", "back", "asked", "w", "t"), [f"tail{w}" for w in days])
-
-    def at(kind: int, col: str) -> Column:
-        return F.max(F.when(F.col("w") == kind, F.col(col)))
-
-    fwd = heads.groupBy("c", "t").agg(
-        at(0, "seen").alias("seen"), *[at(0, f"head{w}.v").alias(f"head{w}") for w in days],
-        *[at(w, "seen").alias(f"before{w}") for w in days])
-    bwd = tails.filter("w > 0").groupBy("c", "t").agg(*[at(w, f"tail{w}.v").alias(f"tail{w}") for w in days])
-    stats = fwd.join(bwd, ["c", "t"]).select(
+        F.count(value).alias("n"), F.max(value).alias("v"))
+    day = F.floor(F.col("at") / DAY_US)
+    kind = df.schema[value].dataType
+
+    # Heads: from the start of the day up to the event.
+    ahead = points.withColumnRenamed("t", "at").withColumn("day", day)
+    heads = _running_by_key(lay_out(ahead, "c", "at"), ["c", "day"], "n", "v").select(
+        "c", F.col("at").alias("t"), F.lit(0).alias("w"), "run_n", "run_v")
+
+    # Tails: from time − w days to the end of that day; the bound itself counts.
+    bounds = points.select("c", F.lit(0).cast("bigint").alias("n"), F.lit(None).cast(kind).alias("v"), "t",
+                           F.explode(F.array(*[F.lit(w) for w in days])).alias("w")).withColumn("at", F.col("t") - F.col("w") * DAY_US)
+    marks = points.select("c", "n", "v", "t", F.lit(0).alias("w"), F.col("t").alias("at"))
+    behind = marks.unionByName(bounds).withColumns({"day": day, "back": -F.col("at"), "bound": F.col("w") > 0})
+    tails = _running_by_key(lay_out(behind, "c", "back", "bound", "w"), ["c", "day"], "n", "v").filter("bound").select(
+        "c", "t", "w", "run_n", "run_v")
+
+    # Whole days between; a cell has one row per day with events.
+    per_day = ahead.groupBy("c", "day").agg(F.sum("n").alias("n"), F.max("v").alias("v"))
+    between = {}
+    for w in days:
+        if w > 1:
+            span = Window.partitionBy("c").orderBy("day").rangeBetween(1 - w, -1)
+            between[f"n{w}"], between[f"v{w}"] = F.coalesce(F.sum("n").over(span), F.lit(0)), F.max("v").over(span)
+        else:
+            between["n1"], between["v1"] = F.lit(0).cast("bigint"), F.lit(None).cast(kind)
+    whole = per_day.withColumns(between).drop("n", "v")
+
+    def of(w: int, what: str) -> Column:
+        return F.max(F.when(F.col("w") == w, F.col(what)))
+
+    parts = heads.unionByName(tails).groupBy("c", "t").agg(
+        *[of(w, f"run_{x}").alias(f"{x}_{w}") for w in (0, *days) for x in ("n", "v")])
+    stats = parts.withColumn("day", F.floor(F.col("t") / DAY_US)).join(whole, ["c", "day"]).select(
         F.col("c").alias(cell), F.col("t").alias("_t"),
-        *[(F.col("seen") - F.col(f"before{w}")).alias(f"eq_count_last_{w}d") for w in days],
-        *[F.greatest(f"head{w}", f"tail{w}").alias(f"max_mag_last_{w}d") for w in days])
+        *[(F.col("n_0") + F.col(f"n_{w}") + F.col(f"n{w}")).alias(f"eq_count_last_{w}d") for w in days],
+        *[F.greatest("v_0", f"v_{w}", f"v{w}").alias(f"max_mag_last_{w}d") for w in days])
     return df.withColumn("_t", micros(F.col("time"))).join(stats, [cell, "_t"]).drop("_t")
 
 
