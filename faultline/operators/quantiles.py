@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators.ordered import PART, POS, lay_out, running_sum
+from faultline.operators.ordered import Ordered, lay_out, running_sum
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
@@ -14,47 +14,38 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     Equal values are counted first (partial aggregation before the shuffle), the
     distinct values are range-sorted, and only rows covering a wanted rank go on.
     """
-    if not keys:
-        raise ValueError("give at least one key column (a constant will do)")
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    laid = lay_out(counts, *keys, "_v")
+    return percentiles_of_counts(lay_out(counts, *keys, "_v"), keys, probs)
+
+
+def percentiles_of_counts(laid: Ordered, keys: list[str], probs: list[float]) -> DataFrame:
+    """Percentiles from distinct values ``_v`` with counts ``_n``, laid out by keys and value."""
+    if not keys:
+        raise ValueError("give at least one key column (a constant will do)")
     ranked = running_sum(laid, "_n", "_end").withColumn("_begin", F.col("_end") - F.col("_n"))
     bounds = ranked.groupBy(*keys).agg(F.min("_begin").alias("_first"), F.max("_end").alias("_last"))
-    n = F.col("_last") - F.col("_first")
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    spots = F.transform(
-        wanted,
-        lambda p, i: F.struct(
-            i.alias("i"),
-            F.floor(p * (n - 1)).alias("lo"),
-            F.ceil(p * (n - 1)).alias("hi"),
-            (p * (n - 1) - F.floor(p * (n - 1))).alias("part"),
-        ),
-    )
-    begin, end = F.col("_begin") - F.col("_first"), F.col("_end") - F.col("_first")
+    spans = [f"{float(p)!r}D * (n - 1)" for p in probs]
+    wanted = bounds.selectExpr(*keys, "_first", "_last - _first AS n").selectExpr(
+        *keys, "_first", "n", *[f"floor({x}) AS lo{i}" for i, x in enumerate(spans)], *[f"ceil({x}) AS hi{i}" for i, x in enumerate(spans)])
     # Plain comparisons pick the few rows that cover a wanted rank; only they are exploded.
-    covers = F.lit(False)
-    for p in probs:
-        at = F.lit(float(p)) * (n - 1)
-        covers = covers | ((F.ceil(at) >= begin) & (F.floor(at) < end))
-    joined = ranked.drop(PART, POS).join(bounds, keys).filter(covers)
-    hits = (
-        joined.withColumn("_spot", F.explode(F.filter(
-            spots, lambda s: ((s["lo"] >= begin) & (s["lo"] < end)) | ((s["hi"] >= begin) & (s["hi"] < end)))))
-        .select(
-            *keys, n.alias("n"), F.col("_spot.i").alias("_i"), F.col("_spot.part").alias("_f"),
-            F.when((F.col("_spot.lo") >= begin) & (F.col("_spot.lo") < end), F.col("_v")).alias("_lo"),
-            F.when((F.col("_spot.hi") >= begin) & (F.col("_spot.hi") < end), F.col("_v")).alias("_hi"),
-        )
-    )
-    per_prob = hits.groupBy(*keys, "n", "_i").agg(
-        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_f").alias("_f")
+    covers = " OR ".join(f"(hi{i} >= b AND lo{i} < e)" for i in range(len(probs)))
+    spots = ", ".join(f"struct({i} AS i, lo{i} AS lo, hi{i} AS hi, {x} - lo{i} AS part)" for i, x in enumerate(spans))
+    rows = (
+        ranked.join(wanted, keys).withColumns({"b": F.col("_begin") - F.col("_first"), "e": F.col("_end") - F.col("_first")})
+        .filter(covers).selectExpr(*keys, "_v", "n", "b", "e", f"inline(array({spots}))")
     )
-    at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
+
+    def inside(rank: str):
+        return (F.col(rank) >= F.col("b")) & (F.col(rank) < F.col("e"))
+
+    per_prob = rows.groupBy(*keys, "n", "i").agg(
+        F.max(F.when(inside("lo"), F.col("_v"))).alias("low"), F.max(F.when(inside("hi"), F.col("_v"))).alias("high"),
+        F.max("part").alias("part"))
+    at = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
     return per_prob.groupBy(*keys, "n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", at.alias("v")))), lambda s: s["v"]).alias("percentiles")
+        F.transform(F.array_sort(F.collect_list(F.struct("i", at.alias("v")))), lambda s: s["v"]).alias("percentiles")  # one per prob
     )

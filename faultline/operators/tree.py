@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.ordered import lay_out, running_sums
-from faultline.operators.quantiles import exact_percentiles
+from faultline.operators.quantiles import percentiles_of_counts
 from faultline.session import written
 
 THRESHOLD_PROBS = [(10 + 80 * i / 19) / 100 for i in range(20)]
@@ -40,21 +40,23 @@ def variance_splits(rows: DataFrame, nodes: DataFrame, features: list[str]) -> D
     """Best split per node: (node, feature, threshold, gain).
 
     Thresholds are the 19 midpoints between 20 percentiles (10 to 90) of the node's
-    values. Rows are counted by the interval they fall into, so each row is
-    looked at once per feature, not once per threshold.
+    values. Rows are summed per distinct value, and those sums per interval between
+    thresholds, so no row is looked at once per threshold.
     """
-    long = _long(rows, features)
-    grid = exact_percentiles(long, ["node", "feature"], "v", THRESHOLD_PROBS).select(
-        "node", "feature",
-        F.transform(F.sequence(F.lit(0), F.lit(len(THRESHOLD_PROBS) - 2)), lambda i: (
-            F.get("percentiles", i) + F.get("percentiles", i + 1)) / 2).alias("cuts"))
-    mean = nodes.select("node", F.col("value").alias("mean"), F.col("n").alias("all_n"), "impurity")
+    mean = nodes.select("node", F.col("value").alias("mean"))
     e = F.col("y") - F.col("mean")
+    values = lay_out(
+        _long(rows, features).join(mean, "node").groupBy("node", "feature", F.col("v").alias("_v"))
+        .agg(F.count("*").alias("_n"), F.sum(e).alias("s"), F.sum(e * e).alias("q")),
+        "node", "feature", "_v")
+    grid = percentiles_of_counts(values, ["node", "feature"], THRESHOLD_PROBS).select(
+        "node", "feature", F.transform(F.sequence(F.lit(0), F.lit(len(THRESHOLD_PROBS) - 2)), lambda i: (
+            F.get("percentiles", i) + F.get("percentiles", i + 1)) / 2).alias("cuts"))
+    slot = F.expr(" + ".join(f"CAST(_v > cuts[{i}] AS INT)" for i in range(len(THRESHOLD_PROBS) - 1)))
     per_interval = (
-        long.join(grid, ["node", "feature"]).join(mean, "node")
-        .withColumn("slot", sum(((F.col("v") > F.get("cuts", i)).cast("int") for i in range(len(THRESHOLD_PROBS) - 1)), F.lit(0)))
-        .groupBy("node", "feature", "slot", "cuts", "all_n", "impurity")
-        .agg(F.count("*").alias("c"), F.sum(e).alias("s"), F.sum(e * e).alias("q"))
+        values.df.join(grid, ["node", "feature"]).withColumn("slot", slot)
+        .groupBy("node", "feature", "slot", "cuts").agg(F.sum("_n").alias("c"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+        .join(nodes.select("node", F.col("n").alias("all_n"), "impurity"), "node")
     )
     upto = Window.partitionBy("node", "feature").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)  # ≤ 20 rows
     every = Window.partitionBy("node", "feature")
@@ -132,11 +134,11 @@ def _grow(
         best: dict[int, tuple] = {}
         splitting = [s for s in stats if s["n"] >= min_sample and s["impurity"] > 0]
         if depth <= max_depth and splitting:
-            open_nodes = spark.createDataFrame(
+            open_nodes = _few(spark.createDataFrame(
                 [(s["node"], s["n"], s["value"], s["impurity"]) for s in splitting],
-                f"node bigint, n bigint, value {value_type}, impurity double")
+                f"node bigint, n bigint, value {value_type}, impurity double"), len(splitting))
             live = rows if len(splitting) == len(stats) else rows.join(
-                _few(open_nodes.select("node"), len(splitting)), "node", "left_semi")
+                open_nodes.select("node"), "node", "left_semi")
             best = {b["node"]: (b["feature"], b["threshold"], b["gain"]) for b in split(live, open_nodes).collect()}
         out += [(s["node"], depth, s["n"], *best.get(s["node"], (None, None, None)), s["value"]) for s in stats]
         if not best:

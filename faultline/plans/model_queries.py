@@ -269,11 +269,23 @@ def _(spark, d):
     return grown.filter("node = 0").select("feature", "threshold", "gain")
 
 
-def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains: str) -> str:
+def _first_rows(names, y: str, source: str) -> str:
+    return ("SELECT idx, 0::BIGINT AS node, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(names))
+            + f", {y} AS y FROM {source}")
+
+
+def _next_rows(names, rows: str, level: int) -> str:
+    """Rows of ``rows{level}`` moved to the children their node's split sends them to."""
+    xs = ", ".join(f"x{i}" for i in range(len(names)))
+    return (f"{rows}{level + 1} AS MATERIALIZED (SELECT idx, CASE WHEN feature IS NULL THEN node ELSE node * 2 + 1 + "
+            f"CASE WHEN list_value({xs})[feature + 1] > t THEN 1 ELSE 0 END END AS node, {xs}, y "
+            f"FROM {rows}{level} LEFT JOIN b{level} USING (node))")
+
+
+def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains: str, source: str = "cat") -> str:
     """CTEs ending in ``r<levels>`` (idx, node, x0…, y): every level splits the nodes
     that gain. ``gains`` fills CTE ``g{l}`` (node, feature, t, gain, v) from ``v{l}``."""
-    xs = ", ".join(f"x{i}" for i in range(len(names)))
-    ctes = ["r0 AS (SELECT idx, 0::BIGINT AS node, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(names)) + f", {y} AS y FROM cat)"]
+    ctes = [f"r0 AS ({_first_rows(names, y, source)})"]
     for k in range(levels):
         ctes += [
             f"s{k} AS MATERIALIZED (SELECT node, count(*) AS n, {impurity.format(l=k)} AS v FROM r{k} GROUP BY node)",
@@ -281,8 +293,7 @@ def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains
             gains.format(l=k),
             f"b{k} AS MATERIALIZED (SELECT node, feature, t FROM g{k} WHERE round(gain / v, 12) > 0 "
             "QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain / v, 12) DESC, feature, t) = 1)",
-            f"r{k + 1} AS MATERIALIZED (SELECT idx, CASE WHEN feature IS NULL THEN node ELSE node * 2 + 1 + "
-            f"CASE WHEN list_value({xs})[feature + 1] > t THEN 1 ELSE 0 END END AS node, {xs}, y FROM r{k} LEFT JOIN b{k} USING (node))",
+            _next_rows(names, "r", k),
         ]
     return ", ".join(ctes)
 
@@ -374,10 +385,32 @@ def _base_splits(spark, d):
     return {name: parts.filter(F.col("split") == name).drop("split") for name in ("train", "valid", "test")}
 
 
-@query("ml_tree_grid")
+_DEPTHS, _MINIMA = range(2, 5), range(2, 21)
+
+
+def _grid_sql() -> str:
+    levels = max(_DEPTHS) + 1
+    walk = [f"w0 AS ({_first_rows(_TREE, 'mag', 'held')})"] + [_next_rows(_TREE, "w", k) for k in range(levels)]
+    means = [f"a{k} AS (SELECT node, count(*) AS n, avg(y) AS value FROM r{k} GROUP BY node)" for k in range(levels + 1)]
+    path = " UNION ALL ".join(
+        f"SELECT idx, y, {k} AS level, n, value, " + (f"node IN (SELECT node FROM b{k})" if k < levels else "false")
+        + f" AS cut FROM w{k} JOIN a{k} USING (node)" for k in range(levels + 1))
+    return (
+        f"WITH {_SPLIT}, tr AS (SELECT * FROM splits WHERE split = 'train'), held AS (SELECT * FROM splits WHERE split = 'valid'), "
+        f"{_grown_sql(_TREE, 'mag', levels, min(_MINIMA), 'var_pop(y)', _variance_gains(_TREE), 'tr')}, {', '.join(walk + means)}, "
+        f"path AS MATERIALIZED ({path}), grid AS (SELECT unnest(range({min(_DEPTHS)}, {max(_DEPTHS) + 1})) AS depth), "
+        f"minima AS (SELECT unnest(range({min(_MINIMA)}, {max(_MINIMA) + 1})) AS min_sample), "
+        "p AS (SELECT depth, min_sample, idx, any_value(y) AS y, arg_min(value, level) AS p FROM path, grid, minima "
+        "WHERE level > depth OR n < min_sample OR NOT cut GROUP BY 1, 2, 3) "
+        "SELECT CAST(depth AS INT) AS depth, CAST(min_sample AS INT) AS min_sample, "
+        + r("1 - sum((y - p) ** 2) / (var_pop(y) * count(*))", "r2") + " FROM p GROUP BY 1, 2"
+    )
+
+
+@query("ml_tree_grid", _grid_sql(), ("base",))
 def _(spark, d):
     parts = _base_splits(spark, d)
-    return tree.grid_scores(parts["train"], parts["valid"], _TREE, "mag", range(2, 5), range(2, 21))
+    return tree.grid_scores(parts["train"], parts["valid"], _TREE, "mag", _DEPTHS, _MINIMA)
 
 
 @query("ml_rf")
