@@ -1,0 +1,8 @@
+"""Seismic event catalogues on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry their code, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,6 @@ no task depends on how popular a place is.
 from __future__ import annotations
 
 from collections import deque
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -25,107 +24,96 @@ LEAF_POINTS = 2_000       # points aimed at per leaf
 QUERY_BLOCK = 4_096       # queries per block within a leaf
 SAMPLE_PER_LEAF = 32      # sampled points that place the splits
 MAX_SAMPLE = 400_000      # bound on the driver's sample
+VISIT_ROWS = 2_000        # queries whose leaves are looked up together
 TILE = 2_000_000          # distances held at once
 RANK_DIGITS = 9           # distances equal to this many digits count as ties
 
 
-@dataclass
-class _Node:
-    """Split of a pattern's points, or a leaf with the box it covers."""
-    low: np.ndarray
-    high: np.ndarray
-    axis: int = -1
-    cut: float = 0.0
-    left: int = -1
-    right: int = -1
-    leaf: int = -1
-
-
-@dataclass
-class _Tree:
-    nodes: list[_Node] = field(default_factory=list)
-    roots: dict[int, int] = field(default_factory=dict)   # missing pattern → root
-    leaves: int = 0
-
-    def grow(self, pattern: int, sample: np.ndarray, dims: list[int], leaves: int, p: int) -> None:
-        box = np.full(p, -np.inf), np.full(p, np.inf)
-        self.roots[pattern] = len(self.nodes)
-        self.nodes.append(_Node(*box))
-        todo = deque([(self.roots[pattern], sample, leaves)])
+class _Grower:
+    """Collects the nodes of all trees; ``arrays`` is what tasks get."""
+
+    def __init__(self, p: int):
+        self.p = p
+        self.axis, self.cut, self.left, self.right, self.leaf = [], [], [], [], []
+        self.low, self.high = [], []
+        self.roots: dict[int, int] = {}
+        self.leaves = 0
+
+    def _node(self, low: np.ndarray, high: np.ndarray) -> int:
+        for column, value in ((self.axis, 0), (self.cut, 0.0), (self.left, -1), (self.right, -1), (self.leaf, -1), (self.low, low), (self.high, high)):
+            column.append(value)
+        return len(self.axis) - 1
+
+    def grow(self, pattern: int, sample: np.ndarray, dims: list[int], leaves: float) -> None:
+        """A tree over the columns ``dims``, cut until about ``leaves`` leaves are there."""
+        root = self._node(np.full(self.p, -np.inf), np.full(self.p, np.inf))
+        self.roots[pattern] = root
+        todo = deque([(root, sample, leaves)])
         while todo:
             at, pts, want = todo.popleft()
-            node = self.nodes[at]
-            cut = self._cut(pts, dims) if want > 1 else None
+            cut = _cut(pts, dims) if want > 1 else None
             if cut is None:
-                node.leaf = self.leaves
+                self.leaf[at] = self.leaves
                 self.leaves += 1
                 continue
-            node.axis, node.cut = cut
-            below = pts[:, node.axis] <= node.cut
-            for side, chosen in (("left", below), ("right", ~below)):
-                child = _Node(node.low.copy(), node.high.copy())
-                (child.high if side == "left" else child.low)[node.axis] = node.cut
-                setattr(node, side, len(self.nodes))
-                self.nodes.append(child)
-                todo.append((getattr(node, side), pts[chosen], want / 2))
-
-    @staticmethod
-    def _cut(pts: np.ndarray, dims: list[int]) -> tuple[int, float] | None:
-        """Middle of the widest column that still varies."""
-        if len(pts) < 2 or not dims:
-            return None
-        axis = max(dims, key=lambda d: np.ptp(pts[:, d]))
-        values = np.unique(pts[:, axis])
-        if len(values) < 2:
-            return None
-        cut = np.median(pts[:, axis])
-        if cut >= values[-1]:
-            cut = values[-2]
-        return axis, float(cut)
-
-    def home(self, pattern: int, x: np.ndarray) -> np.ndarray:
-        """Leaf of each row of ``x`` under a pattern; a missing value goes left."""
-        at = np.full(len(x), self.roots[pattern])
-        out = np.full(len(x), -1)
-        open_ = np.arange(len(x))
-        while len(open_):
-            for n in np.unique(at[open_]):
-                rows = open_[at[open_] == n]
-                node = self.nodes[n]
-                if node.leaf >= 0:
-                    out[rows] = node.leaf
-                else:
-                    right = x[rows, node.axis] > node.cut
-                    at[rows] = np.where(right, node.right, node.left)
-            open_ = open_[out[open_] < 0]
-        return out
-
-    def within(self, patterns: dict[int, np.ndarray], x: np.ndarray, reach: np.ndarray, skip: np.ndarray, width: int):
-        """Pairs (row, leaf) of leaves that may hold a point nearer than ``reach``."""
-        rows_out, leaf_out = [], []
-        have = ~np.isnan(x)
-        for pattern, present in patterns.items():
-            shared = have & present
-            count = shared.sum(axis=1)
-            todo = [(self.roots[pattern], np.flatnonzero(count > 0))]
-            while todo:
-                at, rows = todo.pop()
-                node = self.nodes[at]
-                gap = np.maximum(np.maximum(node.low - x[rows], x[rows] - node.high), 0.0)
-                gap = np.where(shared[rows], gap, 0.0)
-                near = (gap ** 2).sum(axis=1) * (width / count[rows]) <= (reach[rows] + 1e-8) ** 2 + 1e-12
-                rows = rows[near]
-                if not len(rows):
-                    continue
-                if node.leaf >= 0:
-                    rows = rows[skip[rows] != node.leaf]
-                    rows_out.append(rows)
-                    leaf_out.append(np.full(len(rows), node.leaf))
-                else:
-                    todo += [(node.left, rows), (node.right, rows)]
-        if not rows_out:
-            return np.empty(0, int), np.empty(0, int)
-        return np.concatenate(rows_out), np.concatenate(leaf_out)
+            self.axis[at], self.cut[at] = cut
+            below = pts[:, cut[0]] <= cut[1]
+            high, low = self.high[at].copy(), self.low[at].copy()
+            high[cut[0]] = low[cut[0]] = cut[1]
+            self.left[at] = self._node(self.low[at], high)
+            self.right[at] = self._node(low, self.high[at])
+            todo += [(self.left[at], pts[below], want / 2), (self.right[at], pts[~below], want / 2)]
+
+    def arrays(self) -> dict:
+        names = ("axis", "cut", "left", "right", "leaf", "low", "high")
+        return {"roots": self.roots, **{n: np.array(getattr(self, n)) for n in names}}
+
+
+def _cut(pts: np.ndarray, dims: list[int]) -> tuple[int, float] | None:
+    """Middle of the widest column that still varies."""
+    if len(pts) < 2 or not dims:
+        return None
+    axis = max(dims, key=lambda d: np.ptp(pts[:, d]))
+    values = np.unique(pts[:, axis])
+    if len(values) < 2:
+        return None
+    return axis, float(min(np.median(pts[:, axis]), values[-2]))
+
+
+def _home(tree: dict, pattern: int, x: np.ndarray) -> np.ndarray:
+    """Leaf of each row under a pattern's tree; a missing value goes left."""
+    at = np.full(len(x), tree["roots"][pattern])
+    rows = np.arange(len(x))
+    while True:
+        inner = tree["leaf"][at] < 0
+        if not inner.any():
+            return tree["leaf"][at]
+        n = at[inner]
+        right = x[rows[inner], tree["axis"][n]] > tree["cut"][n]
+        at[inner] = np.where(right, tree["right"][n], tree["left"][n])
+
+
+def _within(tree: dict, patterns: dict[int, np.ndarray], x: np.ndarray, reach: np.ndarray, skip: np.ndarray, width: int):
+    """Pairs (row, leaf) of leaves that may hold a point as near as ``reach``."""
+    rows_out, leaf_out = [np.empty(0, int)], [np.empty(0, int)]
+    have = ~np.isnan(x)
+    for pattern, present in patterns.items():
+        shared = have & present
+        count = shared.sum(axis=1)
+        rows = np.flatnonzero(count > 0)
+        nodes = np.full(len(rows), tree["roots"][pattern])
+        while len(rows):
+            gap = np.maximum(np.maximum(tree["low"][nodes] - x[rows], x[rows] - tree["high"][nodes]), 0.0)
+            gap = np.where(shared[rows], gap, 0.0)
+            near = (gap ** 2).sum(axis=1) * (width / count[rows]) <= (reach[rows] + 1e-8) ** 2 + 1e-12
+            rows, nodes = rows[near], nodes[near]
+            leaf = tree["leaf"][nodes]
+            done = (leaf >= 0) & (leaf != skip[rows])
+            rows_out.append(rows[done])
+            leaf_out.append(leaf[done])
+            inner = leaf < 0
+            rows, nodes = np.repeat(rows[inner], 2), np.column_stack([tree["left"][nodes[inner]], tree["right"][nodes[inner]]]).ravel()
+    return np.concatenate(rows_out), np.concatenate(leaf_out)
 
 
 def _distances(q: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
@@ -188,7 +176,7 @@ def nearest(
         out = np.zeros(len(x), int)
         for m in np.unique(pattern):
             rows = np.flatnonzero(pattern == m)
-            out[rows] = tree_.home(int(m), x[rows])
+            out[rows] = _home(tree_, int(m), x[rows])
         return pd.Series(out)
 
     leaf = F.pandas_udf(leaf_of, "int")
@@ -205,11 +193,10 @@ def nearest(
         tree_, patterns_ = shipped.value
         present = {m: v[0] for m, v in patterns_.items()}
         for pdf in batches:
-            x = _matrix(pdf, p)
-            rows, leaves = tree_.within(present, x, pdf["reach"].to_numpy(), pdf["leaf"].to_numpy(), width)
-            out = pdf.iloc[rows][["q", *names]].copy()
-            out["leaf"] = leaves
-            yield out
+            for start in range(0, len(pdf), VISIT_ROWS):
+                some = pdf.iloc[start:start + VISIT_ROWS]
+                rows, leaves = _within(tree_, present, _matrix(some, p), some["reach"].to_numpy(), some["leaf"].to_numpy(), width)
+                yield some.iloc[rows][["q", *names]].assign(leaf=leaves)
 
     schema = T.StructType([questions.schema["q"], *[questions.schema[n] for n in names], T.StructField("leaf", T.IntegerType())])
     more = homes.select("q", *names, "leaf", "reach").mapInPandas(visits, schema)
@@ -234,23 +221,23 @@ def _empty(queries: DataFrame, donors: DataFrame, key: str, payload: str) -> Dat
         T.StructField("value", donors.schema[payload].dataType)]))
 
 
-def _plant(points: DataFrame, names: list[str]) -> tuple[_Tree, dict[int, tuple[np.ndarray, int]]]:
+def _plant(points: DataFrame, names: list[str]) -> tuple[dict, dict[int, tuple[np.ndarray, int]]]:
     """Trees per missing pattern, from a bounded sample. The sample only shapes the
     leaves; results do not depend on it."""
     p = len(names)
     counts = {r["pattern"]: r["count"] for r in points.groupBy("pattern").count().collect()}
     total = sum(counts.values())
-    tree, patterns = _Tree(), {}
+    trees, patterns = _Grower(p), {}
     if not total:
-        return tree, patterns
+        return trees.arrays(), patterns
     share = min(1.0, min(MAX_SAMPLE, SAMPLE_PER_LEAF * (total / LEAF_POINTS + len(counts))) / total)
     sample = points.sample(share, seed=7).select("pattern", *names).limit(2 * MAX_SAMPLE).toPandas()
     for m, n in sorted(counts.items()):
         mine = sample[sample["pattern"] == m][names].to_numpy(dtype=float)
         dims = [i for i in range(p) if not m >> i & 1]
-        tree.grow(m, mine, dims, n / LEAF_POINTS, p)
+        trees.grow(m, mine, dims, n / LEAF_POINTS)
         patterns[m] = (np.array([not m >> i & 1 for i in range(p)]), n)
-    return tree, patterns
+    return trees.arrays(), patterns
 
 
 def _answer(questions: DataFrame, placed: DataFrame, p: int, k: int, width: int) -> DataFrame:

@@ -65,3 +65,9 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 def test_hot_links_do_not_meet_rows_that_need_nothing(spark, sf):
     plan = QUERIES["pipe_filter_and_fill"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan
+
+
+def test_worker_functions_carry_their_code():
+    from pyspark import cloudpickle
+
+    assert "faultline" in cloudpickle.list_registry_pickle_by_value()
