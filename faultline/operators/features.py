@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from faultline.functions import binning
 from faultline.functions.scalar import cyclic_time, safe_cbrt, safe_log, safe_sqrt

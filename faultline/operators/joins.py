@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.documents import KEY_OF, with_detail_values
-from faultline.operators.ordered import PART, POS, carry_forward, lay_out
+from faultline.operators.ordered import carry_forward, lay_out
 
 
 def combine_first(left: DataFrame, right: DataFrame, key: str = "idx") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +60,3 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: tuple[str
 def huber_expr(actual: str, predicted: str, delta: float = 1.0) -> Column:
     e = F.abs(_residual(actual, predicted))
     return F.avg(F.when(e <= delta, 0.5 * e * e).otherwise(delta * (e - 0.5 * delta)))
-
-
-def is_finite(x: float | None) -> bool:
-    return x is not None and math.isfinite(x)
