@@ -1,8 +1,10 @@
 """Quality rules with an isolation forest on their statistics.
 
 Trees split a random statistic at a random value; a document that few splits set apart from ordinary ones has a short
-path. Trees grow on labelled good rows, a bounded sample of ``fit_rows`` of them (the smallest hashes of their ids); the
-path length below which a document is an anomaly is set from all labelled rows.
+path. Trees grow on the good ones of a bounded sample of ``fit_rows`` labelled rows (the smallest hashes of their ids),
+inside the box that all rows of the sample span: ordinary texts have no symbols at all, so a cut between them and
+junk must be able to fall where no ordinary row lies. The path length below which a document is an anomaly is set from
+all labelled rows.
 """
 
 from __future__ import annotations
@@ -14,7 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.textstats import COUNTS, features
+from faultline.llm.textstats import COUNTS, FEATURES, features
+
+#: The statistics of the rules: word length, symbols, repetition, capitals, digits, table bars, exclamations.
+RULES = ["log_word_length", "symbols", "dup_lines", "repeats", "log_distinct", "upper", "digits", "bars", "shouts"]
+_COLUMNS = [FEATURES.index(r) for r in RULES]
 
 FIT_ROWS = 16_384     # bound of the sample the trees grow on
 TREES, SAMPLE = 128, 256
@@ -49,44 +55,46 @@ class Forest:
         return np.exp2(-total / len(self.feature) / max(float(expected_path(self.sample)), 1e-9))
 
 
-def grow(x: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 17) -> Forest:
-    """A forest over the rows of x; with no rows, one that finds everything ordinary."""
+def grow(x: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 17) -> Forest:
+    """A forest over the rows of x in the box [low, high]; with no rows, one that finds everything alike."""
     rng, grown = np.random.default_rng(seed), []
     sample = min(sample, len(x))
     limit = int(np.ceil(np.log2(max(sample, 2))))
     for _ in range(trees):
         nodes: list[list[float]] = []
 
-        def split(rows: np.ndarray, depth: int) -> None:
+        def split(rows: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> None:
             me = len(nodes)
             nodes.append([-1, 0.0, 0, depth + float(expected_path(len(rows)))])
-            low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(1), np.zeros(1))
             open_ = np.flatnonzero(high > low)
             if depth >= limit or len(rows) < 2 or not len(open_):
                 return
             f = int(rng.choice(open_))
             cut = float(rng.uniform(low[f], high[f]))
-            left = rows[:, f] < cut
-            split(rows[left], depth + 1)
+            left, below, above = rows[:, f] < cut, high.copy(), low.copy()
+            below[f] = above[f] = cut
+            split(rows[left], low, below, depth + 1)
             nodes[me] = [f, cut, len(nodes), 0.0]
-            split(rows[~left], depth + 1)
+            split(rows[~left], above, high, depth + 1)
 
-        split(x[rng.choice(len(x), sample, replace=False)] if sample else x, 0)
+        split(x[rng.choice(len(x), sample, replace=False)] if sample else x, low, high, 0)
         grown.append(nodes)
     size = max(map(len, grown))
     table = np.array([n + [[-1, 0.0, 0, 0.0]] * (size - len(n)) for n in grown])
     return Forest(table[..., 0].astype(np.int32), table[..., 1], table[..., 2].astype(np.int32), table[..., 3], max(sample, 1))
 
 
-def _matrix(rows: pa.RecordBatch) -> np.ndarray:
-    return features({c: rows.column(c).to_numpy(zero_copy_only=False) for c in COUNTS})
+def statistics(counted: dict[str, np.ndarray]) -> np.ndarray:
+    return features(counted)[:, _COLUMNS]
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", label: str = "quality", fit_rows: int = FIT_ROWS) -> Forest:
-    """Forest on at most ``fit_rows`` rows with label 1. ``labelled`` has the COUNTS and one label per row."""
-    good = labelled.filter(F.col(label) == 1).select(*COUNTS, F.xxhash64(F.col(key)).alias("_h")).orderBy("_h", *COUNTS).limit(fit_rows)
-    rows = good.drop("_h").toPandas()
-    return grow(features({c: rows[c].to_numpy() for c in COUNTS}))
+    """Forest from at most ``fit_rows`` rows with label 0 or 1. ``labelled`` has the COUNTS and one label per row."""
+    known = labelled.filter(F.col(label).isin(0, 1)).select(*COUNTS, F.col(label).alias("_y"), F.xxhash64(F.col(key)).alias("_h"))
+    rows = known.orderBy("_h", *COUNTS).limit(fit_rows).toPandas()
+    x = statistics({c: rows[c].to_numpy() for c in COUNTS})
+    low, high = (x.min(0), x.max(0)) if len(x) else (np.zeros(x.shape[1]),) * 2
+    return grow(x[rows["_y"].to_numpy() == 1], low, high)
 
 
 def scored(counted: DataFrame, forest: Forest, name: str = "anomaly") -> DataFrame:
@@ -95,7 +103,7 @@ def scored(counted: DataFrame, forest: Forest, name: str = "anomaly") -> DataFra
 
     def run(batches):
         for rows in batches:
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(forest.score(_matrix(rows)))], names=[*rows.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(forest.score(statistics({c: rows.column(c).to_numpy(zero_copy_only=False) for c in COUNTS})))], names=[*rows.schema.names, name])
 
     return counted.select(*[f"`{c}`" for c in counted.columns if c != name]).mapInArrow(run, f"{schema}, {name} double")
 

@@ -90,8 +90,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = written(textstats.text_counts(table(spark, sf_dir, "documents")), "counts")
     labelled = with_labels(counted, table(spark, sf_dir, "labels"))
     forest = isolation.fit(labelled)
-    limit = isolation.threshold(isolation.scored(labelled, forest))
     failed = isolation.base_failed()
+    limit = isolation.threshold(isolation.scored(labelled.filter(~failed), forest))  # the forest judges what passed the rules
     return isolation.scored(counted, forest).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & (F.col("anomaly") < limit)).alias("kept"), "anomaly")
