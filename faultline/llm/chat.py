@@ -65,9 +65,9 @@ def examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     return built.select("conv_id", "example", "target", "text", start.alias("loss_start"), end.alias("loss_end"))
 
 
-def trained_text(text: Column = F.col("text"), start: Column = F.col("loss_start"), end: Column = F.col("loss_end")) -> Column:
+def trained_text() -> Column:
     """The text under an example's loss mask, unescaped."""
-    return unescape(F.substring(text, start + 1, end - start))
+    return unescape(F.substring("text", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")))
 
 
 def read_turns(text: Column) -> Column:

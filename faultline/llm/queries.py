@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, isolation, qda, textstats, urlrules
+from faultline.llm import chat, decontaminate, isolation, qda, textstats, urlrules
 from faultline.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# ---------------------------------------------------------------- 1: benchmark decontamination
+
+@query("op1_fm_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", decontaminate.n_hit_words().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
+
+
 # ---------------------------------------------------------------- 2: chat formatting
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
