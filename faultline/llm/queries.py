@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, decontaminate, isolation, qda, textstats, urlrules
+from faultline.llm import chat, decontaminate, isolation, partenum, qda, textstats, urlrules
 from faultline.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.examples(given.unionByName(probe)))
 
 
+# ---------------------------------------------------------------- 3: n-gram Jaccard join
+
+@query("op3_partenum_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.similar_documents(table(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------------- 4: url filters
 
 RULES = [
