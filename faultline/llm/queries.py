@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, decontaminate, isolation, partenum, qda, textstats, urlrules
+from faultline.llm import bpe, chat, decontaminate, frames, isolation, partenum, qda, textstats, urlrules
 from faultline.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +96,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+# ---------------------------------------------------------------- 5: token-id output
+
+@query("op5_seekable_frames")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        written_files = frames.write_ids(table(spark, sf_dir, "documents"), file.read(), end=0)
+    return frames.read_ids(written_files)
+
+
 # ---------------------------------------------------------------- 6: quality rules
 
 def with_labels(counted: DataFrame, labels: DataFrame) -> DataFrame:
@@ -114,6 +124,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~failed & (F.col("anomaly") < limit)).alias("kept"), "anomaly")
 
 
+# ---------------------------------------------------------------- 8: byte-level BPE
+
+@query("op8_bpe_fold")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
 # ---------------------------------------------------------------- 9: quality classifier
 
 LEAST_SCORE = 0.3
