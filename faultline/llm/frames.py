@@ -73,7 +73,7 @@ class Writer:
         listed = self.pack.compress(listed)
         seek = b"".join(struct.pack("<III", *row) for row in self.table) + struct.pack("<IBI", len(self.table), 0x80, SEEKABLE)
         self.sink.write(struct.pack("<II", DOCUMENTS, len(listed)) + listed)
-        self.sink.write(struct.pack("<II", SEEK_TABLE, len(seek)) + seek + struct.pack("<I", len(listed)))  # read from the end
+        self.sink.write(struct.pack("<II", SEEK_TABLE, len(seek)) + seek)
 
 
 class Reader:
@@ -82,14 +82,14 @@ class Reader:
     def __init__(self, source):
         self.source = source
         end = source.seek(0, os.SEEK_END)
-        source.seek(end - 13)
-        n, flags, magic, listed = struct.unpack("<IBII", source.read(13))
+        source.seek(end - 9)
+        n, flags, magic = struct.unpack("<IBI", source.read(9))
         if magic != SEEKABLE or flags != 0x80:
             raise ValueError("no seek table")
-        table = end - 13 - 12 * n
-        source.seek(table)
+        source.seek(end - 9 - 12 * n)
         rows = np.frombuffer(source.read(12 * n), "<u4").reshape(n, 3).astype(np.int64)
-        source.seek(table - 8 - listed)
+        source.seek(int(rows[:, 0].sum()))
+        _, listed = struct.unpack("<II", source.read(8))
         content = zstandard.ZstdDecompressor().decompress(source.read(listed))
         self.width, count = struct.unpack_from("<IQ", content)
         null = np.frombuffer(content, np.uint8, count, 12)
@@ -126,7 +126,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already fill the cores
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_string(tokenizer)
+        self.model = Tokenizer.from_str(tokenizer)
         self.model.encode_special_tokens = True
         self.width, self.end = width, end.to_bytes(width, "little")
         self.segments, self.known = Segments(), []
@@ -162,7 +162,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", te
     def run(batches):
         from tokenizers import Tokenizer
 
-        largest = max(Tokenizer.from_string(model.value).get_vocab_size() - 1, end)
+        largest = max(Tokenizer.from_str(model.value).get_vocab_size() - 1, end)
         width = 2 if largest < 1 << 16 else 4
         encoder, writer, rows, ids = None, None, 0, 0
         part = TaskContext.get().partitionId()
@@ -187,8 +187,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", te
             yield pa.RecordBatch.from_pylist([{"shard": part, "path": f"{out}/shard-{part:07d}.ids.zst", "n_docs": rows, "n_ids": ids}])
 
     # one row per file; collecting them runs the write exactly once
-    written_rows = ranged.mapInArrow(run, "shard int, path string, n_docs bigint, n_ids bigint").collect()
-    return spark.createDataFrame(written_rows, "shard int, path string, n_docs bigint, n_ids bigint")
+    written_rows = ranged.mapInArrow(run, "shard bigint, path string, n_docs bigint, n_ids bigint").collect()
+    return spark.createDataFrame(written_rows, "shard bigint, path string, n_docs bigint, n_ids bigint")
 
 
 def read_documents(path: str, wanted: set[int | None] | None = None) -> Iterator[tuple[int | None, int, np.ndarray]]:
