@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, chat, decontaminate, frames, isolation, partenum, qda, textstats, urlrules
+from faultline.llm import bpe, chat, crf, decontaminate, frames, isolation, partenum, qda, textstats, urlrules
 from faultline.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model(counted, table(spark, sf_dir, "labels"))
     return qda.score_counts(counted, model).select(
         "doc_id", qda.held_out().alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+
+
+# ---------------------------------------------------------------- 10: html extraction
+
+@query("op10_crf_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return crf.extract(pages, crf.fit(pages)).withColumn("n_chars", F.length("text").cast("bigint"))
