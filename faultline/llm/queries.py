@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, chat, crf, decontaminate, frames, isolation, partenum, qda, textstats, urlrules
+from faultline.llm import bpe, chat, crf, decontaminate, frames, isolation, partenum, qda, repeats, textstats, urlrules
 from faultline.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~failed & (F.col("anomaly") < limit)).alias("kept"), "anomaly")
 
 
+# ---------------------------------------------------------------- 7: suffix-array deduplication
+
+@query("op7_suffix_repeats")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", (F.octet_length("text") + removed).cast("bigint").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------- 8: byte-level BPE
 
 @query("op8_bpe_fold")
