@@ -262,7 +262,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     label = components(edges)
     classes = each.filter("size > 0").groupBy("class").agg(F.min("key").alias("rep"), F.min("root").alias("node")).filter("rep is not null")
     placed = written(classes.join(label, "node", "left").select("class", "rep", F.coalesce("component", "node").alias("cluster")), "classes")
-    crowds = placed.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1")
+    crowds = written(placed.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1"), "crowds")  # on its own, so that AQE can split a hot cluster in the join
     members = written(placed.join(crowds, "cluster").select(
         "cluster", "class", "rep", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).withColumn("block", F.pmod("class", "blocks").cast("int")), "members")
     few = members.count() <= FEW
