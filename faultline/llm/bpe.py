@@ -4,6 +4,10 @@ Documents are split into words (matches of the pattern) and each block of docume
 each word's bytes then merges, at every step, the leftmost neighbours with the smallest rank; ranks come from a literal map.
 Ids are turned back into bytes by concatenating the pieces they stand for. Blocks stay in the task that read them: nothing
 is shuffled, and a block holds BLOCK_BYTES of text or one document.
+
+The fold works on strings with one character per token, the character FIRST + id. Such characters compare as their ids, so
+the smallest merged character is the smallest rank; a word's state is its string and the merged character of each pair of
+neighbours.
 """
 
 from __future__ import annotations
@@ -20,8 +24,11 @@ from pyspark.sql import functions as F
 
 from faultline.llm.segments import Segments
 
-BLOCK_BYTES = 8 << 20
-BUCKETS = 1 << 16
+BLOCK_BYTES = 32 << 20
+BUCKETS = 1 << 17
+FIRST = 0x10000   # beyond the surrogates; room for a million ids
+EDGE = "!"        # stands before and after a word and has no rank
+REST = 1 << 30
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -30,128 +37,145 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """Ranked merges of one word's bytes in plain Python; the fold does the same."""
+    parts = [word[i:i + 1] for i in range(len(word))]
+    while len(parts) > 1:
+        found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not found:
+            break
+        i = min(found)[1]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is evaluated once."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
 class Ranks:
-    """The rank map and its inverse as literals. Bytes are two hex digits each; a map finds its key by a scan, so the
-    literal is an array of small maps, dealt out by the crc32 of the key."""
+    """The rank map as a literal: two neighbours to the token they make. A Spark map finds its key by a scan, so the literal
+    is an array of small maps, dealt out by the crc32 of the key."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+        buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
         for token, rank in ranks.items():
-            key = token.hex().upper()
-            buckets[crc32(key.encode()) % BUCKETS][key] = rank
-        pieces = [""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            pieces[rank] = token.hex().upper()
-        self._ranks, self._pieces = json.dumps(buckets), json.dumps(pieces)
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    key = chr(FIRST + a) + chr(FIRST + b)
+                    buckets[crc32(key.encode()) % BUCKETS][key] = chr(FIRST + rank)
+        self._pairs = json.dumps(buckets)
+        self.byte = {i: chr(FIRST + ranks[bytes([i])]) for i in range(256)}
+        # a word that is a token is that token, also where no merges lead to it
+        self._lone = {self.spell(t): chr(FIRST + r) for t, r in ranks.items() if len(t) > 1 and len(merge_bytes(t, ranks)) > 1}
+
+    def spell(self, word: bytes) -> str:
+        """A word as one character per byte."""
+        return word.decode("latin-1").translate(self.byte)
 
     def encode(self, words: Column) -> Column:
-        """array<array<int>> of an array of words in hex. A word that is a token is that token; else ranked merges."""
-        table = F.from_json(F.lit(self._ranks), "array<map<string,int>>")
-        return _let(table, lambda ranks: F.transform(words, lambda word: _encoded(word, ranks)))
-
-    def decode(self, ids: Column) -> Column:
-        """array<string> of an array of id arrays: the pieces of the ids one after the other, in hex."""
-        table = F.from_json(F.lit(self._pieces), "array<string>")
-        return _let(table, lambda pieces: F.transform(ids, lambda own: F.array_join(F.transform(own, lambda i: F.element_at(pieces, i + 1)), "")))
-
+        """array<string> of an array of spelled words: one character per token."""
+        table = F.from_json(F.lit(self._pairs), "array<map<string,string>>")
+        folded = _let(table, lambda pairs: F.transform(words, lambda word: _folded(word, pairs)))
+        if not self._lone:
+            return folded
+        known = F.from_json(F.lit(json.dumps(self._lone)), "map<string,string>")
+        return _let(known, lambda lone: F.zip_with(words, folded, lambda word, tokens: F.coalesce(F.element_at(lone, word), tokens)))
 
-def _rank(piece: Column, ranks: Column) -> Column:
-    return F.element_at(F.element_at(ranks, (F.crc32(piece.cast("binary")) % BUCKETS + 1).cast("int")), piece)
 
+def _merged(two: Column, pairs: Column) -> Column:
+    return F.element_at(F.element_at(pairs, (F.crc32(two.cast("binary")) % BUCKETS + 1).cast("int")), two)
 
-def _encoded(word: Column, ranks: Column) -> Column:
-    parts = F.transform(F.sequence(F.lit(1), (F.length(word) / 2).cast("int")), lambda i: F.substring(word, 2 * i - 1, F.lit(2)))
 
-    def folded(p: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: _rank(F.concat(F.element_at(p, i), F.element_at(p, i + 1)), ranks))
-        merged = F.aggregate(F.sequence(F.lit(2), F.size(p)), F.struct(p.alias("p"), pairs.alias("r")), lambda s, _: _merge(s, ranks), lambda s: s["p"])
-        return F.transform(merged, lambda x: _rank(x, ranks))
+def _folded(word: Column, pairs: Column) -> Column:
+    n = F.length(word)
+    parts = F.concat(F.lit(EDGE), word, F.lit(EDGE))
+    made = F.transform(F.sequence(F.lit(1), n + 1), lambda i: _merged(F.substring(parts, i, F.lit(2)), pairs))
+    start = F.struct(parts.alias("p"), made.alias("m"))
+    return F.aggregate(F.sequence(F.lit(1), n), start, lambda state, _: _step(state, pairs), lambda state: F.replace(state["p"], F.lit(EDGE), F.lit("")))
 
-    return F.when(word == "", F.array().cast("array<int>")).otherwise(
-        _let(_rank(word, ranks), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(parts, folded))))
 
+def _step(state: Column, pairs: Column) -> Column:
+    """One merge. As the string has an edge on either side, a pair that can merge has neighbours on both."""
+    parts, made = state["p"], state["m"]
 
-def _merge(state: Column, ranks: Column) -> Column:
-    """One step of the fold. State: the parts, and the rank of each part joined with the next (NULL: not a token)."""
-    def at(x: Column) -> Column:
-        parts, known, i = x["p"], x["r"], x["i"]
+    def at(i: Column) -> Column:
+        token = F.element_at(made, i)
+        before, after = F.substring(parts, i - 1, F.lit(1)), F.substring(parts, i + 2, F.lit(1))
+        return F.when(i.isNull(), state).otherwise(F.struct(
+            F.concat(F.substring(parts, F.lit(1), i - 1), token, F.substring(parts, i + 2, F.lit(REST))).alias("p"),
+            F.concat(F.slice(made, F.lit(1), i - 2), F.array(_merged(F.concat(before, token), pairs), _merged(F.concat(token, after), pairs)),
+                     F.slice(made, i + 2, F.lit(REST))).alias("m")))
 
-        def joined(merged: Column) -> Column:
-            none = F.array().cast("array<int>")
-            before = F.when(i > 1, F.concat(
-                F.slice(known, F.lit(1), i - 2), F.array(_rank(F.concat(F.element_at(parts, F.greatest(i - 1, F.lit(1))), merged), ranks)))).otherwise(none)
-            after = F.when(i + 1 < F.size(parts), F.concat(
-                F.array(_rank(F.concat(merged, F.element_at(parts, F.least(i + 2, F.size(parts)))), ranks)), F.slice(known, i + 2, F.size(parts)))).otherwise(none)
-            return F.struct(F.concat(F.slice(parts, F.lit(1), i - 1), F.array(merged), F.slice(parts, i + 2, F.size(parts))).alias("p"), F.concat(before, after).alias("r"))
+    return _let(F.array_position(made, F.array_min(made)).cast("int"), at)
 
-        return _let(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1)), joined)
 
-    least = F.array_min(state["r"])
-    position = F.array_position(state["r"], F.coalesce(least, F.lit(0))).cast("int")
-    return F.when(least.isNull(), state).otherwise(_let(F.struct(state["p"].alias("p"), state["r"].alias("r"), position.alias("i")), at))
-
-
-def _blocks(pattern: str):
-    """Documents to blocks: keys, the numbers of each document's words, and the distinct words in hex."""
+def _blocks(pattern: str, spell):
+    """Documents to blocks: keys, the numbers of each document's words, and the distinct words as they are spelled."""
     names = ["keys", "words", "sizes", "numbers"]
 
     def close(keys, documents, segments, split):
         numbers: dict[str, int] = {}
         pieces = [[numbers.setdefault(w, len(numbers)) for w in split.findall(s)] for s in segments.texts()]
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat_ = np.fromiter((w for p in pieces for w in p), np.uint32, int(size.sum()))
+        words = np.fromiter((w for p in pieces for w in p), np.uint32, int(size.sum()))
         start = np.cumsum(size) - size
-        lengths = np.fromiter(map(len, documents), np.int64, len(documents))
-        seg = np.fromiter((s for d in documents for s in d), np.int64, int(lengths.sum()))
-        n = size[seg]
-        take = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[seg], n)
-        ends = np.r_[0, np.cumsum(n)][np.cumsum(lengths)]
+        counted = np.zeros(len(documents), np.int64)
+        taken = []
+        for i, own in enumerate(documents):
+            n = size[own]
+            counted[i] = n.sum()
+            taken.append(words[np.arange(counted[i]) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[own], n)])
         keys = pa.concat_arrays(keys)
         return pa.RecordBatch.from_arrays([
             pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-            pa.array([[w.encode().hex().upper() for w in numbers]], pa.list_(pa.string())),
-            pa.array([np.diff(ends, prepend=0).astype("<i8").tobytes()], pa.binary()), pa.array([flat_[take].astype("<u4").tobytes()], pa.binary())], names=names)
+            pa.array([[spell(w.encode()) for w in numbers]], pa.list_(pa.string())),
+            pa.array([counted.astype("<i8").tobytes()], pa.binary()), pa.array([np.concatenate(taken).astype("<u4").tobytes()], pa.binary())], names=names)
 
     def run(batches):
         split = regex.compile(pattern)
         keys, documents, segments, size = [], [], Segments(), 0
         for batch in batches:
-            for at, text in enumerate(batch.column("text")):
-                text = text.as_py() or ""
-                keys.append(batch.column("key").slice(at, 1))
-                documents.append(segments.of(text))
-                size += len(text)
+            at = 0
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                documents.append(np.array(segments.of(text) if text else [], np.int32))
+                size += len(text or "")
                 if size >= BLOCK_BYTES:
-                    yield close(keys, documents, segments, split)
-                    keys, documents, segments, size = [], [], Segments(), 0
+                    yield close([*keys, batch.column("key").slice(at, i + 1 - at)], documents, segments, split)
+                    at, keys, documents, segments, size = i + 1, [], [], Segments(), 0
+            if at < batch.num_rows:
+                keys.append(batch.column("key").slice(at))
         if keys:
             yield close(keys, documents, segments, split)
 
     return run
 
 
-def _documents(batches):
-    """Blocks back to documents: ids as unsigned 32-bit little-endian, and the decoded bytes."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            keys = batch.column("keys").slice(row, 1).flatten()
-            ids = batch.column("ids").slice(row, 1).flatten()
-            bounds = np.frombuffer(ids.offsets.buffers()[1], np.int32, len(ids) + 1, ids.offsets.offset * 4)
-            values = np.asarray(ids.values).astype("<u4")
-            encoded = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            decoded = [bytes.fromhex(x) for x in batch.column("pieces").slice(row, 1).flatten().to_pylist()]
-            numbers = np.frombuffer(batch.column("numbers")[row].as_py(), "<u4")
-            ends = np.cumsum(np.frombuffer(batch.column("sizes")[row].as_py(), "<i8"))
-            for at in range(0, len(keys), 512):
-                own = [numbers[a:b].tolist() for a, b in zip(np.r_[0, ends][at:at + 512], ends[at:at + 512])]
-                yield pa.RecordBatch.from_arrays([
-                    keys.slice(at, 512), pa.array([b"".join([encoded[w] for w in ws]) for ws in own], pa.binary()),
-                    pa.array([b"".join([decoded[w] for w in ws]) for ws in own], pa.binary())], names=["key", "ids", "decoded"])
+def _documents(pieces: list[bytes]):
+    """Blocks back to documents: ids as unsigned 32-bit little-endian, and the pieces they stand for."""
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                keys = batch.column("keys").slice(row, 1).flatten()
+                tokens = batch.column("tokens").slice(row, 1).flatten().to_pylist()
+                values = np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - FIRST
+                n = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                first = np.cumsum(n) - n
+                numbers = np.frombuffer(batch.column("numbers")[row].as_py(), "<u4")
+                ends = np.r_[0, np.cumsum(np.frombuffer(batch.column("sizes")[row].as_py(), "<i8"))]
+                for at in range(0, len(keys), 64):
+                    ids, decoded = [], []
+                    for a, b in zip(ends[at:at + 64], ends[at + 1:at + 65]):
+                        own = numbers[a:b]
+                        m = n[own]
+                        found = values[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[own], m)]
+                        ids.append(found.tobytes())
+                        decoded.append(b"".join([pieces[t] for t in found.tolist()]))
+                    yield pa.RecordBatch.from_arrays([keys.slice(at, 64), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], names=["key", "ids", "decoded"])
+
+    return run
 
 
 def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,11 +186,13 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: s
     """
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
     table = Ranks(ranks)
-    blocks = source.mapInArrow(_blocks(pattern), f"keys array<{kind}>, words array<string>, sizes binary, numbers binary")
-    coded = blocks.select("keys", "sizes", "numbers", table.encode(F.col("words")).alias("ids"))
-    both = coded.select("keys", "sizes", "numbers", "ids", table.decode(F.col("ids")).alias("pieces"))
-    return both.mapInArrow(_documents, f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
+    blocks = source.mapInArrow(_blocks(pattern, table.spell), f"keys array<{kind}>, words array<string>, sizes binary, numbers binary")
+    coded = blocks.select("keys", "sizes", "numbers", table.encode(F.col("words")).alias("tokens"))
+    return coded.mapInArrow(_documents(pieces), f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
 
 
 def digests(coded: DataFrame, key: str = "doc_id") -> DataFrame:
