@@ -412,7 +412,17 @@ def _anchor_of(data: np.ndarray, at: np.ndarray, n: np.ndarray, length: int) ->
     return out
 
 
-def _cut_out(length: int, folder: str, width: int, anchors: str):
+def _whole_characters(gone: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Removed bytes of characters that are removed whole."""
+    if not len(data):
+        return gone
+    lead = (data & 0xC0) != 0x80
+    lead[0] = True
+    first = np.flatnonzero(lead)
+    return np.repeat(np.logical_and.reduceat(gone, first), np.diff(np.r_[first, len(data)]))
+
+
+def _cut_out(length: int, folder: str, width: int, anchors: str, whole: bool):
     """Documents without what smaller ones repeat: removed runs as [start, end) bytes, and the bytes that stay."""
     def run(batches):
         now = None
@@ -441,6 +451,8 @@ def _cut_out(length: int, folder: str, width: int, anchors: str):
                 np.add.at(marks, start, 1)
                 np.add.at(marks, start + length, -1)
             gone = np.cumsum(marks[:-1]) > 0
+            if whole:
+                gone = _whole_characters(gone, data)
             kept, spans = [], []
             for a, b in zip(offsets[:-1], offsets[1:]):
                 out = gone[a:b]
@@ -460,13 +472,14 @@ def _cut_out(length: int, folder: str, width: int, anchors: str):
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: bool = False, whole: bool = False) -> DataFrame:
     """(key, spans, text): each row's removed runs, as bytes [start, end) of its text, and the bytes that are left.
 
     A byte is removed if it lies in a string of ``length`` bytes that also starts in a row with a smaller key; repeats never
     cross rows, and are judged on the texts as given. A NULL text is empty, texts shorter than ``length`` stay whole, rows that
     share a key remove nothing from each other, a NULL key is larger than all others. Other columns are ignored, or come
-    along after the key if ``carry``; one named ``spans`` never does. The remaining bytes may start or end inside a character.
+    along after the key if ``carry``; one named ``spans`` never does. The remaining bytes may start or end inside a
+    character, unless ``whole`` keeps every character of which a byte remains.
     """
     extra = [f for f in docs.schema.fields if carry and f.name not in (key, text, "spans")]
     renamed = [T.StructField(f"_{i}", f.dataType) for i, f in enumerate(extra)]
@@ -487,5 +500,5 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     resolved = contexts.groupBy("bucket").applyInArrow(_resolve(length), "unit bigint, blob binary")
     resolved.groupBy("unit").applyInArrow(_store(found), "unit bigint").count()
     runs = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    cut = copied.mapInArrow(_cut_out(length, found, width, anchors), T.StructType([*fields, T.StructField("spans", runs), T.StructField("text", T.BinaryType())]))
+    cut = copied.mapInArrow(_cut_out(length, found, width, anchors, whole), T.StructType([*fields, T.StructField("spans", runs), T.StructField("text", T.BinaryType())]))
     return cut.select(F.col("key").alias(key), *[F.col(r.name).alias(f.name) for f, r in zip(extra, renamed)], "spans", F.col("text").alias(text))
