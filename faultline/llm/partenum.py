@@ -196,7 +196,7 @@ def _meet(rows: pa.Table) -> pa.Table:
 
 def _sets_of(n: int):
     """Whole sets of fetched texts, where they are the class that was asked for."""
-    names = ["cluster", "rep", "block", "blocks", "size", "sketch", "shingles"]
+    names = ["cluster", "class", "block", "blocks", "size", "sketch", "shingles"]
 
     def run(batches):
         for rows, data, offsets in chunks(batches, "text"):
@@ -219,15 +219,15 @@ def _compare(similar: tuple[int, int]):
     part, whole = similar
 
     def run(rows: pa.Table) -> pa.Table:
-        rep, at = np.unique(rows.column("rep").to_numpy(), return_index=True)
+        own, at = np.unique(rows.column("class").to_numpy(), return_index=True)
         rows = rows.take(pa.array(at))
         size = rows.column("size").to_numpy()
         side = rows.column("side").to_numpy()
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rep), SKETCH)
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(own), SKETCH)
         sets = [np.frombuffer(b, "<u8") for b in rows.column("shingles").to_pylist()]
-        label, links = np.arange(len(rep)), []
+        label, links = np.arange(len(own)), []
         inner = side.min() == side.max()
-        for i in range(len(rep)):
+        for i in range(len(own)):
             j = np.flatnonzero((label != label[i]) & (size * part <= size[i] * whole) & (size[i] * part <= size * whole))
             j = j[j > i] if inner else j[(j > i) & (side[j] != side[i])]
             most = (size[j] + size[i]) * (whole - part) // (whole + part)
@@ -238,7 +238,7 @@ def _compare(similar: tuple[int, int]):
                 a, b = (sets[i], sets[other]) if len(sets[i]) <= len(sets[other]) else (sets[other], sets[i])
                 same = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
                 if whole * same >= part * (len(a) + len(b) - same):
-                    links.append((rep[i], rep[other]))
+                    links.append((own[i], own[other]))
                     label[label == label[other]] = label[i]
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
@@ -250,8 +250,8 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Two documents link when intersection / union of their sets is at least ``similar`` (numerator, denominator);
     ``component_id`` is the smallest id reachable by links, the own one included. Without words (or NULL) a set is empty and
-    linked with nothing. Rows that share an id share no set; each is judged by its own text. A NULL id is given no
-    component by itself, but may join one. Other columns are ignored.
+    linked with nothing. Rows that share an id share no set; each is judged by its own text. A row without
+    an id links nothing, but takes the component of rows with the same set. Other columns are ignored.
     """
     source = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").cast("binary").alias("text"))
     total = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -267,12 +267,14 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "cluster", "class", "rep", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).withColumn("block", F.pmod("class", "blocks").cast("int")), "members")
     few = members.count() <= FEW
     fetched = source.join(F.broadcast(members) if few else members, F.col("key") == F.col("rep"))
-    sets = fetched.select("cluster", "class", "rep", "block", "blocks", "text").mapInArrow(
-        _sets_of(words), "cluster bigint, rep bigint, block int, blocks int, size bigint, sketch binary, shingles binary")
+    sets = fetched.select("cluster", "class", "block", "blocks", "text").mapInArrow(
+        _sets_of(words), "cluster bigint, class bigint, block int, blocks int, size bigint, sketch binary, shingles binary")
     met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("side"), "rep", "size", "sketch", "shingles")
+        "cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("side"), "class", "size", "sketch", "shingles")
     links = written(met.groupBy("cluster", "x", "y").applyInArrow(_compare(similar), "a bigint, b bigint"), "similar")
     found = components(links)
-    named = placed.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
+    joined = placed.join(found.select(F.col("node").alias("class"), "component"), "class", "left")
+    smallest = joined.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
+    named = joined.join(smallest, "component", "left").select("class", F.coalesce("least", "rep").alias("component_id"))
     linked = each.filter("size > 0").join(named, "class", "left").select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
     return linked.unionByName(each.filter("size = 0").select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.col("key").alias("component_id")))

@@ -34,7 +34,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- 1: benchmark decontamination
 
-@query("op1_fm_decontamination")
+PHRASES_SQL = r"""
+WITH b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), dw AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), hits AS (
+  SELECT dw.doc_id, dw.n, dw.p, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win
+), words AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS word FROM (SELECT DISTINCT doc_id, n, p FROM hits)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesce(items.n_items, 0) AS n_items,
+       coalesce(items.items_sha256, sha256('')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AND 20 * coalesce(words.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+
+@query("op1_fm_decontamination", PHRASES_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -89,7 +113,49 @@ RULES = [
 ]
 
 
-@query("op4_url_aliases")
+URL_SQL = r"""
+WITH RECURSIVE places AS (
+  SELECT page_id, url, html, nullif(trim(split_part(url, '#', 1)), '') AS node FROM pages
+), tags AS (
+  SELECT node AS a, unnest(regexp_extract_all(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is')) AS tag, 'href' AS kind FROM places
+  UNION ALL
+  SELECT node, unnest(regexp_extract_all(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is')), 'content' FROM places
+), targets AS (
+  SELECT a, CASE WHEN kind = 'href' THEN regexp_extract(tag, '\bhref\s*=\s*["'']?([^"''\s>]*)', 1, 'is')
+                 ELSE regexp_extract(tag, 'url\s*=\s*["'']?([^"''>]*)', 1, 'is') END AS b FROM tags
+), ends AS (
+  SELECT a, nullif(trim(split_part(replace(b, '&amp;', '&'), '#', 1)), '') AS b FROM targets WHERE a IS NOT NULL
+), links AS (
+  SELECT a, b FROM ends WHERE contains(b, '://') UNION SELECT b, a FROM ends WHERE contains(b, '://')
+), reach AS (
+  SELECT a AS node, a AS seen FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+), urls AS (
+  SELECT seen AS url, 0 AS page FROM reach UNION SELECT url, 1 FROM pages
+), cut AS (
+  SELECT DISTINCT url,
+    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM urls
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM cut
+), blocked AS (
+  SELECT r.node FROM reach r JOIN ruled u ON u.url = r.seen WHERE u.rule IS NOT NULL GROUP BY r.node
+  HAVING count(CASE WHEN u.rule IN ('com/', 'www.example.com/en/') THEN 1 END) = 0
+)
+SELECT p.page_id, coalesce(u.host, '') AS host, coalesce(u.path, '') AS path, u.rule,
+       CASE WHEN u.rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN u.rule IS NOT NULL THEN 'block'
+            WHEN b.node IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM places p LEFT JOIN ruled u ON u.url = p.url LEFT JOIN blocked b ON b.node = p.node
+"""
+
+
+@query("op4_url_aliases", URL_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = urlrules.judge(pages.select("page_id", "url"), RULES, urlrules.page_links(pages))
