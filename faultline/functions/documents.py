@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.scalar import numeric_text
+from faultline.session import written
 
 DEFAULT_KEYS = ("azimuthal-gap", "num-stations-used", "minimum-distance")
 ALL_KEYS = ("depth",) + DEFAULT_KEYS
@@ -44,20 +45,25 @@ def with_detail_values(df: DataFrame, body: str, keys: dict[str, str], products:
     )
 
 
-def key_paths(df: DataFrame, body: str, depth: int = 8) -> DataFrame:
-    """(path, n): how often every key path occurs. Array steps read ``[]``."""
-    spark_variant = F.try_parse_json(F.col(body))
-    level = df.select(F.lit("$").alias("path"), spark_variant.alias("v")).filter("v IS NOT NULL")
-    parts = []
-    for _ in range(depth):
-        level = level.select("path", F.expr("v")).selectExpr("path", "v").lateralJoin(
-            df.sparkSession.tvf.variant_explode(F.col("v").outer())
-        ).select(
+def key_paths(df: DataFrame, body: str) -> DataFrame:
+    """(path, n): how often every key path occurs, at any depth. Array steps read ``[]``.
+
+    Documents are parsed once. A level's values are written and opened for the next, until a level holds no object or
+    array any more; what a level costs shrinks with what is left of the documents.
+    """
+    level = df.select(F.lit("$").alias("path"), F.try_parse_json(F.col(body)).alias("v")).filter("v IS NOT NULL")
+    counts = []
+    while True:
+        opened = level.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
             F.concat("path", F.when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), "key"))).alias("path"),
-            F.col("value").alias("v"),
-        )
-        parts.append(level.select("path"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("path").agg(F.count("*").alias("n"))
+            F.col("value").alias("v"))
+        level = written(opened, "json-level")
+        if level.isEmpty():
+            break
+        counts.append(level.groupBy("path").agg(F.count("*").alias("n")))  # a path belongs to one level
+    if not counts:
+        return df.sparkSession.createDataFrame([], "path string, n bigint")
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out

@@ -11,7 +11,7 @@ from faultline.functions import binning
 from faultline.functions.scalar import cyclic_time, safe_cbrt, safe_log, safe_sqrt
 from faultline.operators.clean import convert_dmin, harmonise_types, model_base, numeric_columns
 from faultline.operators.ordered import ROW, lay_out, with_row_index
-from faultline.operators.profile import correlation, daily, fill_numeric, skew_table
+from faultline.operators.profile import adjusted_skew, correlation, daily, fill_numeric, skew_table
 from faultline.session import written
 from faultline.operators.windows import events_last, rolling_rows, split_sequential, time_since_last
 
@@ -72,12 +72,29 @@ def frequent_labels(df: DataFrame, column: str = "magType", share: float = MIN_L
     return [r[column] for r in rows]
 
 
+def onehot_names(df: DataFrame, column: str, labels: list[str]) -> dict[str, str]:
+    """Label → its column: the label itself, unless a column of the table or an earlier label has that name in any
+    case; then column_label, with a number if that is taken, too."""
+    taken = {c.lower() for c in df.columns if c != column} | {"others"}
+    out = {}
+    for lb in labels:
+        if lb == "others":
+            continue
+        name, n = lb, 1
+        while name.lower() in taken:
+            name, n = f"{column}_{lb}" + (f"_{n}" if n > 1 else ""), n + 1
+        taken.add(name.lower())
+        out[lb] = name
+    return out
+
+
 def hybrid_onehot(df: DataFrame, column: str = "magType", labels: list[str] | None = None) -> DataFrame:
-    """0/1 column per frequent label; everything else, NULL included, is ``others``."""
+    """0/1 column per frequent label, named by ``onehot_names``; everything else, NULL included, is ``others``."""
     labels = frequent_labels(df, column) if labels is None else labels
-    flags = {lb: F.coalesce(F.col(column) == lb, F.lit(False)).cast("int") for lb in labels if lb != "others"}
+    flags = {name: F.coalesce(F.col(column) == lb, F.lit(False)).cast("int") for lb, name in onehot_names(df, column, labels).items()}
     known = F.coalesce(F.col(column).isin(labels), F.lit(False)) if labels else F.lit(False)
-    return df.withColumns({**flags, "others": (~known).cast("int")}).drop(column)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != column and c.lower() != "others"]
+    return df.select(*kept, *[f.alias(n) for n, f in flags.items()], (~known).cast("int").alias("others"))
 
 
 def missing_flags(df: DataFrame) -> DataFrame:
@@ -86,8 +103,8 @@ def missing_flags(df: DataFrame) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Rank of the label in ascending order, 0-based."""
-    ranks = with_row_index(lay_out(df.select(column).distinct(), column))
+    """Rank of the label in ascending order, 0-based; NULL has none."""
+    ranks = with_row_index(lay_out(df.select(column).filter(F.col(column).isNotNull()).distinct(), column))
     return df.join(ranks.select(column, F.col(ROW).cast("int").alias(name)), column, "left")
 
 
@@ -157,18 +174,24 @@ def model_table(df: DataFrame, target: str = "mag", fit_on_train: bool = False,
     labels = frequent_labels(base)
     parts = split_sequential(hybrid_onehot(base, labels=labels))
     features = [c for c in numeric_columns(parts) if c not in ("idx", target)]
-    exclude = (*labels, "others") if skip_onehot else ()
-    train = parts.filter("split = 'train'")
-    done = None
-    for name in ("train", "valid", "test"):
-        piece = parts.filter(F.col("split") == name)
-        piece = skew_transform(piece, features, fit_on=train if fit_on_train else None, exclude=exclude)
-        piece = piece.withColumns({c: F.col(c).cast("double") for c in features})
-        if name == "train":
-            scale = fit_zscore(piece, [c for c in SCALED if c in features])
-        piece = scale.transform(piece)
-        done = piece if done is None else done.unionByName(piece)
-    return done
+    exclude = {*onehot_names(base, "magType", labels).values(), "others"} if skip_onehot else set()
+    parts = written(parts, "split")  # read for the skews, for the scale and for the result
+    curved = [c for c in features if c not in exclude]
+    skews = {r["split"]: r for r in parts.groupBy("split").agg(*[adjusted_skew(c).alias(c) for c in curved]).collect()}
+
+    def shaped(c: str) -> Column:
+        """The column under the transform that the skew of its split asks for."""
+        x = F.col(c).cast("double")
+        out = x
+        for split in skews:
+            skew = skews["train" if fit_on_train and "train" in skews else split][c]
+            changed = safe_log(x) if skew is not None and skew > 1 else safe_sqrt(x) if skew is not None and skew > 0.5 else None
+            if changed is not None:
+                out = F.when(F.col("split") == split, changed).otherwise(out)
+        return out
+
+    done = parts.select(*[shaped(c).alias(c) if c in curved else F.col(c).cast("double").alias(c) if c in features else F.col(c) for c in parts.columns])
+    return fit_zscore(done.filter("split = 'train'"), [c for c in SCALED if c in features]).transform(done)
 
 
 def legacy_features(df: DataFrame) -> DataFrame:

@@ -87,13 +87,11 @@ def payload(df: DataFrame, time: str = "timestamp") -> DataFrame:
     return df.withColumn(time, F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
-def payload_columns(df: DataFrame, time: str = "timestamp", limit: int = 100_000) -> DataFrame:
-    """One JSON object of column → list in time order, for short forecasts."""
-    if df.count() > limit:
-        raise ValueError("too many rows for one object; use payload()")
-    names = [c for c in df.columns if c != time]
-    rows = payload(df, time).agg(F.array_sort(F.collect_list(F.struct(time, *names))).alias("r"))
-    return rows.select(F.to_json(F.struct(*[F.col(f"r.{n}").alias(n) for n in (time, *names)])).alias("payload"))
+def payload_columns(df: DataFrame, series: str, time: str = "timestamp") -> DataFrame:
+    """(series, payload): per series one JSON object of column → list in time order, as long as its forecast."""
+    names = [c for c in df.columns if c not in (time, series)]
+    rows = payload(df, time).groupBy(series).agg(F.array_sort(F.collect_list(F.struct(time, *names))).alias("r"))
+    return rows.select(series, F.to_json(F.struct(*[F.col(f"r.{n}").alias(n) for n in (time, *names)])).alias("payload"))
 
 
 def test_report(df: DataFrame, scale: Scale, targets: tuple[str, ...], key: str = "idx") -> DataFrame:

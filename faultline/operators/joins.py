@@ -11,9 +11,17 @@ from faultline.functions.documents import KEY_OF, with_detail_values
 from faultline.operators.ordered import carry_forward, lay_out
 
 
+def require_unique(df: DataFrame, key: str) -> None:
+    """Raises if a key occurs twice; a patch with repeated keys would multiply rows."""
+    twice = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").first()
+    if twice:
+        raise ValueError(f"{twice['n']} rows for {key} = {twice[key]!r}")
+
+
 def combine_first(left: DataFrame, right: DataFrame, key: str = "idx") -> DataFrame:
     """Left rows only; NULLs patched from the right; right-only columns added;
-    columns in lexicographic order after the key. Keys are unique on both sides."""
+    columns in lexicographic order after the key. Repeated keys on the right raise."""
+    require_unique(right, key)
     mine, theirs = set(left.columns) - {key}, set(right.columns) - {key}
     joined = left.alias("l").join(right.alias("r"), key, "left")
 
@@ -26,10 +34,11 @@ def combine_first(left: DataFrame, right: DataFrame, key: str = "idx") -> DataFr
 
 
 def fill_from(left: DataFrame, patch: DataFrame, key: str = "idx") -> DataFrame:
-    """Only NULLs are overwritten, only in shared columns; column order is kept."""
+    """Only NULLs are overwritten, only in shared columns; column order is kept. Repeated keys in the patch raise."""
     shared = [c for c in left.columns if c in patch.columns and c != key]
     if not shared:
         return left
+    require_unique(patch, key)
     joined = left.alias("l").join(patch.select(key, *shared).alias("p"), key, "left")
     return joined.select(*[
         F.coalesce(F.col(f"l.`{c}`"), F.col(f"p.`{c}`").cast(left.schema[c].dataType)).alias(c)
@@ -52,9 +61,15 @@ def also_in(df: DataFrame, other: DataFrame, key: str = "idx") -> DataFrame:
 
 
 def detail_updates(links: DataFrame, documents: DataFrame, keys: dict[str, str] = KEY_OF) -> DataFrame:
-    """(link, found, value columns…): each distinct link looked up once, parsed once."""
+    """(link, found, value columns…): each distinct link looked up once, parsed once.
+
+    Of several documents of a link the latest counts, by ``fetched`` if the documents have it; then a readable one, the
+    longer one, the greater one.
+    """
     wanted = links.select(F.trim("detail").alias("link")).distinct()
-    docs = documents.select(F.trim("detail").alias("link"), "body")
+    latest = [F.col("fetched").alias("a")] if "fetched" in documents.columns else []
+    rank = F.struct(*latest, F.try_parse_json("body").isNotNull().alias("b"), F.length("body").alias("c"), F.col("body").alias("d"))
+    docs = documents.filter(F.col("body").isNotNull()).groupBy(F.trim("detail").alias("link")).agg(F.max_by("body", rank).alias("body"))
     joined = with_detail_values(wanted.join(docs, "link", "left"), "body", keys)
     return joined.select("link", F.coalesce(F.try_parse_json("body").isNotNull(), F.lit(False)).alias("found"), *keys)
 

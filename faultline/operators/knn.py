@@ -18,15 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from faultline.session import written
+from faultline.session import small_side, written
 
 LEAF_POINTS = 2_000       # points aimed at per leaf
+LEAF_LIMIT = 20_000       # points of a leaf that a task takes at once; a fuller leaf is asked in parts
 QUERY_BLOCK = 4_096       # queries per block within a leaf
 SAMPLE_PER_LEAF = 32      # sampled points that place the splits
 MAX_SAMPLE = 400_000      # bound on the driver's sample
 VISIT_ROWS = 2_000        # queries whose leaves are looked up together
 TILE = 2_000_000          # distances held at once
-RANK_DIGITS = 9           # distances equal to this many digits count as ties
+RANK_DIGITS = 9           # distances equal to this many digits rank as ties; what is returned is not rounded
 
 
 class _Grower:
@@ -126,7 +127,7 @@ def _distances(q: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
         total += np.where(ok, d * d, 0.0)
         shared += ok
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.round(np.sqrt(total * (width / shared)), RANK_DIGITS)
+        return np.sqrt(total * (width / shared))
 
 
 def _pattern(columns: list[str]) -> Column:
@@ -145,7 +146,7 @@ def nearest(
 ) -> DataFrame:
     """(key, rank, distance, donor, value): the k nearest donors of every query.
 
-    Ties go to the smaller donor key. ``payload`` is carried along from the donor.
+    Ties of the distance, to RANK_DIGITS digits, go to the smaller donor key. ``payload`` is carried along from the donor.
     ``width`` is the number of columns a distance stands for, if not all are given.
     Queries that share no column with any donor do not appear.
     """
@@ -181,11 +182,14 @@ def nearest(
 
     leaf = F.pandas_udf(leaf_of, "int")
     placed = written(kept.withColumn("leaf", leaf("pattern", *names)), "leaves")
+    # Where the sample was too small to cut a place finely, its leaf is taken in parts.
+    parts = placed.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_LIMIT).cast("int").alias("parts"))
+    parts = small_side(parts, "leaf-parts")
     first = questions.withColumn("leaf", leaf(F.lit(main), *names))
-    found = written(_answer(first, placed, p, k, width), "found")
+    found = written(_best(_answer(first, placed, parts, p, k, width), k), "found")
 
     # Distance of the k-th neighbour at home, then the other leaves within it.
-    reach = found.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
+    reach = found.groupBy("q").agg(F.count("*").alias("n"), (F.max("distance") + 10.0 ** -RANK_DIGITS).alias("far"))
     homes = first.join(reach, "q", "left").withColumn(
         "reach", F.when(F.col("n") >= k, F.col("far")).otherwise(F.lit(float("inf"))))
 
@@ -199,10 +203,9 @@ def nearest(
                 yield some.iloc[rows][["q", *names]].assign(leaf=leaves)
 
     schema = T.StructType([questions.schema["q"], *[questions.schema[n] for n in names], T.StructField("leaf", T.IntegerType())])
-    more = homes.select("q", *names, "leaf", "reach").mapInPandas(visits, schema)
-    candidates = found.unionByName(_answer(more, placed, p, k, width))
-    order = Window.partitionBy("q").orderBy("distance", "donor")
-    best = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    more = written(homes.select("q", *names, "leaf", "reach").mapInPandas(visits, schema), "visits")  # read for the blocks and the answers
+    candidates = found.drop("rank").unionByName(_answer(more, placed, parts, p, k, width))
+    best = _best(candidates, k)
     answers = best.groupBy("q").agg(F.collect_list(F.struct("rank", "distance", "donor", "value")).alias("near"))  # k entries
     per_vector = questions.join(answers, "q").drop("pattern")
     same = [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
@@ -240,18 +243,26 @@ def _plant(points: DataFrame, names: list[str]) -> tuple[dict, dict[int, tuple[n
     return trees.arrays(), patterns
 
 
-def _answer(questions: DataFrame, placed: DataFrame, p: int, k: int, width: int) -> DataFrame:
-    """k best donors of each question within the leaf it names.
+def _best(candidates: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each question's candidates, with their rank."""
+    order = Window.partitionBy("q").orderBy(F.round("distance", RANK_DIGITS), "donor")
+    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    A leaf with many questions is copied once per block of them.
+
+def _answer(questions: DataFrame, placed: DataFrame, parts: DataFrame, p: int, k: int, width: int) -> DataFrame:
+    """k best donors of each question within each part of the leaf it names.
+
+    A leaf with many questions is copied once per block of them, one with many donors is asked part by part.
     """
     names = [f"x{i}" for i in range(p)]
     blocks = questions.groupBy("leaf").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
-    blocks = F.broadcast(blocks)  # one row per leaf, and the tree bounds the leaves
-    asked = questions.select("q", *names, "leaf").join(blocks, "leaf").withColumn(
-        "block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int")).drop("blocks")
-    given = placed.select(*names, "donor", "value", "leaf").join(blocks, "leaf").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    shape = small_side(blocks.join(parts, "leaf"), "leaf-blocks")  # one row per leaf
+    asked = questions.select("q", *names, "leaf").join(shape, "leaf").withColumns({
+        "block": F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int"),
+        "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))}).drop("blocks", "parts")
+    given = placed.select(*names, "donor", "value", "leaf").join(shape, "leaf").withColumns({
+        "part": F.pmod(F.xxhash64("donor"), F.col("parts")).cast("int"),
+        "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}).drop("blocks", "parts")
     schema = T.StructType([
         questions.schema["q"], T.StructField("distance", T.DoubleType()), placed.schema["donor"], placed.schema["value"]])
 
@@ -264,9 +275,10 @@ def _answer(questions: DataFrame, placed: DataFrame, p: int, k: int, width: int)
         for start in range(0, len(q), step):
             d = _distances(q[start:start + step], x, width)
             d[np.isnan(d)] = np.inf
-            kth = np.partition(d, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(d), np.inf)
-            rows, cols = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
-            order = np.lexsort((donor[cols], d[rows, cols], rows))
+            ranked = np.round(d, RANK_DIGITS)
+            kth = np.partition(ranked, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(d), np.inf)
+            rows, cols = np.nonzero((ranked <= kth[:, None]) & np.isfinite(d))
+            order = np.lexsort((donor[cols], ranked[rows, cols], rows))
             rows, cols = rows[order], cols[order]
             first = np.searchsorted(rows, rows)            # where each query's donors begin
             best = np.arange(len(rows)) - first < k
@@ -275,7 +287,8 @@ def _answer(questions: DataFrame, placed: DataFrame, p: int, k: int, width: int)
                 "q": asked_[start + rows], "distance": d[rows, cols], "donor": donor[cols], "value": value[cols]}))
         return pd.concat(out, ignore_index=True)
 
-    return asked.groupBy("leaf", "block").cogroup(given.groupBy("leaf", "block")).applyInPandas(pick, schema)
+    keys = ("leaf", "block", "part")
+    return asked.groupBy(*keys).cogroup(given.groupBy(*keys)).applyInPandas(pick, schema)
 
 
 def majority(near: DataFrame, key: str = "idx") -> DataFrame:

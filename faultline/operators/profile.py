@@ -81,6 +81,9 @@ def sparsity(df: DataFrame, columns: list[str], limit: float = 0.4) -> DataFrame
     return ratio.withColumn("status", F.when(F.col("sparsity_ratio") > limit, "OUT").otherwise("IN"))
 
 
+_NOISE = 2e-16  # a double's rounding, relative to the value that is centred
+
+
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson r of all pairs (col_a, col_b, r), pairwise complete, 0 when degenerate.
 
@@ -101,7 +104,7 @@ def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
             n = max(g[present[a], present[b]], 1.0)
             sa, sb = g[x[a], present[b]], g[x[b], present[a]]
             va, vb = g[square[a], present[b]] - sa * sa / n, g[square[b], present[a]] - sb * sb / n
-            flat = va <= n * (1e-12 * mean[a]) ** 2 or vb <= n * (1e-12 * mean[b]) ** 2  # rounding noise only
+            flat = va <= n * (_NOISE * mean[a]) ** 2 or vb <= n * (_NOISE * mean[b]) ** 2  # no more than rounding gives
             rows.append((a, b, 0.0 if flat else float((g[x[a], x[b]] - sa * sb / n) / math.sqrt(va * vb))))
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 

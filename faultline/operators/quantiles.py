@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.operators.ordered import Ordered, lay_out, running_sum
+from faultline.session import small_side
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
@@ -35,7 +36,7 @@ def percentiles_of_counts(laid: Ordered, keys: list[str], probs: list[float]) ->
     covers = " OR ".join(f"(hi{i} >= b AND lo{i} < e)" for i in range(len(probs)))
     spots = ", ".join(f"struct({i} AS i, lo{i} AS lo, hi{i} AS hi, {x} - lo{i} AS part)" for i, x in enumerate(spans))
     rows = (
-        ranked.join(wanted, keys).withColumns({"b": F.col("_begin") - F.col("_first"), "e": F.col("_end") - F.col("_first")})
+        ranked.join(small_side(wanted, "ranks"), keys).withColumns({"b": F.col("_begin") - F.col("_first"), "e": F.col("_end") - F.col("_first")})
         .filter(covers).selectExpr(*keys, "_v", "n", "b", "e", f"inline(array({spots}))")
     )
 

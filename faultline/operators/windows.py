@@ -14,6 +14,7 @@ from faultline.functions.scalar import micros, seconds_between
 from faultline.operators.ordered import (
     PART, POS, ROW, Ordered, carry_forward, chunked, frame, home, lay_out, split_by_row, with_row_index,
 )
+from faultline.session import small_side
 
 DAY_US = 86_400_000_000
 
@@ -81,8 +82,9 @@ def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), v
     Work is linear in the rows whatever the window holds. A window is the head of
     its last day, the whole days before that, and the tail of its first day: running
     figures forward and backward inside each day, and a small table of days between.
+    Rows without a cell or a time stay, with NULL figures.
     """
-    points = df.groupBy(F.col(cell).alias("c"), micros(F.col("time")).alias("t")).agg(
+    points = df.filter(F.col(cell).isNotNull() & F.col("time").isNotNull()).groupBy(F.col(cell).alias("c"), micros(F.col("time")).alias("t")).agg(
         F.count(value).alias("n"), F.max(value).alias("v"))
     day = F.floor(F.col("at") / DAY_US)
     kind = df.schema[value].dataType
@@ -120,15 +122,23 @@ def rolling_days(df: DataFrame, cell: str, days: tuple[int, ...] = (1, 7, 30), v
         F.col("c").alias(cell), F.col("t").alias("_t"),
         *[(F.col("n_0") + F.col(f"n_{w}") + F.col(f"n{w}")).alias(f"eq_count_last_{w}d") for w in days],
         *[F.greatest("v_0", f"v_{w}", f"v{w}").alias(f"max_mag_last_{w}d") for w in days])
-    return df.withColumn("_t", micros(F.col("time"))).join(stats, [cell, "_t"]).drop("_t")
+    return df.withColumn("_t", micros(F.col("time"))).join(stats, [cell, "_t"], "left").drop("_t")
 
 
 def events_last(df: DataFrame, windows: tuple[int, ...] = (1, 7, 30, 90)) -> DataFrame:
     """w once at least w events have been seen in time order, else 0."""
-    rows = with_row_index(lay_out(df, "time", "idx"))
-    return rows.withColumns({
-        f"events_last_{w}": F.when(F.col(ROW) + 1 >= w, F.lit(w)).otherwise(F.lit(0)) for w in windows
-    }).drop(ROW, PART, POS)
+    # The first rows decide: a window is full from its w-th row on.
+    head = df.select("time", "idx").orderBy("time", "idx").limit(max(windows)).collect()
+
+    def full(w: int) -> Column:
+        if len(head) < w:
+            return F.lit(0)
+        time, idx = (F.lit(head[w - 1][c]).cast(df.schema[c].dataType) for c in ("time", "idx"))
+        if head[w - 1]["time"] is None:  # NULL times come first
+            return F.when(F.col("time").isNotNull() | (F.col("idx") >= idx), F.lit(w)).otherwise(F.lit(0))
+        return F.when((F.col("time") > time) | ((F.col("time") == time) & (F.col("idx") >= idx)), F.lit(w)).otherwise(F.lit(0))
+
+    return df.withColumns({f"events_last_{w}": full(w) for w in windows})
 
 
 def sequences(df: DataFrame, features: list[str], targets: list[str], window: int = 168, order: tuple[str, ...] = ("time", "idx")) -> DataFrame:
@@ -181,7 +191,9 @@ def split_stratified(df: DataFrame, stratum: Column | None, share: float = 0.2,
     rows = with_row_index(lay_out(marked, "_s", "_h", key)).drop(PART, POS)
     spans = rows.groupBy("_s").agg(F.min(ROW).alias("_first"), F.count("*").alias("_n"))
     taken = F.col(ROW) - F.col("_first") < F.round(F.col("_n") * share)
-    return rows.join(spans, "_s").withColumn("part", F.when(taken, "pred").otherwise("train")).drop(
+    spans = small_side(spans.withColumnRenamed("_s", "_stratum"), "strata")
+    joined = rows.join(spans, F.col("_s").eqNullSafe(F.col("_stratum"))).drop("_stratum")  # a NULL stratum is one, too
+    return joined.withColumn("part", F.when(taken, "pred").otherwise("train")).drop(
         "_s", "_h", ROW, "_first", "_n")
 
 

@@ -32,9 +32,9 @@ def _neighbours_sql(weight: float, full: bool, target: str = "gap", name: str =
         f"don_{name} AS (SELECT idx, {target} AS raw, {scaled(True)} FROM strat WHERE part = 'train' AND {target} IS NOT NULL), "
         f"ask_{name} AS (SELECT idx, 1.0 AS ratio, {scaled(True)} FROM strat WHERE part = 'train' AND {target} IS NULL UNION ALL "
         f"SELECT idx, {ratio}, {scaled(not full)} FROM strat WHERE part = 'pred' AND {target} IS NULL), "
-        f"pairs_{name} AS (SELECT q.idx, q.ratio, x.idx AS donor, x.raw, round(sqrt(({diff}) * (5.0 / ({shared}))), 9) AS d "
+        f"pairs_{name} AS (SELECT q.idx, q.ratio, x.idx AS donor, x.raw, sqrt(({diff}) * (5.0 / ({shared}))) AS d "
         f"FROM ask_{name} q, don_{name} x), "
-        f"near_{name} AS (SELECT * FROM pairs_{name} QUALIFY row_number() OVER (PARTITION BY idx ORDER BY d, donor) <= 5), "
+        f"near_{name} AS (SELECT * FROM pairs_{name} QUALIFY row_number() OVER (PARTITION BY idx ORDER BY round(d, 9), donor) <= 5), "
         f"{name} AS (SELECT idx, any_value(ratio) * coalesce(avg(raw) FILTER (d = 0), "
         f"sum(raw / nullif(d, 0)) / sum(1 / nullif(d, 0))) AS {target} FROM near_{name} GROUP BY idx)"
     )
@@ -140,9 +140,9 @@ _VOTE = ["latitude", "longitude", "rms"]
 _NEAR_LABELS = (
     f"{STRATIFIED}, sd AS (SELECT {', '.join(f'coalesce(nullif(stddev_samp({c}), 0), 1) AS s_{c}' for c in _VOTE)} FROM strat WHERE part = 'train'), "
     f"sc AS (SELECT idx, part, magType, {', '.join(f'{c} / s_{c} AS {c}' for c in _VOTE)} FROM strat, sd), "
-    "pairs AS (SELECT q.idx, q.magType AS actual, x.idx AS donor, x.magType AS label, round(sqrt("
-    + " + ".join(f"(q.{c} - x.{c}) ** 2" for c in _VOTE) + "), 9) AS distance FROM sc q, sc x WHERE q.part = 'pred' AND x.part = 'train'), "
-    "near AS (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY distance, donor) AS rank FROM pairs QUALIFY rank <= 5)"
+    "pairs AS (SELECT q.idx, q.magType AS actual, x.idx AS donor, x.magType AS label, sqrt("
+    + " + ".join(f"(q.{c} - x.{c}) ** 2" for c in _VOTE) + ") AS distance FROM sc q, sc x WHERE q.part = 'pred' AND x.part = 'train'), "
+    "near AS (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY round(distance, 9), donor) AS rank FROM pairs QUALIFY rank <= 5)"
 )
 
 
@@ -486,8 +486,8 @@ def _(spark, d):
 def _series(spark, d):
     from faultline.functions import binning
     cat = impute.ridge_fill(_measured_with_time(spark, d))[0]
-    bins = binning.fit_bins(cat, ["latitude", "longitude"], 5)
-    return binning.spatial_bins(cat, bins).withColumn("cell", F.col("lat_bin") * 5 + F.col("lon_bin"))
+    bins = binning.fit_bins(cat, ["latitude", "longitude"], 50)
+    return binning.spatial_bins(cat, bins).withColumn("cell", F.col("lat_bin") * 50 + F.col("lon_bin"))
 
 
 def _measured_with_time(spark, d):
@@ -519,7 +519,7 @@ def _forecast_sql(steps: int = 48) -> str:
     return (
         f"WITH RECURSIVE {filled}, {ridge}, "
         f"series AS (SELECT idx, time, mag, coalesce(dmin, {_RIDGE_PRED}) AS dmin, rms, latitude, longitude FROM gapped, rfit), "
-        f"{bin_ctes('series', 5)}, sc AS MATERIALIZED (SELECT idx, time, CAST(lat_bin * 5 + lon_bin AS INT) AS cell, {scaled} FROM binned), "
+        f"{bin_ctes('series', 50)}, sc AS MATERIALIZED (SELECT idx, time, CAST(lat_bin * 50 + lon_bin AS INT) AS cell, {scaled} FROM binned), "
         f"lim2 AS (SELECT {limits} FROM series), lg AS (SELECT *, {lags} FROM sc WINDOW o AS (PARTITION BY cell ORDER BY time, idx)), "
         f"{_solve_sql(names, known, 0.0, _TARGETS)}, "
         f"nw AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY time DESC, idx DESC) AS rn FROM sc QUALIFY rn <= {_LAGS}), "
@@ -536,9 +536,6 @@ def _(spark, d):
 
 
 @query("sink_forecast_payload",
-       "SELECT strftime((SELECT max(time) FROM cat) + step * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, "
-       + r("(SELECT avg(mag) FROM cat)", "mag") + " FROM (SELECT unnest(range(1, 25)) AS step)")
+       f"SELECT cell, strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, mag, dmin, rms FROM ({_forecast_sql()})")
 def _(spark, d):
-    cat = views.catalog(spark, d)
-    mean = cat.agg(F.avg("mag")).first()[0]
-    return forecast.payload(windows.forecast_hours(cat, 1).select("timestamp", F.lit(mean).alias("mag")))
+    return forecast.payload(forecast.forecast(_series(spark, d), "cell", days=2, lags=_LAGS))

@@ -102,6 +102,26 @@ def _(spark, d):
     return loaded.groupBy("magType").agg(F.count("*").alias("n"), F.sum("mag").alias("mag_sum"))
 
 
+@query("sink_load_all",
+       "SELECT CASE WHEN magType IN ('ml', 'md') THEN 'faultline_raw' ELSE 'faultline_prepped' END AS schema, "
+       "concat('feed_magtype_', lower(magType)) AS \"table\", count(*) AS n, " + r("sum(mag)", "mag_sum") + " FROM cat WHERE magType IN ('ml', 'md', 'mb') GROUP BY magType")
+def _(spark, d):
+    root = new_path(spark, "imports")
+    cat = views.catalog(spark, d).select("idx", "magType", "mag").filter(F.col("magType").isin("ml", "md", "mb"))
+    for label in ("ml", "md", "mb"):
+        folder = f"{root}/ready" if label == "mb" else root
+        cat.filter(F.col("magType") == label).coalesce(1).write.option("header", True).csv(f"{folder}/feed/magType={label}")
+    files = tables.discover_imports(spark, root, "ready", "faultline_raw", "faultline_prepped")
+    # a writer's part files carry random names; the folder names the table
+    files = files.withColumn("table", tables.table_name(F.regexp_extract("path", r"(feed/magType=[^/]*)/[^/]*$", 1)))
+    loaded = tables.load_all(files, lambda path: spark.read.csv(path, header=True, schema="idx bigint, magType string, mag double"))
+    sums = [spark.table(f"{x['schema']}.{x['table']}").agg(F.sum("mag").alias("mag_sum")).select(F.lit(x["table"]).alias("table"), "mag_sum") for x in loaded.collect()]
+    out = sums[0]
+    for s in sums[1:]:
+        out = out.unionByName(s)
+    return loaded.join(out, "table")
+
+
 @query("sink_clustered", "SELECT idx, magType, " + rs("latitude", "longitude") + " FROM cat WHERE latitude BETWEEN 10 AND 20 AND longitude BETWEEN 0 AND 90")
 def _(spark, d):
     path = new_path(spark, "clustered")
@@ -143,6 +163,15 @@ def _(spark, d):
     return jobs.sliding(stream, new_path(spark, "sliding"), "cell")
 
 
+@query("st_sliding_cell_30",
+       f"WITH {bin_ctes('cat', 10)}, w AS (SELECT unnest(generate_series(date_trunc('day', time) - INTERVAL 29 DAY, date_trunc('day', time), "
+       "INTERVAL 1 DAY)) AS starts, CAST(lat_bin * 10 + lon_bin AS INT) AS cell, mag FROM binned) "
+       f"SELECT starts, starts + INTERVAL 30 DAY AS ends, cell, count(mag) AS eq_count, {r('max(mag)', 'max_mag')} FROM w GROUP BY 1, 2, 3")
+def _(spark, d):
+    stream = _cells(spark, d, _stream(spark, d, "time", "mag", "latitude", "longitude")).select("time", "mag", "cell")
+    return jobs.sliding(stream, new_path(spark, "sliding"), "cell", days=30)
+
+
 @query("st_gap",
        f"WITH {bin_ctes('cat', 10)} SELECT idx, CAST(lat_bin * 10 + lon_bin AS INT) AS cell, "
        + r("epoch(time - lag(time) OVER (PARTITION BY lat_bin, lon_bin ORDER BY time, idx))", "pause_s") + " FROM binned")

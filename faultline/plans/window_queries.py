@@ -62,9 +62,9 @@ def _rows(w: int, keys: str) -> str:
 
 
 @query("win_rolling_rows",
-       f"WITH {bin_ctes('cat', 10)} SELECT idx, " + ", ".join(_rows(w, "lat_bin_mid, lon_bin_mid") for w in (1, 7, 30)) + " FROM binned")
+       f"WITH {bin_ctes('cat', 50)} SELECT idx, " + ", ".join(_rows(w, "lat_bin_mid, lon_bin_mid") for w in (1, 7, 30)) + " FROM binned")
 def _(spark, d):
-    out = windows.rolling_rows(_cells(spark, d, 10), ("lat_bin_mid", "lon_bin_mid"))
+    out = windows.rolling_rows(_cells(spark, d, 50), ("lat_bin_mid", "lon_bin_mid"))
     return out.select("idx", *[c for c in out.columns if "_last_" in c])
 
 
@@ -73,9 +73,9 @@ def _days(w: int) -> str:
     return f"count(mag) {over} AS eq_count_last_{w}d, {r(f'max(mag) {over}', f'max_mag_last_{w}d')}"
 
 
-@query("win_rolling_days", f"WITH {bin_ctes('cat', 10)} SELECT idx, " + ", ".join(_days(w) for w in (1, 7, 30)) + " FROM binned")
+@query("win_rolling_days", f"WITH {bin_ctes('cat', 50)} SELECT idx, " + ", ".join(_days(w) for w in (1, 7, 30)) + " FROM binned")
 def _(spark, d):
-    cells = _cells(spark, d, 10).withColumn("cell", F.col("lat_bin") * 10 + F.col("lon_bin"))
+    cells = _cells(spark, d, 50).withColumn("cell", F.col("lat_bin") * 50 + F.col("lon_bin"))
     out = windows.rolling_days(cells, "cell")
     return out.select("idx", *[c for c in out.columns if "_last_" in c])
 

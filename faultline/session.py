@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -55,6 +56,16 @@ def drop_written(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+FEW_ROWS = 100_000
+
+
+def small_side(df: DataFrame, label: str = "small", rows: int = FEW_ROWS) -> DataFrame:
+    """A narrow table for a join: written, counted, and broadcast only if it has few rows. A larger one is left to AQE,
+    which can split its hot keys."""
+    out = written(df, label)
+    return F.broadcast(out) if out.limit(rows + 1).count() <= rows else out
+
+
 def written(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.session import new_path
-
 NAME_LIMIT = 63
 
 
@@ -30,7 +30,7 @@ def discover_imports(spark: SparkSession, root: str, prepared: str, raw_schema:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root).select("path")
     )
-    rel = F.regexp_replace("path", rf"^.*?{root.rstrip('/')}/", "")
+    rel = F.regexp_replace("path", rf"^.*?{re.escape(root.rstrip('/'))}/", "")
     inside = rel.startswith(prepared.rstrip("/") + "/")
     out = files.select(
         "path", F.when(inside, prepared_schema).otherwise(raw_schema).alias("schema"),
@@ -51,21 +51,64 @@ def check_destinations(imports: DataFrame) -> None:
         raise ValueError(f"several files map to {clash['schema']}.{clash['table']}")
 
 
+def _beside(target: str, what: str) -> str:
+    """A name of the target's schema that is not in use."""
+    schema, _, table = target.rpartition(".")
+    return f"{schema}{'.' if schema else ''}_{what}_{table}_{uuid.uuid4().hex[:12]}"
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+
 def staged_load(df: DataFrame, target: str) -> DataFrame:
-    """Loads next to the target, then swaps. A failed load leaves the target as it was."""
+    """Loads next to the target, then swaps; the catalog places the files.
+
+    The old table is renamed, not dropped, before the new one takes its name, and gets it back if that fails; it goes
+    only after the swap. A load that fails or has no rows leaves the target as it was.
+    """
+    if not target.strip():
+        raise ValueError("a load needs a table name")
     spark = df.sparkSession
-    staging = f"_staging_{target}_{uuid.uuid4().hex[:12]}"
+    staging, backup = _beside(target, "staging"), _beside(target, "backup")
     try:
-        df.write.format("parquet").option("path", new_path(spark, staging)).saveAsTable(staging)
+        df.write.format("parquet").saveAsTable(staging)
         if spark.table(staging).isEmpty():
             raise ValueError("no rows to load")
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+        replaces = spark.catalog.tableExists(target)
+        if replaces:
+            _rename(spark, target, backup)
+        try:
+            _rename(spark, staging, target)
+        except Exception:
+            if replaces:
+                _rename(spark, backup, target)
+            raise
+        if replaces:
+            spark.sql(f"DROP TABLE {backup}")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
     return spark.table(target)
 
 
+def load_all(imports: DataFrame, read: Callable[[str], DataFrame]) -> DataFrame:
+    """(schema, table, n): every discovered file loaded into its table, schemas created first.
+
+    One staged load after the other; a file that fails stops the job and leaves the tables before it loaded, its own as
+    it was. ``imports`` has one row per file (see ``discover_imports``).
+    """
+    spark = imports.sparkSession
+    check_destinations(imports)
+    files = imports.orderBy("schema", "table").collect()
+    for schema in sorted({f["schema"] for f in files}):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    done = []
+    for f in files:
+        name = f"{f['schema']}.{f['table']}"
+        done.append((f["schema"], f["table"], staged_load(read(f["path"]), name).count()))
+    return spark.createDataFrame(done, "schema string, table string, n bigint")
+
+
 def write_clustered(df: DataFrame, path: str, *order: str) -> None:
     """Range-partitioned and sorted files, so that min/max statistics skip files.
     ``order`` ends in a unique column, so that a hot value is spread."""
@@ -74,4 +117,4 @@ def write_clustered(df: DataFrame, path: str, *order: str) -> None:
 
 def write_bucketed(df: DataFrame, table: str, column: str, buckets: int = 64) -> None:
     """Bucketed table for repeated joins on ``column``."""
-    df.write.bucketBy(buckets, column).sortBy(column).option("path", new_path(df.sparkSession, table)).mode("overwrite").saveAsTable(table)
+    df.write.bucketBy(buckets, column).sortBy(column).mode("overwrite").saveAsTable(table)

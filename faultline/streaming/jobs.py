@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from faultline.operators.joins import fill_from_details
 from faultline.operators.windows import time_since_last
 from faultline.functions.scalar import seconds_between
-from faultline.session import new_path
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -25,11 +24,12 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     return reader.parquet(folder)
 
 
-def run(stream: DataFrame, write: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
-    """Processes what is there now and stops."""
+def run(stream: DataFrame, write: Callable[[DataFrame, int], None], sink: str, mode: str = "append", checkpoint: str | None = None) -> None:
+    """Processes what is there now and stops. The checkpoint belongs to the sink, so that a rerun goes on where the last
+    run ended and its batch numbers go on, too."""
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(write).trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint or new_path(stream.sparkSession, "stream")).start()
+        .option("checkpointLocation", checkpoint or f"{sink.rstrip('/')}-checkpoint").start()
     )
     query.awaitTermination()
 
@@ -54,13 +54,13 @@ def newest(df: DataFrame, key: list[str], version: str) -> DataFrame:
 def ingest(stream: DataFrame, sink: str, checkpoint: str | None = None) -> DataFrame:
     """Catalogue of everything landed; of repeated ids the newest ``updated`` wins.
     Late and repeated rows are all stored, so nothing is lost to a watermark."""
-    run(stream, batch_writer(sink), checkpoint=checkpoint)
+    run(stream, batch_writer(sink), sink, checkpoint=checkpoint)
     landed = stream.sparkSession.read.parquet(sink)
     return newest(landed, ["idx"], "updated").drop("batch")
 
 
 def _updates(stream: DataFrame, sink: str, key: list[str], checkpoint: str | None) -> DataFrame:
-    run(stream, batch_writer(sink), mode="update", checkpoint=checkpoint)
+    run(stream, batch_writer(sink), sink, mode="update", checkpoint=checkpoint)
     return newest(stream.sparkSession.read.parquet(sink), key, "batch").drop("batch")
 
 
@@ -89,7 +89,7 @@ def sessions(stream: DataFrame, sink: str, cell: str, gap: str, delay: str = "1
     made = with_event_time(stream, delay).groupBy(F.session_window("event_time", gap), cell).agg(
         F.count("*").alias("events"), F.max("mag").alias("max_mag"))
     flat = made.select(cell, F.col("session_window.start").alias("starts"), F.col("session_window.end").alias("ends"), "events", "max_mag")
-    run(flat, batch_writer(sink), checkpoint=checkpoint)
+    run(flat, batch_writer(sink), sink, checkpoint=checkpoint)
     return _ntz(stream.sparkSession.read.parquet(sink).drop("batch"), "starts", "ends")
 
 
@@ -104,6 +104,7 @@ def pauses(stream: DataFrame, sink: str, cell: str, checkpoint: str | None = Non
 
     def write(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
+        df = df.persist()  # read for the gaps and for the last times
         rows = time_since_last(df, by=cell, name="pause_s")
         seen = df.groupBy(cell).agg(F.max("time").alias("last"))
         if batch > 0:
@@ -113,14 +114,15 @@ def pauses(stream: DataFrame, sink: str, cell: str, checkpoint: str | None = Non
             seen = seen.unionByName(before).groupBy(cell).agg(F.max("last").alias("last"))
         rows.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
         seen.write.mode("overwrite").parquet(f"{state}/batch={batch}")
+        df.unpersist()
 
-    run(stream, write, checkpoint=checkpoint)
+    run(stream, write, sink, checkpoint=checkpoint)
     return stream.sparkSession.read.parquet(sink).drop("batch")
 
 
 def patch(stream: DataFrame, documents: DataFrame, sink: str, checkpoint: str | None = None) -> DataFrame:
     """Missing nst/dmin/gap filled from the landed detail documents, batch by batch."""
-    run(stream, batch_writer(sink, lambda df: fill_from_details(df, documents)), checkpoint=checkpoint)
+    run(stream, batch_writer(sink, lambda df: fill_from_details(df, documents)), sink, checkpoint=checkpoint)
     return stream.sparkSession.read.parquet(sink).drop("batch")
 
 
@@ -136,5 +138,5 @@ def patch_jobs(stream: DataFrame, documents: DataFrame, sink: str, checkpoint: s
             todo = not_processed(todo, done)
         fill_from_details(todo, documents).write.mode("overwrite").parquet(f"{sink}/batch={batch}")
 
-    run(stream, write, checkpoint=checkpoint)
+    run(stream, write, sink, checkpoint=checkpoint)
     return stream.sparkSession.read.parquet(sink).drop("batch")

@@ -33,15 +33,25 @@ def _brute(queries, donors, k, width):
         d = q[i] - x
         shared = (~np.isnan(d)).sum(axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.round(np.sqrt(np.nansum(d * d, axis=1) * (width / shared)), knn.RANK_DIGITS)
+            dist = np.sqrt(np.nansum(d * d, axis=1) * (width / shared))
         ok = np.flatnonzero(shared > 0)
-        best = ok[np.lexsort((donors.idx.to_numpy()[ok], dist[ok]))][:k]
+        best = ok[np.lexsort((donors.idx.to_numpy()[ok], np.round(dist, knn.RANK_DIGITS)[ok]))][:k]
         out[idx] = [(donors.idx.iloc[j], dist[j], donors.value.iloc[j]) for j in best]
     return out
 
 
-@pytest.mark.parametrize("leaf, block", [(20, 16), (2000, 4096)])
-def test_nearest_equals_brute_force(spark, monkeypatch, leaf, block):
+def test_small_distances_are_returned_as_they_are(spark):
+    row = "idx bigint, a double, value double"
+    donors = spark.createDataFrame([(1, 1e-10, 1.0), (2, 3e-10, 2.0), (3, 5.0, 3.0)], row)
+    got = knn.nearest(spark.createDataFrame([(9, 0.0, 0.0)], row), donors, ["a"], 2, "value").orderBy("rank").collect()
+    assert [(r["donor"], r["distance"]) for r in got] == [(1, pytest.approx(1e-10, rel=1e-6)), (2, pytest.approx(3e-10, rel=1e-6))]
+
+
+@pytest.mark.parametrize("leaf, block, limit, sample", [(20, 16, 20_000, 400_000), (2000, 4096, 20_000, 400_000), (20, 64, 30, 20)])
+def test_nearest_equals_brute_force(spark, monkeypatch, leaf, block, limit, sample):
+    """Also with a sample that is far too small for the leaves: they are asked in parts of bounded size."""
+    monkeypatch.setattr(knn, "LEAF_LIMIT", limit)
+    monkeypatch.setattr(knn, "MAX_SAMPLE", sample)
     monkeypatch.setattr(knn, "LEAF_POINTS", leaf)
     monkeypatch.setattr(knn, "QUERY_BLOCK", block)
     donors, queries = _data(1, 600), _data(2, 240)

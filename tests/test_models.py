@@ -193,11 +193,10 @@ def test_forecast_equals_a_plain_recursion(spark):
 
 
 def test_payload(spark):
-    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 678000), 1.0), (dt.datetime(2024, 1, 1), 2.0)], "timestamp timestamp_ntz, mag double")
-    assert forecast.payload_columns(df).first()["payload"] == (
-        '{"timestamp":["2024-01-01 00:00:00.000000","2024-01-02 03:04:05.678000"],"mag":[2.0,1.0]}')
-    with pytest.raises(ValueError):
-        forecast.payload_columns(df, limit=1)
+    rows = [(7, dt.datetime(2024, 1, 2, 3, 4, 5, 678000), 1.0), (7, dt.datetime(2024, 1, 1), 2.0), (8, dt.datetime(2024, 1, 1), 3.0)]
+    df = spark.createDataFrame(rows, "cell int, timestamp timestamp_ntz, mag double")
+    got = {r["cell"]: r["payload"] for r in forecast.payload_columns(df, "cell").collect()}
+    assert got[7] == '{"timestamp":["2024-01-01 00:00:00.000000","2024-01-02 03:04:05.678000"],"mag":[2.0,1.0]}' and '[3.0]' in got[8]
 
 
 def test_mean_fill(spark):
