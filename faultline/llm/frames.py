@@ -13,7 +13,9 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
+from hashlib import sha256
 from zlib import crc32
 
 import numpy as np
@@ -25,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.segments import Segments
+from faultline.llm.segments import cut, kept
 from faultline.session import new_path
 
 FRAME_IDS = 1 << 16
 SHARD_BYTES = 16 << 20     # text per file
-CACHE = 400_000            # segments a task remembers
+CACHE = 1_200_000          # segments a worker remembers, about 250 bytes each
 DOCUMENTS, SEEK_TABLE, SEEKABLE = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 
 
@@ -120,7 +122,7 @@ class Reader:
 
 
 class Encoder:
-    """Ids of texts, a distinct segment encoded once; remembers up to CACHE segments."""
+    """Ids of texts; remembers up to CACHE distinct segments and encodes them once."""
 
     def __init__(self, tokenizer: str, width: int, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already fill the cores
@@ -128,18 +130,31 @@ class Encoder:
 
         self.model = Tokenizer.from_str(tokenizer)
         self.model.encode_special_tokens = True
-        self.width, self.end = width, end.to_bytes(width, "little")
-        self.segments, self.known = Segments(), []
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE:
-            self.segments, self.known = Segments(), []
-        numbered = [self.segments.of(t) if t else [] for t in texts]
-        new = self.segments.texts(len(self.known))
-        for start in range(0, len(new), 10_000):
-            self.known += [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.model.encode_batch_fast(new[start:start + 10_000], add_special_tokens=False)]
+        self.code, self.end = "H" if width == 2 else "I", end.to_bytes(width, "little")
+        self.known: dict[str, bytes] = {}
+
+    def _raw(self, segments: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.model.encode_batch_fast(segments, add_special_tokens=False)]
+
+    def encode(self, text: str | None) -> bytes:
+        """The text's ids and the end id, little-endian."""
+        if not text:
+            return self.end
+        first, *rest = cut(text)
         known = self.known
-        return [b"".join([known[n] for n in own]) + self.end for own in numbered]
+        new = [p for p in set(rest) if p not in known]
+        if new:
+            if len(known) > CACHE:
+                known.clear()
+                new = list(set(rest))
+            known.update(zip(new, self._raw([" " + p for p in new])))
+        return b"".join([*self._raw([first]), *map(known.__getitem__, rest), self.end])
+
+
+def _largest_id(tokenizer: str) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_str(tokenizer).get_vocab(with_added_tokens=True).values(), default=0)
 
 
 def write_ids(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
@@ -158,26 +173,25 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", te
     shards = max(spark.sparkContext.defaultParallelism, total // SHARD_BYTES)
     ranged = ranged.repartitionByRange(shards, "key", "_h").sortWithinPartitions("key", "_h").drop("_h")
     model = spark.sparkContext.broadcast(tokenizer)
+    width = 2 if max(_largest_id(tokenizer), end) < 1 << 16 else 4
+    name = f"encoder-{sha256(tokenizer.encode()).hexdigest()}-{width}-{end}"
 
     def run(batches):
-        from tokenizers import Tokenizer
-
-        largest = max(Tokenizer.from_str(model.value).get_vocab_size() - 1, end)
-        width = 2 if largest < 1 << 16 else 4
         encoder, writer, rows, ids = None, None, 0, 0
         part = TaskContext.get().partitionId()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
                 if writer is None:
-                    encoder = Encoder(model.value, width, end)
+                    encoder = kept(name, lambda: Encoder(model.value, width, end))
                     files, base = open_folder(out)
                     files.create_dir(base, recursive=True)
                     final = f"{base}/shard-{part:07d}.ids.zst"
                     draft = f"{base}/.{part:07d}-{uuid.uuid4().hex}"
                     sink = files.open_output_stream(draft)
                     writer = Writer(sink, width)
-                for k, coded in zip(some.column("key").to_pylist(), encoder.encode(some.column("text").to_pylist())):
+                for k, text_ in zip(some.column("key").to_pylist(), some.column("text").to_pylist()):
+                    coded = encoder.encode(text_)
                     writer.add(k, coded)
                     rows, ids = rows + 1, ids + len(coded) // width
         if writer is not None:
