@@ -13,6 +13,8 @@ from faultline.session import written
 
 THRESHOLD_PROBS = [(10 + 80 * i / 19) / 100 for i in range(20)]
 TIE_DIGITS = 12       # relative gains equal to this many digits are ties
+CLASS_COLUMNS = 1_000 # up to so many classes a value's counts are columns, beyond that rows
+ROW_DIGITS = 9        # ties where the entropies come from running sums
 BROADCAST_NODES = 100_000
 
 NODE_SCHEMA = "node bigint, depth int, n bigint, feature int, threshold double, gain double, "
@@ -76,10 +78,10 @@ def variance_splits(rows: DataFrame, nodes: DataFrame, features: list[str]) -> D
     return _best(usable.withColumns({"gain": gain, "threshold": F.get("cuts", F.col("slot"))}))
 
 
-def _best(candidates: DataFrame) -> DataFrame:
+def _best(candidates: DataFrame, digits: int = TIE_DIGITS) -> DataFrame:
     """First feature, lowest threshold among the candidates of highest gain."""
     ranked = F.struct(
-        F.round(F.col("gain") / F.col("impurity"), TIE_DIGITS).alias("g"), (-F.col("feature")).alias("f"), (-F.col("threshold")).alias("t"))
+        F.round(F.col("gain") / F.col("impurity"), digits).alias("g"), (-F.col("feature")).alias("f"), (-F.col("threshold")).alias("t"))
     best = candidates.filter("impurity > 0").groupBy("node").agg(
         F.max_by(F.struct("feature", "threshold", "gain"), ranked).alias("b"), F.max(ranked).alias("r"))
     return best.filter("r.g > 0").select("node", "b.*")
@@ -115,6 +117,34 @@ def entropy_splits(rows: DataFrame, nodes: DataFrame, features: list[str], label
     return _best(usable.withColumns({"gain": gain, "threshold": F.col("v")}))
 
 
+def _x_log_x(count: Column) -> Column:
+    return F.when(count > 0, count * F.log(count)).otherwise(F.lit(0.0))
+
+
+def entropy_splits_by_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``entropy_splits`` for any number of classes: one row per node, feature, class and value.
+
+    Sums of c log c over the classes on either side change only by the classes that have rows of a value, so they
+    are running sums of those changes.
+    """
+    long = rows.select("node", "y", F.posexplode("x").alias("feature", "v"))
+    counts = long.groupBy("node", "feature", "y", "v").agg(F.count("*").alias("n"))
+    upto = running_sums(lay_out(counts, "node", "feature", "y", "v"), {"r": "n"})
+    spans = upto.groupBy("node", "feature", "y").agg(F.min(F.col("r") - F.col("n")).alias("b"), F.max("r").alias("e"))
+    left, all_ = F.col("r") - F.col("b"), F.col("e") - F.col("b")
+    steps = upto.join(spans, ["node", "feature", "y"]).groupBy("node", "feature", "v").agg(
+        F.sum("n").alias("n"), F.sum(_x_log_x(left) - _x_log_x(left - F.col("n"))).alias("dl"),
+        F.sum(_x_log_x(all_ - left) - _x_log_x(all_ - left + F.col("n"))).alias("dr"))
+    sums = running_sums(lay_out(steps, "node", "feature", "v"), {"r_n": "n", "r_l": "dl", "r_r": "dr"})
+    ends = sums.groupBy("node", "feature").agg(
+        F.min(F.col("r_n") - F.col("n")).alias("b_n"), F.max("r_n").alias("e_n"), F.min_by(F.col("r_l") - F.col("dl"), "v").alias("b_l"), F.max_by("r_r", "v").alias("e_r"))
+    joined = sums.join(ends, ["node", "feature"]).join(nodes.select("node", "impurity"), "node").withColumns({
+        "nl": F.col("r_n") - F.col("b_n"), "nr": F.col("e_n") - F.col("r_n")}).filter("nl > 0 AND nr > 0")
+    rest = _x_log_x(F.col("nl")) - (F.col("r_l") - F.col("b_l")) + _x_log_x(F.col("nr")) - (F.col("r_r") - F.col("e_r"))
+    gain = F.col("impurity") - rest / (F.col("nl") + F.col("nr"))
+    return _best(joined.withColumns({"gain": gain, "threshold": F.col("v")}), ROW_DIGITS)
+
+
 def _grow(
     rows: DataFrame, describe: Callable[[DataFrame], DataFrame], split: Callable[[DataFrame, DataFrame], DataFrame],
     max_depth: int, min_sample: int, value_type: str,
@@ -161,9 +191,17 @@ def fit_regression_tree(df: DataFrame, features: list[str], target: str, max_dep
 def fit_classification_tree(df: DataFrame, features: list[str], target: str, max_depth: int = 2, min_sample: int = 2) -> DataFrame:
     """Entropy tree; a leaf holds its most frequent label, ties to the smaller one."""
     rows = _rows(df.withColumn(target, F.col(target).cast("string")), features, target)
-    labels = [r["y"] for r in rows.select("y").distinct().orderBy("y").limit(1001).collect()]
-    if len(labels) > 1000:
-        raise ValueError("more than 1000 classes")
+    labels = [r["y"] for r in rows.select("y").distinct().orderBy("y").limit(CLASS_COLUMNS + 1).collect()]
+
+    def describe_by_rows(rows):
+        counts = rows.groupBy("node", "y").agg(F.count("*").alias("c"))
+        stats = counts.groupBy("node").agg(
+            F.sum("c").alias("n"), F.min(F.struct((-F.col("c")).alias("c"), "y")).alias("top"), F.sum(_x_log_x(F.col("c"))).alias("s"))
+        spread = F.log("n") - F.col("s") / F.col("n")
+        return stats.select("node", "n", F.col("top.y").alias("value"), F.when(-F.col("top.c") == F.col("n"), 0.0).otherwise(spread).alias("impurity"))
+
+    if len(labels) > CLASS_COLUMNS:
+        return _grow(rows, describe_by_rows, entropy_splits_by_rows, max_depth, min_sample, "string")
 
     def describe(rows):
         names = [f"c{i}" for i in range(len(labels))]

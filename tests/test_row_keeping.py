@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.functions.documents import key_paths
-from faultline.operators import features, joins, windows
+from faultline.operators import features, joins, tree, windows
 from faultline.operators.profile import correlation
 from faultline.sources import tables
 from faultline.streaming import jobs
@@ -126,3 +126,20 @@ def test_pauses_twice_on_one_sink(spark, tmp_path):
     got = jobs.pauses(source(), f"{tmp_path}/out", "cell")
     assert got.count() == 40 and got.filter("pause_s is null").count() == 3
     assert jobs.pauses(source(), f"{tmp_path}/out", "cell").count() == 40
+
+
+def test_entropy_tree_of_very_many_classes(spark, monkeypatch):
+    many = spark.range(3000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("z"), (F.col("id") % 1500).alias("y"))
+    grown = tree.fit_classification_tree(many, ["x", "z"], "y", max_depth=0)
+    root = grown.filter("node = 0").first()
+    assert root["n"] == 3000 and root["gain"] > 0 and grown.count() == 3
+    few = spark.range(400).select((F.col("id") % 37).cast("double").alias("x"), F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("z"),
+                                  F.when(F.col("id") % 37 < 11, "a").when(F.pmod(F.xxhash64("id"), F.lit(50)) < 20, "b").otherwise(F.concat(F.lit("c"), F.col("id") % 3)).alias("y"))
+    columns = {r["node"]: r for r in tree.fit_classification_tree(few, ["x", "z"], "y", max_depth=2).collect()}
+    monkeypatch.setattr(tree, "CLASS_COLUMNS", 2)
+    by_rows = {r["node"]: r for r in tree.fit_classification_tree(few, ["x", "z"], "y", max_depth=2).collect()}
+    assert set(columns) == set(by_rows)
+    for node, a in columns.items():
+        b = by_rows[node]
+        assert (a["n"], a["feature"], a["threshold"], a["value"]) == (b["n"], b["feature"], b["threshold"], b["value"])
+        assert a["gain"] is None or a["gain"] == pytest.approx(b["gain"])
