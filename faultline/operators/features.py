@@ -150,7 +150,7 @@ def drop_correlated(df: DataFrame, keep: tuple[str, ...] = ("idx",), limit: floa
 
 def event_features(df: DataFrame, filler: str = "mean", bins: int = 50) -> DataFrame:
     """Pause before each event, filled numerics, grid cell and the figures of its day."""
-    timed = time_since_last(df.select(*[c for c in EVENT_COLUMNS if c in df.columns]))
+    timed = written(time_since_last(df.select(*[c for c in EVENT_COLUMNS if c in df.columns])), "timed")  # read for the means, the bins, the days and the rows
     filled = fill_numeric(timed, [c for c in numeric_columns(timed) if c != "idx"], filler)
     edges = binning.fit_bins(filled, ["latitude", "longitude"], bins)
     celled = binning.encode_cells(binning.spatial_bins(filled, edges), edges).drop("lat_bin", "lon_bin")

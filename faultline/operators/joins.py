@@ -141,7 +141,8 @@ def asof_join(
     """Each left row with the latest right row at or before it (same ``by``).
 
     Both sides are put into one global order by (by, time, side, id) and the last
-    right row is carried forward, so no key has to fit into one task.
+    right row is carried forward, so no key has to fit into one task. The left rows
+    travel whole, so hand over the columns that are needed.
     """
     from faultline.functions.scalar import seconds_between
 

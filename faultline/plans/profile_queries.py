@@ -30,6 +30,15 @@ def _(spark, d):
     return profile.missing_summary(views.nonfinite(spark, d), ["x", "label"])
 
 
+@query("prof_numeric_columns", _each(
+    ["idx", "time_ms", "updated", "mag", "rms", "gap", "dmin", "nst", "felt", "tsunami", "sig", "longitude", "latitude", "elevation"],
+    "count({c}) AS present"))
+def _(spark, d):
+    cat = views.catalog(spark, d)
+    columns = clean.numeric_columns(cat)
+    return profile.per_column(cat, columns, {"present": F.count})
+
+
 @query("prof_missing_delta",
        "WITH j AS (SELECT c.nst, c.dmin, c.gap, coalesce(c.nst, p.nst) AS nst2, coalesce(c.dmin, p.dmin) AS dmin2, "
        "coalesce(c.gap, p.gap) AS gap2 FROM cat c LEFT JOIN patch p ON c.idx = p.old_idx) "

@@ -148,6 +148,16 @@ def _(spark, d):
     return jobs.ingest(_stream(spark, d, "idx", "updated", "time", "magType", "mag"), new_path(spark, "ingest"))
 
 
+@query("st_ingest_batches", "SELECT idx, updated, time, magType, " + r("mag", "mag") + " FROM cat")
+def _(spark, d):
+    """Several micro-batches, a third of the rows landed again in an older version."""
+    landing = new_path(spark, "landing")
+    cat = views.catalog(spark, d).select("idx", "updated", "time", "magType", "mag")
+    older = cat.filter("idx % 3 = 0").withColumns({"updated": F.col("updated") - 1, "mag": F.col("mag") + 1})
+    cat.unionByName(older).repartition(3).write.parquet(landing)
+    return jobs.ingest(jobs.file_stream(spark, landing, cat.schema, files_per_batch=1), new_path(spark, "ingest"))
+
+
 @query("st_daily", "SELECT CAST(time AS DATE) AS day, count(mag) AS mag_count, " + r("max(mag)", "mag_max") + ", "
        + r("avg(mag)", "mag_mean") + " FROM cat GROUP BY 1")
 def _(spark, d):
