@@ -42,18 +42,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _RUN = uuid.uuid4().hex
+_step = "main"
+
+
+def begin_step(name: str | None = None) -> str:
+    """What is written from now on goes to a folder of its own; returns the name of the step before."""
+    global _step
+    before, _step = _step, name or uuid.uuid4().hex
+    return before
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below this run's own folder."""
-    return f"{shared_folder(spark)}/faultline-{_RUN}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/faultline-{_RUN}/{_step}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_step(spark: SparkSession, name: str) -> None:
+    """Removes the intermediate tables of one step; results built on them must be stored first."""
+    _delete(spark, f"{shared_folder(spark)}/faultline-{_RUN}/{name}")
 
 
 def drop_written(spark: SparkSession) -> None:
     """Removes the intermediate tables of this run; results built on them must be
     stored first."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/faultline-{_RUN}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_folder(spark)}/faultline-{_RUN}")
 
 
 FEW_ROWS = 100_000
