@@ -1,9 +1,9 @@
 """Byte-level BPE with Spark higher-order functions.
 
-Documents are split into words (matches of the pattern) and each block of documents names its distinct words once. A fold over
-each word's bytes then merges, at every step, the leftmost neighbours with the smallest rank; ranks come from a literal map.
-Ids are turned back into bytes by concatenating the pieces they stand for. Blocks stay in the task that read them: nothing
-is shuffled, and a block holds BLOCK_BYTES of text or one document.
+Documents are split into words (matches of the pattern) and each block of documents names the words that are new to its task.
+A fold over each word's bytes then merges, at every step, the leftmost neighbours with the smallest rank; ranks come from a
+literal map. Ids are turned back into bytes by concatenating the pieces they stand for. Blocks stay in the task that read
+them: nothing is shuffled, a block holds BLOCK_BYTES of text or one document, a task remembers REMEMBERED words.
 
 The fold works on strings with one character per token, the character FIRST + id. Such characters compare as their ids, so
 the smallest merged character is the smallest rank; a word's state is its string and the merged character of each pair of
@@ -14,17 +14,19 @@ from __future__ import annotations
 
 import base64
 import json
-from zlib import crc32
+from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm.segments import Segments
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+REMEMBERED = 400_000  # words of a task after which it starts anew, about 250 bytes each
 BUCKETS = 1 << 17
 FIRST = 0x10000   # beyond the surrogates; room for a million ids
 EDGE = "!"        # stands before and after a word and has no rank
@@ -49,23 +51,39 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is evaluated once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def murmur3(keys: list[str]) -> np.ndarray:
+    """Spark's ``hash`` of strings of two four-byte characters, as signed integers."""
+    def turned(x, n):
+        return (x << np.uint32(n)) | (x >> np.uint32(32 - n))
+
+    words = np.frombuffer("".join(keys).encode(), "<u4").reshape(-1, 2)
+    h = np.full(len(words), 42, np.uint32)
+    for k in words.T:
+        h = turned(h ^ (turned(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    h ^= np.uint32(8)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64)
+
+
+def _constant(text: str, kind: str) -> Column:
+    """A value given as JSON, the same for all rows."""
+    one = SparkSession.active().createDataFrame([(text,)], "v string")
+    return one.select(F.from_json("v", kind)).scalar()
 
 
 class Ranks:
     """The rank map as a literal: two neighbours to the token they make. A Spark map finds its key by a scan, so the literal
-    is an array of small maps, dealt out by the crc32 of the key."""
+    is an array of small maps, dealt out by Spark's hash of the key. It stands in the plan as a scalar subquery, whose one
+    value Spark puts in its place when the query starts: written out, it would fill plans and event logs with megabytes."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        made = [(a, b, rank) for token, rank in ranks.items() for i in range(1, len(token))
+                if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
+        keys = [chr(FIRST + a) + chr(FIRST + b) for a, b, _ in made]
         buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
-        for token, rank in ranks.items():
-            for i in range(1, len(token)):
-                a, b = ranks.get(token[:i]), ranks.get(token[i:])
-                if a is not None and b is not None:
-                    key = chr(FIRST + a) + chr(FIRST + b)
-                    buckets[crc32(key.encode()) % BUCKETS][key] = chr(FIRST + rank)
+        for bucket, key, (_, _, rank) in zip((murmur3(keys) % BUCKETS).tolist(), keys, made):
+            buckets[bucket][key] = chr(FIRST + rank)
         self._pairs = json.dumps(buckets)
         self.byte = {i: chr(FIRST + ranks[bytes([i])]) for i in range(256)}
         # a word that is a token is that token, also where no merges lead to it
@@ -75,80 +93,101 @@ class Ranks:
         """A word as one character per byte."""
         return word.decode("latin-1").translate(self.byte)
 
-    def encode(self, words: Column) -> Column:
-        """array<string> of an array of spelled words: one character per token."""
-        table = F.from_json(F.lit(self._pairs), "array<map<string,string>>")
-        folded = _let(table, lambda pairs: F.transform(words, lambda word: _folded(word, pairs)))
-        if not self._lone:
-            return folded
-        known = F.from_json(F.lit(json.dumps(self._lone)), "map<string,string>")
-        return _let(known, lambda lone: F.zip_with(words, folded, lambda word, tokens: F.coalesce(F.element_at(lone, word), tokens)))
+    def with_tokens(self, df: DataFrame, words: str, name: str) -> DataFrame:
+        """Adds array<string> ``name`` for an array of spelled words: one character per token."""
+        df = df.withColumn("_pairs", _constant(self._pairs, "array<map<string,string>>"))
+        folded = F.transform(words, lambda word: _folded(word, F.col("_pairs")))
+        if self._lone:
+            df = df.withColumn("_lone", _constant(json.dumps(self._lone), "map<string,string>"))
+            folded = F.zip_with(words, folded, lambda word, tokens: F.coalesce(F.element_at("_lone", word), tokens))
+        return df.withColumn(name, folded).drop("_pairs", "_lone")
 
 
 def _merged(two: Column, pairs: Column) -> Column:
-    return F.element_at(F.element_at(pairs, (F.crc32(two.cast("binary")) % BUCKETS + 1).cast("int")), two)
+    return F.element_at(F.get(pairs, F.pmod(F.hash(two), F.lit(BUCKETS))), two)
 
 
 def _folded(word: Column, pairs: Column) -> Column:
+    """Ranked merges of a spelled word. Every merge takes two steps of the fold, one that finds its place and one that
+    makes it: a value that a step needs more than once is cheaper in the state than evaluated again."""
     n = F.length(word)
     parts = F.concat(F.lit(EDGE), word, F.lit(EDGE))
     made = F.transform(F.sequence(F.lit(1), n + 1), lambda i: _merged(F.substring(parts, i, F.lit(2)), pairs))
-    start = F.struct(parts.alias("p"), made.alias("m"))
-    return F.aggregate(F.sequence(F.lit(1), n), start, lambda state, _: _step(state, pairs), lambda state: F.replace(state["p"], F.lit(EDGE), F.lit("")))
+    start = F.struct(parts.alias("p"), made.alias("m"), F.lit(None).cast("int").alias("i"))
+    return F.aggregate(F.sequence(F.lit(1), 2 * n), start, lambda state, _: _step(state, pairs), lambda state: F.replace(state["p"], F.lit(EDGE), F.lit("")))
 
 
 def _step(state: Column, pairs: Column) -> Column:
-    """One merge. As the string has an edge on either side, a pair that can merge has neighbours on both."""
-    parts, made = state["p"], state["m"]
-
-    def at(i: Column) -> Column:
-        token = F.element_at(made, i)
-        before, after = F.substring(parts, i - 1, F.lit(1)), F.substring(parts, i + 2, F.lit(1))
-        return F.when(i.isNull(), state).otherwise(F.struct(
-            F.concat(F.substring(parts, F.lit(1), i - 1), token, F.substring(parts, i + 2, F.lit(REST))).alias("p"),
-            F.concat(F.slice(made, F.lit(1), i - 2), F.array(_merged(F.concat(before, token), pairs), _merged(F.concat(token, after), pairs)),
-                     F.slice(made, i + 2, F.lit(REST))).alias("m")))
-
-    return _let(F.array_position(made, F.array_min(made)).cast("int"), at)
+    """``i`` is the place of the next merge: NULL before it is sought, 0 when there is none left. As the string has an edge
+    on either side, a pair that can merge has neighbours on both."""
+    parts, made, i = state["p"], state["m"], state["i"]
+    token = F.element_at(made, i)
+    before, after = F.substring(parts, i - 1, F.lit(1)), F.substring(parts, i + 2, F.lit(1))
+    found = F.struct(parts.alias("p"), made.alias("m"), F.coalesce(F.array_position(made, F.array_min(made)).cast("int"), F.lit(0)).alias("i"))
+    merged = F.struct(
+        F.concat(F.substring(parts, F.lit(1), i - 1), token, F.substring(parts, i + 2, F.lit(REST))).alias("p"),
+        F.concat(F.slice(made, F.lit(1), i - 2), F.array(_merged(F.concat(before, token), pairs), _merged(F.concat(token, after), pairs)),
+                 F.slice(made, i + 2, F.lit(REST))).alias("m"),
+        F.lit(None).cast("int").alias("i"))
+    return F.when(i == 0, state).when(i.isNull(), found).otherwise(merged)
+
+
+class _Words:
+    """Distinct words of a task's documents, numbered as they come; segments are kept for one block."""
+
+    def __init__(self, pattern: str):
+        self.split, self.numbers = regex.compile(pattern).findall, {}
+        self.segments = Segments()
+
+    def close(self) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Words of the block's segments, where each segment's begin and end, and the words that are new to the task."""
+        words, ends = array("I"), array("q", [0])
+        known, numbers = len(self.numbers), self.numbers
+        for segment in self.segments.texts():
+            for word in self.split(segment):
+                words.append(numbers.setdefault(word, len(numbers)))
+            ends.append(len(words))
+        self.segments = Segments()
+        return np.array(words), np.array(ends), list(islice(numbers, known, None))
 
 
 def _blocks(pattern: str, spell):
-    """Documents to blocks: keys, the numbers of each document's words, and the distinct words as they are spelled."""
-    names = ["keys", "words", "sizes", "numbers"]
-
-    def close(keys, documents, segments, split):
-        numbers: dict[str, int] = {}
-        pieces = [[numbers.setdefault(w, len(numbers)) for w in split.findall(s)] for s in segments.texts()]
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        words = np.fromiter((w for p in pieces for w in p), np.uint32, int(size.sum()))
-        start = np.cumsum(size) - size
-        counted = np.zeros(len(documents), np.int64)
-        taken = []
-        for i, own in enumerate(documents):
-            n = size[own]
-            counted[i] = n.sum()
-            taken.append(words[np.arange(counted[i]) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[own], n)])
+    """Documents to blocks: keys, the numbers of each document's words, and the task's new words as they are spelled. After
+    REMEMBERED words numbering starts anew, which ``fresh`` says."""
+    names = ["keys", "words", "sizes", "numbers", "fresh"]
+
+    def close(keys, documents, held, fresh):
+        words, ends, new = held.close()
+        counted, taken = [], []
+        for own in documents:
+            n = ends[own + 1] - ends[own]
+            total = int(n.sum())
+            counted.append(total)
+            taken.append(words[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[own], n)])
         keys = pa.concat_arrays(keys)
         return pa.RecordBatch.from_arrays([
-            pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-            pa.array([[spell(w.encode()) for w in numbers]], pa.list_(pa.string())),
-            pa.array([counted.astype("<i8").tobytes()], pa.binary()), pa.array([np.concatenate(taken).astype("<u4").tobytes()], pa.binary())], names=names)
+            pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([[spell(w.encode()) for w in new]], pa.list_(pa.string())),
+            pa.array([np.array(counted, "<i8").tobytes()], pa.binary()), pa.array([np.concatenate(taken).astype("<u4").tobytes()], pa.binary()),
+            pa.array([fresh])], names=names)
 
     def run(batches):
-        split = regex.compile(pattern)
-        keys, documents, segments, size = [], [], Segments(), 0
+        held, fresh = _Words(pattern), True
+        keys, documents, size = [], [], 0
         for batch in batches:
             at = 0
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                documents.append(np.array(segments.of(text) if text else [], np.int32))
-                size += len(text or "")
+            for i, text in enumerate(batch.column("text")):
+                text = text.as_py() or ""
+                documents.append(np.array(held.segments.of(text) if text else [], np.int32))
+                size += len(text)
                 if size >= BLOCK_BYTES:
-                    yield close([*keys, batch.column("key").slice(at, i + 1 - at)], documents, segments, split)
-                    at, keys, documents, segments, size = i + 1, [], [], Segments(), 0
+                    yield close([*keys, batch.column("key").slice(at, i + 1 - at)], documents, held, fresh)
+                    at, keys, documents, size, fresh = i + 1, [], [], 0, len(held.numbers) > REMEMBERED
+                    if fresh:
+                        held = _Words(pattern)
             if at < batch.num_rows:
                 keys.append(batch.column("key").slice(at))
         if keys:
-            yield close(keys, documents, segments, split)
+            yield close(keys, documents, held, fresh)
 
     return run
 
@@ -156,24 +195,27 @@ def _blocks(pattern: str, spell):
 def _documents(pieces: list[bytes]):
     """Blocks back to documents: ids as unsigned 32-bit little-endian, and the pieces they stand for."""
     def run(batches):
+        values, n, decoded = np.zeros(0, "<u4"), np.zeros(0, np.int64), []
         for batch in batches:
             for row in range(batch.num_rows):
                 keys = batch.column("keys").slice(row, 1).flatten()
+                if batch.column("fresh")[row].as_py():
+                    values, n, decoded = values[:0], n[:0], []
                 tokens = batch.column("tokens").slice(row, 1).flatten().to_pylist()
-                values = np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - FIRST
-                n = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                new = np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - FIRST
+                values, n = np.r_[values, new].astype("<u4"), np.r_[n, np.fromiter(map(len, tokens), np.int64, len(tokens))]
+                decoded += [b"".join([pieces[ord(t) - FIRST] for t in word]) for word in tokens]
                 first = np.cumsum(n) - n
                 numbers = np.frombuffer(batch.column("numbers")[row].as_py(), "<u4")
                 ends = np.r_[0, np.cumsum(np.frombuffer(batch.column("sizes")[row].as_py(), "<i8"))]
                 for at in range(0, len(keys), 64):
-                    ids, decoded = [], []
+                    ids, texts = [], []
                     for a, b in zip(ends[at:at + 64], ends[at + 1:at + 65]):
                         own = numbers[a:b]
                         m = n[own]
-                        found = values[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[own], m)]
-                        ids.append(found.tobytes())
-                        decoded.append(b"".join([pieces[t] for t in found.tolist()]))
-                    yield pa.RecordBatch.from_arrays([keys.slice(at, 64), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], names=["key", "ids", "decoded"])
+                        ids.append(values[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[own], m)].tobytes())
+                        texts.append(b"".join(map(decoded.__getitem__, own.tolist())))
+                    yield pa.RecordBatch.from_arrays([keys.slice(at, 64), pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], names=["key", "ids", "decoded"])
 
     return run
 
@@ -190,8 +232,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: s
     for token, rank in ranks.items():
         pieces[rank] = token
     table = Ranks(ranks)
-    blocks = source.mapInArrow(_blocks(pattern, table.spell), f"keys array<{kind}>, words array<string>, sizes binary, numbers binary")
-    coded = blocks.select("keys", "sizes", "numbers", table.encode(F.col("words")).alias("tokens"))
+    blocks = source.mapInArrow(_blocks(pattern, table.spell), f"keys array<{kind}>, words array<string>, sizes binary, numbers binary, fresh boolean")
+    coded = table.with_tokens(blocks, "words", "tokens").drop("words")
     return coded.mapInArrow(_documents(pieces), f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 _MORE_SPACE = re.compile(r" (?:\s|\Z)")
 
@@ -42,8 +42,9 @@ class Segments:
             numbers[p] = len(numbers)
         return [head, *map(numbers.__getitem__, rest)]
 
-    def texts(self) -> list[str]:
-        return [s.decode() if isinstance(s, bytes) else " " + s for s in self.numbers]
+    def texts(self) -> Iterator[str]:
+        """The segments in the order of their numbers."""
+        return (s.decode() if isinstance(s, bytes) else " " + s for s in self.numbers)
 
 
 def kept(name: str, make: Callable[[], object]) -> object:

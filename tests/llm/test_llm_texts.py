@@ -311,6 +311,7 @@ def test_intervals_are_the_maximal_repeats():
 
 def test_bpe_equals_the_library(spark, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(bpe, "REMEMBERED", 500)
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = odd_rows()
