@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20    # text worked on at once; a longer document is a chunk of its own
+from faultline.llm.segments import kept
+
+CHUNK_BYTES = 1 << 20    # text worked on at once; a longer document is a chunk of its own
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
@@ -90,23 +92,26 @@ def owners(starts: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)), bounds
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _P and of its inverse, kept by the process and not in anything that is sent to workers."""
+    held = kept("powers", dict)
+    if len(held.get("up", ())) < n:
+        size = max(n, CHUNK_BYTES + 1)
+        held["up"], held["down"] = (
+            np.cumprod(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)], dtype=np.uint64) for base in (_P, pow(_P, -1, 2**64)))
+    return held["up"][:n], held["down"][:n]
+
+
 class Rolling:
     """64-bit polynomial hashes of any byte ranges of one chunk."""
 
-    _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
     def __init__(self, data: np.ndarray, fold_case: bool = False):
-        n = len(data)
-        if len(Rolling._powers[0]) < n + 1:
-            size = max(n + 1, CHUNK_BYTES + 1)
-            inverse = pow(_P, -1, 2**64)
-            Rolling._powers = tuple(
-                np.cumprod(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)], dtype=np.uint64) for base in (_P, inverse))
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((_FOLDED if fold_case else _BYTE)[data] * Rolling._powers[0][:n], out=self.sums[1:])
+        up, self.down = _powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((_FOLDED if fold_case else _BYTE)[data] * up[:-1], out=self.sums[1:])
 
     def raw(self, starts: np.ndarray | slice, ends: np.ndarray | slice) -> np.ndarray:
-        return (self.sums[ends] - self.sums[starts]) * Rolling._powers[1][:len(self.sums)][starts]
+        return (self.sums[ends] - self.sums[starts]) * self.down[starts]
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix(self.raw(starts, ends) + np.uint64(_P) * (ends - starts).astype(np.uint64))
