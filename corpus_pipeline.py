@@ -5,15 +5,40 @@ Every stage takes what its predecessor kept and decides on all of it. All but th
 
 from __future__ import annotations
 
+import uuid
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import bpe, decontaminate, partenum, qda, repeats, textstats
 from faultline.llm.queries import LEAST_SCORE, quality_model, table
-from faultline.session import written
+from faultline.session import begin_step, drop_step, written
 
 FEW = 1_000_000  # ids that may be broadcast: 16 MB
+_open_step: list[str] = []  # of the last stage that ran
+
+
+def stage(function):
+    """A stage writes its intermediate tables to a step of its own and removes those of the stage before, whose result must
+    be stored by then, outside that step (see ``stored``)."""
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
+        while _open_step:
+            drop_step(spark, _open_step.pop())
+        outer = begin_step(f"stage-{uuid.uuid4().hex}")
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _open_step.append(begin_step(outer))
+
+    return run_stage
+
+
+def stored(docs: DataFrame, name: str) -> DataFrame:
+    """A stage's result, written and read back."""
+    return written(docs, name)
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -24,6 +49,7 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
 
 
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the discriminant scores at least LEAST_SCORE; trained on the labelled rows that are not held out."""
     counted = written(textstats.text_counts(docs), "counts")
@@ -31,12 +57,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return qda.keep_good(docs, model, LEAST_SCORE)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id. Rows that share an id are one document."""
     found = partenum.similar_documents(docs)
     return without(docs, found.filter("doc_id <> component_id"))
 
 
+@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that a smaller document has, cut at whole characters, and their new lengths. A document of
     which nothing remains goes; one that was empty before stays."""
@@ -45,12 +73,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+@stage
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in passages of the benchmark; their texts stay as they are."""
     found = decontaminate.find_phrases(docs, table(spark, sf_dir, "benchmark"))
     return without(docs, found.filter(decontaminate.contaminated()))
 
 
+@stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of each document's ids, and the digest of what they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -67,6 +97,6 @@ ORACLE_SQL = None  # a trained model, similarity components and ranked merges ar
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for name, function in STAGES[:-1]:
+        docs = stored(function(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
