@@ -17,6 +17,7 @@ from faultline.llm.queries import LEAST_SCORE, quality_model, table
 from faultline.session import begin_step, drop_step, written
 
 FEW = 1_000_000  # ids that may be broadcast: 16 MB
+WORDS, SIMILAR = 5, (80, 100)  # of near duplicates; op3 has figures of its own
 _open_step: list[str] = []  # of the last stage that ran
 
 
@@ -59,8 +60,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id. Rows that share an id are one document."""
-    found = partenum.similar_documents(docs)
+    """Of each group of documents that share 0.8 of their five-word runs the one with the smallest id. Rows that share an id are one document."""
+    found = partenum.similar_documents(docs, words=WORDS, similar=SIMILAR)
     return without(docs, found.filter("doc_id <> component_id"))
 
 

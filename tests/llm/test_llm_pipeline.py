@@ -106,3 +106,34 @@ def test_quality_stage_keeps_good_documents(spark, sf):
     labels = [tuple(r) for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()]
     good, bad = [d for d, q in labels if q == 1], [d for d, q in labels if q == 0]
     assert sum(d in kept for d in good) >= 0.98 * len(good) and sum(d in kept for d in bad) <= 0.05 * len(bad)
+
+
+def test_near_duplicates_share_four_fifths_of_their_five_word_runs(spark):
+    """All pairs by brute force: texts with words changed one apart, so that many lie between this rule and op3's."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, int(rng.integers(60, 200)))]
+        for changes in (0, 1, 2, 2, 3, 4, 6):
+            words = list(base)
+            for at in rng.choice(len(base), changes, replace=False):
+                words[at] = f"x{rng.integers(0, 10**6)}"
+            texts.append(" ".join(words))
+    texts += ["one two three", "one two three", "one two four", ""]
+
+    def runs(text, n):
+        words = text.split()
+        return {tuple(words[i:i + n]) for i in range(max(len(words) - n + 1, min(len(words), 1)))}
+
+    def linked(n, part):
+        sets = [runs(t, n) for t in texts]
+        return {(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= part * len(sets[i] | sets[j])}
+
+    pairs = linked(5, 80)
+    assert len(pairs - linked(3, 90)) > 5
+    least = list(range(len(texts)))
+    for _ in texts:
+        for i, j in pairs:
+            least[i] = least[j] = min(least[i], least[j])
+    table = spark.createDataFrame([(i, t, "en", "planted", len(t)) for i, t in enumerate(texts)], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    assert [k for _, k in ids(corpus_pipeline.near_duplicates(spark, table, SF))] == [i for i, x in enumerate(least) if x == i]
