@@ -16,7 +16,8 @@ from faultline.llm import bpe, decontaminate, partenum, qda, repeats, textstats
 from faultline.llm.queries import LEAST_SCORE, quality_model, table
 from faultline.session import begin_step, drop_step, written
 
-FEW = 1_000_000  # ids that may be broadcast: 16 MB
+FEW = 1_000_000  # row numbers that may be broadcast: 16 MB
+ROW = "_row"
 WORDS, SIMILAR = 5, (80, 100)  # of near duplicates; op3 has figures of its own
 _open_step: list[str] = []  # of the last stage that ran
 
@@ -42,12 +43,17 @@ def stored(docs: DataFrame, name: str) -> DataFrame:
     return written(docs, name)
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` but for the ids in ``dropped``; a NULL id equals a NULL id. Few ids go to the texts, many meet them by id."""
-    dropped = written(dropped.select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, stored, so that a stage can judge rows whose ids are repeated or NULL."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``rows`` but for the numbers in ``dropped``, and without numbers. Few go to the texts, many meet them by number."""
+    dropped = written(dropped.select(ROW), "dropped")
     if dropped.count() <= FEW:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+    return rows.join(dropped, ROW, "left_anti").drop(ROW)
 
 
 @stage
@@ -60,9 +66,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share 0.8 of their five-word runs the one with the smallest id. Rows that share an id are one document."""
-    found = partenum.similar_documents(docs, words=WORDS, similar=SIMILAR)
-    return without(docs, found.filter("doc_id <> component_id"))
+    """Of each group of documents that share 0.8 of their five-word runs the one with the smallest id, NULL being the
+    largest. Each row is a document of its own, also among rows that share an id."""
+    rows = numbered(docs)
+    found = partenum.similar_documents(rows, key=ROW, words=WORDS, similar=SIMILAR)
+    found = written(found.join(rows.select(ROW, "doc_id"), ROW), "found")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first"))
+    return without(rows, found.join(first.select(F.col(f"first.{ROW}")), ROW, "left_anti"))
 
 
 @stage
@@ -77,8 +87,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 @stage
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in passages of the benchmark; their texts stay as they are."""
-    found = decontaminate.find_phrases(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.filter(decontaminate.contaminated()))
+    rows = numbered(docs)
+    found = decontaminate.find_phrases(rows, table(spark, sf_dir, "benchmark"), key=ROW)
+    return without(rows, found.filter(decontaminate.contaminated()))
 
 
 @stage

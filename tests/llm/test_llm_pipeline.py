@@ -137,3 +137,30 @@ def test_near_duplicates_share_four_fifths_of_their_five_word_runs(spark):
             least[i] = least[j] = min(least[i], least[j])
     table = spark.createDataFrame([(i, t, "en", "planted", len(t)) for i, t in enumerate(texts)], spark.read.parquet(f"{SF}/documents.parquet").schema)
     assert [k for _, k in ids(corpus_pipeline.near_duplicates(spark, table, SF))] == [i for i, x in enumerate(least) if x == i]
+
+
+def _planted(spark, rows):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    return spark.createDataFrame([(k, t, "en", "planted", len(t or "")) for k, t in rows], schema).repartition(3)
+
+
+def _bag(df):
+    return sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in df.collect()))
+
+
+def _text(name, n=60):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_only_the_contaminated_row_of_an_id_goes(spark):
+    bad = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    assert len(bad.split()) > 13
+    clean = [(5, _text("a")), (None, _text("b")), (None, _text("c")), (None, None), (7, _text("d")), (8, bad.split()[0])]
+    out = corpus_pipeline.benchmark_passages(spark, _planted(spark, [*clean, (5, bad), (None, bad), (9, bad)]), SF)
+    assert _bag(out) == _bag(_planted(spark, clean))
+
+
+def test_only_the_copy_among_the_rows_of_an_id_goes(spark):
+    stay = [(3, _text("a")), (5, _text("b")), (None, _text("c")), (None, _text("d")), (None, None), (None, None), (6, ""), (6, "")]
+    go = [(5, _text("a")), (5, _text("a")), (None, _text("a")), (5, _text("b")), (None, _text("c")), (9, _text("b") + " more")]
+    assert _bag(corpus_pipeline.near_duplicates(spark, _planted(spark, [*go, *stay]), SF)) == _bag(_planted(spark, stay))
