@@ -12,22 +12,29 @@ from faultline.operators.ordered import ROW, chunked, frame, home, lay_out
 TARGETS = ("mag", "dmin", "rms")
 
 
-def lagged(df: DataFrame, series: str, targets: tuple[str, ...], lags: int) -> DataFrame:
-    """Columns ``<target>_lag<j>`` (j = 1 … lags) along each series."""
+def lagged(df: DataFrame, series: str, targets: tuple[str, ...], lags: int, repeat_oldest: bool = False) -> DataFrame:
+    """Columns ``<target>_lag<j>`` (j = 1 … lags) along each series. Before its start they are NULL, or the values of its
+    oldest row if ``repeat_oldest``; the oldest row itself has nothing before it."""
     rows = chunked(lay_out(df.select("idx", "time", series, *targets), series, "time", "idx"), before=lags)
-    w = frame(series)
-    return home(rows.withColumns({
-        f"{t}_lag{j}": F.lag(t, j).over(w) for j in range(1, lags + 1) for t in targets
-    })).drop(ROW)
+    past = F.reverse(F.collect_list(F.struct(*targets)).over(frame(series).rowsBetween(-lags, -1)))
+    rows = home(rows.withColumn("_past", past)).drop(ROW)
+    if repeat_oldest:
+        rows = rows.withColumn("_past", _filled("_past", lags))
+    return rows.select("*", *[F.get("_past", F.lit(j - 1))[t].alias(f"{t}_lag{j}") for j in range(1, lags + 1) for t in targets]).drop("_past")
+
+
+def _filled(window: str, lags: int) -> Column:
+    """The array with its last element repeated up to ``lags`` elements."""
+    return F.concat(window, F.array_repeat(F.get(window, F.size(window) - 1), F.lit(lags) - F.size(window)))
 
 
 def lag_names(targets: tuple[str, ...], lags: int) -> list[str]:
     return [f"{t}_lag{j}" for j in range(1, lags + 1) for t in targets]
 
 
-def fit_lag_models(df: DataFrame, series: str, targets: tuple[str, ...] = TARGETS, lags: int = 4) -> dict[str, LinearModel]:
+def fit_lag_models(df: DataFrame, series: str, targets: tuple[str, ...] = TARGETS, lags: int = 4, repeat_oldest: bool = False) -> dict[str, LinearModel]:
     """One least-squares model per target over the last ``lags`` rows of all targets."""
-    table = lagged(df, series, targets, lags)
+    table = lagged(df, series, targets, lags, repeat_oldest)
     return {t: fit_ols(table, lag_names(targets, lags), t) for t in targets}
 
 
@@ -40,40 +47,41 @@ def last_windows(df: DataFrame, series: str, targets: tuple[str, ...], lags: int
         F.max("time").alias("last_time"),
         F.transform(F.array_sort(F.collect_list(F.struct("_r", F.array(*[F.col(t).cast("double") for t in targets]).alias("v")))),
                     lambda s: s["v"]).alias("w"))
-    short = F.lit(lags) - F.size("w")
-    return rows.select(series, "last_time", F.concat("w", F.array_repeat(F.element_at("w", -1), short)).alias("window"))
+    return rows.select(series, "last_time", _filled("w", lags).alias("window"))
 
 
 def recurse(window: Column, models: dict[str, LinearModel], targets: tuple[str, ...], lags: int, steps: int) -> Column:
     """Array of ``steps`` predictions; each one becomes the newest row of the window."""
+    names = lag_names(targets, lags)
+    weights = {t: dict(zip(models[t].features, models[t].weights)) for t in targets}
+
     def score(state: Column, t: str) -> Column:
-        out = F.lit(float(models[t].intercept))
-        for name, weight in zip(models[t].features, models[t].weights):
-            target, j = name.rsplit("_lag", 1)
-            out = out + state["window"][int(j) - 1][targets.index(target)] * F.lit(float(weight))
-        return out
+        terms = F.zip_with(state["window"], F.array(*[F.lit(float(weights[t][name])) for name in names]), lambda x, y: x * y)
+        return F.aggregate(terms, F.lit(float(models[t].intercept)), lambda a, x: a + x)
 
     def step(state: Column, _: Column) -> Column:
         new = F.array(*[score(state, t) for t in targets])
         return F.struct(
-            F.concat(F.array(new), F.slice(state["window"], 1, lags - 1)).alias("window"),
+            F.concat(new, F.slice(state["window"], 1, (lags - 1) * len(targets))).alias("window"),
             F.concat(state["out"], F.array(new)).alias("out"))
 
-    start = F.struct(window.alias("window"), F.expr("cast(array() as array<array<double>>)").alias("out"))
+    start = F.struct(F.flatten(window).alias("window"), F.expr("cast(array() as array<array<double>>)").alias("out"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["out"])
 
 
-def forecast(df: DataFrame, series: str, days: float = 2, targets: tuple[str, ...] = TARGETS, lags: int = 4) -> DataFrame:
+def forecast(df: DataFrame, series: str, days: float = 2, targets: tuple[str, ...] = TARGETS, lags: int = 4,
+             repeat_oldest: bool = False) -> DataFrame:
     """(series, timestamp, targets…): int(days·24) hourly rows after each series' last event.
 
     Targets are scaled to (0, 1), predicted from the window, scaled back. The state
     of a series is its last ``lags`` rows, so long series cost no more than short ones.
+    Models are fitted on rows with ``lags`` rows before them, or, if ``repeat_oldest``, with one, as short windows are filled up.
     """
     steps = int(days * 24)
     clean = df.select("idx", "time", series, *targets)
     scale = fit_minmax(clean, list(targets))
     scaled = scale.transform(clean)
-    models = fit_lag_models(scaled, series, targets, lags)
+    models = fit_lag_models(scaled, series, targets, lags, repeat_oldest)
     made = last_windows(scaled, series, targets, lags).select(
         series, "last_time", F.posexplode(recurse(F.col("window"), models, targets, lags, steps)).alias("i", "p"))
     rows = made.select(

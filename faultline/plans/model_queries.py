@@ -496,7 +496,7 @@ def _measured_with_time(spark, d):
     return fill_numeric(cat, ["gap"])
 
 
-_LAGS = 4
+_LAGS, _WEEK = 4, 7 * 24   # rows of history: of the SQL twins, which cannot solve 504 unknowns, and of the job
 
 
 def _forecast_sql(steps: int = 48) -> str:
@@ -530,12 +530,26 @@ def _forecast_sql(steps: int = 48) -> str:
     )
 
 
-@query("fc_recursive", _forecast_sql())
+def _week_forecast(spark, d):
+    return forecast.forecast(_series(spark, d), "cell", days=2, lags=_WEEK, repeat_oldest=True)
+
+
+@query("fc_recursive")
+def _(spark, d):
+    return _week_forecast(spark, d)
+
+
+@query("sink_forecast_payload")
+def _(spark, d):
+    return forecast.payload(_week_forecast(spark, d))
+
+
+@query("fc_recursive_short", _forecast_sql())
 def _(spark, d):
     return forecast.forecast(_series(spark, d), "cell", days=2, lags=_LAGS)
 
 
-@query("sink_forecast_payload",
+@query("sink_forecast_payload_short",
        f"SELECT cell, strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, mag, dmin, rms FROM ({_forecast_sql()})")
 def _(spark, d):
     return forecast.payload(forecast.forecast(_series(spark, d), "cell", days=2, lags=_LAGS))

@@ -192,6 +192,45 @@ def test_forecast_equals_a_plain_recursion(spark):
         assert mine.timestamp.iloc[0] == g.time.max() + pd.Timedelta("1h")
 
 
+def test_registered_forecasts_use_a_week_of_hours(spark, monkeypatch):
+    from faultline.plans import QUERIES, model_queries
+
+    asked = []
+    monkeypatch.setattr(model_queries, "_series", lambda spark, d: None)
+    monkeypatch.setattr(model_queries.forecast, "forecast", lambda df, series, **kw: asked.append(kw["lags"]) or spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 1), 0.5)], "cell int, timestamp timestamp_ntz, mag double"))
+    for name in ("fc_recursive", "sink_forecast_payload"):
+        QUERIES[name](spark, "")
+    assert asked == [168, 168]
+
+
+def test_forecast_from_168_rows_equals_a_plain_recursion(spark, many_partitions):
+    """One series longer than the window, one shorter, one of a single row."""
+    rng, lags = np.random.default_rng(4), 168
+    rows = [(i, int(i % 9 == 0), pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=7 * i), *rng.random(3).tolist()) for i in range(1400)]
+    rows.append((1400, 9, pd.Timestamp("2024-01-01"), 0.5, 0.5, 0.5))
+    pdf = pd.DataFrame(rows, columns=["idx", "cell", "time", "mag", "dmin", "rms"])
+    df = spark.createDataFrame(pdf, "idx bigint, cell int, time timestamp_ntz, mag double, dmin double, rms double").repartition(4)
+    got = forecast.forecast(df, "cell", days=0.25, lags=lags, repeat_oldest=True).toPandas().sort_values(["cell", "timestamp"])
+    t = list(forecast.TARGETS)
+    low, width = pdf[t].min(), pdf[t].max() - pdf[t].min()
+    z = pdf.assign(**((pdf[t] - low) / width)).sort_values(["cell", "time"])
+    series = {cell: g[t].to_numpy() for cell, g in z.groupby("cell")}
+
+    def window(v, end):
+        return np.concatenate([v[max(0, end - j)] for j in range(1, lags + 1)])
+
+    x = np.array([[1.0, *window(v, i)] for v in series.values() for i in range(1, len(v))])
+    w = np.linalg.lstsq(x, np.concatenate([v[1:] for v in series.values()]), rcond=None)[0]
+    for cell, v in series.items():
+        state, mine = window(v, len(v)), got[got.cell == cell][t].to_numpy()
+        assert len(mine) == 6
+        for k in range(6):
+            new = np.concatenate([[1.0], state]) @ w
+            state = np.concatenate([new, state[:-3]])
+            assert mine[k] == pytest.approx((new * width + low).to_numpy(), abs=1e-6)
+
+
 def test_payload(spark):
     rows = [(7, dt.datetime(2024, 1, 2, 3, 4, 5, 678000), 1.0), (7, dt.datetime(2024, 1, 1), 2.0), (8, dt.datetime(2024, 1, 1), 3.0)]
     df = spark.createDataFrame(rows, "cell int, timestamp timestamp_ntz, mag double")
