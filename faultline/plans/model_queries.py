@@ -407,31 +407,36 @@ def _grid_sql() -> str:
     )
 
 
-@query("ml_tree_grid", _grid_sql(), ("base",))
+@query("ml_tree_grid_short", _grid_sql(), ("base",))
 def _(spark, d):
     parts = _base_splits(spark, d)
     return tree.grid_scores(parts["train"], parts["valid"], _TREE, "mag", _DEPTHS, _MINIMA)
 
 
+@query("ml_tree_grid")
+def _(spark, d):
+    parts = _base_splits(spark, d)
+    return tree.grid_scores(parts["train"], parts["valid"], _TREE, "mag", range(2, 21), _MINIMA)
+
+
 @query("ml_rf")
 def _(spark, d):
     parts = _base_splits(spark, d)
-    model = ensemble.fit_forest(parts["train"], _LIN, "mag", numTrees=20, maxDepth=6)
+    model = ensemble.fit_forest(parts["train"], _LIN, "mag")
     return ensemble.score_rows(model, parts["test"], _LIN, "mag")
 
 
 @query("ml_gbt")
 def _(spark, d):
     parts = _base_splits(spark, d)
-    model = ensemble.fit_boosted(parts["train"], _LIN, "mag", maxIter=10)
+    model = ensemble.fit_boosted(parts["train"], _LIN, "mag")
     return ensemble.score_rows(model, parts["test"], _LIN, "mag")
 
 
 @query("ml_grid_cv")
 def _(spark, d):
     parts = _base_splits(spark, d)
-    grid = {"maxDepth": [3, 4], "stepSize": [0.1, 0.05]}
-    return ensemble.grid_search(parts["train"], _LIN, "mag", grid, folds=3, maxIter=5)[1]
+    return ensemble.grid_search(parts["train"], _LIN, "mag")[1]
 
 
 # --- runs, reports, forecasts --------------------------------------------------------

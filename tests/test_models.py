@@ -192,6 +192,30 @@ def test_forecast_equals_a_plain_recursion(spark):
         assert mine.timestamp.iloc[0] == g.time.max() + pd.Timedelta("1h")
 
 
+def test_registered_models_use_the_full_settings(spark, monkeypatch):
+    from faultline.plans import QUERIES, model_queries
+
+    asked = {}
+
+    def spy(name, result):
+        def run(*args, **kw):
+            asked[name] = (args, kw)
+            return result
+        return run
+
+    out = spark.range(1)
+    monkeypatch.setattr(model_queries, "_base_splits", lambda spark, d: {"train": None, "valid": None, "test": None})
+    for name, result in (("fit_forest", None), ("fit_boosted", None), ("score_rows", out), ("grid_search", (None, out))):
+        monkeypatch.setattr(model_queries.ensemble, name, spy(name, result))
+    monkeypatch.setattr(model_queries.tree, "grid_scores", spy("grid_scores", out))
+    for name in ("ml_rf", "ml_gbt", "ml_grid_cv", "ml_tree_grid"):
+        QUERIES[name](spark, "")
+    for name in ("fit_forest", "fit_boosted", "grid_search"):
+        assert len(asked[name][0]) == 3 and not asked[name][1]  # nothing but the functions' own settings
+    depths, minima = asked["grid_scores"][0][-2:]
+    assert list(depths) == list(range(2, 21)) and list(minima) == list(range(2, 21))
+
+
 def test_registered_forecasts_use_a_week_of_hours(spark, monkeypatch):
     from faultline.plans import QUERIES, model_queries
 
