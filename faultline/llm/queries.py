@@ -11,7 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe, chat, crf, decontaminate, frames, isolation, partenum, qda, repeats, textstats, urlrules
+from faultline.llm import (
+    bpe, chat, crf, decontaminate, frames, gridcodes, isolation, partenum, prefixcount, qda, repeats, textstats, urlrules, whitening,
+)
 from faultline.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,3 +234,61 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return crf.extract(pages, crf.fit(pages)).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+# ---------------------------------------------------------------- 11: token counts
+
+TOKEN_LIMIT = 1024
+
+
+@query("op11_prefix_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        counted = prefixcount.prefix_counts(table(spark, sf_dir, "documents"), file.read())
+    judged = counted.withColumn("over_limit", prefixcount.tokens_at(F.col("n_chars")) > TOKEN_LIMIT)
+    kept = prefixcount.with_kept_chars(judged, TOKEN_LIMIT)
+    return kept.select("doc_id", "n_bytes", "n_tokens", "over_limit", "kept_chars")
+
+
+# ---------------------------------------------------------------- 12: vector code compression
+
+def _codes_sql() -> str:
+    nearest = """
+SELECT vec_id, label, p, x, min(struct_pack(d := list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), e := e)) AS near
+FROM parts JOIN codes{r} USING (p) GROUP BY vec_id, label, p, x"""
+    moved = """
+SELECT c.p, c.e, coalesce(m.c, c.c) AS c FROM codes{r} c LEFT JOIN (
+  SELECT p, e, list(v ORDER BY i) AS c FROM (
+    SELECT p, near.e AS e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS v FROM near{r}, range(1, 9) t(i) GROUP BY p, near.e, i
+  ) GROUP BY p, e
+) m USING (p, e)"""
+    steps = [f"near{r} AS MATERIALIZED ({nearest.format(r=r)}), codes{r + 1} AS MATERIALIZED ({moved.format(r=r)})" for r in range(gridcodes.ROUNDS)]
+    last = gridcodes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), parts AS (
+  SELECT vec_id, label, p, v[8 * p + 1:8 * p + 8] AS x FROM kept, range(8) t(p)
+), codes0 AS (
+  SELECT p, CAST(row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS BIGINT) AS e, x AS c
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+), {", ".join(steps)}, coded AS ({nearest.format(r=last)}), rows AS (
+  SELECT vec_id, label, string_agg(printf('%02x', near.e), '' ORDER BY p) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM coded GROUP BY vec_id, label
+), books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM codes{last}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM rows, books"""
+
+
+@query("op12_grid_codes", _codes_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridcodes.compress(table(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+# ---------------------------------------------------------------- 13: embedding whitening
+
+@query("op13_chebyshev_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
