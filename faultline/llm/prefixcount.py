@@ -12,8 +12,10 @@ answered from them, without encoding again: ``tokens_at`` by column functions, `
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Iterator
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -24,10 +26,10 @@ from tokenizers import Tokenizer
 
 from faultline.llm.segments import Segments, kept
 
-BLOCK_CHARS = 4 << 20      # text worked on at once, or one document
-OUT_BYTES = 4 << 20        # counts in one batch that is handed on
-REMEMBERED = 4 << 20       # counts of known words that a worker keeps before it starts anew, 4 bytes each
-PAIRS = 2_000_000          # answers on pairs of tokens that a worker keeps
+BLOCK_CHARS = 1 << 20      # text worked on at once, or one document
+OUT_BYTES = 2 << 20        # counts in one batch that is handed on
+REMEMBERED = 300_000       # segments of text that a worker keeps before it starts anew, about 400 bytes each
+PAIRS = 250_000            # answers on pairs of tokens that a worker keeps
 NEVER = 1 << 40
 
 
@@ -42,7 +44,7 @@ class Merges:
         number = {t: i for i, t in enumerate(letters)}
         self._partners: dict[int, dict[int, int]] = {}
         self._right, self._left = [[(i, NEVER)] for i in range(256)], [[(i, NEVER)] for i in range(256)]
-        self._apart: dict[int, bool] = {}
+        self.known: dict[int, bool] = {}
         self.tokens: list[tuple[str, int]] = [(t, i) for t, i in number.items()]
         sound = [True] * 256
         for rank, merge in enumerate(model["merges"]):
@@ -71,13 +73,11 @@ class Merges:
         return True
 
     def apart(self, u: int, t: int) -> bool:
-        key = u << 20 | t
-        known = self._apart.get(key)
-        if known is None:
-            if len(self._apart) >= PAIRS:
-                self._apart.clear()
-            known = self._apart[key] = self._no_merge(u, t, NEVER)
-        return known
+        """Whether u and t stay as they are when their bytes are merged side by side; ``known`` keeps the answers."""
+        if len(self.known) >= PAIRS:
+            self.known.clear()
+        answer = self.known[u << 20 | t] = self._no_merge(u, t, NEVER)
+        return answer
 
 
 class Counter:
@@ -103,31 +103,42 @@ class Counter:
         self._forget()
 
     def _forget(self) -> None:
-        self._numbers: dict[str, int] = {}
-        self._counts: list[list[int]] = []
-        self._held = 0
-        self._blank: list[bool] = []
+        """Starts anew: segments of text and their words, numbered as they come. Of each segment: where its counts begin in
+        the pool, how many there are, the last one, and by how much the count rises at the space that begins the segment after it."""
+        self._segments, self._words = Segments(), {}
+        self._pool = np.zeros(0, np.int64)
+        self._begins, self._sizes, self._totals, self._steps = (np.zeros(0, np.int64) for _ in range(4))
 
     def word(self, word: str) -> list[int]:
         """Counts at the end of each character of a word that is spelled in the file's letters."""
         n = len(word)
         last, count = [-1] * (n + 1), [0] * (n + 1)
-        apart = self._merges.apart
+        merges = self._merges
+        known, apart = merges.known.get, merges.apart
         for at, (token, size) in self._automaton.iter(word):
             at += 1
             if last[at] < 0:
                 before = at - size
-                if before == 0 or apart(last[before], token):
-                    last[at], count[at] = token, count[before] + 1
+                if before:
+                    u = last[before]
+                    fits = known(u << 20 | token)
+                    if fits is None:
+                        fits = apart(u, token)
+                    if not fits:
+                        continue
+                last[at], count[at] = token, count[before] + 1
         if not word.isascii():
             within = self._within
             count = [c for i, c in enumerate(count) if i == n or word[i] not in within]
         if word in ("'re", "'ve", "'ll"):
             count[2] = 2  # a text that ends here ends in two words
-        return count[1:]
+        del count[0]
+        return count
 
     def _is_space(self, word: str) -> bool:
         """Whether a word is white space, which the library tells: white space runs on over a space."""
+        if word[-1] < "\x7f":
+            return False
         end = len(word) - 1
         while word[end] in self._within:
             end -= 1
@@ -142,56 +153,49 @@ class Counter:
             end += 1
         return word[:end]
 
-    def _number(self, word: str) -> int:
-        number = self._numbers.setdefault(word, len(self._counts))
-        if number == len(self._counts):
-            self._counts.append(self.word(word))
-            self._held += len(self._counts[-1])
-            self._blank.append(self._is_space(word))
-        return number
-
-    def _segments(self, segments: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts of all distinct segments one after the other, where each begins, and by how much the count rises at the space
-        that begins the segment after it."""
-        if self._held > REMEMBERED:
-            self._forget()
-        words, ends = [], []
-        spaced = [k for k in segments.numbers if isinstance(k, str)]
-        found = iter(self._split("".join([" " + k for k in spaced])))  # no word crosses the space that begins a segment
-        bound, number_of, known = 0, self._number, self._numbers.get
-        for segment in segments.numbers:
-            if isinstance(segment, str):
-                own, bound = found, bound + 1 + len(segment)
+    def _counted(self, word: str) -> list[int]:
+        counts = self._words[word] = self.word(word)
+        return counts
+
+    def _learn(self) -> None:
+        """Counts of the segments that are new: a segment's words one after the other. A word's counts go on from those of the
+        words before it, but for white space: a text that ends in the first character behind it has one longer run of it."""
+        spans = list(islice(self._segments.numbers, len(self._begins), None))
+        if not spans:
+            return
+        found = iter(self._split("".join([" " + k for k in spans if isinstance(k, str)])))  # no word crosses the space that begins a segment
+        bound, known, counted, is_space = 0, self._words.get, self._counted, self._is_space
+        pool, sizes, steps = [], [], []
+        for span in spans:
+            if isinstance(span, str):
+                own, bound = found, bound + 1 + len(span)
             else:
-                own = self._split(segment.decode())
-            for w, (_, end) in own:
-                i = known(w)
-                words.append(number_of(w) if i is None else i)
+                own = self._split(span.decode())
+            begin, base, before = len(pool), 0, None
+            for word, (_, end) in own:
+                counts = known(word) or counted(word)
+                if base:
+                    if before is not None and is_space(first := self._first(word)):
+                        pool.append(base - self.word(before)[-1] + self.word(before + first)[-1])
+                        counts_ = counts[1:]
+                    else:
+                        counts_ = counts
+                    pool += [base + c for c in counts_]
+                else:
+                    pool += counts
+                base += counts[-1]
+                before = word if is_space(word) else None
                 if own is found and end == bound:
                     break
-            ends.append(len(words))
-        words, ends = np.array(words, np.int64), np.array([0, *ends], np.int64)
-        used, place = np.unique(words, return_inverse=True)
-        size = np.array([len(self._counts[i]) for i in used.tolist()], np.int64)
-        total = np.array([self._counts[i][-1] for i in used.tolist()], np.int64)
-        blank = np.array([self._blank[i] for i in used.tolist()], bool)
-        pool = np.array([c for i in used.tolist() for c in self._counts[i]], np.int64)
-        counts, starts = _laid_out(pool, np.cumsum(size) - size, size, place, _running(total[place], ends))
-        spelled = list(self._numbers)
-        inner = np.zeros(len(words), bool)
-        inner[1:] = blank[place[:-1]]
-        inner[ends[:-1][ends[:-1] < len(words)]] = False
-        for i in np.flatnonzero(inner).tolist():  # after white space: a text that ends in this word's first character
-            before, own = spelled[words[i - 1]], spelled[words[i]]
-            if self._is_space(first := self._first(own)):
-                counts[starts[i]] = counts[starts[i] - 1] - self.word(before)[-1] + self.word(before + first)[-1]
-        begins = np.r_[starts, len(counts)][ends]
-        step = np.ones(len(ends) - 1, np.int64)
-        for s in np.flatnonzero((ends[1:] > ends[:-1])).tolist():
-            if blank[place[ends[s + 1] - 1]]:
-                before = spelled[words[ends[s + 1] - 1]]
-                step[s] = self.word(before + self._space)[-1] - self.word(before)[-1]
-        return counts, begins, step
+            sizes.append(len(pool) - begin)
+            steps.append(1 if before is None else self.word(before + self._space)[-1] - self.word(before)[-1])
+        sizes = np.array(sizes, np.int64)
+        new = np.array(pool, np.int64)
+        ends = np.cumsum(sizes)
+        self._begins = np.r_[self._begins, len(self._pool) + ends - sizes]
+        self._totals = np.r_[self._totals, np.where(sizes > 0, new[np.maximum(ends, 1) - 1] if len(new) else 0, 0)]
+        self._sizes, self._steps = np.r_[self._sizes, sizes], np.r_[self._steps, steps]
+        self._pool = np.r_[self._pool, new]
 
     def pieces(self, text: str) -> list[tuple[str, bool]]:
         """A text cut behind each special string: ordinary text, and whether the special string's last character follows. Of
@@ -203,26 +207,25 @@ class Counter:
 
     def documents(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Counts at every character of each text."""
-        segments = Segments()
-        cut = [[(np.array(segments.of(p) if p else [], np.int64), len(p), special) for p, special in self.pieces(text)] for text in texts]
-        if not segments.numbers:
-            yield from (np.zeros(0, np.int64) if not any(s for _, _, s in own) else self._joined(own, None) for own in cut)
-            return
-        counts, begins, step = self._segments(segments)
-        size = np.diff(begins)
-        total = np.where(size > 0, counts[np.maximum(begins[1:], 1) - 1], 0)
+        if len(self._segments.numbers) > REMEMBERED:
+            self._forget()
+        of = self._segments.of
+        cut = [[(of(p) if p else [], len(p), special) for p, special in self.pieces(text)] for text in texts]
+        self._learn()
         for own in cut:
-            yield self._joined(own, (counts, begins[:-1], size, total, step))
+            yield self._joined(own)
 
-    def _joined(self, own: list[tuple[np.ndarray, int, bool]], tables) -> np.ndarray:
+    def _joined(self, own: list[tuple[list[int], int, bool]]) -> np.ndarray:
         parts, base = [], 0
         for numbers, n, special in own:
-            if len(numbers):
-                counts, begins, size, total, step = tables
-                running = np.cumsum(total[numbers]) - total[numbers]
-                out, starts = _laid_out(counts, begins, size, numbers, running)
-                out[starts[1:]] = running[1:] + step[numbers[:-1]]
-                parts.append(out + base)
+            if numbers:
+                numbers = np.array(numbers)
+                total, size = self._totals[numbers], self._sizes[numbers]
+                running = np.cumsum(total) - total
+                starts = np.cumsum(size) - size
+                out = self._pool[np.arange(size.sum()) + np.repeat(self._begins[numbers] - starts, size)] + np.repeat(running + base, size)
+                out[starts[1:]] = running[1:] + self._steps[numbers[:-1]] + base
+                parts.append(out)
             if special:
                 at = n - len(self.special) + 1  # characters before the special string
                 base = (int(parts[-1][at - 1]) if at else base) + 1
@@ -237,21 +240,6 @@ def _decode(word: str) -> str:
     return bytes(ord(c) if ord(c) < 0x100 else others[ord(c) - 0x100] for c in word).decode()
 
 
-def _running(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sum of the values before each one in its own group."""
-    before = np.cumsum(values) - values
-    sizes = np.diff(ends)
-    return before - np.repeat(np.r_[before, 0][np.minimum(ends[:-1], len(values))], sizes)
-
-
-def _laid_out(pool: np.ndarray, begins: np.ndarray, size: np.ndarray, numbers: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pool's runs ``numbers`` one after the other, each raised by its base, and where each starts."""
-    n = size[numbers]
-    starts = np.cumsum(n) - n
-    out = pool[np.arange(n.sum()) - np.repeat(starts - begins[numbers], n)] + np.repeat(base, n)
-    return out, starts
-
-
 def _count(tokenizer: str):
     names = ["key", "n_bytes", "n_chars", "n_tokens", "width", "counts"]
 
@@ -274,6 +262,7 @@ def _count(tokenizer: str):
                 held, size, at = [], 0, i + 1
 
     def run(batches):
+        gc.disable()  # millions of small tuples and no cycles: collections would only look through them
         counter = kept(f"counter-{hash(tokenizer)}", lambda: Counter(tokenizer))
         keys, texts, size = [], [], 0
         for rows in batches:
@@ -288,6 +277,7 @@ def _count(tokenizer: str):
                 keys.append(rows.column("key").slice(start))
         if texts:
             yield from close(keys, texts, counter)
+        gc.enable()
 
     return run
 
