@@ -34,7 +34,17 @@ FURNITURE_WORDS = frozenset(
     "ad ads advert advertisement banner promo sponsor sponsored cookie cookies consent notice popup modal sidebar menu nav "
     "navigation breadcrumb breadcrumbs share social related comment comments reply replies footer header subscribe newsletter login".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+RAW = frozenset(["script", "style"])  # their content is text up to their end tag, or to the end of the page
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
+FOREIGN = frozenset(["svg", "math"])  # a block of HTML ends them where they are not closed
+BLOCKS = frozenset("address article aside blockquote body center dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section "
+                   "table ul".split())
+DEEPEST = 512  # open elements; deeper ones are taken as children of the last one, as browsers do
+
+_MARKUP = re.compile(r"<(?=[!?/a-zA-Z])")
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_TO_VALUE = re.compile(r"[^>=]*")
+_SPACE = re.compile(r"\s*")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -46,66 +56,123 @@ class Block:
     linked: int                                     # characters inside links
 
 
+class _Markup:
+    """Tags of a page in one scan from left to right. Quotes count where HTML has them count, at the start of an attribute's
+    value; once a value's quote, or a tag, never ends, quotes are left out of account for the rest of the page, so that
+    nothing is read twice. A tag that does not end is text."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes, self.last = page, True, page.rfind(">")
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag's ``>`` is, -1 where there is none."""
+        page = self.page
+        if at > self.last:
+            return -1
+        place = at
+        while self.quotes:
+            place = _TO_VALUE.match(page, place).end()
+            if place >= len(page):
+                self.quotes = False
+            elif page[place] == ">":
+                return place
+            else:
+                place = _SPACE.match(page, place + 1).end()
+                if page[place:place + 1] in ('"', "'"):
+                    place = page.find(page[place], place + 1) + 1
+                    self.quotes = place > 0
+        return page.find(">", at)
+
+    def __iter__(self):
+        """(start, end, name, body): text lies between the end of one and the start of the next. Comments and declarations
+        have no name, end tags begin with a slash."""
+        page, at = self.page, 0
+        while (m := _MARKUP.search(page, at)) is not None:
+            start = m.start()
+            if page[start + 1] in "!?":
+                ending = "-->" if page.startswith("<!--", start) else "]]>" if page.startswith("<![CDATA[", start) else ">"
+                end = page.find(ending, start + 2)
+                end = len(page) if end < 0 else end + len(ending)
+                yield start, end, "", ""
+            else:
+                name = _NAME.match(page, start + 1)
+                end = self.tag_end(name.end()) + 1 if name else 0
+                if not end:
+                    if start > self.last:
+                        return
+                    at = start + 1
+                    continue
+                tag = name[2].lower()
+                body = page[name.end():end - 1]
+                if not name[1] and tag in RAW:
+                    stop = re.compile(rf"</{tag}\s*>", re.I).search(page, end)
+                    yield start, stop.end() if stop else len(page), "", ""
+                    end = stop.end() if stop else len(page)
+                else:
+                    yield start, end, name[1] + tag, body
+            at = end
+
+
 def leaf_blocks(page: str) -> list[Block]:
-    """The page's blocks that hold text, in order. Character references are decoded and white space is one space."""
+    """The page's blocks that hold text, in order, without those below an unseen element. Character references are decoded
+    and white space is one space. Unclosed elements end where HTML ends them, the latest with the element around them."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pending: list[str] = []
-    linked = links = 0
+    linked = links = unseen = at = 0
 
     def close() -> None:
         nonlocal linked
         if pending:
-            text = " ".join(entities.unescape("".join(pending)).split())
+            text = "" if unseen else " ".join(entities.unescape("".join(pending)).split())
             if text:
                 out.append(Block(text, tuple(stack), linked))
             pending.clear()
         linked = 0
 
-    def words(page: str) -> None:
+    def words(text: str) -> None:
         nonlocal linked
-        pending.append(page)
-        if links:
-            linked += len(page)
-
-    at, n = 0, len(page)
-    while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            words(page[at:])
-            break
-        if m.start() > at:
-            words(page[at:m.start()])
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag, ends = m[2].lower(), m[1] == "/"
-        if tag in UNSEEN and not ends:
-            if tag == "head":  # its end tag may be left out
-                stop = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
-            else:
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if not m[3].endswith("/"):
-                at = stop.end() if stop else (at if tag == "head" else n)
-            continue
+        if text:
+            pending.append(text)
+            if links:
+                linked += len(text)
+
+    def pop() -> str:
+        nonlocal unseen
+        tag = stack.pop()[0]
+        unseen -= tag in UNSEEN
+        return tag
+
+    for start, end, tag, body in _Markup(page):
+        words(page[at:start])
+        at = end
         if tag == "br":
             pending.append(" ")
-        elif tag in INLINE:
-            if tag == "a":
-                links = max(0, links + (-1 if ends else 1))
-        elif ends:
-            if any(t == tag for t, _ in stack):
+        elif tag.lstrip("/") in INLINE:
+            if tag in ("a", "/a"):
+                links = max(0, links + (1 if tag == "a" else -1))
+        elif tag.startswith("/"):
+            if any(t == tag[1:] for t, _ in stack):
                 close()
-                while stack.pop()[0] != tag:
+                while pop() != tag[1:]:
                     pass
                 links = 0
-        else:
+        elif tag:
             close()
+            if stack and stack[-1][0] == "head" and tag not in IN_HEAD:  # its end tag may be left out
+                pop()
+            if tag in BLOCKS and unseen and not any(t == "foreignobject" for t, _ in stack):
+                outer = next((i for i, (t, _) in enumerate(stack) if t in FOREIGN), len(stack))
+                while len(stack) > outer:
+                    pop()
             while stack and stack[-1][0] in CLOSED_BY.get(tag, {"p"}):  # a block also ends an open paragraph
-                stack.pop()
-            if tag not in VOID and not m[3].endswith("/"):
-                names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[3])) if m[3] else ""
+                pop()
+            alone = tag in VOID or (tag in FOREIGN and body.endswith("/"))
+            if not alone and len(stack) < DEEPEST:
+                names = " ".join(a or b or c for a, b, c in _NAMES.findall(body)) if body else ""
                 stack.append((tag, tuple(dict.fromkeys(_WORDS.findall(names.lower())))))
+                unseen += tag in UNSEEN
+    words(page[at:])
     close()
     return out
 

@@ -14,6 +14,9 @@ from __future__ import annotations
 
 import gc
 import json
+import re
+import string
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
@@ -28,9 +31,16 @@ from faultline.llm.segments import Segments, kept
 
 BLOCK_CHARS = 1 << 20      # text worked on at once, or one document
 OUT_BYTES = 2 << 20        # counts in one batch that is handed on
-REMEMBERED = 300_000       # segments of text that a worker keeps before it starts anew, about 400 bytes each
+REMEMBERED = 300_000       # segments of text, and words, that a worker keeps before it starts anew, about 400 bytes each
 PAIRS = 250_000            # answers on pairs of tokens that a worker keeps
 NEVER = 1 << 40
+# The pattern of byte-level BPE on ASCII text, and the letters of bytes: printable ones stand for themselves, the
+# others for 0x100 and on, in order.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+ASCII_SPELLED = re.compile(ASCII_WORDS.pattern.replace(" ", "\u0120"))
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+BYTES = {chr(LETTERS.get(b, b)): b for b in range(256)}
 
 
 class Merges:
@@ -41,10 +51,10 @@ class Merges:
         letters = [t for t in model["vocab"] if len(t) == 1]
         if model.get("type") != "BPE" or odd or len(letters) != 256:
             raise ValueError(f"not a plain byte-level BPE: {odd or model.get('type')}")
-        number = {t: i for i, t in enumerate(letters)}
+        number = {t: i for i, t in enumerate(letters)}  # then merges in the order of their ranks, so a larger number is made later
         self._partners: dict[int, dict[int, int]] = {}
-        self._right, self._left = [[(i, NEVER)] for i in range(256)], [[(i, NEVER)] for i in range(256)]
-        self.known: dict[int, bool] = {}
+        self._parts: list[tuple[int, int]] = [(-1, -1)] * 256
+        self._forget()
         self.tokens: list[tuple[str, int]] = [(t, i) for t, i in number.items()]
         sound = [True] * 256
         for rank, merge in enumerate(model["merges"]):
@@ -53,32 +63,44 @@ class Merges:
                 raise ValueError(f"merge {rank} has unknown parts, or makes a token that another merge makes")
             x, y, t = number[a], number[b], 256 + rank
             number[a + b] = t
-            sound.append(sound[x] and sound[y] and self._no_merge(x, y, rank))  # else merges of its bytes never lead to it
-            self._partners.setdefault(x, {})[y] = rank
-            self._right.append([(t, NEVER), (y, rank), *self._right[y][1:]])
-            self._left.append([(t, NEVER), (x, rank), *self._left[x][1:]])
+            sound.append(sound[x] and sound[y] and self._no_merge(x, y, t))  # else merges of its bytes never lead to it
+            self._partners.setdefault(x, {})[y] = t
+            self._parts.append((x, y))
             if sound[t]:
                 self.tokens.append((a + b, t))
 
-    def _no_merge(self, u: int, t: int, before: int) -> bool:
-        """Whether no merge of a rank below ``before`` joins the end of u and the beginning of t. Pieces (right parts of u, left
-        parts of t) are there until the merge that takes them up; at equal ranks the place further left is merged first."""
-        for a, until_a in self._right[u]:
-            partners = self._partners.get(a)
-            if partners:
-                for b, until_b in self._left[t]:
-                    rank = partners.get(b, NEVER)
-                    if rank < until_a and rank <= until_b and rank < before:
-                        return False
-        return True
+    def _no_merge(self, a: int, b: int, before: int = NEVER) -> bool:
+        """Whether no merge earlier than ``before`` joins the end of a and the beginning of b. Looked at backwards in time: the one
+        of both pieces at the border that was made later is undone, and each pair that stood there must not have had a merge
+        earlier than what happened to it instead. Equal merges are made from left to right."""
+        until_a = until_b = before
+        while True:
+            row = self._partners.get(a)
+            if row is not None:
+                made = row.get(b, NEVER)
+                if made < until_a and made <= until_b and made < before:
+                    return False
+            if a >= b:
+                if a < 256:
+                    return True
+                until_a, a = a, self._parts[a][1]
+            else:
+                if b < 256:
+                    return True
+                until_b, b = b, self._parts[b][0]
 
     def apart(self, u: int, t: int) -> bool:
-        """Whether u and t stay as they are when their bytes are merged side by side; ``known`` keeps the answers."""
-        if len(self.known) >= PAIRS:
-            self.known.clear()
-        answer = self.known[u << 20 | t] = self._no_merge(u, t, NEVER)
+        """Whether u and t stay as they are when their bytes are merged side by side; ``after`` and ``never`` keep the answers."""
+        if self._answers >= PAIRS:
+            self._forget()
+        self._answers += 1
+        answer = self._no_merge(u, t)
+        (self.after if answer else self.never)[u].add(t)
         return answer
 
+    def _forget(self) -> None:
+        self.after, self.never, self._answers = defaultdict(set), defaultdict(set), 0
+
 
 class Counter:
     """Counts of the prefixes of words, pieces of text and documents for one tokenizers file, given as its JSON text."""
@@ -100,39 +122,40 @@ class Counter:
         self._within = {self._split(chr(0x100 + i))[0][0][-1] for i in range(64)}  # letters of the bytes that never begin a character
         self._space = self._split(" ")[0][0]
         self._spaces: dict[str, bool] = {}
+        self._letters, self._others = set(string.ascii_letters), set()  # characters, as the library has told
+        self._spelling = {b: self._split(chr(b))[0][0] for b in range(128)}
+        self._words: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
         """Starts anew: segments of text and their words, numbered as they come. Of each segment: where its counts begin in
         the pool, how many there are, the last one, and by how much the count rises at the space that begins the segment after it."""
-        self._segments, self._words = Segments(), {}
+        self._segments = Segments()
+        if len(self._words) > REMEMBERED:
+            self._words = {}
         self._pool = np.zeros(0, np.int64)
         self._begins, self._sizes, self._totals, self._steps = (np.zeros(0, np.int64) for _ in range(4))
 
     def word(self, word: str) -> list[int]:
         """Counts at the end of each character of a word that is spelled in the file's letters."""
-        n = len(word)
-        last, count = [-1] * (n + 1), [0] * (n + 1)
+        last, count = [0] * len(word), [0] * (len(word) + 1)  # by the place of the last letter; a count at place -1 is that of nothing
         merges = self._merges
-        known, apart = merges.known.get, merges.apart
+        after, never, apart = merges.after, merges.never, merges.apart
         for at, (token, size) in self._automaton.iter(word):
-            at += 1
-            if last[at] < 0:
-                before = at - size
-                if before:
-                    u = last[before]
-                    fits = known(u << 20 | token)
-                    if fits is None:
-                        fits = apart(u, token)
-                    if not fits:
-                        continue
-                last[at], count[at] = token, count[before] + 1
+            if count[at]:
+                continue
+            before = at - size
+            if before >= 0:
+                u = last[before]
+                if token not in after[u] and (token in never[u] or not apart(u, token)):
+                    continue
+            last[at], count[at] = token, count[before] + 1
+        del count[-1]
         if not word.isascii():
             within = self._within
-            count = [c for i, c in enumerate(count) if i == n or word[i] not in within]
+            count = [c for c, following in zip(count, word[1:] + " ") if following not in within]
         if word in ("'re", "'ve", "'ll"):
-            count[2] = 2  # a text that ends here ends in two words
-        del count[0]
+            count[1] = 2  # a text that ends here ends in two words
         return count
 
     def _is_space(self, word: str) -> bool:
@@ -157,22 +180,33 @@ class Counter:
         counts = self._words[word] = self.word(word)
         return counts
 
+    def _split_up(self, text: str) -> list[str]:
+        """The library's words of a segment, in its letters. Plain words and ASCII are split here, as the library would."""
+        if text.isascii():
+            if text.isprintable():  # only its spaces are spelled otherwise
+                text = text.replace(" ", self._space)
+                return [text] if text[1:].isalpha() else ASCII_SPELLED.findall(text)
+            return [w.translate(self._spelling) for w in ASCII_WORDS.findall(text)]
+        chars = set(text[1:] if text[0] == " " else text)
+        if not chars <= self._letters:
+            for c in chars - self._letters - self._others:
+                (self._letters if len(self._split(f"a{c}a")) == 1 else self._others).add(c)
+            if not chars <= self._letters:
+                return [w for w, _ in self._split(text)]
+        spelled = text.encode().decode("latin-1").translate(LETTERS)
+        return [spelled]
+
     def _learn(self) -> None:
         """Counts of the segments that are new: a segment's words one after the other. A word's counts go on from those of the
         words before it, but for white space: a text that ends in the first character behind it has one longer run of it."""
         spans = list(islice(self._segments.numbers, len(self._begins), None))
         if not spans:
             return
-        found = iter(self._split("".join([" " + k for k in spans if isinstance(k, str)])))  # no word crosses the space that begins a segment
-        bound, known, counted, is_space = 0, self._words.get, self._counted, self._is_space
+        known, counted, is_space, split = self._words.get, self._counted, self._is_space, self._split_up
         pool, sizes, steps = [], [], []
         for span in spans:
-            if isinstance(span, str):
-                own, bound = found, bound + 1 + len(span)
-            else:
-                own = self._split(span.decode())
             begin, base, before = len(pool), 0, None
-            for word, (_, end) in own:
+            for word in split(" " + span if isinstance(span, str) else span.decode()):
                 counts = known(word) or counted(word)
                 if base:
                     if before is not None and is_space(first := self._first(word)):
@@ -185,8 +219,6 @@ class Counter:
                     pool += counts
                 base += counts[-1]
                 before = word if is_space(word) else None
-                if own is found and end == bound:
-                    break
             sizes.append(len(pool) - begin)
             steps.append(1 if before is None else self.word(before + self._space)[-1] - self.word(before)[-1])
         sizes = np.array(sizes, np.int64)
@@ -234,10 +266,8 @@ class Counter:
 
 
 def _decode(word: str) -> str:
-    """Text of a word in the file's letters: printable bytes stand for themselves, the others for 0x100 and on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return bytes(ord(c) if ord(c) < 0x100 else others[ord(c) - 0x100] for c in word).decode()
+    """Text of a word in the file's letters."""
+    return bytes(BYTES[c] for c in word).decode()
 
 
 def _count(tokenizer: str):
