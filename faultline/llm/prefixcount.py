@@ -31,8 +31,8 @@ from faultline.llm.segments import Segments, kept
 
 BLOCK_CHARS = 1 << 20      # text worked on at once, or one document
 OUT_BYTES = 2 << 20        # counts in one batch that is handed on
-REMEMBERED = 300_000       # segments of text, and words, that a worker keeps before it starts anew, about 400 bytes each
-PAIRS = 250_000            # answers on pairs of tokens that a worker keeps
+REMEMBERED = 150_000       # segments of text, and words, that a worker keeps before it starts anew, about 300 bytes each
+PAIRS = 200_000            # answers on pairs of tokens that a worker keeps
 NEVER = 1 << 40
 # The pattern of byte-level BPE on ASCII text, and the letters of bytes: printable ones stand for themselves, the
 # others for 0x100 and on, in order.
@@ -124,7 +124,7 @@ class Counter:
         self._spaces: dict[str, bool] = {}
         self._letters, self._others = set(string.ascii_letters), set()  # characters, as the library has told
         self._spelling = {b: self._split(chr(b))[0][0] for b in range(128)}
-        self._words: dict[str, list[int]] = {}
+        self._words: dict[str, bytes | list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -176,8 +176,9 @@ class Counter:
             end += 1
         return word[:end]
 
-    def _counted(self, word: str) -> list[int]:
-        counts = self._words[word] = self.word(word)
+    def _counted(self, word: str) -> bytes | list[int]:
+        counts = self.word(word)
+        counts = self._words[word] = bytes(counts) if len(counts) < 256 else counts
         return counts
 
     def _split_up(self, text: str) -> list[str]:
@@ -292,7 +293,8 @@ def _count(tokenizer: str):
                 held, size, at = [], 0, i + 1
 
     def run(batches):
-        gc.disable()  # millions of small tuples and no cycles: collections would only look through them
+        before = gc.get_threshold()
+        gc.set_threshold(500_000, *before[1:])  # millions of small objects and no cycles: collections would mostly look through them
         counter = kept(f"counter-{hash(tokenizer)}", lambda: Counter(tokenizer))
         keys, texts, size = [], [], 0
         for rows in batches:
@@ -307,7 +309,7 @@ def _count(tokenizer: str):
                 keys.append(rows.column("key").slice(start))
         if texts:
             yield from close(keys, texts, counter)
-        gc.enable()
+        gc.set_threshold(*before)
 
     return run
 
