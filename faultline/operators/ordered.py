@@ -3,14 +3,17 @@
 ``lay_out`` range-partitions a table on a unique order, sorts inside the
 partitions and writes it once with its partition number and position. Range
 bounds are sampled on the whole order key, so a hot key is spread over as many
-partitions as it needs. Everything below works on that layout: only one small
-row per partition ever reaches the driver.
+partitions as it needs. Most of what is below works on that layout: only one small
+row per partition ever reaches the driver. ``ranges`` serves frames of a bounded
+number of rows with a single exchange and no written copy.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +21,8 @@ from pyspark.sql import types as T
 
 from faultline.session import written
 
-PART, POS, ROW, CHUNK = "_part", "_pos", "_row", "_chunk"
+PART, POS, ROW, CHUNK, SLOT = "_part", "_pos", "_row", "_chunk", "_slot"
+SLOTS = 8   # of a chunk of ``ranges``: copies for frames are whole slots
 _POSITION_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
@@ -92,6 +96,52 @@ def chunked(ordered: Ordered, before: int = 0, after: int = 0, limit: int = 1_00
     )
 
 
+@dataclass
+class Ranges:
+    """Rows with the slot of the global order they fall into; ``counts`` has the rows of each slot, SLOTS of which are a chunk."""
+
+    df: DataFrame   # input columns + _slot
+    order: tuple[str, ...]
+    counts: list[int]
+
+    def _reach(self, rows: int) -> int:
+        """Slots before any chunk that hold at least ``rows`` rows, or all there are."""
+        upto, most = list(accumulate(self.counts, initial=0)), 0
+        for start in range(SLOTS, len(self.counts), SLOTS):
+            most = max(most, start - max(0, bisect_right(upto, upto[start] - rows) - 1))
+        return most
+
+    def framed(self, before: int) -> DataFrame:
+        """Chunks for frames of so many rows back: each has copies of the slots its frames reach into. Use ``over`` on it, then
+        ``home``."""
+        own, top = F.floor(F.col(SLOT) / SLOTS), max(0, (len(self.counts) - 1) // SLOTS)
+        last = F.floor((F.col(SLOT) + self._reach(before)) / SLOTS)
+        return self.df.withColumn("_home", own).withColumn(CHUNK, F.explode(F.sequence(own, F.least(last, F.lit(top))))).drop(SLOT)
+
+    def over(self, *keys: str):
+        return Window.partitionBy(CHUNK, *keys).orderBy(*self.order)
+
+
+def ranges(df: DataFrame, *order: str) -> Ranges:
+    """Cuts the global order for bounded frames without moving a row: the frames' window then makes the only exchange.
+
+    ``order`` must identify rows uniquely, so that hot keys can be split. One pass draws a row for each of some slots (by hash, so
+    the draw is even and each task sends at most one row a slot), whose sorted keys are the slots' bounds; a second pass counts
+    the rows of each slot exactly, so what is copied for the frames is always enough. Only bounds and counts reach the driver.
+    """
+    chunks = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = SLOTS * chunks
+    key, mixed = F.struct(*[F.col(c) for c in order]), F.xxhash64(*order)
+    drawn = df.groupBy(F.pmod(mixed, F.lit(slots)).alias("b")).agg(F.min_by(key, mixed).alias("k"))
+    points = written(drawn.agg(F.sort_array(F.collect_list("k")).alias("points")), "points")
+    steps = [1 << i for i in reversed(range(slots.bit_length()))]
+    slot = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
+        F.coalesce(F.get(F.col("_points"), at + step - 1) <= F.col("_key"), F.lit(False)), at + step).otherwise(at))
+    marked = df.withColumns({"_points": points.scalar(), "_key": key}).withColumn(SLOT, slot).drop("_points", "_key")
+    found = {r[SLOT]: r["count"] for r in marked.groupBy(SLOT).count().collect()}
+    return Ranges(marked, order, [found.get(i, 0) for i in range(max(found, default=-1) + 1)])
+
+
 def frame(*keys: str):
     """Window over a chunk (and optional keys) in the global order."""
     return Window.partitionBy(CHUNK, *keys).orderBy(ROW)

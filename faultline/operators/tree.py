@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,13 +13,11 @@ from faultline.operators.quantiles import percentiles_of_counts
 from faultline.session import written
 
 THRESHOLD_PROBS = [(10 + 80 * i / 19) / 100 for i in range(20)]
-TIE_DIGITS = 12       # relative gains equal to this many digits are ties
+TIE_DIGITS = 12       # relative gains of variances equal to this many digits are ties
+CLASS_DIGITS = 9      # and of entropies, which may come from running sums, whatever the number of classes
 CLASS_COLUMNS = 1_000 # up to so many classes a value's counts are columns, beyond that rows
-ROW_DIGITS = 9        # ties where the entropies come from running sums
 BROADCAST_NODES = 100_000
 
-NODE_SCHEMA = "node bigint, depth int, n bigint, feature int, threshold double, gain double, "
-
 
 def _long(rows: DataFrame, features: list[str]) -> DataFrame:
     return rows.select("node", "y", F.posexplode("x").alias("feature", "v"))
@@ -38,6 +37,14 @@ def _few(df: DataFrame, count: int) -> DataFrame:
     return F.broadcast(df) if count <= BROADCAST_NODES else df
 
 
+def _walked(rows: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """Rows with the node each one has reached; those that ended in a leaf are left out."""
+    goes_right = (F.get("x", F.col("feature")) > F.col("threshold")).cast("int")
+    for splits in steps:
+        rows = rows.join(splits, "node").select((F.col("node") * 2 + 1 + goes_right).alias("node"), "x", "y")
+    return rows
+
+
 def variance_splits(rows: DataFrame, nodes: DataFrame, features: list[str]) -> DataFrame:
     """Best split per node: (node, feature, threshold, gain).
 
@@ -75,10 +82,10 @@ def variance_splits(rows: DataFrame, nodes: DataFrame, features: list[str]) -> D
     right = rest(F.col("t_c") - F.col("l_c"), F.col("t_s") - F.col("l_s"), F.col("t_q") - F.col("l_q"))
     gain = F.col("impurity") - (left + right) / F.col("all_n")
     usable = sums.filter((F.col("slot") < len(THRESHOLD_PROBS) - 1) & (F.col("l_c") < F.col("t_c")))
-    return _best(usable.withColumns({"gain": gain, "threshold": F.get("cuts", F.col("slot"))}))
+    return _best(usable.withColumns({"gain": gain, "threshold": F.get("cuts", F.col("slot"))}), TIE_DIGITS)
 
 
-def _best(candidates: DataFrame, digits: int = TIE_DIGITS) -> DataFrame:
+def _best(candidates: DataFrame, digits: int) -> DataFrame:
     """First feature, lowest threshold among the candidates of highest gain."""
     ranked = F.struct(
         F.round(F.col("gain") / F.col("impurity"), digits).alias("g"), (-F.col("feature")).alias("f"), (-F.col("threshold")).alias("t"))
@@ -114,7 +121,7 @@ def entropy_splits(rows: DataFrame, nodes: DataFrame, features: list[str], label
     usable = joined.withColumns({"nl": nl, "nr": nr}).filter("nl > 0 AND nr > 0")
     gain = F.col("impurity") - (
         F.col("nl") * _entropy(left, F.col("nl")) + F.col("nr") * _entropy(right, F.col("nr"))) / (F.col("nl") + F.col("nr"))
-    return _best(usable.withColumns({"gain": gain, "threshold": F.col("v")}))
+    return _best(usable.withColumns({"gain": gain, "threshold": F.col("v")}), CLASS_DIGITS)
 
 
 def _x_log_x(count: Column) -> Column:
@@ -142,42 +149,39 @@ def entropy_splits_by_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         "nl": F.col("r_n") - F.col("b_n"), "nr": F.col("e_n") - F.col("r_n")}).filter("nl > 0 AND nr > 0")
     rest = _x_log_x(F.col("nl")) - (F.col("r_l") - F.col("b_l")) + _x_log_x(F.col("nr")) - (F.col("r_r") - F.col("e_r"))
     gain = F.col("impurity") - rest / (F.col("nl") + F.col("nr"))
-    return _best(joined.withColumns({"gain": gain, "threshold": F.col("v")}), ROW_DIGITS)
+    return _best(joined.withColumns({"gain": gain, "threshold": F.col("v")}), CLASS_DIGITS)
 
 
 def _grow(
     rows: DataFrame, describe: Callable[[DataFrame], DataFrame], split: Callable[[DataFrame, DataFrame], DataFrame],
-    max_depth: int, min_sample: int, value_type: str,
+    max_depth: int, min_sample: int,
 ) -> DataFrame:
     """Node table (node, depth, n, feature, threshold, gain, value); children of i are 2i+1 and 2i+2.
 
-    A node splits while it has ``min_sample`` rows, its depth is at most
-    ``max_depth`` and some split gains. Only the rows of splitting nodes go on.
+    A node splits while it has ``min_sample`` rows, its depth is at most ``max_depth`` and some split gains. Rows are written
+    once; at each level they walk down by the splits found so far. The nodes of a level are a written table: only their
+    number reaches the driver.
     """
-    spark = rows.sparkSession
-    out: list[tuple] = []
     rows = written(rows, "tree-rows")
+    levels, steps = [], []
     for depth in range(max_depth + 2):
-        stats = describe(rows).collect()   # one row per node of the level
-        if not stats:
-            break
-        best: dict[int, tuple] = {}
-        splitting = [s for s in stats if s["n"] >= min_sample and s["impurity"] > 0]
-        if depth <= max_depth and splitting:
-            open_nodes = _few(spark.createDataFrame(
-                [(s["node"], s["n"], s["value"], s["impurity"]) for s in splitting],
-                f"node bigint, n bigint, value {value_type}, impurity double"), len(splitting))
-            live = rows if len(splitting) == len(stats) else rows.join(
-                open_nodes.select("node"), "node", "left_semi")
-            best = {b["node"]: (b["feature"], b["threshold"], b["gain"]) for b in split(live, open_nodes).collect()}
-        out += [(s["node"], depth, s["n"], *best.get(s["node"], (None, None, None)), s["value"]) for s in stats]
-        if not best:
+        here = _walked(rows, steps)
+        nodes = written(describe(here), "tree-nodes")
+        count = nodes.count()
+        splitting = nodes.filter((F.col("n") >= min_sample) & (F.col("impurity") > 0))
+        best = None
+        if depth <= max_depth and not splitting.isEmpty():
+            open_nodes = _few(splitting, count)
+            best = written(split(here.join(open_nodes.select("node"), "node", "left_semi"), open_nodes), "tree-splits")
+            if best.isEmpty():
+                best = None
+        none = {"feature": F.lit(None).cast("int"), "threshold": F.lit(None).cast("double"), "gain": F.lit(None).cast("double")}
+        level = nodes.withColumns(none) if best is None else nodes.join(_few(best, count), "node", "left")
+        levels.append(level.select("node", F.lit(depth).alias("depth"), "n", "feature", "threshold", "gain", "value"))
+        if best is None:
             break
-        chosen = spark.createDataFrame([(n, b[0], b[1]) for n, b in best.items()], "node bigint, feature int, threshold double")
-        goes_right = (F.get("x", F.col("feature")) > F.col("threshold")).cast("int")
-        rows = written(rows.join(_few(chosen, len(best)), "node").select(
-            (F.col("node") * 2 + 1 + goes_right).alias("node"), "x", "y"), "tree-rows")
-    return spark.createDataFrame(out, NODE_SCHEMA + f"value {value_type}")
+        steps.append(_few(best.select("node", "feature", "threshold"), count))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def fit_regression_tree(df: DataFrame, features: list[str], target: str, max_depth: int = 2, min_sample: int = 2) -> DataFrame:
@@ -185,7 +189,7 @@ def fit_regression_tree(df: DataFrame, features: list[str], target: str, max_dep
         return rows.groupBy("node").agg(F.count("*").alias("n"), F.avg("y").alias("value"), F.var_pop("y").alias("impurity"))
 
     rows = _rows(df.withColumn(target, F.col(target).cast("double")), features, target)
-    return _grow(rows, describe, lambda r, n: variance_splits(r, n, features), max_depth, min_sample, "double")
+    return _grow(rows, describe, lambda r, n: variance_splits(r, n, features), max_depth, min_sample)
 
 
 def fit_classification_tree(df: DataFrame, features: list[str], target: str, max_depth: int = 2, min_sample: int = 2) -> DataFrame:
@@ -201,7 +205,7 @@ def fit_classification_tree(df: DataFrame, features: list[str], target: str, max
         return stats.select("node", "n", F.col("top.y").alias("value"), F.when(-F.col("top.c") == F.col("n"), 0.0).otherwise(spread).alias("impurity"))
 
     if len(labels) > CLASS_COLUMNS:
-        return _grow(rows, describe_by_rows, entropy_splits_by_rows, max_depth, min_sample, "string")
+        return _grow(rows, describe_by_rows, entropy_splits_by_rows, max_depth, min_sample)
 
     def describe(rows):
         names = [f"c{i}" for i in range(len(labels))]
@@ -211,7 +215,7 @@ def fit_classification_tree(df: DataFrame, features: list[str], target: str, max
         value = F.coalesce(*[F.when(F.col(c) == top, F.lit(lb)) for c, lb in zip(names, labels)])
         return counts.select("node", "n", value.alias("value"), _entropy([F.col(c) for c in names], F.col("n")).alias("impurity"))
 
-    return _grow(rows, describe, lambda r, n: entropy_splits(r, n, features, labels), max_depth, min_sample, "string")
+    return _grow(rows, describe, lambda r, n: entropy_splits(r, n, features, labels), max_depth, min_sample)
 
 
 def with_path(df: DataFrame, tree: DataFrame, features: list[str], keep: list[str]) -> DataFrame:

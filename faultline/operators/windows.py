@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from faultline.functions.scalar import micros, seconds_between
 from faultline.operators.ordered import (
-    PART, POS, ROW, Ordered, carry_forward, chunked, frame, home, lay_out, split_by_row, with_row_index,
+    PART, POS, ROW, Ordered, carry_forward, chunked, frame, home, lay_out, ranges, split_by_row, with_row_index,
 )
 from faultline.session import small_side
 
@@ -21,27 +21,26 @@ DAY_US = 86_400_000_000
 
 def time_since_last(df: DataFrame, by: str | None = None, name: str = "time_since_last_event") -> DataFrame:
     """Seconds since the previous event in (by,) time, idx order; the first has NULL."""
-    order = ([by] if by else []) + ["time", "idx"]
-    rows = chunked(lay_out(df, *order), before=1)
     keys = (by,) if by else ()
-    gap = seconds_between(F.col("time"), F.lag("time").over(frame(*keys)))
-    return home(rows.withColumn(name, gap)).drop(ROW)
+    cut = ranges(df, *keys, "time", "idx")
+    gap = seconds_between(F.col("time"), F.lag("time").over(cut.over(*keys)))
+    return home(cut.framed(before=1).withColumn(name, gap))
 
 
 def rolling_rows(df: DataFrame, keys: tuple[str, ...], windows: tuple[int, ...] = (1, 7, 30), value: str = "mag") -> DataFrame:
     """Per key, over the last w rows: the count of values once w rows were seen,
     and the maximum when all w values are present."""
-    rows = chunked(lay_out(df, *keys, "time", "idx"), before=max(windows) - 1)
+    cut = ranges(df, *keys, "time", "idx")
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
     new = {}
     for w in windows:
-        over = frame(*keys).rowsBetween(1 - w, 0)
+        over = cut.over(*keys).rowsBetween(1 - w, 0)
         n = F.count(value).over(over)
         new[f"eq_count_last_{w}d"] = F.when(known & (F.count(F.lit(1)).over(over) == w), n.cast("double"))
         new[f"max_mag_last_{w}d"] = F.when(known & (n == w), F.max(value).over(over))
-    return home(rows.withColumns(new)).drop(ROW)
+    return home(cut.framed(before=max(windows) - 1).withColumns(new))
 
 
 def _running_by_key(ordered: Ordered, keys: list[str], count: str, top: str) -> DataFrame:

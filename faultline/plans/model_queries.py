@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, ensemble, features, forecast, impute, knn, linear, metrics, tree, windows
+from faultline.operators import binned_trees, clean, ensemble, features, forecast, impute, knn, linear, metrics, tree, windows
 from faultline.operators.profile import safe_std
 from faultline.plans import views
 from faultline.plans.clean_queries import _SPLIT, bin_ctes
@@ -282,7 +284,7 @@ def _next_rows(names, rows: str, level: int) -> str:
             f"FROM {rows}{level} LEFT JOIN b{level} USING (node))")
 
 
-def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains: str, source: str = "cat") -> str:
+def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains: str, source: str = "cat", digits: int = tree.TIE_DIGITS) -> str:
     """CTEs ending in ``r<levels>`` (idx, node, x0…, y): every level splits the nodes
     that gain. ``gains`` fills CTE ``g{l}`` (node, feature, t, gain, v) from ``v{l}``."""
     ctes = [f"r0 AS ({_first_rows(names, y, source)})"]
@@ -291,16 +293,19 @@ def _grown_sql(names, y: str, levels: int, min_sample: int, impurity: str, gains
             f"s{k} AS MATERIALIZED (SELECT node, count(*) AS n, {impurity.format(l=k)} AS v FROM r{k} GROUP BY node)",
             f"v{k} AS MATERIALIZED (SELECT r{k}.*, n, v FROM r{k} JOIN s{k} USING (node) WHERE n >= {min_sample} AND v > 0)",
             gains.format(l=k),
-            f"b{k} AS MATERIALIZED (SELECT node, feature, t FROM g{k} WHERE round(gain / v, 12) > 0 "
-            "QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain / v, 12) DESC, feature, t) = 1)",
+            f"b{k} AS MATERIALIZED (SELECT node, feature, t FROM g{k} WHERE round(gain / v, {digits}) > 0 "
+            f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain / v, {digits}) DESC, feature, t) = 1)",
             _next_rows(names, "r", k),
         ]
     return ", ".join(ctes)
 
 
 def _variance_gains(names) -> str:
-    probs = "[" + ", ".join(repr(p) for p in tree.THRESHOLD_PROBS) + "]"
-    cuts = " UNION ALL ".join(f"SELECT node, {i} AS feature, quantile_cont(x{i}, {probs}) AS q FROM v{{l}} GROUP BY node" for i in range(len(names)))
+    probs = "[" + ", ".join(f"{p!r}e0" for p in tree.THRESHOLD_PROBS) + "]"  # plain literals would be decimals, and off by a bit
+    place = "(len(l) - 1) * p"
+    value = f"l[1 + CAST(floor({place}) AS BIGINT)] + (l[1 + CAST(ceil({place}) AS BIGINT)] - l[1 + CAST(floor({place}) AS BIGINT)]) * ({place} - floor({place}))"
+    cuts = " UNION ALL ".join(f"SELECT node, {i} AS feature, list_transform({probs}, lambda p: {value}) AS q FROM (SELECT node, list_sort(list(x{i})) AS l FROM v{{l}} GROUP BY node)"
+                              for i in range(len(names)))
     sums = " UNION ALL ".join(
         f"SELECT node, feature, t, any_value(v) AS v, any_value(n) AS n, count(*) FILTER (x{i} <= t) AS nl, "
         f"var_pop(y) FILTER (x{i} <= t) AS vl, var_pop(y) FILTER (x{i} > t) AS vr FROM c{{l}} JOIN v{{l}} USING (node) WHERE feature = {i} "
@@ -309,12 +314,13 @@ def _variance_gains(names) -> str:
             f"g{{l}} AS MATERIALIZED (SELECT node, feature, t, v, v - (nl * vl + (n - nl) * vr) / n AS gain FROM ({sums}) WHERE nl > 0 AND nl < n)")
 
 
-@query("ml_tree_reg", f"WITH {_grown_sql(_TREE, 'mag', 4, 20, 'var_pop(y)', _variance_gains(_TREE))} "
-       f"SELECT idx, {r('y', 'mag')}, {r('avg(y) OVER (PARTITION BY node)', 'predicted')} FROM r4")
+@query("ml_tree_reg", f"WITH {_grown_sql(_TREE, 'mag', 12, 20, 'var_pop(y)', _variance_gains(_TREE))} "
+       f"SELECT idx, {r('y', 'mag')}, node, count(*) OVER (PARTITION BY node) AS leaf_rows, {r('sum(y) OVER (PARTITION BY node)', 'leaf_sum')} FROM r12")
 def _(spark, d):
     cat = views.catalog(spark, d)
-    grown = tree.fit_regression_tree(cat, _TREE, "mag", max_depth=3, min_sample=20)
-    return tree.predict(cat, grown, _TREE, ["idx", "mag"])
+    grown = tree.fit_regression_tree(cat, _TREE, "mag", max_depth=11, min_sample=20)
+    leaves = grown.select("node", F.col("n").alias("leaf_rows"), (F.col("value") * F.col("n")).alias("leaf_sum"))  # means may end on a half digit, sums do not
+    return tree.with_path(cat, grown, _TREE, ["idx", "mag"]).join(leaves, "node").select("idx", "mag", "node", "leaf_rows", "leaf_sum")
 
 
 _CLASS = ["mag", "rms", "latitude"]
@@ -337,7 +343,7 @@ def _gain_sql() -> str:
             f"g AS (SELECT feature, v, {entropy(ts, 'n')} AS h, (nl / n) * ({entropy(ls, 'nl')}) + ((n - nl) / n) * ({entropy(rest, '(n - nl)')}) AS rest "
             "FROM tt WHERE nl < n) "
             f"SELECT CAST(feature AS INT) AS feature, {r('v', 'threshold')}, {r('h - rest', 'gain')} FROM g "
-            "ORDER BY round((h - rest) / h, 12) DESC, feature, v LIMIT 1")
+            f"ORDER BY round((h - rest) / h, {tree.CLASS_DIGITS}) DESC, feature, v LIMIT 1")
 
 
 @query("ml_info_gain", _gain_sql())
@@ -370,13 +376,13 @@ def _entropy_gains(names) -> str:
 _NODE_ENTROPY = _h([f"count(*) FILTER (y = '{lb}')" for lb in _LABELS], "count(*)")
 
 
-@query("ml_tree_cls", f"WITH {_grown_sql(_CLASS, 'magType', 3, 20, _NODE_ENTROPY, _entropy_gains(_CLASS))}, "
+@query("ml_tree_cls", f"WITH {_grown_sql(_CLASS, 'magType', 3, 2, _NODE_ENTROPY, _entropy_gains(_CLASS), digits=tree.CLASS_DIGITS)}, "
        "votes AS (SELECT node, y, count(*) AS n FROM r3 GROUP BY 1, 2), "
        "top AS (SELECT node, y AS predicted FROM votes QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, y) = 1) "
        "SELECT idx, y AS magType, predicted FROM r3 JOIN top USING (node)")
 def _(spark, d):
     cat = views.catalog(spark, d)
-    grown = tree.fit_classification_tree(cat, _CLASS, "magType", max_depth=2, min_sample=20)
+    grown = tree.fit_classification_tree(cat, _CLASS, "magType", max_depth=2, min_sample=2)
     return tree.predict(cat, grown, _CLASS, ["idx", "magType"])
 
 
@@ -385,7 +391,7 @@ def _base_splits(spark, d):
     return {name: parts.filter(F.col("split") == name).drop("split") for name in ("train", "valid", "test")}
 
 
-_DEPTHS, _MINIMA = range(2, 5), range(2, 21)
+_DEPTHS, _MINIMA = range(2, 5), range(2, 21)  # of the short form; the full one has depths 2 to 20
 
 
 def _grid_sql() -> str:
@@ -419,24 +425,133 @@ def _(spark, d):
     return tree.grid_scores(parts["train"], parts["valid"], _TREE, "mag", range(2, 21), _MINIMA)
 
 
-@query("ml_rf")
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [*_LIN, "mag"])
+
+
+def _coded_sql() -> str:
+    """CTEs ending in ``coded`` (idx, split, mag, y, x0…): the target in fixed point and the bins of all columns."""
+    bins = binned_trees.BINS
+    cuts = ", ".join(
+        f"cut{i} AS MATERIALIZED (SELECT coalesce(list(v ORDER BY v), []) AS cuts{i} FROM (SELECT v, c, sum(c) OVER (ORDER BY v) AS e, sum(c) OVER () AS n "
+        f"FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) AS c FROM tr GROUP BY 1)) WHERE e < n AND e * {bins} // n > (e - c) * {bins} // n)"
+        for i, c in enumerate(_LIN))
+    codes = ", ".join(f"len(list_filter(cuts{i}, lambda c: c < {c})) AS x{i}" for i, c in enumerate(_LIN))
+    return (
+        f"{_SPLIT}, cr AS (SELECT * FROM splits WHERE split <> 'valid' AND {_COMPLETE}), tr AS (SELECT * FROM cr WHERE split = 'train'), {cuts}, "
+        f"fixed AS (SELECT pow(2, {binned_trees.BITS - 1} - floor(log2(max(abs(mag))))) AS unit FROM tr), "
+        f"coded AS MATERIALIZED (SELECT idx, split, mag, unit, CAST(floor(mag * unit + 0.5) AS BIGINT) AS y, {codes} "
+        f"FROM cr, fixed, {', '.join(f'cut{i}' for i in range(len(_LIN)))})")
+
+
+_XS = ", ".join(f"x{i}" for i in range(len(_LIN)))
+
+
+def _best_sql(rows: str, weight: str, rest: str, where: str, keys: str, penalty: float) -> str:
+    """Best split (``keys``, f, at) of each node among ``rows``: highest gain, first column, lowest bin."""
+    h = " UNION ALL ".join(f"SELECT {keys}, {i} AS f, x{i} AS bin, sum({weight}) AS w, sum({rest}) AS s FROM {rows} WHERE {where} GROUP BY {keys}, x{i}"
+                           for i in range(len(_LIN)))
+
+    def square(s, w):
+        return f"CAST({s} AS DOUBLE) * CAST({s} AS DOUBLE) / (CAST({w} AS DOUBLE) + {penalty})"
+
+    gain = f"{square('sl', 'wl')} + {square('st - sl', 'wt - wl')} - {square('st', 'wt')}"
+    return (f"SELECT {keys}, f, bin FROM (SELECT *, {gain} AS gain FROM (SELECT {keys}, f, bin, sum(w) OVER a AS wl, sum(s) OVER a AS sl, sum(w) OVER p AS wt, "
+            f"sum(s) OVER p AS st FROM ({h}) WINDOW a AS (PARTITION BY {keys}, f ORDER BY bin), p AS (PARTITION BY {keys}, f)) WHERE wl < wt) "
+            f"WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY gain DESC, f, bin) = 1")
+
+
+_CODE_AT = "CASE f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(len(_LIN))) + " END"
+
+
+def _forest_sql(trees: int, depth: int, seed: int) -> str:
+    """The forest level by level: in-bag rows carry their weight, test rows walk along with weight 0."""
+    counts = " + ".join(f"CASE WHEN u >= {p!r} THEN 1 ELSE 0 END" for p in binned_trees.BOOTSTRAP)
+    ctes = [f"r0 AS MATERIALIZED (SELECT * FROM (SELECT idx, mag, unit, tree, 0::BIGINT AS node, CASE WHEN split = 'train' THEN {counts} ELSE 0 END AS w, split, y, {_XS} "
+            f"FROM (SELECT *, {binned_trees.uniform_sql('idx', f'{seed} + tree')} AS u FROM coded, range({trees}) t(tree))) WHERE split = 'test' OR w > 0)"]
+    for k in range(depth):
+        best = _best_sql(f"r{k}", "w", "w * y", f"w > 0 AND node >= {2 ** k - 1}", "tree, node", 0.0)
+        ctes.append(f"b{k} AS MATERIALIZED ({best})")
+        ctes.append(f"r{k + 1} AS MATERIALIZED (SELECT idx, mag, unit, tree, CASE WHEN f IS NULL THEN node ELSE node * 2 + 1 + CASE WHEN {_CODE_AT} > bin THEN 1 ELSE 0 END END AS node, "
+                    f"w, split, y, {_XS} FROM r{k} LEFT JOIN b{k} USING (tree, node))")
+    return (f"WITH {_coded_sql()}, {', '.join(ctes)}, leaf AS (SELECT tree, node, floor(CAST(sum(w * y) AS DOUBLE) / sum(w) + 0.5) AS v FROM r{depth} WHERE w > 0 GROUP BY 1, 2) "
+            f"SELECT idx, {r('any_value(mag)', 'actual')}, {r(f'sum(v) / {trees} / any_value(unit)', 'predicted')} FROM r{depth} JOIN leaf USING (tree, node) "
+            "WHERE split = 'test' GROUP BY idx")
+
+
+@query("ml_rf", _forest_sql(**ensemble.FOREST), ("base",))
 def _(spark, d):
     parts = _base_splits(spark, d)
     model = ensemble.fit_forest(parts["train"], _LIN, "mag")
-    return ensemble.score_rows(model, parts["test"], _LIN, "mag")
-
-
-@query("ml_gbt")
+    return ensemble.score_rows(model, parts["test"], "mag")
+
+
+def _boosting_sql(models: list[tuple], rounds: int, seed: int, where: str) -> str:
+    """CTEs (of a recursive WITH) ending in ``it``: one step of the recursion per level, for all ``models`` (depth, rate, rows,
+    columns, fold). Rows move by the best splits of their model, and at the end of a round their prediction p takes the
+    leaf's value."""
+    depth = max(m[0] for m in models)
+    listed = ", ".join(f"({i}, {', '.join(map(str, m))})" for i, m in enumerate(models))
+    drawn = binned_trees.uniform_sql("f + 1000003", f"{seed} + turn")
+    bag = f"split = 'train' AND fold <> own AND {binned_trees.uniform_sql('idx', f'{seed} + step // {depth}')} < rows"
+    used = "(turn, share, f) IN (SELECT turn, share, f FROM drawn)"
+    best = _best_sql("live", "1", "y - p", f"bag AND step % {depth} < depth AND node >= pow(2, step % {depth}) - 1", "m, turn, share, node", ensemble.PENALTY)
+    best = best.replace(" WHERE wl < wt)", f" WHERE wl < wt AND {used})")
+    last = f"step % {depth} = {depth - 1}"
+    return (
+        f"models AS (SELECT * FROM (VALUES {listed}) t(m, depth, rate, rows, share, own)), "
+        f"placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY idx) - 1 AS rn, count(*) OVER (PARTITION BY split) AS n FROM coded WHERE {where}), "
+        f"folded AS (SELECT * EXCLUDE (rn, n), CASE WHEN split <> 'train' THEN -2 WHEN rn < n % 5 * (n // 5 + 1) THEN rn // (n // 5 + 1) "
+        "ELSE n % 5 + (rn - n % 5 * (n // 5 + 1)) // greatest(n // 5, 1) END AS fold FROM placed), "
+        f"drawn AS MATERIALIZED (SELECT turn, share, f FROM (SELECT *, row_number() OVER (PARTITION BY turn, share ORDER BY {drawn}, f) AS place FROM range({rounds}) t(turn), "
+        f"range({len(_LIN)}) u(f), (SELECT DISTINCT share FROM models)) WHERE place <= greatest(1, floor(share * {len(_LIN)}))), "
+        "bases AS (SELECT m, CAST(floor(CAST(sum(y) AS DOUBLE) / count(*) + 0.5) AS BIGINT) AS base FROM folded, models WHERE split = 'train' AND fold <> own GROUP BY m), "
+        f"it AS (SELECT 0 AS step, m, depth, rate, rows, share, own, fold, idx, mag, unit, split, 0::BIGINT AS node, y, base AS p, {_XS} FROM folded, models JOIN bases USING (m) "
+        f"UNION ALL SELECT * FROM (WITH live AS MATERIALIZED (SELECT *, step // {depth} AS turn, {bag} AS bag FROM it WHERE step < {rounds * depth}), best AS MATERIALIZED ({best}), "
+        f"moved AS MATERIALIZED (SELECT l.*, CASE WHEN f IS NULL THEN l.node ELSE l.node * 2 + 1 + CASE WHEN {_CODE_AT} > bin THEN 1 ELSE 0 END END AS deep "
+        "FROM live l LEFT JOIN best b ON b.m = l.m AND b.node = l.node), "
+        f"leaf AS MATERIALIZED (SELECT m, deep, floor(any_value(rate) * CAST(sum(y - p) AS DOUBLE) / (count(*) + {ensemble.PENALTY}) + 0.5) AS v FROM moved WHERE bag GROUP BY m, deep) "
+        f"SELECT step + 1, o.m, depth, rate, rows, share, own, fold, idx, mag, unit, split, CASE WHEN {last} THEN 0 ELSE o.deep END, y, "
+        f"CASE WHEN {last} THEN p + CAST(coalesce(v, 0) AS BIGINT) ELSE p END, {_XS} FROM moved o LEFT JOIN leaf ON leaf.m = o.m AND leaf.deep = o.deep))")
+
+
+def _boosted_sql(rounds: int, depth: int, rate: float, rows: float, columns: float, seed: int) -> str:
+    return (f"WITH RECURSIVE {_coded_sql()}, {_boosting_sql([(depth, rate, rows, columns, -1)], rounds, seed, 'true')} "
+            f"SELECT idx, {r('mag', 'actual')}, {r('CAST(p AS DOUBLE) / unit', 'predicted')} FROM it WHERE step = {rounds * depth} AND split = 'test'")
+
+
+@query("ml_gbt", _boosted_sql(**ensemble.BOOSTED), ("base",))
 def _(spark, d):
     parts = _base_splits(spark, d)
     model = ensemble.fit_boosted(parts["train"], _LIN, "mag")
-    return ensemble.score_rows(model, parts["test"], _LIN, "mag")
+    return ensemble.score_rows(model, parts["test"], "mag")
+
+
+_SMALL_SEARCH = {"rounds": [4, 8], "depth": [2, 3], "rate": [0.5, 0.1], "rows": [0.8], "columns": [0.8, 1.0]}
+
+
+def _search_sql(grid: dict[str, list], folds: int = 5, seed: int = 42) -> str:
+    shapes = list(product(*(grid[c] for c in ("depth", "rate", "rows", "columns"))))
+    models = [(*shape, k) for shape in shapes for k in range(folds)]
+    runs = ", ".join(f"({i}, {n}, {', '.join(map(str, shape))})" for i, (n, shape) in enumerate(product(grid["rounds"], shapes)))
+    return (
+        f"WITH RECURSIVE {_coded_sql()}, {_boosting_sql(models, max(grid['rounds']), seed, "split = 'train'")}, "
+        f"runs AS (SELECT * FROM (VALUES {runs}) t(run, rounds, depth, rate, rows, columns)), "
+        "e AS (SELECT step, depth, rate, rows, share, own, avg(((y - p) / unit) ** 2) AS mse FROM it WHERE fold = own GROUP BY ALL), "
+        "s AS (SELECT run, any_value(rounds) AS rounds, any_value(r.depth) AS depth, any_value(r.rate) AS rate, any_value(r.rows) AS rows, any_value(columns) AS columns, avg(mse) AS mse "
+        f"FROM runs r JOIN e ON e.step = r.rounds * {max(grid['depth'])} AND e.depth = r.depth AND e.rate = r.rate AND e.rows = r.rows AND e.share = r.columns GROUP BY run) "
+        f"SELECT run, rounds, depth, {rs('rate', 'rows', 'columns', 'mse')}, row_number() OVER (ORDER BY s.mse, run) = 1 AS is_best FROM s")
 
 
 @query("ml_grid_cv")
 def _(spark, d):
     parts = _base_splits(spark, d)
-    return ensemble.grid_search(parts["train"], _LIN, "mag")[1]
+    return ensemble.grid_search(parts["train"], _LIN, "mag")
+
+
+@query("ml_grid_cv_short", _search_sql(_SMALL_SEARCH), ("base",))
+def _(spark, d):
+    parts = _base_splits(spark, d)
+    return ensemble.grid_search(parts["train"], _LIN, "mag", _SMALL_SEARCH)
 
 
 # --- runs, reports, forecasts --------------------------------------------------------

@@ -1,13 +1,14 @@
 """Linear models, trees, ensembles and forecasts against plain numpy."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.operators import ensemble, forecast, linear, tree
+from faultline.operators import binned_trees, ensemble, forecast, linear, tree
 from faultline.operators.profile import fill_numeric
 
 FEATURES = ["a", "b", "c"]
@@ -149,20 +150,135 @@ def test_first_of_equal_scores_wins(spark):
     assert tuple(tree.best_parameters(scores, ["depth", "min_sample"], "r2", ["depth", "min_sample"]).first()) == (3, 4, 0.9)
 
 
-def test_forest_boosting_and_search(df, tmp_path):
-    forest = ensemble.fit_forest(df, FEATURES, "y", numTrees=5, maxDepth=4)
-    boosted = ensemble.fit_boosted(df, FEATURES, "y", maxIter=5)
+def plain_cuts(v):
+    """Values at which the share of rows up to them passes a multiple of 1 / 256."""
+    v, n = np.sort(v), len(v)
+    return [x for x in np.unique(v)[:-1] if int((v <= x).sum()) * 256 // n > int((v < x).sum()) * 256 // n]
+
+
+def plain_tree(x, rest, bag, depth, penalty, columns):
+    """Nested splits over exact integers: (feature, cut, left, right) or (sum, weight)."""
+    w, s = sum(bag), sum(b * t for b, t in zip(bag, rest))
+    best = None
+    if depth and w:
+        inside = [i for i in range(len(x)) if bag[i]]
+        for f in columns:
+            for cut in sorted({x[i][f] for i in inside}):
+                left = [i for i in inside if x[i][f] <= cut]
+                wl, sl = sum(bag[i] for i in left), sum(bag[i] * rest[i] for i in left)
+                if wl < w:
+                    gain = float(sl) * sl / (wl + penalty) + float(s - sl) * (s - sl) / (w - wl + penalty) - float(s) * s / (w + penalty)
+                    if gain > 0 and (best is None or gain > best[0]):
+                        best = (gain, f, cut)
+    if best is None:
+        return s, w
+    _, f, cut = best
+    sides = [[b if (r[f] <= cut) == here else 0 for b, r in zip(bag, x)] for here in (True, False)]
+    return (f, cut, *[plain_tree(x, rest, side, depth - 1, penalty, columns) for side in sides])
+
+
+def plain_value(node, row, rate, penalty):
+    while len(node) == 4:
+        node = node[2] if row[node[0]] <= node[1] else node[3]
+    return int(np.floor(rate * node[0] / (node[1] + penalty) + 0.5)) if node[1] else 0
+
+
+def plain_boosting(x, y, keys, train, rounds, depth, rate, rows, columns, seed=42):
+    base = int(np.floor(sum(y[i] for i in train) / len(train) + 0.5))
+    p = [base] * len(y)
+    for turn in range(rounds):
+        bag = [0] * len(y)
+        for i in train:
+            bag[i] = int(binned_trees.uniform(keys[i], seed + turn) < rows)
+        order = sorted(range(len(x[0])), key=lambda f: (binned_trees.uniform(f + 1_000_003, seed + turn), f))
+        grown = plain_tree(x, [a - b for a, b in zip(y, p)], bag, depth, 1.0, sorted(order[:max(1, int(columns * len(order)))]))
+        p = [v + plain_value(grown, row, rate, 1.0) for v, row in zip(p, x)]
+    return p
+
+
+@pytest.fixture(scope="module")
+def coded(df):
+    """Codes, fixed-point targets and keys of the complete rows, in plain Python."""
+    pdf = df.select("idx", *FEATURES, "y").na.drop("any").orderBy("idx").toPandas()
+    cuts = [plain_cuts(pdf[c].to_numpy()) for c in FEATURES]
+    x = [[sum(c < v for c in cut) for cut, v in zip(cuts, row)] for row in pdf[FEATURES].to_numpy()]
+    unit = 2.0 ** (30 - math.frexp(pdf.y.abs().max())[1])
+    return x, [int(np.floor(v * unit + 0.5)) for v in pdf.y], [int(k) for k in pdf.idx], unit
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_boosting_equals_plain_trees(df, coded, limit):
+    """Where the binned rows are held by tasks, and by shared passes."""
+    x, y, keys, unit = coded
+    params = {"rounds": 3, "depth": 3, "rate": 0.3, "rows": 0.7, "columns": 0.7}
+    got = {r["idx"]: r["predicted"] for r in ensemble.fit_boosted(df, FEATURES, "y", limit=limit, **params).predict(df, "y").collect()}
+    want = plain_boosting(x, y, keys, range(len(y)), **params)
+    assert got == {k: p / unit for k, p in zip(keys, want)}
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_forest_equals_plain_trees(df, coded, limit, monkeypatch):
+    x, y, keys, unit = coded
+    monkeypatch.setattr(binned_trees, "PASS_NODES", 40)  # several groups of passes, several parts of the model
+    got = {r["idx"]: r["predicted"] for r in ensemble.fit_forest(df, FEATURES, "y", trees=4, depth=4, limit=limit).predict(df, "y").collect()}
+    total = [0] * len(y)
+    for t in range(4):
+        bag = [sum(binned_trees.uniform(k, 42 + t) >= p for p in binned_trees.BOOTSTRAP) for k in keys]
+        grown = plain_tree(x, y, bag, 4, 0.0, range(len(x[0])))
+        total = [v + plain_value(grown, row, 1.0, 0.0) for v, row in zip(total, x)]
+    assert got == {k: v / 4 / unit for k, v in zip(keys, total)}
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_search_equals_plain_trees(df, coded, limit):
+    x, y, keys, unit = coded
+    grid = {"rounds": [1, 2], "depth": [2, 3], "rate": [0.5], "rows": [0.8], "columns": [1.0]}
+    got = [tuple(r) for r in ensemble.grid_search(df, FEATURES, "y", grid, folds=2, limit=limit).orderBy("run").collect()]
+    half = (len(y) + 1) // 2
+    folds = [range(half), range(half, len(y))]
+    want = []
+    for rounds in grid["rounds"]:
+        for depth in grid["depth"]:
+            parts = []
+            for out, train in (folds, folds[::-1]):
+                p = plain_boosting(x, y, keys, train, rounds, depth, 0.5, 0.8, 1.0)
+                parts.append(np.mean([((y[i] - p[i]) / unit) ** 2 for i in out]))
+            want.append((len(want), rounds, depth, 0.5, 0.8, 1.0, pytest.approx(np.mean(parts), rel=1e-12)))
+    assert [r[:-1] for r in got] == want and [r[-1] for r in got] == [m == min(w[6].expected for w in want) for m in (w[6].expected for w in want)]
+    assert ensemble.grid_size() == 243
+
+
+def test_drawn_rows_are_even_and_apart():
+    keys = np.arange(200_000)
+    a, b = binned_trees.uniform(keys, 42), binned_trees.uniform(keys, 43)
+    assert abs(a.mean() - 0.5) < 0.005 and abs(np.corrcoef(a, b)[0, 1]) < 0.01 and abs(np.corrcoef(a[1:], a[:-1])[0, 1]) < 0.01
+    counts = np.bincount(np.searchsorted(binned_trees.BOOTSTRAP, a, "right"))
+    assert abs((np.arange(len(counts)) * counts).sum() / len(keys) - 1) < 0.01
+
+
+def test_trees_of_odd_tables(spark, tmp_path):
+    schema = "idx long, a double, b double, y double"
+    empty = spark.createDataFrame([], schema)
+    one = spark.createDataFrame([(1, 0.5, None, 2.0), (2, 0.5, 1.0, 3.0), (2, 0.5, 1.0, 3.0), (None, 0.5, 1.0, 9.0)], schema)
+    for limit in (None, 0):
+        assert ensemble.fit_forest(empty, ["a", "b"], "y", trees=2, depth=3, limit=limit).predict(empty, "y").count() == 0
+        model = ensemble.fit_boosted(one, ["a", "b"], "y", rounds=2, rate=1.0, rows=1.0, limit=limit)  # equal rows: leaves only
+        assert {(r["idx"], round(r["predicted"], 6)) for r in model.predict(one, "y").collect()} == {(2, 3.0)}
+        assert ensemble.grid_search(one, ["a", "b"], "y", {"rounds": [1], "depth": [2], "rate": [0.5], "rows": [1.0], "columns": [1.0]}, folds=2, limit=limit).count() == 1
+
+
+def test_saved_models(df, tmp_path):
+    forest = ensemble.fit_forest(df, FEATURES, "y", trees=5, depth=4)
+    boosted = ensemble.fit_boosted(df, FEATURES, "y", rounds=5)
     for model in (forest, boosted):
-        rows = ensemble.score_rows(model, df, FEATURES, "y").toPandas()
+        rows = ensemble.score_rows(model, df, "y").toPandas()
         assert ((rows.actual - rows.predicted) ** 2).mean() < rows.actual.var() / 2
-    _, runs = ensemble.grid_search(df, FEATURES, "y", {"maxDepth": [2, 3]}, folds=2, maxIter=3)
-    rows = runs.toPandas()
-    assert len(rows) == 2 and rows.is_best.sum() == 1 and rows.loc[rows.is_best, "mse"].item() == rows.mse.min()
-    assert ensemble.grid_size() == 243
-    model = ensemble.fit_entropy_tree(df.withColumn("code", (F.col("label") == "u").cast("double")), FEATURES, "code", maxDepth=2)
-    assert model.depth <= 2
+    classes = ensemble.fit_entropy_tree(df.withColumn("code", (F.col("label") == "u").cast("double")), FEATURES, "code", maxDepth=2)
+    assert classes.depth <= 2
     path = str(tmp_path / "model")
     assert ensemble.save_if_best(forest, path, 0.5, None)
+    again = binned_trees.Ensemble.load(path)
+    assert sorted(map(tuple, again.predict(df, "y").collect())) == sorted(map(tuple, forest.predict(df, "y").collect()))
     history = df.sparkSession.createDataFrame([(0.4,)], "metric double")
     assert not ensemble.save_if_best(boosted, path, 0.5, history)
 
@@ -205,7 +321,7 @@ def test_registered_models_use_the_full_settings(spark, monkeypatch):
 
     out = spark.range(1)
     monkeypatch.setattr(model_queries, "_base_splits", lambda spark, d: {"train": None, "valid": None, "test": None})
-    for name, result in (("fit_forest", None), ("fit_boosted", None), ("score_rows", out), ("grid_search", (None, out))):
+    for name, result in (("fit_forest", None), ("fit_boosted", None), ("score_rows", out), ("grid_search", out)):
         monkeypatch.setattr(model_queries.ensemble, name, spy(name, result))
     monkeypatch.setattr(model_queries.tree, "grid_scores", spy("grid_scores", out))
     for name in ("ml_rf", "ml_gbt", "ml_grid_cv", "ml_tree_grid"):

@@ -43,6 +43,36 @@ def test_row_index_is_the_global_row_number(df, table):
     assert sorted(got._row) == list(range(N))
 
 
+def test_frames_over_ranges_need_one_exchange(df, table, tmp_path):
+    df.write.parquet(f"{tmp_path}/rows")
+    rows = df.sparkSession.read.parquet(f"{tmp_path}/rows")
+    for out in (windows.time_since_last(rows), windows.time_since_last(rows, by="cell"), windows.rolling_rows(rows, ("cell",))):
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        assert plan.count("Exchange") == 1 and "ordered-" not in plan  # nothing but the frames' own shuffle
+
+
+def test_ranges_copy_enough_rows_for_any_frame(df):
+    """Slots of a few rows, frames that reach over several chunks, and a key that fills many of them."""
+    cut = ordered.ranges(df, "cell", "time", "idx")
+    assert sum(cut.counts) == N and len(cut.counts) > 8 * ordered.SLOTS
+    for before in (0, 1, 29, 500, 2 * N):
+        own = cut.framed(before)
+        assert ordered.home(own).count() == N
+        held = {(r["_chunk"], r["copy"]): r["count"] for r in own.groupBy("_chunk", (F.col("_home") < F.col("_chunk")).alias("copy")).count().collect()}
+        seen = 0
+        for chunk in sorted({c for c, _ in held}):
+            assert held.get((chunk, True), 0) >= min(before, seen)
+            seen += held[(chunk, False)]
+
+
+def test_ranges_of_odd_tables(spark):
+    schema = "idx bigint, cell string, time timestamp_ntz, mag double"
+    assert windows.rolling_rows(spark.createDataFrame([], schema), ("cell",)).count() == 0
+    rows = [(1, None, None, 1.0), (2, None, None, 2.0), (None, "a", None, None)]
+    got = windows.time_since_last(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == 3 and all(r["time_since_last_event"] is None for r in got)
+
+
 def test_time_since_last(df, table):
     got = windows.time_since_last(df).toPandas().set_index("idx").time_since_last_event
     want = table.sort_values(["time", "idx"]).set_index("idx").time.diff().dt.total_seconds()
