@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.features import Scale, fit_minmax
-from faultline.operators.linear import LinearModel, fit_ols
-from faultline.operators.ordered import ROW, chunked, frame, home, lay_out
+from faultline.operators.gram import means
+from faultline.operators.linear import LinearModel
+from faultline.operators.ordered import home, ranges
 
 TARGETS = ("mag", "dmin", "rms")
 
 
-def lagged(df: DataFrame, series: str, targets: tuple[str, ...], lags: int, repeat_oldest: bool = False) -> DataFrame:
-    """Columns ``<target>_lag<j>`` (j = 1 … lags) along each series. Before its start they are NULL, or the values of its
-    oldest row if ``repeat_oldest``; the oldest row itself has nothing before it."""
-    rows = chunked(lay_out(df.select("idx", "time", series, *targets), series, "time", "idx"), before=lags)
-    past = F.reverse(F.collect_list(F.struct(*targets)).over(frame(series).rowsBetween(-lags, -1)))
-    rows = home(rows.withColumn("_past", past)).drop(ROW)
-    if repeat_oldest:
-        rows = rows.withColumn("_past", _filled("_past", lags))
-    return rows.select("*", *[F.get("_past", F.lit(j - 1))[t].alias(f"{t}_lag{j}") for j in range(1, lags + 1) for t in targets]).drop("_past")
+def lag_windows(df: DataFrame, series: str, targets: tuple[str, ...], lags: int, repeat_oldest: bool = False) -> DataFrame:
+    """(targets…, window): each row that has ``lags`` rows before it in its series, with their targets as one array, newest
+    first. With ``repeat_oldest`` one row before it is enough: the window is filled up with the series' oldest row, so in
+    short series most of a window is one value. Rows with a NULL among these figures are left out."""
+    cut = ranges(df.select("idx", "time", series, *targets), series, "time", "idx")
+    past = F.reverse(F.collect_list(F.struct(*targets)).over(cut.over(series).rowsBetween(-lags, -1)))
+    rows = home(cut.framed(before=lags).withColumn("_past", past))
+    full = _filled("_past", lags) if repeat_oldest else F.col("_past")
+    flat = F.flatten(F.transform(full, lambda row: F.array(*[row[t].cast("double") for t in targets])))
+    known = (F.size("window") == lags * len(targets)) & F.forall("window", lambda x: x.isNotNull())
+    return rows.select(*[F.col(t).cast("double").alias(t) for t in targets], flat.alias("window")).filter(known).na.drop("any")
 
 
 def _filled(window: str, lags: int) -> Column:
@@ -32,10 +37,41 @@ def lag_names(targets: tuple[str, ...], lags: int) -> list[str]:
     return [f"{t}_lag{j}" for j in range(1, lags + 1) for t in targets]
 
 
+def _window_gram(rows: DataFrame, targets: tuple[str, ...], lags: int, shift: np.ndarray) -> np.ndarray:
+    """Sums of products of 1, the window and the targets, each less its target's ``shift``. Every task multiplies its Arrow
+    batches; a line of the matrix is summed in one place."""
+    n = len(targets)
+    offsets = np.r_[0.0, np.tile(shift, lags), shift]
+
+    def partial(batches):
+        total = np.zeros((1 + n * (lags + 1),) * 2)
+        for batch in batches:
+            window = batch.column("window").flatten().to_numpy().reshape(batch.num_rows, lags * n)
+            x = np.column_stack([np.ones(batch.num_rows), window, *[batch.column(t).to_numpy() for t in targets]]) - offsets
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([line.tobytes() for line in total], pa.binary())], names=["i", "s"])
+
+    def summed(lines: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b) for b in lines.column("s").to_pylist())
+        return pa.table({"i": lines.column("i")[:1], "s": pa.array([total.tobytes()], pa.binary())})
+
+    lines = rows.mapInArrow(partial, "i int, s binary").groupBy("i").applyInArrow(summed, "i int, s binary").collect()
+    return np.array([np.frombuffer(r["s"]) for r in sorted(lines, key=lambda r: r["i"])])
+
+
 def fit_lag_models(df: DataFrame, series: str, targets: tuple[str, ...] = TARGETS, lags: int = 4, repeat_oldest: bool = False) -> dict[str, LinearModel]:
-    """One least-squares model per target over the last ``lags`` rows of all targets."""
-    table = lagged(df, series, targets, lags, repeat_oldest)
-    return {t: fit_ols(table, lag_names(targets, lags), t) for t in targets}
+    """One least-squares model of minimal norm per target over the last ``lags`` rows of all targets: one pass over the windows
+    gives the sums for all of them."""
+    _, mean, _ = means(df, list(targets))
+    shift = np.array([mean[t] for t in targets])  # close to every column's mean, so that centring below takes little away
+    g = _window_gram(lag_windows(df, series, targets, lags, repeat_oldest), targets, lags, shift)
+    if not len(g) or not g[0, 0]:
+        raise ValueError("no complete rows to fit on")
+    p, first = lags * len(targets), g[0, 1:] / g[0, 0]
+    centred = g[1:, 1:] - g[0, 0] * np.outer(first, first)
+    weights = np.linalg.lstsq(centred[:p, :p], centred[:p, p:], rcond=None)[0]
+    centre = first + np.r_[np.tile(shift, lags), shift]
+    return {t: LinearModel(lag_names(targets, lags), weights[:, k].tolist(), float(centre[p + k] - centre[:p] @ weights[:, k])) for k, t in enumerate(targets)}
 
 
 def last_windows(df: DataFrame, series: str, targets: tuple[str, ...], lags: int) -> DataFrame:

@@ -103,13 +103,11 @@ def _(spark, d):
        + r("CASE WHEN dmin > 0 THEN sqrt(dmin * 111.19) ELSE dmin * 111.19 END", "sqrt_dmin_km") + ", "
        + r("CASE WHEN elevation <> 0 THEN cbrt(elevation) ELSE elevation END", "cbrt_elevation") + " FROM cat")
 def _(spark, d):
-    cat = views.catalog(spark, d).select("idx", "dmin", "elevation")
-    log, root, cube = (features.fixed_transform(cat, log=a, square=b) for a, b in ((True, True), (False, True), (False, False)))
-    return (
-        log.select("idx", F.col("dmin_km").alias("log_dmin_km"))
-        .join(root.select("idx", F.col("dmin_km").alias("sqrt_dmin_km")), "idx")
-        .join(cube.select("idx", F.col("elevation").alias("cbrt_elevation")), "idx")
-    )
+    out = clean.convert_dmin(views.catalog(spark, d).select("idx", "dmin", "elevation")).select(
+        "idx", F.col("dmin_km").alias("log_dmin_km"), F.col("dmin_km").alias("sqrt_dmin_km"), F.col("elevation").alias("cbrt_elevation"))
+    for log, square, column in ((True, True, "log_dmin_km"), (False, True, "sqrt_dmin_km"), (False, False, "cbrt_elevation")):
+        out = features.fixed_transform(out, log, square, (column,), convert=False)
+    return out
 
 
 _PICK = ["mag", "rms", "double_mag", "dmin", "gap", "elevation"]

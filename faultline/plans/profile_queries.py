@@ -24,10 +24,11 @@ _NONFINITE = ("isnan(x) OR isinf(x)")
        f"SELECT 'x' AS \"column\", count(*) AS total, count(*) FILTER (x IS NULL OR isnan(x)) AS null_count, "
        "count(*) FILTER (x = 'Infinity'::DOUBLE) AS pos_inf, count(*) FILTER (x = '-Infinity'::DOUBLE) AS neg_inf, "
        f"count(*) FILTER ({_NONFINITE}) AS non_finite, {r('100.0 * count(*) FILTER (x IS NULL OR isnan(x)) / count(*)', 'null_pct')} "
-       "FROM nonfinite UNION ALL SELECT 'label', count(*), count(*) FILTER (label IS NULL), 0, 0, 0, "
-       f"{r('100.0 * count(*) FILTER (label IS NULL) / count(*)')} FROM nonfinite", ("nonfinite",))
+       "FROM nonfinite" + "".join(f" UNION ALL SELECT '{c}', count(*), count(*) FILTER ({c} IS NULL), 0, 0, 0, "
+                                  f"{r(f'100.0 * count(*) FILTER ({c} IS NULL) / count(*)')} FROM nonfinite" for c in ("idx", "label")), ("nonfinite",))
 def _(spark, d):
-    return profile.missing_summary(views.nonfinite(spark, d), ["x", "label"])
+    rows = views.nonfinite(spark, d)
+    return profile.missing_summary(rows, rows.columns)
 
 
 @query("prof_numeric_columns", _each(

@@ -139,8 +139,8 @@ def _stream(spark, d, *columns):
 
 
 def _cells(spark, d, stream):
-    bins = binning.fit_bins(views.catalog(spark, d), ["latitude", "longitude"], 10)
-    return binning.spatial_bins(stream, bins).withColumn("cell", F.col("lat_bin") * 10 + F.col("lon_bin"))
+    bins = binning.fit_bins(views.catalog(spark, d), ["latitude", "longitude"], 50)
+    return binning.spatial_bins(stream, bins).withColumn("cell", F.col("lat_bin") * 50 + F.col("lon_bin"))
 
 
 @query("st_ingest", "SELECT idx, updated, time, magType, " + r("mag", "mag") + " FROM cat")
@@ -165,8 +165,8 @@ def _(spark, d):
 
 
 @query("st_sliding_cell",
-       f"WITH {bin_ctes('cat', 10)}, w AS (SELECT unnest(generate_series(date_trunc('day', time) - INTERVAL 6 DAY, date_trunc('day', time), "
-       "INTERVAL 1 DAY)) AS starts, CAST(lat_bin * 10 + lon_bin AS INT) AS cell, mag FROM binned) "
+       f"WITH {bin_ctes('cat', 50)}, w AS (SELECT unnest(generate_series(date_trunc('day', time) - INTERVAL 6 DAY, date_trunc('day', time), "
+       "INTERVAL 1 DAY)) AS starts, CAST(lat_bin * 50 + lon_bin AS INT) AS cell, mag FROM binned) "
        f"SELECT starts, starts + INTERVAL 7 DAY AS ends, cell, count(mag) AS eq_count, {r('max(mag)', 'max_mag')} FROM w GROUP BY 1, 2, 3")
 def _(spark, d):
     stream = _cells(spark, d, _stream(spark, d, "time", "mag", "latitude", "longitude")).select("time", "mag", "cell")
@@ -174,8 +174,8 @@ def _(spark, d):
 
 
 @query("st_sliding_cell_30",
-       f"WITH {bin_ctes('cat', 10)}, w AS (SELECT unnest(generate_series(date_trunc('day', time) - INTERVAL 29 DAY, date_trunc('day', time), "
-       "INTERVAL 1 DAY)) AS starts, CAST(lat_bin * 10 + lon_bin AS INT) AS cell, mag FROM binned) "
+       f"WITH {bin_ctes('cat', 50)}, w AS (SELECT unnest(generate_series(date_trunc('day', time) - INTERVAL 29 DAY, date_trunc('day', time), "
+       "INTERVAL 1 DAY)) AS starts, CAST(lat_bin * 50 + lon_bin AS INT) AS cell, mag FROM binned) "
        f"SELECT starts, starts + INTERVAL 30 DAY AS ends, cell, count(mag) AS eq_count, {r('max(mag)', 'max_mag')} FROM w GROUP BY 1, 2, 3")
 def _(spark, d):
     stream = _cells(spark, d, _stream(spark, d, "time", "mag", "latitude", "longitude")).select("time", "mag", "cell")
@@ -183,7 +183,7 @@ def _(spark, d):
 
 
 @query("st_gap",
-       f"WITH {bin_ctes('cat', 10)} SELECT idx, CAST(lat_bin * 10 + lon_bin AS INT) AS cell, "
+       f"WITH {bin_ctes('cat', 50)} SELECT idx, CAST(lat_bin * 50 + lon_bin AS INT) AS cell, "
        + r("epoch(time - lag(time) OVER (PARTITION BY lat_bin, lon_bin ORDER BY time, idx))", "pause_s") + " FROM binned")
 def _(spark, d):
     stream = _cells(spark, d, _stream(spark, d, "idx", "time", "latitude", "longitude")).select("idx", "time", "cell")
@@ -191,7 +191,7 @@ def _(spark, d):
 
 
 @query("st_sessions",
-       f"WITH {bin_ctes('cat', 10)}, g AS (SELECT *, CAST(lat_bin * 10 + lon_bin AS INT) AS cell, "
+       f"WITH {bin_ctes('cat', 50)}, g AS (SELECT *, CAST(lat_bin * 50 + lon_bin AS INT) AS cell, "
        "CASE WHEN time - lag(time) OVER o < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM binned WINDOW o AS (PARTITION BY lat_bin, lon_bin ORDER BY time, idx)), "
        "n AS (SELECT *, sum(fresh) OVER (PARTITION BY cell ORDER BY time, idx) AS no FROM g) "
        f"SELECT cell, min(time) AS starts, max(time) + INTERVAL 6 HOUR AS ends, count(*) AS events, {r('max(mag)', 'max_mag')} FROM n "
