@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -112,6 +113,24 @@ def test_leaf_blocks_of_broken_pages():
     assert [b.text for b in crf.leaf_blocks("a<b>b</b>c <p")] == ["abc <p"] and crf.leaf_blocks("") == crf.leaf_blocks("<p> </p>") == []
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<script src=//a.com/x/>var x=1;</script><p>ok", ["ok"]), ("<div class=x/>in</div>out", ["in", "out"]),
+    ("<datalist><option value=a></datalist><article><p>kept", ["kept"]), ("<svg><path d='M0'/><article><p>kept", ["kept"]),
+    ("<svg><foreignObject><p>inside</p></foreignObject></svg><p>after", ["after"]), ("<svg/>a<p>b", ["a", "b"]),
+    ("a<select><option>x</select>b", ["a", "b"]), ("<p title=it's>x</p>y > z < w", ["x", "y > z < w"]),
+    ("<p title='never closed>x<p>second", ["x", "second"]), ("<head><title>t</title><meta a><p>body", ["body"]), ("x<style>p{}", ["x"]),
+])
+def test_leaf_blocks_read_markup_as_browsers_do(page, texts):
+    assert [b.text for b in crf.leaf_blocks(page)] == texts
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a ="', "<a ='<b =\"", "<", "</", "<!--", "<a x='", "&lt;", "<div>a"])
+def test_leaf_blocks_take_linear_time(piece):
+    started = time.process_time()
+    blocks = crf.leaf_blocks(piece * (300_000 // len(piece)))
+    assert time.process_time() - started < 10 and all(len(b.above) <= crf.DEEPEST for b in blocks)
+
+
 def test_main_text_of_pages_without_semantic_tags(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     field = crf.fit(pages)
