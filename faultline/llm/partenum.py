@@ -1,19 +1,24 @@
 """Jaccard self-join of word shingle sets with PartEnum signatures.
 
 Two sets of at most r shingles with similarity s differ in at most k = 2r(1-s)/(1+s) shingles. The shingle domain is
-cut into n1 parts of three sub-parts each, with 2 * n1 > k, so some part holds at most one difference and two of its
-sub-parts hold none: of all pairs of sub-parts of all parts, at least one is equal in both sets. The hash of each pair's
-content is a signature. k depends on the size, so sets are signed for their own band of sizes (r / l <= 1 / s) and for the
-next, and similar sets always share a band. Parts whose pair is empty say little; n1 has one part to spare, so they are
-signed only where a set has as many of them as could stand for all agreement.
-
-Sets that share a signature, directly or by others, form a cluster; within a cluster all pairs are compared, first by
-the parts in which they differ, then exactly. Equal sets are one class throughout. What meets per signature is one root
-per unit of documents, and clusters are compared in blocks, so no task holds a hot group.
+cut into n1 parts of n2 sub-parts each, with (k2 + 1) * n1 > k, so some part holds at most k2 differences and n2 - k2 of
+its sub-parts hold none: of all choices of n2 - k2 sub-parts of all parts, at least one is equal in both sets. The hash of
+each choice's content is a signature. k depends on the size, so sets are signed for their own band of sizes
+(r / l <= 1 / s) and for the next, and similar sets always share a band. Small k gets more sub-parts and choices (see
+``layouts``), as short sets would leave most of three sub-parts empty. Choices without content say little; n1 has one part to
+spare, so they are signed only where a set has as many of them as could stand for all agreement.
+
+Pairs that share a signature are compared by counts of their shingles in a few bins, whose distance is never above that of
+the sets, and those left exactly. Only links so verified connect sets. Equal sets are one class throughout. A signature of
+more than HOT classes gives no pairs but those with its smallest class; what these and all other signatures leave apart
+is compared by the counts in blocks, pairs already connected left out. A unit of documents sends a hot
+signature's first HOT + 1 classes, so no task holds a hot group.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,14 +26,14 @@ from pyspark.sql import functions as F
 
 from faultline.llm.graph import components
 from faultline.llm.textbytes import SPACES, Rolling, chunks, flat, mix, owners, shingles, spans, windows_inside
-from faultline.session import written
+from faultline.session import small_side, written
 
 WORDS, SIMILAR = 3, (90, 100)
-UNIT_BYTES = 48 << 20      # text whose signatures are grouped before they are shuffled
+UNIT_BYTES = 32 << 20      # text whose signatures are grouped before they are shuffled
 BUCKET_BYTES = 4 << 20     # text per bucket of signatures
-BLOCK = 1024               # classes of a cluster compared with as many others in a task
+HOT = 16                   # classes of a signature up to which all its pairs are named
+BLOCK = 1024               # classes of a hot signature, or partners of a class, compared in a task
 FEW = 1_000_000            # ids that may be broadcast: 16 MB
-SKETCH = 256
 U = np.uint64
 
 
@@ -73,56 +78,54 @@ def bands(largest: int, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarra
     return np.array(low[:-1]), np.array(high)
 
 
+def layouts(k: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(which sets, n1, n2, k2) for sets that may differ in k shingles; sets that may not differ are left to the caller."""
+    one = [((k == m), np.ones(len(k), np.int64), n2, m) for m, n2 in ((1, 3), (2, 5), (3, 6))]
+    return [*one, ((k > 3) & (k <= 12), k // 3 + 2, 5, 2), (k > 12, k // 2 + 2, 3, 1)]
+
+
 def signatures(values: np.ndarray, bounds: np.ndarray, similar: tuple[int, int] = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set) of all sets that are not empty."""
     size = np.diff(bounds)
     doc = np.repeat(np.arange(len(size)), size)
     low, high = bands(int(size.max(initial=1)), similar)
     own = np.searchsorted(low, np.maximum(size, 1), "right") - 1
-    first, second, content = mix(values ^ U(0xA0761D6478BD642F)), mix(values ^ U(0xE7037ED1A0B428DB)) % U(3), mix(values + U(0x8EBC6AF09C88C6E3))
-    out_sig, out_doc = [], []
+    first, second, content = mix(values ^ U(0xA0761D6478BD642F)), mix(values ^ U(0xE7037ED1A0B428DB)), mix(values + U(0x8EBC6AF09C88C6E3))
+    whole = set_sums(values, bounds)
+    out_sig, out_doc = [np.zeros(0, U)], [np.zeros(0, np.int64)]
     for band in (own, own + 1):
         k = 2 * high[band] * (similar[1] - similar[0]) // (similar[1] + similar[0])
-        parts = np.where(k < 2, 1, (k + 2) // 2 + 1)
-        parts[size == 0] = 0
-        at = np.r_[0, np.cumsum(3 * parts)]
-        slot = at[doc] + 3 * (first % parts[doc].astype(U)).astype(np.int64) + second.astype(np.int64)
-        sums = np.zeros(at[-1], U)
-        np.add.at(sums, slot, content)
-        a, b, c = sums[0::3], sums[1::3], sums[2::3]
-        part_of = np.repeat(np.arange(len(size)), parts)
-        part = np.arange(len(part_of)) - np.repeat(at[:-1] // 3, parts)
-        exact = (k == 0)[part_of]  # no difference allowed: the whole set is the signature
-        tag = mix(mix(band[part_of].astype(U) + U(1)) + part.astype(U))
-        empty = np.column_stack([(a + b) == 0, (a + c) == 0, (b + c) == 0])
-        n_empty = np.bincount(part_of, empty.any(1), len(size))
-        sure = parts - k // 2  # parts with at most one difference, at least
-        vital = (n_empty >= np.maximum(sure, 1))[part_of]
-        for j, content_ in enumerate((a + b, a + c, b + c)):
-            keep = (~empty[:, j] | vital) & ~exact
-            out_sig.append(mix(mix(content_[keep] + tag[keep]) + U(j)))
-            out_doc.append(part_of[keep])
-        out_sig.append(mix((a + b + c)[exact] + tag[exact]))
-        out_doc.append(part_of[exact])
+        tag = mix(band.astype(U) + U(1))
+        exact = np.flatnonzero((k == 0) & (size > 0))  # no difference allowed: the whole set is the signature
+        out_sig.append(mix(whole[exact] + tag[exact]))
+        out_doc.append(exact)
+        for mine, parts, n2, k2 in layouts(k):
+            mine = mine & (size > 0)
+            if not mine.any():
+                continue
+            parts = np.where(mine, parts, 0)
+            at = np.r_[0, np.cumsum(n2 * parts)]
+            inside = mine[doc]
+            of = doc[inside]
+            slot = at[of] + n2 * (first[inside] % parts[of].astype(U)).astype(np.int64) + (second[inside] % U(n2)).astype(np.int64)
+            sums = np.zeros(at[-1], U)
+            np.add.at(sums, slot, content[inside])
+            sums = sums.reshape(-1, n2)
+            part_of = np.repeat(np.arange(len(size)), parts)
+            part = np.arange(len(part_of)) - np.repeat(at[:-1] // n2, parts)
+            chosen = np.column_stack([sums[:, c].sum(1, dtype=U) for c in combinations(range(n2), n2 - k2)])
+            empty = chosen == 0
+            n_empty = np.bincount(part_of, empty.any(1), len(size))
+            sure = parts - k // (k2 + 1)  # parts with at most k2 differences, at least
+            vital = (n_empty >= np.maximum(sure, 1))[part_of]
+            tagged = mix(tag[part_of] + part.astype(U))
+            for j in range(chosen.shape[1]):
+                keep = ~empty[:, j] | vital
+                out_sig.append(mix(mix(chosen[keep, j] + tagged[keep]) + U(j)))
+                out_doc.append(part_of[keep])
     return np.concatenate(out_sig), np.concatenate(out_doc)
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest connected index of each of n nodes."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        while (new[new] != new).any():
-            new = new[new]
-        new = new[label]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _planes(values: np.ndarray) -> bytes:
     """Sorted 64-bit values byte by byte, so that the equal high bytes pack well."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -132,119 +135,214 @@ def _unplanes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
 
 
-def _sign(n: int, similar: tuple[int, int], buckets: int):
-    """Documents to (bucket -1: key, size, class, root) and, per unit, (bucket: signatures, roots)."""
-    names = ["bucket", "key", "size", "class", "root", "sigs", "roots"]
-
-    def close(held):
-        keys, sizes, classes = held[0], np.concatenate(held[1]), np.concatenate(held[2])
-        sig, of = np.concatenate(held[3]), np.concatenate(held[4])
-        order = np.lexsort((of, sig))
-        sig, of = sig[order], of[order]
-        head = np.r_[True, sig[1:] != sig[:-1]] if len(sig) else np.zeros(0, bool)
-        group = np.flatnonzero(head)[np.cumsum(head) - 1] if len(sig) else np.zeros(0, np.int64)
-        distinct, at = np.unique(classes, return_inverse=True)
-        node = at[of]
-        root = distinct[_roots(len(distinct), node[group], node)]
-        full = sizes > 0
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(sizes), -1, np.int32)), pa.concat_arrays(keys), pa.array(sizes), pa.array(classes.view(np.int64), mask=~full),
-            pa.array(root[at].view(np.int64), mask=~full), pa.nulls(len(sizes), pa.binary()), pa.nulls(len(sizes), pa.binary())], names=names)
-        sig, top = sig[head], root[node[head]]
+def _count_sketch(values: np.ndarray) -> bytes:
+    """Counts of a set's shingles in bins, more of them for larger sets. Their distance is at most the sets' difference, also
+    after counts were cut at 255 or neighbouring bins added up."""
+    bits = max(4, int(max(len(values) - 1, 0)).bit_length() - 3)
+    return np.minimum(np.bincount((mix(values ^ U(0x1D8E4E27C47D124F)) >> U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def _folded(sketch: np.ndarray, bins: int) -> np.ndarray:
+    """Counts in fewer bins, along the last axis."""
+    return sketch.reshape(*sketch.shape[:-1], bins, -1).sum(-1, dtype=np.int32)
+
+
+def _measure(n: int):
+    """Documents to (key, size, class, sketch)."""
+    def run(batches):
+        for rows, data, offsets in chunks(batches, "text"):
+            values, bounds = shingle_sets(data, offsets, n)
+            size = np.diff(bounds)
+            sketch = [_count_sketch(values[a:b]) if b > a else None for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([
+                rows.column("key"), pa.array(size), pa.array(set_sums(values, bounds).view(np.int64), mask=size == 0), pa.array(sketch, pa.binary())],
+                names=["key", "size", "class", "sketch"])
+
+    return run
+
+
+def _grouped(sig: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (signature, class) in order, each one's place in its signature and the signature's number of classes."""
+    order = np.lexsort((classes, sig))
+    sig, classes = sig[order], classes[order]
+    new = np.ones(len(sig), bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (classes[1:] != classes[:-1])
+    sig, classes = sig[new], classes[new]
+    head = np.ones(len(sig), bool)
+    head[1:] = sig[1:] != sig[:-1]
+    starts = np.flatnonzero(head)
+    group = np.cumsum(head) - 1
+    return sig, classes, np.arange(len(sig)) - starts[group], np.diff(np.r_[starts, len(sig)])[group]
+
+
+def _sign(n: int, similar: tuple[int, int], buckets: int, most: int):
+    """Documents to (bucket, sigs, classes) per unit. Signatures that are hot in the unit go to a bucket below 0, too, which
+    is the unit's own, and only their first ``most`` + 1 classes to the common one, enough to be hot there."""
+    def close(sig, classes):
+        sig, classes, place, n_classes = _grouped(np.concatenate(sig), np.concatenate(classes))
+        hot = n_classes > most
+        lone = hot.nonzero()[0]
+        if len(lone):
+            name = -1 - int(mix(sig[lone[:1]] ^ classes[lone[-1:]])[0] >> U(33))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([name], pa.int32()), pa.array([_planes(sig[lone])], pa.binary()), pa.array([classes[lone].astype("<u8").tobytes()], pa.binary())], names=["bucket", "sigs", "classes"])
+        sig, classes = sig[place <= most], classes[place <= most]
         bucket = ((sig >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
-        used = np.flatnonzero(np.diff(cut))
-        none = pa.nulls(len(used), keys[0].type)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(used.astype(np.int32)), none, *[pa.nulls(len(used), pa.int64())] * 3,
-            pa.array([_planes(sig[cut[b]:cut[b + 1]]) for b in used], pa.binary()), pa.array([top[cut[b]:cut[b + 1]].astype("<u8").tobytes() for b in used], pa.binary())], names=names)
+        used, cut = np.unique(bucket, return_index=True)
+        cut = np.r_[cut, len(sig)]
+        for at in range(0, len(used), 4096):
+            mine = range(at, min(at + 4096, len(used)))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(used[mine.start:mine.stop].astype(np.int32)), pa.array([_planes(sig[cut[i]:cut[i + 1]]) for i in mine], pa.binary()),
+                pa.array([classes[cut[i]:cut[i + 1]].astype("<u8").tobytes() for i in mine], pa.binary())], names=["bucket", "sigs", "classes"])
 
     def run(batches):
-        held, size, documents = ([], [], [], [], []), 0, 0
+        sigs, owner, size, seen = [], [], 0, np.zeros(0, U)
         for rows, data, offsets in chunks(batches, "text"):
             values, bounds = shingle_sets(data, offsets, n)
             classes = set_sums(values, bounds)
-            _, lone = np.unique(classes, return_index=True)  # copies within the chunk are signed once
             part = np.zeros(len(classes), bool)
-            part[lone] = True
-            mask = np.repeat(part, np.diff(bounds))
-            kept = np.where(part, np.diff(bounds), 0)
-            sig, of = signatures(values[mask], np.r_[0, np.cumsum(kept)], similar)
-            for x, y in zip(held, (rows.column("key"), np.diff(bounds), classes, sig, of + documents)):
-                x.append(y)
-            size, documents = size + len(data), documents + len(classes)
+            part[np.unique(classes, return_index=True)[1]] = True  # copies within a unit are signed once
+            part &= ~np.isin(classes, seen)
+            seen = np.r_[seen, classes[part]]
+            sig, of = signatures(values[np.repeat(part, np.diff(bounds))], np.r_[0, np.cumsum(np.where(part, np.diff(bounds), 0))], similar)
+            sigs.append(sig)
+            owner.append(classes[of])
+            size += len(data)
             if size >= UNIT_BYTES:
-                yield from close(held)
-                held, size, documents = ([], [], [], [], []), 0, 0
-        if held[0]:
-            yield from close(held)
+                yield from close(sigs, owner)
+                sigs, owner, size, seen = [], [], 0, np.zeros(0, U)
+        if sigs:
+            yield from close(sigs, owner)
 
     return run
 
 
-def _meet(rows: pa.Table) -> pa.Table:
-    """Edges between the roots that share a signature of one bucket."""
-    sig = np.concatenate([_unplanes(b) for b in rows.column("sigs").to_pylist()])
-    root = np.concatenate([np.frombuffer(b, "<u8") for b in rows.column("roots").to_pylist()])
-    order = np.lexsort((root, sig))
-    sig, root = sig[order], root[order]
-    head = np.r_[True, sig[1:] != sig[:-1]]
-    first = root[np.flatnonzero(head)[np.cumsum(head) - 1]]
-    pairs = np.unique(np.column_stack([first, root])[first != root], axis=0)
-    return pa.table({"a": pairs[:, 0].view(np.int64) if len(pairs) else pa.array([], pa.int64()), "b": np.ascontiguousarray(pairs[:, 1]).view(np.int64) if len(pairs) else pa.array([], pa.int64())})
+def _meet(most: int):
+    """One bucket's pairs (NULL, a, b) and the classes (sig, class, NULL) of signatures with more than ``most``."""
+    def run(rows: pa.Table) -> pa.Table:
+        sig, classes, place, n = _grouped(
+            np.concatenate([_unplanes(b) for b in rows.column("sigs").to_pylist()]), np.concatenate([np.frombuffer(b, "<u8") for b in rows.column("classes").to_pylist()]))
+        hot = n > most
+        first = np.arange(len(sig)) - place
+        star = np.flatnonzero(hot & (place > 0))
+        left, right = [first[star]], [star]
+        for step in range(1, most):
+            at = np.flatnonzero(~hot & (place >= step))
+            left.append(at - step)
+            right.append(at)
+        a, b = classes[np.concatenate(left)], classes[np.concatenate(right)]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        a, b = a[new].view(np.int64), b[new].view(np.int64)
+        return pa.table({
+            "sig": pa.array(np.r_[np.zeros(len(a), np.int64), sig[hot].view(np.int64)], mask=np.r_[np.ones(len(a), bool), np.zeros(hot.sum(), bool)]),
+            "a": np.r_[a, classes[hot].view(np.int64)],
+            "b": pa.array(np.r_[b, np.zeros(hot.sum(), np.int64)], mask=np.r_[np.zeros(len(a), bool), np.ones(hot.sum(), bool)])})
+
+    return run
+
+
+def _near(similar: tuple[int, int]):
+    """Pairs whose counts do not rule them out."""
+    part, whole = similar
+
+    def run(batches):
+        for rows in batches:
+            most = (rows.column("size_a").to_numpy() + rows.column("size_b").to_numpy()) * (whole - part) // (whole + part)
+            keep = []
+            for a, b, limit in zip(rows.column("sketch_a").to_pylist(), rows.column("sketch_b").to_pylist(), most):
+                bins = min(len(a), len(b))
+                keep.append(int(np.abs(_folded(np.frombuffer(a, np.uint8), bins) - _folded(np.frombuffer(b, np.uint8), bins)).sum()) <= limit)
+            yield rows.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _near_in_block(similar: tuple[int, int]):
+    """Pairs of a block of a hot signature that are not connected yet and whose counts do not rule them out."""
+    part, whole = similar
+
+    def run(rows: pa.Table) -> pa.Table:
+        of, size, side, mark = (rows.column(c).to_numpy() for c in ("class", "size", "side", "component"))
+        raw = rows.column("sketch").to_pylist()
+        bins = min(map(len, raw))
+        sketch = np.stack([_folded(np.frombuffer(x, np.uint8), bins) for x in raw])
+        inner = side.min() == side.max()
+        left, right = [], []
+        for i in range(len(of)):
+            j = np.flatnonzero((mark != mark[i]) & (size * part <= size[i] * whole) & (size[i] * part <= size * whole) & (of > of[i]) & (inner | (side != side[i])))
+            j = j[np.abs(sketch[j] - sketch[i]).sum(1) <= (size[j] + size[i]) * (whole - part) // (whole + part)]
+            left.append(np.full(len(j), of[i]))
+            right.append(of[j])
+        return pa.table({"a": pa.array(np.concatenate(left), pa.int64()), "b": pa.array(np.concatenate(right), pa.int64())})
+
+    return run
 
 
 def _sets_of(n: int):
     """Whole sets of fetched texts, where they are the class that was asked for."""
-    names = ["cluster", "class", "block", "blocks", "size", "sketch", "shingles"]
-
     def run(batches):
         for rows, data, offsets in chunks(batches, "text"):
             values, bounds = shingle_sets(data, offsets, n)
             keep = np.flatnonzero(set_sums(values, bounds).view(np.int64) == rows.column("class").to_numpy())
-            sketch, blobs = [], []
-            for i in keep:
-                own = np.sort(values[bounds[i]:bounds[i + 1]])
-                parts = np.zeros(SKETCH, U)
-                np.add.at(parts, (mix(own ^ U(0x1D8E4E27C47D124F)) >> U(56)).astype(np.int64), mix(own))
-                sketch.append((parts >> U(56)).astype(np.uint8).tobytes())
-                blobs.append(own.astype("<u8").tobytes())
-            taken = rows.take(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([*[taken.column(c) for c in names[:4]], pa.array(np.diff(bounds)[keep]), pa.array(sketch, pa.binary()), pa.array(blobs, pa.binary())], names=names)
+            blobs = [np.sort(values[bounds[i]:bounds[i + 1]]).astype("<u8").tobytes() for i in keep]
+            yield pa.RecordBatch.from_arrays([rows.column("class").take(pa.array(keep)), pa.array(blobs, pa.binary())], names=["class", "shingles"])
 
     return run
 
 
 def _compare(similar: tuple[int, int]):
+    """Exact links of one class, ``a``, with others."""
     part, whole = similar
 
     def run(rows: pa.Table) -> pa.Table:
-        own, at = np.unique(rows.column("class").to_numpy(), return_index=True)
-        rows = rows.take(pa.array(at))
-        size = rows.column("size").to_numpy()
-        side = rows.column("side").to_numpy()
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(own), SKETCH)
-        sets = [np.frombuffer(b, "<u8") for b in rows.column("shingles").to_pylist()]
-        label, links = np.arange(len(own)), []
-        inner = side.min() == side.max()
-        for i in range(len(own)):
-            j = np.flatnonzero((label != label[i]) & (size * part <= size[i] * whole) & (size[i] * part <= size * whole))
-            j = j[j > i] if inner else j[(j > i) & (side[j] != side[i])]
-            most = (size[j] + size[i]) * (whole - part) // (whole + part)
-            j = j[(sketch[j] != sketch[i]).sum(1) <= most]
-            for other in j:
-                if label[other] == label[i]:
-                    continue
-                a, b = (sets[i], sets[other]) if len(sets[i]) <= len(sets[other]) else (sets[other], sets[i])
-                same = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-                if whole * same >= part * (len(a) + len(b) - same):
-                    links.append((own[i], own[other]))
-                    label[label == label[other]] = label[i]
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        a, classes, blobs = rows.column("a")[0].as_py(), rows.column("class").to_pylist(), rows.column("shingles").to_pylist()
+        own = np.frombuffer(blobs[classes.index(a)], "<u8") if a in classes else np.zeros(0, "<u8")
+        linked = []
+        for b, blob in dict(zip(classes, blobs)).items():
+            other = np.frombuffer(blob, "<u8")
+            if b == a or not len(own):
+                continue
+            x, y = (own, other) if len(own) <= len(other) else (other, own)
+            same = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            if whole * same >= part * (len(x) + len(y) - same):
+                linked.append(b)
+        return pa.table({"a": pa.array([a] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
 
     return run
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The pairs that link. A class's partners go to the class, at most about BLOCK of them to a task."""
+    crowds = small_side(pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).filter("blocks > 1"), "crowds")
+    dealt = pairs.join(crowds, "a", "left").select("a", "b", F.pmod(F.hash("b"), F.coalesce("blocks", F.lit(1)).cast("int")).alias("block"))
+    asked = dealt.select("a", "block", F.col("b").alias("class")).unionByName(dealt.select("a", "block", F.col("a").alias("class")).distinct())
+    return written(asked.join(sets, "class").groupBy("a", "block").applyInArrow(_compare(similar), "a bigint, b bigint"), "similar")
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs that no links connect yet."""
+    at_a, at_b = found.select(F.col("node").alias("a"), F.col("component").alias("to_a")), found.select(F.col("node").alias("b"), F.col("component").alias("to_b"))
+    return pairs.join(at_a, "a", "left").join(at_b, "b", "left").filter("to_a is null or to_b is null or to_a <> to_b").select("a", "b")
+
+
+def _links(near: DataFrame, source: DataFrame, classes: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
+    """Links that connect all the pairs that link: first each class with its smallest partner, then what is left apart."""
+    near = written(near, "near")
+    wanted = near.select(F.col("a").alias("class")).union(near.select("b")).distinct().join(classes.select("class", "rep"), "class")
+    wanted = written(wanted, "wanted")
+    few = wanted.count() <= FEW
+    fetched = source.join(F.broadcast(wanted) if few else wanted, F.col("key") == F.col("rep"))
+    sets = fetched.select("class", "text").mapInArrow(_sets_of(words), "class bigint, shingles binary")
+    sets = written(sets, "sets")
+    some = _verified(written(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first"), sets, similar)
+    rest = written(_apart(near, components(some)), "rest")
+    return some if rest.isEmpty() else some.unionByName(_verified(rest, sets, similar))
+
+
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id): a row per row of ``docs``; ``key`` must be integer.
 
@@ -253,28 +351,36 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     linked with nothing. Rows that share an id share no set; each is judged by its own text. A row without
     an id links nothing, but takes the component of rows with the same set. Other columns are ignored.
     """
+    part, whole = similar
     source = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").cast("binary").alias("text"))
     total = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(64, total // BUCKET_BYTES)
-    signed = written(source.mapInArrow(_sign(words, similar, buckets), "bucket int, key bigint, size bigint, class bigint, root bigint, sigs binary, roots binary"), "signed")
-    each = signed.filter("bucket = -1").select("key", "size", "class", "root")
-    edges = signed.filter("bucket >= 0").select("bucket", "sigs", "roots").groupBy("bucket").applyInArrow(_meet, "a bigint, b bigint")
-    label = components(edges)
-    classes = each.filter("size > 0").groupBy("class").agg(F.min("key").alias("rep"), F.min("root").alias("node")).filter("rep is not null")
-    placed = written(classes.join(label, "node", "left").select("class", "rep", F.coalesce("component", "node").alias("cluster")), "classes")
-    crowds = written(placed.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1"), "crowds")  # on its own, so that AQE can split a hot cluster in the join
-    members = written(placed.join(crowds, "cluster").select(
-        "cluster", "class", "rep", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).withColumn("block", F.pmod("class", "blocks").cast("int")), "members")
-    few = members.count() <= FEW
-    fetched = source.join(F.broadcast(members) if few else members, F.col("key") == F.col("rep"))
-    sets = fetched.select("cluster", "class", "block", "blocks", "text").mapInArrow(
-        _sets_of(words), "cluster bigint, class bigint, block int, blocks int, size bigint, sketch binary, shingles binary")
-    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("side"), "class", "size", "sketch", "shingles")
-    links = written(met.groupBy("cluster", "x", "y").applyInArrow(_compare(similar), "a bigint, b bigint"), "similar")
+    each = written(source.mapInArrow(_measure(words), "key bigint, size bigint, class bigint, sketch binary"), "each")
+    classes = written(each.filter("size > 0").groupBy("class").agg(
+        F.min("key").alias("rep"), F.min("size").alias("size"), F.min("sketch").alias("sketch")).filter("rep is not null"), "classes")
+    signed = source.mapInArrow(_sign(words, similar, buckets, HOT), "bucket int, sigs binary, classes binary")
+    met = written(signed.groupBy("bucket").applyInArrow(_meet(HOT), "sig bigint, a bigint, b bigint"), "met")
+
+    def side(name):
+        return classes.select(F.col("class").alias(name), F.col("size").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+
+    pairs = met.filter("sig is null").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.filter((F.col("size_a") * part <= F.col("size_b") * whole) & (F.col("size_b") * part <= F.col("size_a") * whole))
+    links = _links(pairs.mapInArrow(_near(similar), "a bigint, b bigint"), source, classes, words, similar)
     found = components(links)
-    joined = placed.join(found.select(F.col("node").alias("class"), "component"), "class", "left")
-    smallest = joined.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
-    named = joined.join(smallest, "component", "left").select("class", F.coalesce("least", "rep").alias("component_id"))
-    linked = each.filter("size > 0").join(named, "class", "left").select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    hot = met.filter("sig is not null").select("sig", F.col("a").alias("class")).distinct()
+    hot = written(hot.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class")), "hot")
+    torn = written(hot.groupBy("sig").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high"), "torn")
+    if not torn.isEmpty():
+        members = hot.join(torn.select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sig").join(classes, "class")
+        placed = members.withColumn("side", F.pmod(F.hash("class"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        blocks = placed.select("sig", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "class", "component", "size", "sketch")
+        left = blocks.groupBy("sig", "x", "y").applyInArrow(_near_in_block(similar), "a bigint, b bigint").distinct()
+        found = components(links.unionByName(_links(left, source, classes, words, similar)))
+    joined = classes.join(found.select(F.col("node").alias("class"), "component"), "class").select("class", "rep", "component")
+    joined = written(joined, "joined")
+    smallest = small_side(joined.groupBy("component").agg(F.min("rep").alias("least")), "least")
+    named = joined.join(smallest, "component").select("class", F.col("least").alias("component_id"))
+    own = classes.select("class", "rep").join(named, "class", "left").select("class", F.coalesce("component_id", "rep").alias("component_id"))
+    linked = each.filter("size > 0").join(own, "class", "left").select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
     return linked.unionByName(each.filter("size = 0").select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.col("key").alias("component_id")))

@@ -124,14 +124,16 @@ def test_chat_round_trip(spark):
 
 # ------------------------------------------------------------------------------------------------ 3
 
-def shingle_set(text):
+def shingle_set(text, n=3):
     w = words_of(folded(text))
-    return frozenset(tuple(w[i:i + 3]) for i in range(len(w) - 2)) if len(w) > 2 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_similarity_join_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, hot, words, least_share", [(1024, 16, 3, 90), (4, 2, 3, 90), (1024, 16, 5, 80), (3, 1, 5, 80)])
+def test_similarity_join_equals_brute_force(spark, monkeypatch, block, hot, words, least_share):
+    """Also where nearly all signatures are hot and blocks hold few sets."""
     monkeypatch.setattr(partenum, "BLOCK", block)
+    monkeypatch.setattr(partenum, "HOT", hot)
     rng = random.Random(block)
     vocabulary = [f"w{i}" for i in range(300)] + ["É", "the"]
     rows = []
@@ -147,8 +149,10 @@ def test_similarity_join_equals_brute_force(spark, monkeypatch, block):
         else:
             t = " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 3, 5, 11, 13, 22, 40, 90, 300])))
         rows.append((i + 1, t))
+    shared = " ".join(rng.choices(vocabulary, k=40))  # a passage of many documents
+    rows += [(300 + i, shared + " " + " ".join(rng.choices(vocabulary, k=12))) for i in range(40)]
     rows += [(7, rows[50][1]), (7, rows[60][1])] + [rows[3]] * 3 + [(None, "lone words here")]
-    sets, up = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+    sets, up = [shingle_set(t, words) for _, t in rows], list(range(len(rows)))
 
     def find(x):
         while up[x] != x:
@@ -158,7 +162,7 @@ def test_similarity_join_equals_brute_force(spark, monkeypatch, block):
     for i in range(len(sets)):
         for j in range(i):
             same = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * same >= 90 * (len(sets[i]) + len(sets[j]) - same):
+            if sets[i] and sets[j] and 100 * same >= least_share * (len(sets[i]) + len(sets[j]) - same):
                 up[find(i)] = find(j)
     least = {}
     for i, (k, _) in enumerate(rows):
@@ -166,22 +170,23 @@ def test_similarity_join_equals_brute_force(spark, monkeypatch, block):
             least[find(i)] = min(least.get(find(i), k), k)
     expected = sorted((k or 0, len(sets[i]), least.get(find(i), 0)) for i, (k, _) in enumerate(rows))
     df = clashing(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
-    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in partenum.similar_documents(df).collect())
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in partenum.similar_documents(df, words=words, similar=(least_share, 100)).collect())
     assert got == expected
     assert partenum.similar_documents(df.limit(0)).count() == 0
 
 
-def test_similar_sets_always_share_a_signature():
+@pytest.mark.parametrize("least_share", [90, 80])
+def test_similar_sets_always_share_a_signature(least_share):
     rng = np.random.default_rng(5)
     for size in (5, 9, 10, 12, 19, 20, 38, 60, 200, 700):
         for _ in range(40):
             a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
-            most = 2 * len(a) * 10 // 190
+            most = 2 * len(a) * (100 - least_share) // (100 + least_share)
             gone = int(rng.integers(0, most + 1))
             b = np.r_[a[gone:], rng.integers(0, 2**63, int(rng.integers(0, max(most - gone, 0) + 1))).astype(np.uint64)]
             same = len(np.intersect1d(a, b))
-            sig, of = partenum.signatures(np.r_[a, b], np.r_[0, len(a), len(a) + len(b)])
-            if len(b) and 100 * same >= 90 * (len(a) + len(b) - same):
+            sig, of = partenum.signatures(np.r_[a, b], np.r_[0, len(a), len(a) + len(b)], (least_share, 100))
+            if len(b) and 100 * same >= least_share * (len(a) + len(b) - same):
                 assert np.intersect1d(sig[of == 0], sig[of == 1]).size
 
 
