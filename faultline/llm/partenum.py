@@ -29,10 +29,11 @@ from faultline.llm.textbytes import SPACES, Rolling, chunks, flat, mix, owners,
 from faultline.session import small_side, written
 
 WORDS, SIMILAR = 3, (90, 100)
-UNIT_BYTES = 32 << 20      # text whose signatures are grouped before they are shuffled
+UNIT_BYTES = 12 << 20      # text whose signatures are grouped before they are shuffled
 BUCKET_BYTES = 4 << 20     # text per bucket of signatures
 HOT = 16                   # classes of a signature up to which all its pairs are named
-BLOCK = 1024               # classes of a hot signature, or partners of a class, compared in a task
+BLOCK = 1024               # classes of a hot signature compared with as many others in a task
+PARTNERS = 64              # of a class, compared with it in a task; their whole sets are sent
 FEW = 1_000_000            # ids that may be broadcast: 16 MB
 U = np.uint64
 
@@ -316,8 +317,8 @@ def _compare(similar: tuple[int, int]):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pairs that link. A class's partners go to the class, at most about BLOCK of them to a task."""
-    crowds = small_side(pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).filter("blocks > 1"), "crowds")
+    """The pairs that link. A class's partners go to the class, about PARTNERS of them to a task."""
+    crowds = small_side(pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("blocks")).filter("blocks > 1"), "crowds")
     dealt = pairs.join(crowds, "a", "left").select("a", "b", F.pmod(F.hash("b"), F.coalesce("blocks", F.lit(1)).cast("int")).alias("block"))
     asked = dealt.select("a", "block", F.col("b").alias("class")).unionByName(dealt.select("a", "block", F.col("a").alias("class")).distinct())
     return written(asked.join(sets, "class").groupBy("a", "block").applyInArrow(_compare(similar), "a bigint, b bigint"), "similar")

@@ -134,6 +134,7 @@ def test_similarity_join_equals_brute_force(spark, monkeypatch, block, hot, word
     """Also where nearly all signatures are hot and blocks hold few sets."""
     monkeypatch.setattr(partenum, "BLOCK", block)
     monkeypatch.setattr(partenum, "HOT", hot)
+    monkeypatch.setattr(partenum, "PARTNERS", 4 * hot)
     rng = random.Random(block)
     vocabulary = [f"w{i}" for i in range(300)] + ["É", "the"]
     rows = []
