@@ -17,8 +17,8 @@ import json
 import re
 import string
 from collections import defaultdict
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -31,7 +31,8 @@ from faultline.llm.segments import Segments, kept
 
 BLOCK_CHARS = 1 << 20      # text worked on at once, or one document
 OUT_BYTES = 2 << 20        # counts in one batch that is handed on
-REMEMBERED = 150_000       # segments of text, and words, that a worker keeps before it starts anew, about 300 bytes each
+REMEMBERED = 300_000       # segments of text that a worker keeps before it starts anew, about 250 bytes each
+WORDS = 400_000            # words that it keeps beyond that, about 250 bytes each
 PAIRS = 200_000            # answers on pairs of tokens that a worker keeps
 NEVER = 1 << 40
 # The pattern of byte-level BPE on ASCII text, and the letters of bytes: printable ones stand for themselves, the
@@ -125,20 +126,27 @@ class Counter:
         self._letters, self._others = set(string.ascii_letters), set()  # characters, as the library has told
         self._spelling = {b: self._split(chr(b))[0][0] for b in range(128)}
         self._words: dict[str, bytes | list[int]] = {}
+        self._counted_last: tuple[str, list[int], list[int]] = "", [], []  # the word counted last, its tokens and counts
         self._forget()
 
     def _forget(self) -> None:
         """Starts anew: segments of text and their words, numbered as they come. Of each segment: where its counts begin in
         the pool, how many there are, the last one, and by how much the count rises at the space that begins the segment after it."""
         self._segments = Segments()
-        if len(self._words) > REMEMBERED:
+        if len(self._words) > WORDS:
             self._words = {}
-        self._pool = np.zeros(0, np.int64)
+        self._pool = np.zeros(0, np.int32)
         self._begins, self._sizes, self._totals, self._steps = (np.zeros(0, np.int64) for _ in range(4))
 
     def word(self, word: str) -> list[int]:
         """Counts at the end of each character of a word that is spelled in the file's letters."""
-        last, count = [0] * len(word), [0] * (len(word) + 1)  # by the place of the last letter; a count at place -1 is that of nothing
+        same, before = 0, self._counted_last
+        for a, b in zip(word, before[0]):  # what is known of the prefix that the word shares with the one before it
+            if a != b:
+                break
+            same += 1
+        rest = [0] * (len(word) - same)
+        last, count = before[1][:same] + rest, before[2][:same] + rest + [0]  # by the place of the last letter; a count at place -1 is that of nothing
         merges = self._merges
         after, never, apart = merges.after, merges.never, merges.apart
         for at, (token, size) in self._automaton.iter(word):
@@ -151,11 +159,12 @@ class Counter:
                     continue
             last[at], count[at] = token, count[before] + 1
         del count[-1]
+        self._counted_last = word, last, count
         if not word.isascii():
             within = self._within
             count = [c for c, following in zip(count, word[1:] + " ") if following not in within]
         if word in ("'re", "'ve", "'ll"):
-            count[1] = 2  # a text that ends here ends in two words
+            count = [count[0], 2, *count[2:]]  # a text that ends here ends in two words
         return count
 
     def _is_space(self, word: str) -> bool:
@@ -176,10 +185,11 @@ class Counter:
             end += 1
         return word[:end]
 
-    def _counted(self, word: str) -> bytes | list[int]:
-        counts = self.word(word)
-        counts = self._words[word] = bytes(counts) if len(counts) < 256 else counts
-        return counts
+    def _count(self, words: Iterable[str]) -> None:
+        """Counts of words that are new, in an order in which neighbours share prefixes."""
+        for word in sorted(set(words).difference(self._words)):
+            counts = self.word(word)
+            self._words[word] = bytes(counts) if len(counts) < 256 else counts
 
     def _split_up(self, text: str) -> list[str]:
         """The library's words of a segment, in its letters. Plain words and ASCII are split here, as the library would."""
@@ -203,27 +213,39 @@ class Counter:
         spans = list(islice(self._segments.numbers, len(self._begins), None))
         if not spans:
             return
-        known, counted, is_space, split = self._words.get, self._counted, self._is_space, self._split_up
-        pool, sizes, steps = [], [], []
-        for span in spans:
-            begin, base, before = len(pool), 0, None
-            for word in split(" " + span if isinstance(span, str) else span.decode()):
-                counts = known(word) or counted(word)
-                if base:
+        counts_of, is_space, split, space = self._words, self._is_space, self._split_up, self._space
+        # a space and letters are one word
+        words = [[space + s] if isinstance(s, str) and s.isascii() and s.isalpha() else split(" " + s if isinstance(s, str) else s.decode()) for s in spans]
+        self._count(chain.from_iterable(words))
+        pool, sizes, steps, large = bytearray(), [], [], []
+        for span, own_words in zip(spans, words):
+            own, step = counts_of[own_words[0]] if own_words else [], 1
+            if len(own_words) > 1 or not span.isalpha():
+                own = list(own)
+                base = own[-1] if own else 0
+                before = own_words[0] if own_words and is_space(own_words[0]) else None
+                for word in own_words[1:]:
+                    counts, total = counts_of[word], base + counts_of[word][-1]
                     if before is not None and is_space(first := self._first(word)):
-                        pool.append(base - self.word(before)[-1] + self.word(before + first)[-1])
-                        counts_ = counts[1:]
-                    else:
-                        counts_ = counts
-                    pool += [base + c for c in counts_]
-                else:
-                    pool += counts
-                base += counts[-1]
-                before = word if is_space(word) else None
-            sizes.append(len(pool) - begin)
-            steps.append(1 if before is None else self.word(before + self._space)[-1] - self.word(before)[-1])
+                        own.append(base - self.word(before)[-1] + self.word(before + first)[-1])
+                        counts = counts[1:]
+                    own += [base + c for c in counts]
+                    base, before = total, word if is_space(word) else None
+                if before is not None:
+                    step = self.word(before + space)[-1] - self.word(before)[-1]
+            if isinstance(own, bytes):
+                pool += own
+            elif max(own, default=0) < 256:
+                pool += bytes(own)
+            else:
+                large.append((len(pool), own))
+                pool += bytes(len(own))
+            sizes.append(len(own))
+            steps.append(step)
         sizes = np.array(sizes, np.int64)
-        new = np.array(pool, np.int64)
+        new = np.frombuffer(pool, np.uint8).astype(np.int32)
+        for begin, own in large:
+            new[begin:begin + len(own)] = own
         ends = np.cumsum(sizes)
         self._begins = np.r_[self._begins, len(self._pool) + ends - sizes]
         self._totals = np.r_[self._totals, np.where(sizes > 0, new[np.maximum(ends, 1) - 1] if len(new) else 0, 0)]

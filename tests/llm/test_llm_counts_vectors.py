@@ -75,6 +75,24 @@ def _batch(texts):
     return pa.record_batch({"key": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
 
 
+def test_words_are_counted_once_and_share_their_prefixes(monkeypatch):
+    """Words outlive the segments they come from, and the places that a word shares with the one before it are not looked at again."""
+    monkeypatch.setattr(prefixcount, "REMEMBERED", 3)
+    counter, seen = prefixcount.Counter(FILE), []
+    plain = prefixcount.Merges.apart
+    monkeypatch.setattr(prefixcount.Merges, "apart", lambda self, u, t: seen.append((u, t)) or plain(self, u, t))
+    one_by_one = prefixcount.Counter(FILE)
+    texts = [" ".join(f"inter{a}nation{b}" for b in "abcdefgh") for a in "stuvwxyz"]
+    assert [c.tolist() for c in counter.documents(texts)] == counts_of(texts)
+    first = len(seen)
+    assert [c.tolist() for c in counter.documents(texts[::-1])] == counts_of(texts[::-1]) and len(seen) == first
+    for word in dict.fromkeys(" ".join(texts).split()):
+        before = list(one_by_one._counted_last[0])
+        counts = one_by_one.word(word)
+        assert one_by_one._counted_last[0] == word and list(word) != before
+        assert counts == counts_of([word])[0]
+
+
 def test_other_kinds_of_files_are_refused():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file, pytest.raises(ValueError):
         prefixcount.Counter(file.read())
