@@ -11,8 +11,9 @@ spare, so they are signed only where a set has as many of them as could stand fo
 Pairs that share a signature are compared by counts of their shingles in a few bins, whose distance is never above that of
 the sets, and those left exactly. Only links so verified connect sets. Equal sets are one class throughout. A signature of
 more than HOT classes gives no pairs but those with its smallest class; what these and all other signatures leave apart
-is compared by the counts in blocks, pairs already connected left out. A unit of documents sends a hot
-signature's first HOT + 1 classes, so no task holds a hot group.
+is compared by the counts in blocks, pairs already connected left out. Where most of a block is near, as in groups of near copies,
+pairs would grow with the square of the group: such a block gets the whole sets and names only links that connect what
+was apart, fewer than it has classes. A unit of documents sends a hot signature's first HOT + 1 classes, so no task holds a hot group.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ UNIT_BYTES = 12 << 20      # text whose signatures are grouped before they are s
 BUCKET_BYTES = 4 << 20     # text per bucket of signatures
 HOT = 16                   # classes of a signature up to which all its pairs are named
 BLOCK = 1024               # classes of a hot signature compared with as many others in a task
+BLOCK_BYTES = 12 << 20     # of their whole sets, on either side
+SPARSE = 4                 # pairs that a block of a hot signature may name for each of its classes
 PARTNERS = 64              # of a class, compared with it in a task; their whole sets are sent
 FEW = 1_000_000            # ids that may be broadcast: 16 MB
 U = np.uint64
@@ -262,27 +265,66 @@ def _near(similar: tuple[int, int]):
     return run
 
 
-def _near_in_block(similar: tuple[int, int]):
-    """Pairs of a block of a hot signature that are not connected yet and whose counts do not rule them out."""
+def _block(rows: pa.Table, similar: tuple[int, int]):
+    """Classes, components and sizes of a block, and its near partners of one place: larger classes of the other side (any,
+    where there is one side) in other components, whose counts do not rule them out."""
     part, whole = similar
+    of, size, side, mark = (rows.column(c).to_numpy().copy() for c in ("class", "size", "side", "component"))
+    raw = rows.column("sketch").to_pylist()
+    bins = min(map(len, raw))
+    sketch = np.stack([_folded(np.frombuffer(x, np.uint8), bins) for x in raw])
+    inner = side.min() == side.max()
 
+    def partners(i: int) -> np.ndarray:
+        j = np.flatnonzero((mark != mark[i]) & (size * part <= size[i] * whole) & (size[i] * part <= size * whole) & (of > of[i]) & (inner | (side != side[i])))
+        return j[np.abs(sketch[j] - sketch[i]).sum(1) <= (size[j] + size[i]) * (whole - part) // (whole + part)]
+
+    return of, mark, partners
+
+
+def _near_in_block(similar: tuple[int, int], sparse: int):
+    """Pairs of a block of a hot signature that are near and not connected yet, or the block's name if there are too many."""
     def run(rows: pa.Table) -> pa.Table:
-        of, size, side, mark = (rows.column(c).to_numpy() for c in ("class", "size", "side", "component"))
-        raw = rows.column("sketch").to_pylist()
-        bins = min(map(len, raw))
-        sketch = np.stack([_folded(np.frombuffer(x, np.uint8), bins) for x in raw])
-        inner = side.min() == side.max()
-        left, right = [], []
+        of, _, partners = _block(rows, similar)
+        left, right, n = [], [], 0
         for i in range(len(of)):
-            j = np.flatnonzero((mark != mark[i]) & (size * part <= size[i] * whole) & (size[i] * part <= size * whole) & (of > of[i]) & (inner | (side != side[i])))
-            j = j[np.abs(sketch[j] - sketch[i]).sum(1) <= (size[j] + size[i]) * (whole - part) // (whole + part)]
+            j = partners(i)
+            n += len(j)
+            if n > sparse * len(of):
+                name = rows.select(["sig", "x", "y"]).slice(0, 1)
+                return name.append_column("a", pa.nulls(1, pa.int64())).append_column("b", pa.nulls(1, pa.int64()))
             left.append(np.full(len(j), of[i]))
             right.append(of[j])
-        return pa.table({"a": pa.array(np.concatenate(left), pa.int64()), "b": pa.array(np.concatenate(right), pa.int64())})
+        return pa.table({"sig": pa.nulls(n, pa.int64()), "x": pa.nulls(n, pa.int32()), "y": pa.nulls(n, pa.int32()),
+                         "a": pa.array(np.concatenate(left), pa.int64()), "b": pa.array(np.concatenate(right), pa.int64())})
 
     return run
 
 
+def _links_in_block(similar: tuple[int, int]):
+    """Exact links that connect all of a block that links, each of two parts that were apart until then."""
+    def run(rows: pa.Table) -> pa.Table:
+        of, mark, partners = _block(rows, similar)
+        sets = [np.frombuffer(b, "<u8") for b in rows.column("shingles").to_pylist()]
+        a, b = [], []
+        for i in range(len(of)):
+            for j in partners(i):
+                if mark[j] != mark[i] and _similar(sets[i], sets[j], similar):
+                    mark[mark == mark[j]] = mark[i]
+                    a.append(of[i])
+                    b.append(of[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _similar(a: np.ndarray, b: np.ndarray, similar: tuple[int, int]) -> bool:
+    """Whether two sorted sets link."""
+    x, y = (a, b) if len(a) <= len(b) else (b, a)
+    same = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return similar[1] * same >= similar[0] * (len(x) + len(y) - same)
+
+
 def _sets_of(n: int):
     """Whole sets of fetched texts, where they are the class that was asked for."""
     def run(batches):
@@ -297,19 +339,13 @@ def _sets_of(n: int):
 
 def _compare(similar: tuple[int, int]):
     """Exact links of one class, ``a``, with others."""
-    part, whole = similar
-
     def run(rows: pa.Table) -> pa.Table:
         a, classes, blobs = rows.column("a")[0].as_py(), rows.column("class").to_pylist(), rows.column("shingles").to_pylist()
         own = np.frombuffer(blobs[classes.index(a)], "<u8") if a in classes else np.zeros(0, "<u8")
         linked = []
         for b, blob in dict(zip(classes, blobs)).items():
             other = np.frombuffer(blob, "<u8")
-            if b == a or not len(own):
-                continue
-            x, y = (own, other) if len(own) <= len(other) else (other, own)
-            same = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            if whole * same >= part * (len(x) + len(y) - same):
+            if b != a and len(own) and _similar(own, other, similar):
                 linked.append(b)
         return pa.table({"a": pa.array([a] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
 
@@ -319,7 +355,7 @@ def _compare(similar: tuple[int, int]):
 def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The pairs that link. A class's partners go to the class, about PARTNERS of them to a task."""
     crowds = small_side(pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("blocks")).filter("blocks > 1"), "crowds")
-    dealt = pairs.join(crowds, "a", "left").select("a", "b", F.pmod(F.hash("b"), F.coalesce("blocks", F.lit(1)).cast("int")).alias("block"))
+    dealt = written(pairs.join(crowds, "a", "left").select("a", "b", F.pmod(F.hash("b"), F.coalesce("blocks", F.lit(1)).cast("int")).alias("block")), "dealt")
     asked = dealt.select("a", "block", F.col("b").alias("class")).unionByName(dealt.select("a", "block", F.col("a").alias("class")).distinct())
     return written(asked.join(sets, "class").groupBy("a", "block").applyInArrow(_compare(similar), "a bigint, b bigint"), "similar")
 
@@ -330,20 +366,41 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.join(at_a, "a", "left").join(at_b, "b", "left").filter("to_a is null or to_b is null or to_a <> to_b").select("a", "b")
 
 
+def _whole_sets(names: DataFrame, source: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(class, shingles) of distinct classes, from the text of each one's smallest document."""
+    wanted = written(names.join(classes.select("class", "rep"), "class"), "wanted")
+    few = wanted.count() <= FEW
+    fetched = source.join(F.broadcast(wanted) if few else wanted, F.col("key") == F.col("rep"))
+    return written(fetched.select("class", "text").mapInArrow(_sets_of(words), "class bigint, shingles binary"), "sets")
+
+
 def _links(near: DataFrame, source: DataFrame, classes: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
     """Links that connect all the pairs that link: first each class with its smallest partner, then what is left apart."""
     near = written(near, "near")
-    wanted = near.select(F.col("a").alias("class")).union(near.select("b")).distinct().join(classes.select("class", "rep"), "class")
-    wanted = written(wanted, "wanted")
-    few = wanted.count() <= FEW
-    fetched = source.join(F.broadcast(wanted) if few else wanted, F.col("key") == F.col("rep"))
-    sets = fetched.select("class", "text").mapInArrow(_sets_of(words), "class bigint, shingles binary")
-    sets = written(sets, "sets")
+    sets = _whole_sets(near.select(F.col("a").alias("class")).union(near.select("b")).distinct(), source, classes, words)
     some = _verified(written(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first"), sets, similar)
     rest = written(_apart(near, components(some)), "rest")
     return some if rest.isEmpty() else some.unionByName(_verified(rest, sets, similar))
 
 
+def _links_of_torn(members: DataFrame, source: DataFrame, classes: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
+    """Links among the classes of hot signatures that are not in one component."""
+    sizes = members.groupBy("sig").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    placed = members.join(small_side(sizes, "sizes"), "sig").withColumn("side", F.pmod(F.hash("class"), "blocks")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = placed.select("sig", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "class", "component", "size", "sketch")
+    judged = blocks.groupBy("sig", "x", "y").applyInArrow(_near_in_block(similar, SPARSE), "sig bigint, x int, y int, a bigint, b bigint")
+    judged = written(judged, "judged")
+    links = _links(judged.filter("a is not null").select("a", "b").distinct(), source, classes, words, similar)
+    crowded = judged.filter("a is null").select("sig", "x", "y")
+    if crowded.isEmpty():
+        return links
+    crowded = written(blocks.join(small_side(crowded, "crowded"), ["sig", "x", "y"]), "dense")
+    sets = _whole_sets(crowded.select("class").distinct(), source, classes, words)
+    dense = crowded.join(sets, "class").groupBy("sig", "x", "y").applyInArrow(_links_in_block(similar), "a bigint, b bigint")
+    return links.unionByName(written(dense, "similar"))
+
+
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id): a row per row of ``docs``; ``key`` must be integer.
 
@@ -373,11 +430,8 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     hot = written(hot.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class")), "hot")
     torn = written(hot.groupBy("sig").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high"), "torn")
     if not torn.isEmpty():
-        members = hot.join(torn.select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sig").join(classes, "class")
-        placed = members.withColumn("side", F.pmod(F.hash("class"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        blocks = placed.select("sig", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "class", "component", "size", "sketch")
-        left = blocks.groupBy("sig", "x", "y").applyInArrow(_near_in_block(similar), "a bigint, b bigint").distinct()
-        found = components(links.unionByName(_links(left, source, classes, words, similar)))
+        members = written(hot.join(torn.select("sig"), "sig").join(classes, "class"), "members")
+        found = components(links.unionByName(_links_of_torn(members, source, classes, words, similar)))
     joined = classes.join(found.select(F.col("node").alias("class"), "component"), "class").select("class", "rep", "component")
     joined = written(joined, "joined")
     smallest = small_side(joined.groupBy("component").agg(F.min("rep").alias("least")), "least")

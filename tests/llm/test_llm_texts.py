@@ -176,6 +176,34 @@ def test_similarity_join_equals_brute_force(spark, monkeypatch, block, hot, word
     assert partenum.similar_documents(df.limit(0)).count() == 0
 
 
+def test_a_group_of_near_copies_names_few_pairs(spark, monkeypatch):
+    """Copies that are near by counts but mostly do not link: the pairs that are written stay below the square of the group."""
+    monkeypatch.setattr(partenum, "HOT", 2)
+    monkeypatch.setattr(partenum, "SPARSE", 1)
+    rows_of, plain = {}, partenum.written
+
+    def counted(df, label="table"):
+        out = plain(df, label)
+        rows_of[label] = rows_of.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(partenum, "written", counted)
+    base = [f"w{i}" for i in range(300)]
+    texts = [[f"x{i}" if at in (12 * i + 2, 12 * i + 6, 12 * i + 10) else w for at, w in enumerate(base)] for i in range(25)]
+    texts += [[*texts[k][:299], f"y{k}"] for k in range(0, 25, 5)]
+    sets, up = [shingle_set(" ".join(t)) for t in texts], list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if 10 * same >= 9 * (len(sets[i]) + len(sets[j]) - same):
+                up = [up[j] if u == up[i] else u for u in up]
+    least = {u: min(k for k, v in enumerate(up) if v == u) for u in up}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"], r["component_id"]) for r in partenum.similar_documents(df).collect())
+    assert got == [(i, least[up[i]]) for i in range(len(texts))] and 1 < len(least) < len(texts)
+    assert rows_of["near"] + rows_of["rest"] < 12 * len(texts)
+
+
 @pytest.mark.parametrize("least_share", [90, 80])
 def test_similar_sets_always_share_a_signature(least_share):
     rng = np.random.default_rng(5)
