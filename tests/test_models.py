@@ -248,6 +248,34 @@ def test_search_equals_plain_trees(df, coded, limit):
     assert ensemble.grid_size() == 243
 
 
+def test_only_the_lighter_child_of_a_split_is_added_up(monkeypatch):
+    rng = np.random.default_rng(4)
+    n = 6000
+    codes, y = rng.integers(0, 256, (n, 3)).astype(np.uint8), rng.integers(-(1 << 30), 1 << 30, n)
+    specs = [binned_trees.Spec(depth=3, seed=7), binned_trees.Spec(depth=3, rows=None, columns=0.7)]
+    added = []
+    plain = np.bincount
+    monkeypatch.setattr(binned_trees.np, "bincount", lambda key, *a: added.append(len(key)) or plain(key, *a))
+
+    def grown(known):
+        monkeypatch.setattr(binned_trees, "KNOWN", known)
+        added.clear()
+        trees, values = binned_trees.boost(binned_trees.HeldRows(specs, codes, y, np.arange(n), np.zeros(n, int), np.zeros(2, np.int64)), specs, 1)[0][0]
+        return sum(added), [x.tolist() for x in (trees.feature, trees.cut, trees.left, trees.weight, trees.total, values)]
+
+    (whole, expected), (half, got) = grown(0), grown(1 << 18)
+    assert got == expected and half < 0.8 * whole
+
+
+def test_rounds_of_shared_rows_are_written_together(df, monkeypatch):
+    labels, plain = [], binned_trees.written
+    monkeypatch.setattr(binned_trees, "written", lambda rows, label="table": labels.append(label) or plain(rows, label))
+    params = {"rounds": 10, "depth": 2, "rate": 0.3, "rows": 0.8, "columns": 1.0}
+    shared, held = (ensemble.fit_boosted(df, FEATURES, "y", limit=limit, **params) for limit in (0, None))
+    assert all(np.array_equal(a, b) for x, y in zip(shared.trees, held.trees) for a, b in zip(x, y)) and len(shared.trees) == len(held.trees) == 10
+    assert labels.count("round") == 1  # nine rounds are followed by another
+
+
 def test_drawn_rows_are_even_and_apart():
     keys = np.arange(200_000)
     a, b = binned_trees.uniform(keys, 42), binned_trees.uniform(keys, 43)
