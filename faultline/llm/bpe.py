@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm.segments import Segments
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 REMEMBERED = 200_000  # words of a task after which it starts anew, about 250 bytes each
 BUCKETS = 1 << 17
 FIRST = 0x10000   # beyond the surrogates; room for a million ids

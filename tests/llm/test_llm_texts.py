@@ -355,6 +355,18 @@ def test_bpe_equals_the_library(spark, monkeypatch):
     assert bpe.encode_decode(df.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_blocks_of_bpe_stay_small():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    letters = rng.integers(97, 123, (1200, 10_000)).astype(np.uint8)
+    letters[:, ::11] = 32
+    rows = pa.record_batch({"key": pa.array(range(1200), pa.int64()), "text": pa.array([x.tobytes().decode() for x in letters])})
+    blocks = list(bpe._blocks(public_tokenizers.PATTERN, lambda word: word.decode("latin-1"))([rows]))
+    assert [k for b in blocks for k in b.column("keys").flatten().to_pylist()] == list(range(1200))
+    assert max(b.nbytes for b in blocks) < 6 << 20
+
+
 def test_bpe_with_a_token_no_merge_reaches(spark):
     """A word that is a token is that token, though its parts have no ranks; ties go to the left."""
     ranks = {bytes([i]): i for i in range(256)} | {b"aa": 256, b"aaa": 257, b"xyz": 258, b"bc": 259}
