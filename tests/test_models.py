@@ -267,6 +267,29 @@ def test_only_the_lighter_child_of_a_split_is_added_up(monkeypatch):
     assert got == expected and half < 0.8 * whole
 
 
+@pytest.mark.parametrize("rows, spread", [(6000, 1 << 30), (6000, 3), (40, 1 << 30), (1, 1), (0, 1)])
+def test_forests_only_carry_drawn_rows(rows, spread):
+    """The same trees as with all rows held, also where bins are mostly empty and where sums are added up in two parts."""
+    rng = np.random.default_rng(4)
+    codes, y = rng.integers(0, 256, (rows, 3)).astype(np.uint8), rng.integers(-spread, spread, rows) * (1 if spread < 5 else 1 << 12)
+    specs = [binned_trees.Spec(depth=9, rows=None, seed=s, columns=c) for s, c in ((7, 1.0), (8, 0.7))]
+
+    def grown(holder):
+        held = holder(specs, codes, y, np.arange(rows), np.zeros(rows, int), np.zeros(2, np.int64))
+        trees, values = binned_trees.boost(held, specs, 1)[0][0]
+        return held, [x.tolist() for x in (trees.feature, trees.cut, trees.left, trees.weight, trees.total, values)]
+
+    (_, expected), (bagged, got) = grown(binned_trees.HeldRows), grown(binned_trees.BaggedRows)
+    drawn = binned_trees.weights(specs, 0, np.arange(rows), np.zeros(rows, int)) > 0
+    assert got == expected and all(len(bag.at) <= n for bag, n in zip(bagged.bags, drawn.sum(1)))
+
+
+def test_rows_in_few_files_meet_a_model_in_many_tasks(df):
+    model = ensemble.fit_forest(df, FEATURES, "y", trees=2, depth=2)
+    few = model.predict(df.coalesce(1), "y")
+    assert few.rdd.getNumPartitions() >= 8 and sorted(few.collect()) == sorted(model.predict(df, "y").collect())
+
+
 def test_rounds_of_shared_rows_are_written_together(df, monkeypatch):
     labels, plain = [], binned_trees.written
     monkeypatch.setattr(binned_trees, "written", lambda rows, label="table": labels.append(label) or plain(rows, label))
