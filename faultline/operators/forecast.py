@@ -4,28 +4,63 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.features import Scale, fit_minmax
 from faultline.operators.gram import means
 from faultline.operators.linear import LinearModel
-from faultline.operators.ordered import home, ranges
+from faultline.operators.ordered import CHUNK, ranges
 
 TARGETS = ("mag", "dmin", "rms")
 
 
-def lag_windows(df: DataFrame, series: str, targets: tuple[str, ...], lags: int, repeat_oldest: bool = False) -> DataFrame:
-    """(targets…, window): each row that has ``lags`` rows before it in its series, with their targets as one array, newest
-    first. With ``repeat_oldest`` one row before it is enough: the window is filled up with the series' oldest row, so in
-    short series most of a window is one value. Rows with a NULL among these figures are left out."""
+WINDOWS = 4_096  # rows whose windows are multiplied at once
+
+
+def lagged_rows(df: DataFrame, series: str, targets: tuple[str, ...], lags: int) -> DataFrame:
+    """(chunk, series, own, targets…) in the order of each series within its chunk. A chunk's own rows follow copies of the
+    ``lags`` rows before them, so that a pass over a partition meets every window without any being written out."""
     cut = ranges(df.select("idx", "time", series, *targets), series, "time", "idx")
-    past = F.reverse(F.collect_list(F.struct(*targets)).over(cut.over(series).rowsBetween(-lags, -1)))
-    rows = home(cut.framed(before=lags).withColumn("_past", past))
-    full = _filled("_past", lags) if repeat_oldest else F.col("_past")
-    flat = F.flatten(F.transform(full, lambda row: F.array(*[row[t].cast("double") for t in targets])))
-    known = (F.size("window") == lags * len(targets)) & F.forall("window", lambda x: x.isNotNull())
-    return rows.select(*[F.col(t).cast("double").alias(t) for t in targets], flat.alias("window")).filter(known).na.drop("any")
+    rows = cut.framed(before=lags).repartition(CHUNK, series).sortWithinPartitions(CHUNK, series, "time", "idx")
+    return rows.select(CHUNK, F.col(series).alias("series"), (F.col("_home") == F.col(CHUNK)).alias("own"), *[F.col(t).cast("double").alias(t) for t in targets])
+
+
+def _begins(chunk: np.ndarray, series: pa.Array) -> np.ndarray:
+    """Whether a row's chunk or series is another than the row's before it; NULLs are one series."""
+    here, before = series.slice(1), series.slice(0, len(series) - 1)
+    other = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.not_equal(pc.is_null(here), pc.is_null(before)))
+    return np.r_[True, (chunk[1:] != chunk[:-1]) | other.to_numpy(zero_copy_only=False)]
+
+
+def _windows(batches, targets: tuple[str, ...], lags: int, repeat_oldest: bool):
+    """(windows, targets) of the own rows of ``lagged_rows`` that have ``lags`` rows before them in their series, newest first; at
+    most WINDOWS at once. With ``repeat_oldest`` one row before is enough: the window is filled up with the series' oldest row, so
+    in short series most of a window is one value. Rows with a NULL among these figures are left out."""
+    n, last = len(targets), None
+    held, gaps = np.zeros((0, n)), np.zeros(0, bool)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        chunk, series = batch.column(0).to_numpy(), batch.column(1)
+        columns = [batch.column(t) for t in targets]
+        new = _begins(chunk, series)
+        new[0] = last != (chunk[0], series[0].as_py())
+        last = chunk[-1], series[-1].as_py()
+        values = np.concatenate([held, np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])])
+        gaps = np.concatenate([gaps, np.any([c.is_null().to_numpy(zero_copy_only=False) for c in columns], 0)])
+        at = len(held) + np.arange(batch.num_rows)
+        begin = np.maximum.accumulate(np.where(new, at, 0))
+        missing = np.r_[0, np.cumsum(gaps)]
+        known = (missing[at + 1] == missing[np.maximum(at - lags, begin)]) & ~np.isnan(values[at]).any(1)
+        used = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False) & known & (at - begin >= (1 if repeat_oldest else lags)))
+        for i in range(0, len(used), WINDOWS):
+            rows = at[used[i:i + WINDOWS]]
+            past = np.maximum(rows[:, None] - np.arange(1, lags + 1), begin[used[i:i + WINDOWS], None])
+            yield values.take(past, 0).reshape(len(rows), lags * n), values[rows]
+        keep = max(begin[-1], len(values) - lags)
+        held, gaps = values[keep:], gaps[keep:]
 
 
 def _filled(window: str, lags: int) -> Column:
@@ -37,19 +72,19 @@ def lag_names(targets: tuple[str, ...], lags: int) -> list[str]:
     return [f"{t}_lag{j}" for j in range(1, lags + 1) for t in targets]
 
 
-def _window_gram(rows: DataFrame, targets: tuple[str, ...], lags: int, shift: np.ndarray) -> np.ndarray:
-    """Sums of products of 1, the window and the targets, each less its target's ``shift``. Every task multiplies its Arrow
-    batches; a line of the matrix is summed in one place."""
+def _window_gram(rows: DataFrame, targets: tuple[str, ...], lags: int, shift: np.ndarray, repeat_oldest: bool) -> np.ndarray:
+    """Sums of products of 1, the window and the targets of ``lagged_rows``, each less its target's ``shift``. Every task
+    multiplies the windows it meets; a line of the matrix is summed in one place."""
     n = len(targets)
     offsets = np.r_[0.0, np.tile(shift, lags), shift]
 
     def partial(batches):
         total = np.zeros((1 + n * (lags + 1),) * 2)
-        for batch in batches:
-            window = batch.column("window").flatten().to_numpy().reshape(batch.num_rows, lags * n)
-            x = np.column_stack([np.ones(batch.num_rows), window, *[batch.column(t).to_numpy() for t in targets]]) - offsets
+        for window, y in _windows(batches, targets, lags, repeat_oldest):
+            x = np.column_stack([np.ones(len(y)), window, y]) - offsets
             total += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([line.tobytes() for line in total], pa.binary())], names=["i", "s"])
+        if total[0, 0]:
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([line.tobytes() for line in total], pa.binary())], names=["i", "s"])
 
     def summed(lines: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(b) for b in lines.column("s").to_pylist())
@@ -64,7 +99,7 @@ def fit_lag_models(df: DataFrame, series: str, targets: tuple[str, ...] = TARGET
     gives the sums for all of them."""
     _, mean, _ = means(df, list(targets))
     shift = np.array([mean[t] for t in targets])  # close to every column's mean, so that centring below takes little away
-    g = _window_gram(lag_windows(df, series, targets, lags, repeat_oldest), targets, lags, shift)
+    g = _window_gram(lagged_rows(df, series, targets, lags), targets, lags, shift, repeat_oldest)
     if not len(g) or not g[0, 0]:
         raise ValueError("no complete rows to fit on")
     p, first = lags * len(targets), g[0, 1:] / g[0, 0]

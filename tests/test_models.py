@@ -422,6 +422,28 @@ def test_forecast_from_168_rows_equals_a_plain_recursion(spark, many_partitions)
             assert mine[k] == pytest.approx((new * width + low).to_numpy(), abs=1e-6)
 
 
+def test_windows_of_a_series_are_met_across_batches():
+    """Each row's window, newest first, whatever the batches; copies give windows to others but have none, NULLs void theirs."""
+    import pyarrow as pa
+
+    rng, lags = np.random.default_rng(6), 3
+    chunk, series = np.repeat([0, 0, 0, 1, 1], [7, 2, 9, 6, 1]), np.repeat([4, 5, 6, 6, 7], [7, 2, 9, 6, 1]).tolist()
+    series = [None if s == 5 else s for s in series]
+    values = [[None if rng.random() < 0.06 else float(v) for v in row] for row in rng.random((len(chunk), 2))]
+    own = [not (c == 1 and i < 21) for i, c in enumerate(chunk)]
+    table = pa.table({"chunk": chunk, "series": pa.array(series, pa.int32()), "own": own, **{
+        t: pa.array([row[k] for row in values], pa.float64()) for k, t in enumerate("ab")}})
+    for repeat in (False, True):
+        want = []
+        for i in range(len(chunk)):
+            past = [values[j] for j in range(i - 1, -1, -1) if (chunk[j], series[j]) == (chunk[i], series[i])][:lags]
+            if own[i] and len(past) >= (1 if repeat else lags) and None not in sum(past + [values[i]], []):
+                want.append((sum(past + past[-1:] * (lags - len(past)), []), values[i]))
+        for size in (1, 2, 5, 100):
+            got = [(w, y) for a, b in forecast._windows(iter(table.to_batches(size)), ("a", "b"), lags, repeat) for w, y in zip(a.tolist(), b.tolist())]
+            assert got == want and len(want) > 3
+
+
 def test_payload(spark):
     rows = [(7, dt.datetime(2024, 1, 2, 3, 4, 5, 678000), 1.0), (7, dt.datetime(2024, 1, 1), 2.0), (8, dt.datetime(2024, 1, 1), 3.0)]
     df = spark.createDataFrame(rows, "cell int, timestamp timestamp_ntz, mag double")
