@@ -26,7 +26,7 @@ QUERY_BLOCK = 4_096       # queries per block within a leaf
 SAMPLE_PER_LEAF = 32      # sampled points that place the splits
 MAX_SAMPLE = 400_000      # bound on the driver's sample
 VISIT_ROWS = 2_000        # queries whose leaves are looked up together
-TILE = 2_000_000          # distances held at once
+TILE = 1 << 17            # distances held at once: they stay in a core's cache
 RANK_DIGITS = 9           # distances equal to this many digits rank as ties; what is returned is not rounded
 
 
@@ -119,17 +119,65 @@ def _within(tree: dict, patterns: dict[int, np.ndarray], x: np.ndarray, reach: n
 
 def _distances(q: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
     """Distance over the shared columns, scaled up for the missing ones; NaN if none."""
-    total = np.zeros((len(q), len(x)))
-    shared = np.zeros((len(q), len(x)))
-    for c in range(q.shape[1]):
-        d = q[:, c][:, None] - x[:, c][None, :]
+    return _distances_of(q[:, None, :], x[None, :, :], width)
+
+
+def _distances_of(q: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
+    """The same for pairs of rows."""
+    total = shared = 0.0
+    for c in range(q.shape[-1]):
+        d = q[..., c] - x[..., c]
         ok = ~np.isnan(d)
-        total += np.where(ok, d * d, 0.0)
-        shared += ok
+        total = total + np.where(ok, d * d, 0.0)
+        shared = shared + ok
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.sqrt(total * (width / shared))
 
 
+def _ranked_near(q: np.ndarray, x: np.ndarray, donor: np.ndarray, k: int, width: int):
+    """(row of q, row of x, distance) of the k first donors of each question, as distances rounded to RANK_DIGITS digits and then
+    donors rank them. Where all points miss the same columns, questions are taken by what they miss: then the squares of a
+    question stand for one number of columns, and only those close to the k-th smallest are made distances."""
+    have = ~np.isnan(x)
+    even = (have.all(0) | ~have.any(0)).all()
+    missing = np.isnan(q) @ (1 << np.arange(q.shape[1])) if even else np.zeros(len(q), int)
+    columns, step = np.ascontiguousarray(x.T), max(1, TILE // len(x))
+    total, part = (np.empty((step, len(x))) for _ in range(2))
+    for pattern in np.unique(missing):
+        mine = np.flatnonzero(missing == pattern)
+        dims = [c for c in range(q.shape[1]) if have[0, c] and not pattern >> c & 1]
+        if even and not dims:
+            continue
+        share = width / len(dims) if even else 1.0
+        for start in range(0, len(mine), step):
+            asked = mine[start:start + step]
+            if even:
+                squares, diff = total[:len(asked)], part[:len(asked)]
+                for i, c in enumerate(dims):
+                    np.subtract(q[asked, c][:, None], columns[c], out=diff)
+                    np.multiply(diff, diff, out=diff if i else squares)
+                    if i:
+                        squares += diff
+            else:
+                squares = _distances(q[asked], x, width) ** 2
+            if len(x) > k:
+                kth = np.sqrt(np.partition(squares, k - 1, axis=1)[:, k - 1] * share)
+                kth[~np.isfinite(kth)] = np.inf
+                reach = (kth + 4 * 10.0 ** -RANK_DIGITS) ** 2 / share * (1 + 1e-9)
+                rows, cols = np.nonzero(squares <= reach[:, None])
+            else:
+                kth = np.full(len(asked), np.inf)
+                rows, cols = np.nonzero(squares < np.inf)
+            d = np.sqrt(squares[rows, cols] * share) if even else _distances_of(q[asked][rows], x[cols], width)
+            ranked = np.round(d, RANK_DIGITS)
+            near = np.flatnonzero((ranked <= np.round(kth, RANK_DIGITS)[rows] + 10.0 ** -RANK_DIGITS) & np.isfinite(d))
+            rows, cols, d, ranked = rows[near], cols[near], d[near], ranked[near]
+            order = np.lexsort((donor[cols], ranked, rows))
+            rows, cols, d = rows[order], cols[order], d[order]
+            best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k  # from where each question's donors begin
+            yield asked[rows[best]], cols[best], d[best]
+
+
 def _pattern(columns: list[str]) -> Column:
     out = F.lit(0)
     for i, c in enumerate(columns):
@@ -271,21 +319,9 @@ def _answer(questions: DataFrame, placed: DataFrame, parts: DataFrame, p: int, k
             return pd.DataFrame({n: [] for n in schema.names})
         x, q = _matrix(right, p), _matrix(left, p)
         donor, value, asked_ = right["donor"].to_numpy(), right["value"].to_numpy(), left["q"].to_numpy()
-        step, out = max(1, TILE // len(x)), []
-        for start in range(0, len(q), step):
-            d = _distances(q[start:start + step], x, width)
-            d[np.isnan(d)] = np.inf
-            ranked = np.round(d, RANK_DIGITS)
-            kth = np.partition(ranked, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(d), np.inf)
-            rows, cols = np.nonzero((ranked <= kth[:, None]) & np.isfinite(d))
-            order = np.lexsort((donor[cols], ranked[rows, cols], rows))
-            rows, cols = rows[order], cols[order]
-            first = np.searchsorted(rows, rows)            # where each query's donors begin
-            best = np.arange(len(rows)) - first < k
-            rows, cols = rows[best], cols[best]
-            out.append(pd.DataFrame({
-                "q": asked_[start + rows], "distance": d[rows, cols], "donor": donor[cols], "value": value[cols]}))
-        return pd.concat(out, ignore_index=True)
+        found = list(_ranked_near(q, x, donor, k, width))
+        rows, cols, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        return pd.DataFrame({"q": asked_[rows], "distance": d, "donor": donor[cols], "value": value[cols]})
 
     keys = ("leaf", "block", "part")
     return asked.groupBy(*keys).cogroup(given.groupBy(*keys)).applyInPandas(pick, schema)

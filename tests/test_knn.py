@@ -133,3 +133,28 @@ def test_ridge_inverse_forms(spark):
     assert np.allclose(both.a - both.b, 1.0)
     with pytest.raises(ValueError):
         impute.ridge_fill(df.drop("rms"))
+
+
+def test_near_points_equal_the_whole_matrix_of_distances():
+    """Ties, missing columns on either side, infinite values, fewer points than neighbours; squares stay small beside the whole matrix."""
+    rng, k, width = np.random.default_rng(5), 5, 5
+    for kind in ("plain", "ties", "asked", "given", "both", "few", "infinite"):
+        q, x = rng.normal(size=(300, 4)), rng.normal(size=(4 if kind == "few" else 700, 4))
+        if kind == "ties":
+            q, x = np.round(q * 2) / 2, np.round(x * 2) / 2
+        if kind in ("asked", "both"):
+            q[rng.random(q.shape) < 0.3] = np.nan
+        if kind == "given":
+            x[:, :2] = np.nan
+        if kind == "both":
+            x[rng.random(x.shape) < 0.2] = np.nan
+        if kind == "infinite":
+            x[rng.random(len(x)) < 0.995, 0] = np.inf
+        donor = rng.permutation(len(x))
+        d = knn._distances(q, x, width)
+        want = [[(int(c), d[i, c]) for c in np.lexsort((donor, np.round(d[i], knn.RANK_DIGITS)))[:k] if np.isfinite(d[i, c])] for i in range(len(q))]
+        got = [[] for _ in q]
+        for rows, cols, near in knn._ranked_near(q, x, donor, k, width):
+            for i, c, v in zip(rows, cols, near):
+                got[i].append((int(c), v))
+        assert got == want, kind
