@@ -5,6 +5,9 @@ A fold over each word's bytes then merges, at every step, the leftmost neighbour
 literal map. Ids are turned back into bytes by concatenating the pieces they stand for. Blocks stay in the task that read
 them: nothing is shuffled, a block holds BLOCK_BYTES of text or one document, a task remembers REMEMBERED words.
 
+The most frequent words of a sample of the documents are folded once, before the others, and every task knows them from its
+start. They save work and change no result: whatever is not among them is folded by the task that meets it.
+
 The fold works on strings with one character per token, the character FIRST + id. Such characters compare as their ids, so
 the smallest merged character is the smallest rank; a word's state is its string and the merged character of each pair of
 neighbours.
@@ -15,11 +18,13 @@ from __future__ import annotations
 import base64
 import json
 from array import array
+from collections import Counter
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +32,13 @@ from faultline.llm.segments import Segments
 
 BLOCK_BYTES = 2 << 20
 REMEMBERED = 200_000  # words of a task after which it starts anew, about 250 bytes each
+SAMPLED = 20_000      # documents, a tenth of them at most, whose frequent words are folded once
+SHARED = 200_000      # of those words at most
 BUCKETS = 1 << 17
 FIRST = 0x10000   # beyond the surrogates; room for a million ids
+LETTERS_FIRST = "'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+|"  # a pattern that begins so takes a space and letters as one word
 EDGE = "!"        # stands before and after a word and has no rank
+DECODED = 1 << 17     # ids turned into bytes at once
 REST = 1 << 30
 
 
@@ -85,22 +94,36 @@ class Ranks:
         for bucket, key, (_, _, rank) in zip((murmur3(keys) % BUCKETS).tolist(), keys, made):
             buckets[bucket][key] = chr(FIRST + rank)
         self._pairs = json.dumps(buckets)
-        self.byte = {i: chr(FIRST + ranks[bytes([i])]) for i in range(256)}
-        # a word that is a token is that token, also where no merges lead to it
-        self._lone = {self.spell(t): chr(FIRST + r) for t, r in ranks.items() if len(t) > 1 and len(merge_bytes(t, ranks)) > 1}
-
-    def spell(self, word: bytes) -> str:
-        """A word as one character per byte."""
-        return word.decode("latin-1").translate(self.byte)
 
     def with_tokens(self, df: DataFrame, words: str, name: str) -> DataFrame:
         """Adds array<string> ``name`` for an array of spelled words: one character per token."""
         df = df.withColumn("_pairs", _constant(self._pairs, "array<map<string,string>>"))
-        folded = F.transform(words, lambda word: _folded(word, F.col("_pairs")))
-        if self._lone:
-            df = df.withColumn("_lone", _constant(json.dumps(self._lone), "map<string,string>"))
-            folded = F.zip_with(words, folded, lambda word, tokens: F.coalesce(F.element_at("_lone", word), tokens))
-        return df.withColumn(name, folded).drop("_pairs", "_lone")
+        return df.withColumn(name, F.transform(words, lambda word: _folded(word, F.col("_pairs")))).drop("_pairs")
+
+
+def speller(ranks: dict[bytes, int]):
+    """Words as one character per byte. A word that is a token is that token, also where no merges lead to it."""
+    byte = {i: chr(FIRST + ranks[bytes([i])]) for i in range(256)}
+
+    def spell(word: bytes) -> str:
+        return word.decode("latin-1").translate(byte) if (whole := ranks.get(word)) is None else chr(FIRST + whole)
+
+    return spell
+
+
+def _spelled_words(words: list[str], spell) -> pa.Array:
+    return pa.array([spell(w.encode()) for w in words], pa.string())
+
+
+def _ids(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of folded words one after the other, and how many each has."""
+    tokens = tokens.to_pylist()
+    ids = np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - np.uint32(FIRST)
+    return ids, np.fromiter(map(len, tokens), np.int64, len(tokens))
+
+
+def _in_one_row(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _merged(two: Column, pairs: Column) -> Column:
@@ -133,10 +156,11 @@ def _step(state: Column, pairs: Column) -> Column:
 
 
 class _Words:
-    """Distinct words of a task's documents, numbered as they come; segments are kept for one block."""
+    """Distinct words of a task's documents, numbered as they come after the shared ones; segments are kept for one block."""
 
-    def __init__(self, pattern: str):
-        self.split, self.numbers = regex.compile(pattern).findall, {}
+    def __init__(self, pattern: str, shared: list[str]):
+        self.split, self.numbers = regex.compile(pattern).findall, dict(zip(shared, range(len(shared))))
+        self.letters_first = pattern.startswith(LETTERS_FIRST)
         self.segments = Segments()
 
     def close(self) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -144,14 +168,60 @@ class _Words:
         words, ends = array("I"), array("q", [0])
         known, numbers = len(self.numbers), self.numbers
         for segment in self.segments.texts():
-            for word in self.split(segment):
+            plain = self.letters_first and segment.isascii() and segment[:1] == " " and segment[1:].isalpha()
+            for word in (segment,) if plain else self.split(segment):
                 words.append(numbers.setdefault(word, len(numbers)))
             ends.append(len(words))
         self.segments = Segments()
         return np.array(words), np.array(ends), list(islice(numbers, known, None))
 
 
-def _blocks(pattern: str, spell):
+def _frequent(pattern: str):
+    """Documents to (word, n): how often a task met a word."""
+    def close(counts):
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+    def run(batches):
+        split, counts = regex.compile(pattern).findall, Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                counts.update(split(text.as_py() or ""))
+                if len(counts) > REMEMBERED:
+                    yield close(counts)
+                    counts = Counter()
+        yield close(counts)
+
+    return run
+
+
+def _spelled(spell):
+    def run(batches):
+        for batch in batches:
+            words = batch.column("word")
+            yield pa.RecordBatch.from_arrays([_in_one_row(words), _in_one_row(_spelled_words(words.to_pylist(), spell))], names=["names", "words"])
+
+    return run
+
+
+def _shared(source: DataFrame, pattern: str, table: Ranks, spell) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """At most SHARED words that a sample holds twice or more, the most frequent ones first; their ids one after the other,
+    and how many each has."""
+    n = source.count()
+    sample = source.sample(min(0.1, SAMPLED / max(n, 1)), seed=1)
+    counts = sample.mapInArrow(_frequent(pattern), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    words = counts.orderBy(F.desc("n"), "word").limit(SHARED).select("word").repartition(2 * source.sparkSession.sparkContext.defaultParallelism)
+    spelled = words.mapInArrow(_spelled(spell), "names array<string>, words array<string>")
+    coded = table.with_tokens(spelled, "words", "tokens").select("names", "tokens").toArrow()
+    names, ids, sizes = [], [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+    for batch in coded.to_batches():
+        names += batch.column("names").flatten().to_pylist()
+        new, n = _ids(batch.column("tokens").flatten())
+        ids.append(new)
+        sizes.append(n)
+    return names, np.concatenate(ids), np.concatenate(sizes)
+
+
+def _blocks(pattern: str, spell, shared: Broadcast | None = None):
     """Documents to blocks: keys, the numbers of each document's words, and the task's new words as they are spelled. After
     REMEMBERED words numbering starts anew, which ``fresh`` says."""
     names = ["keys", "words", "sizes", "numbers", "fresh"]
@@ -166,12 +236,13 @@ def _blocks(pattern: str, spell):
             taken.append(words[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[own], n)])
         keys = pa.concat_arrays(keys)
         return pa.RecordBatch.from_arrays([
-            pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([[spell(w.encode()) for w in new]], pa.list_(pa.string())),
+            _in_one_row(keys), _in_one_row(_spelled_words(new, spell)),
             pa.array([np.array(counted, "<i8").tobytes()], pa.binary()), pa.array([np.concatenate(taken).astype("<u4").tobytes()], pa.binary()),
             pa.array([fresh])], names=names)
 
     def run(batches):
-        held, fresh = _Words(pattern), True
+        common = shared.value[0] if shared else []
+        held, fresh = _Words(pattern, common), True
         keys, documents, size = [], [], 0
         for batch in batches:
             at = 0
@@ -181,9 +252,9 @@ def _blocks(pattern: str, spell):
                 size += len(text)
                 if size >= BLOCK_BYTES:
                     yield close([*keys, batch.column("key").slice(at, i + 1 - at)], documents, held, fresh)
-                    at, keys, documents, size, fresh = i + 1, [], [], 0, len(held.numbers) > REMEMBERED
+                    at, keys, documents, size, fresh = i + 1, [], [], 0, len(held.numbers) > len(common) + REMEMBERED
                     if fresh:
-                        held = _Words(pattern)
+                        held = _Words(pattern, common)
             if at < batch.num_rows:
                 keys.append(batch.column("key").slice(at))
         if keys:
@@ -192,30 +263,40 @@ def _blocks(pattern: str, spell):
     return run
 
 
-def _documents(pieces: list[bytes]):
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The given stretches of an array, one after the other."""
+    return flat[np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes)]
+
+
+def _binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _documents(pieces: list[bytes], shared: Broadcast):
     """Blocks back to documents: ids as unsigned 32-bit little-endian, and the pieces they stand for."""
     def run(batches):
-        values, n, decoded = np.zeros(0, "<u4"), np.zeros(0, np.int64), []
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        begin, letters = np.cumsum(size) - size, np.frombuffer(b"".join(pieces), np.uint8)
+        _, values, n = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
                 keys = batch.column("keys").slice(row, 1).flatten()
                 if batch.column("fresh")[row].as_py():
-                    values, n, decoded = values[:0], n[:0], []
-                tokens = batch.column("tokens").slice(row, 1).flatten().to_pylist()
-                new = np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - FIRST
-                values, n = np.r_[values, new].astype("<u4"), np.r_[n, np.fromiter(map(len, tokens), np.int64, len(tokens))]
-                decoded += [b"".join([pieces[ord(t) - FIRST] for t in word]) for word in tokens]
+                    _, values, n = shared.value
+                new, m = _ids(batch.column("tokens").slice(row, 1).flatten())
+                values, n = np.r_[values, new], np.r_[n, m]
                 first = np.cumsum(n) - n
                 numbers = np.frombuffer(batch.column("numbers")[row].as_py(), "<u4")
                 ends = np.r_[0, np.cumsum(np.frombuffer(batch.column("sizes")[row].as_py(), "<i8"))]
                 for at in range(0, len(keys), 64):
-                    ids, texts = [], []
-                    for a, b in zip(ends[at:at + 64], ends[at + 1:at + 65]):
-                        own = numbers[a:b]
-                        m = n[own]
-                        ids.append(values[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[own], m)].tobytes())
-                        texts.append(b"".join(map(decoded.__getitem__, own.tolist())))
-                    yield pa.RecordBatch.from_arrays([keys.slice(at, 64), pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], names=["key", "ids", "decoded"])
+                    to = min(at + 64, len(keys))
+                    own = numbers[ends[at]:ends[to]]
+                    ids = _gather(values, first[own], n[own])
+                    cuts = np.r_[0, np.cumsum(n[own])][ends[at:to + 1] - ends[at]]
+                    texts = [_gather(letters, begin[part], size[part]) for part in (ids[i:i + DECODED] for i in range(0, len(ids), DECODED))]
+                    borders = np.r_[0, np.cumsum(size[ids])][cuts]
+                    yield pa.RecordBatch.from_arrays([
+                        keys.slice(at, to - at), _binaries(ids, 4 * cuts), _binaries(np.concatenate([np.zeros(0, np.uint8), *texts]), borders)], names=["key", "ids", "decoded"])
 
     return run
 
@@ -231,10 +312,11 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: s
     pieces = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token
-    table = Ranks(ranks)
-    blocks = source.mapInArrow(_blocks(pattern, table.spell), f"keys array<{kind}>, words array<string>, sizes binary, numbers binary, fresh boolean")
+    table, spell = Ranks(ranks), speller(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(_shared(source, pattern, table, spell))
+    blocks = source.mapInArrow(_blocks(pattern, spell, shared), f"keys array<{kind}>, words array<string>, sizes binary, numbers binary, fresh boolean")
     coded = table.with_tokens(blocks, "words", "tokens").drop("words")
-    return coded.mapInArrow(_documents(pieces), f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
+    return coded.mapInArrow(_documents(pieces, shared), f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
 
 
 def digests(coded: DataFrame, key: str = "doc_id") -> DataFrame:

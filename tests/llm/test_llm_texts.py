@@ -3,6 +3,7 @@
 import random
 import re
 import struct
+import types
 from collections import Counter
 from zlib import crc32
 
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import zstandard
 from pyspark.sql import functions as F
@@ -367,6 +369,23 @@ def test_blocks_of_bpe_stay_small():
     assert max(b.nbytes for b in blocks) < 6 << 20
 
 
+def test_frequent_words_of_bpe_are_folded_once(spark):
+    """Tasks know the frequent words of a sample from the start, and what they hold changes no result."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = [(i, f"zqxwvutter hhgfoobar{i % 7} zqxwvutter\n\u00e9t\u00e9 word{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "key long, text string")
+    table, spell = bpe.Ranks(ranks), bpe.speller(ranks)
+    words, ids, sizes = bpe._shared(df, public_tokenizers.PATTERN, table, spell)
+    assert "zqxwvutter" in words and " zqxwvutter" in words and len(words) == len(set(words))
+    assert np.split(ids, np.cumsum(sizes)[:-1])[words.index(" zqxwvutter")].tolist() == model.encode_ordinary(" zqxwvutter")
+    held = types.SimpleNamespace(value=(words, ids, sizes))
+    blocks = list(bpe._blocks(public_tokenizers.PATTERN, spell, held)([pa.record_batch({"key": [0], "text": [rows[0][1]]})]))
+    assert len(blocks[0].column("words")[0]) < len(set(regex.findall(public_tokenizers.PATTERN, rows[0][1])))
+    got = {r["key"]: r for r in bpe.encode_decode(df, ranks, public_tokenizers.PATTERN, key="key").collect()}
+    assert all(np.frombuffer(got[k]["ids"], "<u4").tolist() == model.encode_ordinary(t) and bytes(got[k]["decoded"]) == t.encode() for k, t in rows)
+
+
 def test_bpe_with_a_token_no_merge_reaches(spark):
     """A word that is a token is that token, though its parts have no ranks; ties go to the left."""
     ranks = {bytes([i]): i for i in range(256)} | {b"aa": 256, b"aaa": 257, b"xyz": 258, b"bc": 259}
