@@ -164,3 +164,14 @@ def test_only_the_copy_among_the_rows_of_an_id_goes(spark):
     stay = [(3, _text("a")), (5, _text("b")), (None, _text("c")), (None, _text("d")), (None, None), (None, None), (6, ""), (6, "")]
     go = [(5, _text("a")), (5, _text("a")), (None, _text("a")), (5, _text("b")), (None, _text("c")), (9, _text("b") + " more")]
     assert _bag(corpus_pipeline.near_duplicates(spark, _planted(spark, [*go, *stay]), SF)) == _bag(_planted(spark, stay))
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    seen = []
+    probe = corpus_pipeline.stage(lambda spark, docs, sf_dir: seen.append(spark.conf.get(corpus_pipeline.BATCH)))
+    before = spark.conf.get(corpus_pipeline.BATCH)
+    probe(spark, None, "")
+    spark.conf.set(corpus_pipeline.BATCH, 7)
+    probe(spark, None, "")
+    assert seen == ["1000", "7"] and spark.conf.get(corpus_pipeline.BATCH) == "7"
+    spark.conf.set(corpus_pipeline.BATCH, before)
